@@ -22,16 +22,17 @@ def _pairs(k: int):
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
-def _solve(moments: DataFrame, keys: Sequence[str], x: Sequence[str]) -> DataFrame:
+def _solve(moments: DataFrame, keys: Sequence[str], x: Sequence[str], min_rows: int = 0) -> DataFrame:
     """Coefficients from ``n, _mx<i>, _my, _a<i>_<j>`` (covariances) and ``_b<i>``."""
     k = len(x)
+    enough = F.col("n") >= min_rows
 
     def a(i, j):
         return F.col(f"_a{i}_{j}") if i <= j else F.col(f"_a{j}_{i}")
 
     out = moments.withColumns({f"_v{i}": a(i, i) for i in range(k)})
     for p in range(k):
-        usable = a(p, p) > TOLERANCE * F.col(f"_v{p}")
+        usable = enough & (a(p, p) > TOLERANCE * F.col(f"_v{p}"))
         out = out.withColumn(f"_p{p}", F.when(usable, a(p, p)))
         for i in range(p + 1, k):
             out = out.withColumn("_f", F.coalesce(a(p, i) / F.col(f"_p{p}"), F.lit(0.0)))
@@ -61,11 +62,12 @@ def _base(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: boo
 
 
 def fit_grouped_linear(
-    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False
+    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False, min_rows: int = 0
 ) -> DataFrame:
     """One least-squares model per group, on rows where all columns are known.
 
     ``log`` fits the logarithm of ``y`` (rows with ``y <= 0`` are left out).
+    Groups with fewer than ``min_rows`` rows get their mean as a flat model.
     """
     k = len(x)
     moments = _base(df, keys, x, y, log).groupBy(*keys).agg(
@@ -75,11 +77,12 @@ def fit_grouped_linear(
         *[F.covar_pop(f"_x{i}", f"_x{j}").alias(f"_a{i}_{j}") for i, j in _pairs(k)],
         *[F.covar_pop(f"_x{i}", "_y").alias(f"_b{i}") for i in range(k)],
     )
-    return _solve(moments, keys, x)
+    return _solve(moments, keys, x, min_rows)
 
 
 def fit_folds(
-    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False, unit: str = "month"
+    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False, unit: str = "month",
+    min_rows: int = 0,
 ) -> DataFrame:
     """One model per group and ``fold`` (first day of each month), fitted on all earlier rows.
 
@@ -116,7 +119,7 @@ def fit_folds(
         *[(F.col(f"_g_x{i}") + mean[f"_x{i}"]).alias(f"_mx{i}") for i in range(k)],
         *[(F.col(f"_q{out}") / F.col("n") - mean[p] * mean[q]).alias(out) for p, q, out in pairs],
     )
-    return _solve(moments, [*keys, "fold"], x)
+    return _solve(moments, [*keys, "fold"], x, min_rows)
 
 
 def linear_value(x: Sequence[str], log: bool = False) -> Column:

@@ -47,8 +47,7 @@ def _noised(past: Column, keys: Sequence[str], seed: int) -> Column:
 
 
 def add_weather(
-    days: DataFrame, keys: Sequence[str], lags: Sequence[int], stats_days: Sequence[int] = (1, 2),
-    past: str = "_weather",
+    days: DataFrame, lags: Sequence[int], stats_days: Sequence[int], past: str = "_weather"
 ) -> tuple[DataFrame, dict[str, Column]]:
     """Day statistics as columns, and the hourly lag expressions to apply after the hours are exploded."""
     wide = days.withColumns(_day_stats(F.col(past), stats_days)) if stats_days else days
@@ -65,6 +64,7 @@ def hourly_features(
     lags: Sequence[int] = LOAD_LAGS,
     stats: Sequence[int] = STAT_HOURS,
     temperature_lags: Sequence[int] = DAY_AHEAD_TEMPERATURE_LAGS,
+    temperature_days: Sequence[int] = (1, 2),
     noise_seed: int | None = None,
     same_hour_temperature: bool = False,
     dummies: bool = True,
@@ -88,7 +88,7 @@ def hourly_features(
         days = join_daily(days, temperature, shared, "left")
         empty = F.array(*[F.lit(None).cast("double")] * 24)
         days = days.withColumn("temperature", F.coalesce("temperature", empty))
-        reach = days_needed(max([*temperature_lags, 72]))
+        reach = max([days_needed(k) for k in temperature_lags] + list(temperature_days) + [0])
         days = days.withColumn("_weather", history("temperature", keys, reach)).drop("temperature")
     if lags:
         days = add_origin_lags(days, keys, "load", lags, offset, stats)
@@ -97,7 +97,7 @@ def hourly_features(
     if temperature is not None:
         if noise_seed is not None:
             days = days.withColumn("_weather", _noised(F.col("_weather"), keys, noise_seed))
-        days, lag_columns = add_weather(days, keys, temperature_lags)
+        days, lag_columns = add_weather(days, temperature_lags, temperature_days)
     if daily is not None:
         days = join_daily(days, daily, ["date"], "left")
     days = add_calendar(days)

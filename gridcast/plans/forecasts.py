@@ -18,9 +18,11 @@ def _target(y: str, shift: float) -> Column:
     return F.when(F.col(y) + shift > 0, F.ln(F.col(y) + shift))
 
 
-def fit_load(train: DataFrame, by: Sequence[str], x: Sequence[str], y: str = "load", shift: float = 0.0) -> DataFrame:
+def fit_load(
+    train: DataFrame, by: Sequence[str], x: Sequence[str], y: str = "load", shift: float = 0.0, min_rows: int = 0
+) -> DataFrame:
     """One model per group on ``ln(load + shift)``; ``shift=1`` admits hours without load."""
-    return fit_grouped_linear(train.withColumn("_target", _target(y, shift)), by, x, "_target")
+    return fit_grouped_linear(train.withColumn("_target", _target(y, shift)), by, x, "_target", min_rows=min_rows)
 
 
 def predict_load(
@@ -42,12 +44,12 @@ def forecast_day(
 
 
 def forecast_days(
-    features: DataFrame, keys: Sequence[str], cut, x: Sequence[str], shift: float = 0.0
+    features: DataFrame, keys: Sequence[str], cut, x: Sequence[str], shift: float = 0.0, min_rows: int = 0
 ) -> DataFrame:
     """Multi-day forecast: models per series, horizon and hour, all in one job."""
     by = [*keys, "horizon", "hour"]
     train, test = split_horizon(features, cut)
-    scored = predict_load(test, fit_load(train, by, x, shift=shift), by, x, shift)
+    scored = predict_load(test, fit_load(train, by, x, shift=shift, min_rows=min_rows), by, x, shift)
     return scored.select(*keys, "horizon", "date", "hour", "load", "prediction")
 
 
