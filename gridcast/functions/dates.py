@@ -68,6 +68,6 @@ def is_leap_year(year: Column) -> Column:
     return F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
 
 
-def one_hot(value: Column, name: str, domain: Iterable[int]) -> dict[str, Column]:
-    """0/1 columns ``name_k`` over a fixed domain, so no pass over the data is needed."""
-    return {f"{name}_{k}": (value == k).cast("int") for k in domain}
+def one_hot(name: str, domain: Iterable[int]) -> dict[str, Column]:
+    """0/1 columns ``<name>_<k>`` of column ``name`` over a fixed domain: no pass over the data."""
+    return {f"{name}_{k}": F.expr(f"int({name} = {k})") for k in domain}

@@ -23,16 +23,11 @@ def standard_normal(seed: int, *parts: Column) -> Column:
     return radius * F.cos(2.0 * math.pi * _uniform(F.lit(seed), F.lit("a"), *parts))
 
 
-def horizon_noise(horizon: Column, seed: int, *parts: Column, first: int = 7, last: int = 14) -> Column:
+def horizon_noise(horizon: Column, seed: int, *parts: Column, first: int = 7) -> Column:
     """Forecast-error stand-in: one more draw is added at every horizon from ``first`` on.
 
     The sum at horizon ``j`` has variance ``j - first + 1``.
     """
-    draws = [
-        F.when(horizon >= j, standard_normal(seed, F.lit(j), *parts)).otherwise(0.0)
-        for j in range(first, last + 1)
-    ]
-    total = F.lit(0.0)
-    for draw in draws:
-        total = total + draw
-    return total
+    steps = F.sequence(F.lit(first), F.greatest(horizon, F.lit(first)))
+    total = F.aggregate(steps, F.lit(0.0), lambda acc, j: acc + standard_normal(seed, j, *parts))
+    return F.when(horizon >= first, total).otherwise(0.0)

@@ -7,17 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.readings import dedup_first
+
 
 def join_daily(df: DataFrame, daily: DataFrame, on: Sequence[str] = ("date",), how: str = "inner") -> DataFrame:
     """Attach one daily row to every row of its date.
 
-    A table keyed by ``date`` alone has one row per calendar day (366 per year of
-    data, checked by the caller through ``dedup_first`` or an aggregate), so it is
-    broadcast.  A table keyed by series as well grows with the data: Spark picks
-    the join from its size.
+    A table keyed by ``date`` alone is first brought to one row per date (repeated
+    dates keep their smallest row), so it holds at most 366 rows per calendar year
+    and can be broadcast.  A table keyed by series as well grows with the data:
+    Spark picks the join from its size.
     """
-    side = F.broadcast(daily) if list(on) == ["date"] else daily
-    return df.join(side, list(on), how)
+    if list(on) == ["date"]:
+        order = [c for c in daily.columns if c != "date"]
+        return df.join(F.broadcast(dedup_first(daily, ["date"], order)), "date", how)
+    return df.join(daily, list(on), how)
 
 
 def row_positions(df: DataFrame, keys: Sequence[str], date: str, order: Sequence[str], out: str = "position") -> DataFrame:

@@ -25,9 +25,7 @@ def add_calendar(df: DataFrame, date: str = "date") -> DataFrame:
 
 def add_dummies(df: DataFrame) -> DataFrame:
     """``month_1..12`` and ``weekday_0..6``, whatever values are present."""
-    return df.withColumns(
-        {**one_hot(F.col("month"), "month", range(1, 13)), **one_hot(F.col("weekday"), "weekday", range(7))}
-    )
+    return df.withColumns({**one_hot("month", range(1, 13)), **one_hot("weekday", range(7))})
 
 
 def holiday_dimension(years: DataFrame) -> DataFrame:

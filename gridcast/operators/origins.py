@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.operators.profiles import by_date, days_needed, history, hours_before
@@ -28,11 +28,11 @@ OFFSET = 15
 STAT_HOURS = (24, 48)
 
 
-def _trailing(past: Column, offset: int, hours: int) -> Column:
+def _trailing(past: str, offset: int, hours: int) -> str:
     """The last ``hours`` values up to the origin; null unless all are known."""
-    frame = F.slice(past, -(24 + offset + hours - 1), hours)
-    full = (F.size(frame) == hours) & F.forall(frame, lambda x: x.isNotNull())
-    return F.when(full, frame)
+    frame = f"slice({past}, -{24 + offset + hours - 1}, {hours})"
+    full = f"size({frame}) = {hours} AND forall({frame}, x -> x IS NOT NULL)"
+    return f"CASE WHEN {full} THEN {frame} END"
 
 
 def add_origin_lags(
@@ -49,15 +49,12 @@ def add_origin_lags(
     """
     reach = offset + max([*lags, *[n - 1 for n in stats]])
     wide = profiles.withColumn("_past", history(column, keys, days_needed(reach)))
-    past = F.col("_past")
-    out = {f"lag{i}": hours_before(past, offset + i) for i in lags}
+    wide = wide.selectExpr("*", *[f"{_trailing('_past', offset, n)} AS _last{n}" for n in stats])
+    out = [f"{hours_before('_past', offset + i)} AS lag{i}" for i in lags]
     for n in stats:
-        wide = wide.withColumn(f"_last{n}", _trailing(past, offset, n))
-        frame = F.col(f"_last{n}")
-        out[f"min_{n}h"] = F.array_min(frame)
-        out[f"max_{n}h"] = F.array_max(frame)
-        out[f"mean_{n}h"] = F.aggregate(frame, F.lit(0.0), lambda acc, x: acc + x) / n
-    return wide.withColumns(out).drop("_past", *[f"_last{n}" for n in stats])
+        total = f"aggregate(_last{n}, 0D, (acc, x) -> acc + x)"
+        out += [f"array_min(_last{n}) AS min_{n}h", f"array_max(_last{n}) AS max_{n}h", f"{total} / {n} AS mean_{n}h"]
+    return wide.selectExpr(*[f"`{c}`" for c in profiles.columns], *out)
 
 
 def spread_horizons(

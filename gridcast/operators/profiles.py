@@ -27,20 +27,19 @@ def day_profiles(
 ) -> DataFrame:
     """One row per key and date with, for each value, its 24 hourly totals (or means).
 
-    Hours without readings are null.
+    Hours without readings are null; readings without a key or date belong to no series.
     """
     date = F.col(date) if isinstance(date, str) else date
     hour = F.col(hour) if isinstance(hour, str) else hour
-    combine = {"sum": F.sum, "avg": F.avg, "max": F.max, "min": F.min}[how]
+    if how not in ("sum", "avg", "min", "max"):
+        raise ValueError(f"how must be 'sum', 'avg', 'min' or 'max', not {how!r}")
     base = df.select(*keys, date.alias("date"), hour.cast("int").alias("_h"),
                      *[v.cast("double").alias(f"_{n}") for n, v in values.items()])
-    slots = [
-        combine(F.when(F.col("_h") == h, F.col(f"_{n}"))).alias(f"_{n}_{h}")
-        for n in values for h in HOURS
-    ]
-    wide = base.groupBy(*keys, "date").agg(*slots)
-    arrays = [F.array(*[F.col(f"_{n}_{h}") for h in HOURS]).alias(n) for n in values]
-    return wide.select(*keys, "date", *arrays)
+    # stated here, so that every later join finds the same scan and reuses its shuffle
+    for c in (*keys, "date"):
+        base = base.filter(F.col(c).isNotNull())
+    slots = {n: ", ".join(f"{how}(CASE WHEN _h = {h} THEN `_{n}` END)" for h in HOURS) for n in values}
+    return base.groupBy(*keys, "date").agg(*[F.expr(f"array({s})").alias(n) for n, s in slots.items()])
 
 
 def by_date(keys: Sequence[str]):
@@ -62,51 +61,44 @@ def fill_days(
     null (``null``).  Each present day carries the missing days that follow it,
     so there is no skeleton table and no join.
     """
+    if fill not in ("zero", "null", "ffill"):
+        raise ValueError(f"fill must be 'zero', 'null' or 'ffill', not {fill!r}")
     w = by_date(keys)
-    first = F.lag("date").over(w).isNull()
-    follow = F.lead("date").over(w)
-    begin = F.col("date") if start is None else F.when(F.col("_first"), F.least(start, "date")).otherwise(F.col("date"))
-    stop = F.coalesce(F.date_sub("_follow", 1), F.col("date") if end is None else F.greatest(end, "date"))
-    df = profiles.withColumn("_first", first).withColumn("_follow", follow)
-    empty = F.array(*[F.lit(None).cast("double") for _ in HOURS])
+    edges = {"_first": F.lag("date").over(w).isNull(), "_follow": F.lead("date").over(w)}
     if fill == "ffill":
         for c in columns:
-            known = F.filter(F.col(c), lambda x: x.isNotNull())
-            df = df.withColumn(f"_own_{c}", F.try_element_at(known, F.lit(-1)))
-            df = df.withColumn(f"_carry_{c}", F.last(f"_own_{c}", ignorenulls=True).over(
-                w.rowsBetween(Window.unboundedPreceding, -1)))
-    df = df.withColumns({"_begin": begin, "_stop": stop})
-    df = df.withColumn("_day", F.explode(F.sequence("_begin", "_stop")))
-    own = F.col("_day") == F.col("date")
+            known = F.expr(f"try_element_at(filter(`{c}`, x -> x IS NOT NULL), -1)")
+            edges[f"_own_{c}"] = known
+            edges[f"_carry_{c}"] = F.last(known, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begin = F.col("date") if start is None else F.when(F.col("_first"), F.least(start, "date")).otherwise(F.col("date"))
+    stop = F.coalesce(F.date_sub("_follow", 1), F.col("date") if end is None else F.greatest(end, "date"))
+    spans = profiles.withColumns(edges).withColumns({"_begin": begin, "_stop": stop})
+    days = spans.withColumn("_day", F.explode(F.sequence("_begin", "_stop")))
+
+    empty = "array_repeat(CAST(NULL AS DOUBLE), 24)"
 
     def filled(c):
-        slots = F.when(own, F.col(c)).otherwise(empty)
+        slots = f"CASE WHEN _day = date THEN `{c}` ELSE {empty} END"
         if fill == "null":
             return slots
         if fill == "zero":
-            return F.transform(slots, lambda x: F.coalesce(x, F.lit(0.0)))
-        if fill == "ffill":
-            before = F.when(F.col("_day") > F.col("date"), F.coalesce(f"_own_{c}", f"_carry_{c}")).otherwise(
-                F.when(own, F.col(f"_carry_{c}")))
-            seen = F.aggregate(
-                slots,
-                F.array(before),
-                lambda acc, x: F.concat(acc, F.array(F.coalesce(x, F.element_at(acc, -1)))),
-            )
-            return F.slice(seen, 2, 24)
-        raise ValueError(f"fill must be 'zero', 'null' or 'ffill', not {fill!r}")
+            return f"CASE WHEN _day = date THEN transform(`{c}`, x -> coalesce(x, 0D)) ELSE array_repeat(0D, 24) END"
+        before = f"""CASE WHEN _day > date THEN coalesce(`_own_{c}`, `_carry_{c}`)
+                          WHEN _day = date THEN `_carry_{c}` END"""
+        seen = f"""aggregate({slots}, array({before}),
+                             (acc, x) -> concat(acc, array(coalesce(x, element_at(acc, -1)))))"""
+        return f"slice({seen}, 2, 24)"
 
-    rest = [c for c in profiles.columns if c not in (*keys, "date", *columns)]
-    return df.select(*keys, F.col("_day").alias("date"), *[filled(c).alias(c) for c in columns], *rest)
+    rest = [f"`{c}`" for c in profiles.columns if c not in (*keys, "date", *columns)]
+    names = [f"`{k}`" for k in keys]
+    return days.selectExpr(*names, "_day AS date", *[f"{filled(c)} AS `{c}`" for c in columns], *rest)
 
 
 def explode_hours(profiles: DataFrame, columns: Sequence[str] = ("load",)) -> DataFrame:
     """Profiles to a panel: one row per hour, array columns become scalars."""
-    rest = [c for c in profiles.columns if c not in columns]
-    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")
-    return profiles.select("*", hours).select(
-        *rest, "hour", *[F.get(F.col(c), F.col("hour")).alias(c) for c in columns]
-    )
+    rest = [f"`{c}`" for c in profiles.columns if c not in columns]
+    hours = profiles.selectExpr("*", "explode(sequence(0, 23)) AS hour")
+    return hours.selectExpr(*rest, "hour", *[f"get(`{c}`, hour) AS `{c}`" for c in columns])
 
 
 def hourly_grid(
@@ -134,10 +126,12 @@ def history(column: str, keys: Sequence[str], days: int) -> Column:
     return F.flatten(F.collect_list(column).over(by_date(keys).rowsBetween(-days, 0)))
 
 
-def hours_before(past: Column, n: Column | int) -> Column:
-    """Value ``n`` hours before 00:00 of the current day (negative ``n``: hours after)."""
-    n = F.lit(n) if isinstance(n, int) else n
-    return F.try_element_at(past, -(n + 24).cast("int"))
+def hours_before(past: str, n: int | str) -> str:
+    """SQL text of the value ``n`` hours before 00:00 of the current day (negative: after).
+
+    ``n`` is a number or an SQL expression; ``past`` a ``history`` column.
+    """
+    return f"try_element_at({past}, -({n} + 24))"
 
 
 def days_needed(hours: int) -> int:
@@ -147,14 +141,14 @@ def days_needed(hours: int) -> int:
 # -- daily statistics --------------------------------------------------------
 
 
-def profile_stats(column: str, prefix: str) -> dict[str, Column]:
-    """Mean, max and min of a profile's non-null values."""
-    known = F.filter(F.col(column), lambda x: x.isNotNull())
-    total = F.aggregate(known, F.lit(0.0), lambda acc, x: acc + x)
+def array_stats(values: str, prefix: str, suffix: str = "") -> dict[str, Column]:
+    """Mean, max and min of the non-null elements of an array (an SQL expression)."""
+    known = f"filter({values}, x -> x IS NOT NULL)"
+    total = f"aggregate({known}, 0D, (acc, x) -> acc + x)"
     return {
-        f"{prefix}_mean": F.when(F.size(known) > 0, total / F.size(known)),
-        f"{prefix}_max": F.array_max(known),
-        f"{prefix}_min": F.array_min(known),
+        f"{prefix}_mean{suffix}": F.expr(f"try_divide({total}, size({known}))"),
+        f"{prefix}_max{suffix}": F.expr(f"array_max({known})"),
+        f"{prefix}_min{suffix}": F.expr(f"array_min({known})"),
     }
 
 

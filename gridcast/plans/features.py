@@ -13,27 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.clock import hour_number
+from gridcast.functions.clock import day_number, hour_number
 from gridcast.functions.noise import horizon_noise
 from gridcast.operators.align import join_daily
-from gridcast.operators.daytypes import add_bridge_days, add_calendar, add_dummies, off_work_probability
+from gridcast.operators.daytypes import FOUR_YEARS, add_bridge_days, add_calendar, add_dummies, off_work_probability
+from gridcast.operators.lags import HaloWindow
 from gridcast.operators.origins import LOAD_LAGS, OFFSET, STAT_HOURS, add_origin_lags, spread_horizons
-from gridcast.operators.profiles import days_needed, explode_hours, history, hours_before
+from gridcast.operators.profiles import array_stats, days_needed, explode_hours, history, hours_before
 
 # Temperature lags in hours before the target hour.
 DAY_AHEAD_TEMPERATURE_LAGS = (3, 6, 9, 12, 15, 18, 21, 24, 48, 96, 120)
 MULTI_DAY_TEMPERATURE_LAGS = (3, 6, 9, 12, 15, 18, 21, 48, 51, 96, 99)
 
 
-def _day_stats(past: Column, days: Sequence[int]) -> dict[str, Column]:
+def _day_stats(past: str, days: Sequence[int]) -> dict[str, Column]:
     """Mean, max and min of the temperature of whole earlier days."""
     out = {}
     for k in days:
-        hours = F.filter(F.slice(past, -24 * (k + 1), 24), lambda x: x.isNotNull())
-        total = F.aggregate(hours, F.lit(0.0), lambda acc, x: acc + x)
-        out[f"temperature_mean_d{k}"] = F.when(F.size(hours) > 0, total / F.size(hours))
-        out[f"temperature_max_d{k}"] = F.array_max(hours)
-        out[f"temperature_min_d{k}"] = F.array_min(hours)
+        out |= array_stats(f"slice({past}, -{24 * (k + 1)}, 24)", "temperature", f"_d{k}")
     return out
 
 
@@ -46,12 +43,11 @@ def _noised(past: Column, keys: Sequence[str], seed: int) -> Column:
     return F.when(F.col("horizon") < 7, past).otherwise(noisy)
 
 
-def add_weather(
-    days: DataFrame, lags: Sequence[int], stats_days: Sequence[int], past: str = "_weather"
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Day statistics as columns, and the hourly lag expressions to apply after the hours are exploded."""
-    wide = days.withColumns(_day_stats(F.col(past), stats_days)) if stats_days else days
-    return wide, {f"temperature_lag{k}": hours_before(F.col(past), F.lit(k) - F.col("hour")) for k in lags}
+def weather_by_date(temperature: DataFrame, reach: int) -> DataFrame:
+    """``_weather``: the temperatures of the ``reach`` days before each date and of the date itself."""
+    halo = HaloWindow([], day_number(F.col("date")), FOUR_YEARS, before=reach)
+    past = {"_weather": lambda w: F.flatten(F.collect_list("temperature").over(w.rowsBetween(-reach, 0)))}
+    return halo.select(temperature, past).drop("temperature")
 
 
 def hourly_features(
@@ -83,29 +79,33 @@ def hourly_features(
     """
     keys = list(keys)
     days = load
-    if temperature is not None:
-        shared = [*keys, "date"] if set(keys) <= set(temperature.columns) else ["date"]
-        days = join_daily(days, temperature, shared, "left")
-        empty = F.array(*[F.lit(None).cast("double")] * 24)
-        days = days.withColumn("temperature", F.coalesce("temperature", empty))
-        reach = max([days_needed(k) for k in temperature_lags] + list(temperature_days) + [0])
+    target = ["load"]
+    shared = temperature is not None and not set(keys) <= set(temperature.columns)
+    reach = max([days_needed(k) for k in temperature_lags] + list(temperature_days) + [0])
+    if temperature is not None and not shared:
+        # weather of each series: its history rides along with the load
+        days = days.join(temperature, [*keys, "date"], "left")
+        days = days.withColumn("temperature", F.expr("coalesce(temperature, array_repeat(CAST(NULL AS DOUBLE), 24))"))
         days = days.withColumn("_weather", history("temperature", keys, reach)).drop("temperature")
-    if lags:
+        target.append("_weather")
+    if lags or stats:
         days = add_origin_lags(days, keys, "load", lags, offset, stats)
-    target = ["load", "_weather"] if temperature is not None else ["load"]
     days = spread_horizons(days, keys, target, horizons)
+    if shared:
+        # one weather for all series: a small table by date, attached to the target day
+        days = join_daily(days, weather_by_date(temperature, reach), ["date"], "left")
     if temperature is not None:
         if noise_seed is not None:
             days = days.withColumn("_weather", _noised(F.col("_weather"), keys, noise_seed))
-        days, lag_columns = add_weather(days, temperature_lags, temperature_days)
+        days = days.withColumns(_day_stats("_weather", temperature_days))
     if daily is not None:
         days = join_daily(days, daily, ["date"], "left")
-    days = add_calendar(days)
-    rows = explode_hours(days)
+    rows = explode_hours(add_calendar(days))
     if temperature is not None:
+        weather = {f"temperature_lag{k}": hours_before("_weather", f"{k} - hour") for k in temperature_lags}
         if same_hour_temperature:
-            rows = rows.withColumn("temperature", hours_before(F.col("_weather"), -F.col("hour")))
-        rows = rows.withColumns(lag_columns).drop("_weather")
+            weather["temperature"] = hours_before("_weather", "-hour")
+        rows = rows.selectExpr("*", *[f"{v} AS {n}" for n, v in weather.items()]).drop("_weather")
     if dummies:
         rows = add_dummies(rows)
     return rows.na.drop("any", subset=[c for c in rows.columns if not (online and c == "load")])

@@ -80,13 +80,13 @@ def forecast_long_term(
 
 def backtest(
     df: DataFrame, keys: Sequence[str], x: Sequence[str], by: Sequence[str] = (), y: str = "load",
-    shift: float = 0.0,
+    shift: float = 0.0, min_rows: int = 0,
 ) -> DataFrame:
     """Walk-forward test: models renewed on the first of each month from all earlier rows,
     every day scored with the latest one."""
     groups = [*keys, *by]
     ready = df.withColumn("_target", _target(y, shift))
-    model = fit_folds(ready, groups, x, "_target")
+    model = fit_folds(ready, groups, x, "_target", min_rows=min_rows)
     rows = df.withColumn("fold", F.trunc("date", "month"))
     return predict_load(rows, model, [*groups, "fold"], x, shift).filter(F.col("prediction").isNotNull())
 

@@ -258,8 +258,11 @@ def daily_dimension_join(spark, folder):
     "temperature_profile",
     f"""WITH {SHIP_DAYS_SQL}, hrs AS (SELECT unnest(generate_series(0, 23)) AS h)
 SELECT CAST(d AS VARCHAR) AS date, CAST(h AS INTEGER) AS hour,
-       round(temperature - 4.750991 + h * 0.434547 - 0.007320 * h * h - 0.000415 * h * h * h + 0.354375 * month(d)
-             + 0.500070 * sun_down - 0.511187 * sun_rise - 0.310402 * sun_last - 0.010265 * dayofyear(d), 6) AS temperature
+       round(temperature + CAST(-4.750991 AS DOUBLE) + h * CAST(0.434547 AS DOUBLE)
+             + h ** 2 * CAST(-0.007320 AS DOUBLE) + h ** 3 * CAST(-0.000415 AS DOUBLE)
+             + month(d) * CAST(0.354375 AS DOUBLE) + sun_down * CAST(0.500070 AS DOUBLE)
+             + sun_rise * CAST(-0.511187 AS DOUBLE) + sun_last * CAST(-0.310402 AS DOUBLE)
+             + dayofyear(d) * CAST(-0.010265 AS DOUBLE), 7) AS temperature
 FROM ships CROSS JOIN hrs""",
 )
 def hourly_temperature(spark, folder):
@@ -269,7 +272,7 @@ def hourly_temperature(spark, folder):
     c = F.col
     value = temperature_profile(c("temperature"), c("hour"), c("month"), c("sun_down"), c("sun_rise"),
                                 c("sun_last"), c("day_of_year"))
-    return rows.select(iso("date").alias("date"), "hour", F.round(value, 6).alias("temperature"))
+    return rows.select(iso("date").alias("date"), "hour", F.round(value, 7).alias("temperature"))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.noise import horizon_noise
 from gridcast.operators.lags import add_lags
 from gridcast.operators.origins import LOAD_LAGS, OFFSET, add_origin_lags, spread_horizons
-from gridcast.operators.profiles import explode_hours, lag_days, profile_stats
+from gridcast.operators.profiles import array_stats, explode_hours, lag_days
 from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.smooth import smooth_savgol
 from gridcast.plans.features import DAY_AHEAD_TEMPERATURE_LAGS, MULTI_DAY_TEMPERATURE_LAGS, hourly_features
@@ -72,7 +72,7 @@ FROM temps t JOIN lagged l ON l.d = t.d""",
 def daily_lags(spark, folder):
     """Day statistics of the one and two days before; same-day values dropped."""
     days = temperature_profiles(spark, folder).withColumn("site", F.lit(0))
-    days = days.withColumns(profile_stats("temperature", "temperature"))
+    days = days.withColumns(array_stats("temperature", "temperature"))
     names = ["temperature_mean", "temperature_max", "temperature_min"]
     lagged = lag_days(days, ["site"], names, [1, 2]).drop(*names, "site")
     hours = explode_hours(lagged, ("temperature",)).drop("temperature")
@@ -95,8 +95,8 @@ FROM grid g JOIN wide w ON w.series_id = g.series_id AND w.midnight = CAST(g.d A
 
 def _origin_lags(spark, folder, key):
     days = add_origin_lags(load_profiles(spark, folder, key), ["series_id"], stats=())
-    out = explode_hours(days)
-    return rounded(out, 4, "load", *[f"lag{i}" for i in LOAD_LAGS]).withColumn("date", iso("date"))
+    days = rounded(days, 4, *[f"lag{i}" for i in LOAD_LAGS]).withColumn("date", iso("date"))
+    return rounded(explode_hours(days), 4, "load")
 
 
 @query("origin_lags", _origin_sql("event_type"))

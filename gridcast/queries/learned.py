@@ -17,11 +17,11 @@ from gridcast.operators.splits import split_day
 from gridcast.plans.features import hourly_features
 from gridcast.queries.registry import load_profiles, query, temperature_profiles
 from gridcast.session import stage, staging_root
-from gridcast.sources.store import load_model, save_models
+from gridcast.sources.store import load_models, save_models
 
 CUT = "2024-01-25"
 FEATURES = ("lag0", "lag24", "lag48", "mean_24h", "max_24h", "temperature_lag3", "temperature_mean_d1", "weekday")
-SMALL = dict(maxIter=3, maxDepth=3)
+SMALL = dict(maxIter=2, maxDepth=2)
 
 
 def _features(spark, folder):
@@ -46,7 +46,7 @@ def gbt_importance(spark, folder):
     models = fit_hourly_gbt(train, FEATURES, "load", kind="climate", validation=held_out, **SMALL)
     path = f"{staging_root(spark)}/models-{spark.sparkContext.applicationId}"
     save_models(models, path)
-    loaded = {hour: load_model(GBTRegressionModel, path, hour) for hour in models}
+    loaded = load_models(GBTRegressionModel, path, models)
     shares = importances(train, loaded, FEATURES)
     return shares.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy("importance", "feature")
 

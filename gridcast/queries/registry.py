@@ -33,7 +33,7 @@ def iso(column: Column | str) -> Column:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.selectExpr(*[f"round(`{c}`, {digits}) AS `{c}`" if c in columns else f"`{c}`" for c in df.columns])
 
 
 # -- events: hourly load per event type (or user), temperature from props.k ---

@@ -114,7 +114,7 @@ SELECT series_id, h AS hour, n, round(c1, 5) AS coef_warm, round(c2, 5) AS coef_
 def two_regressor_models(spark, folder):
     """Two regressors (temperature and its square) per series and hour."""
     panel = hourly_features(load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder),
-                            lags=(), temperature_lags=(), temperature_days=(),
+                            lags=(), stats=(), temperature_lags=(), temperature_days=(),
                             same_hour_temperature=True, dummies=False)
     panel = panel.select("series_id", "hour", F.ln(F.col("load") + 1).alias("y"), F.col("temperature").alias("warm"),
                          (F.col("temperature") * F.col("temperature")).alias("warm2"))
@@ -330,7 +330,7 @@ cf AS (SELECT f.series_id, f.d, f.h, load,
 
 def _climate(spark, folder):
     features = hourly_features(load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder),
-                               lags=(), temperature_lags=(24,), temperature_days=(), same_hour_temperature=True,
+                               lags=(), stats=(), temperature_lags=(24,), temperature_days=(), same_hour_temperature=True,
                                dummies=False)
     columns = ["temperature", "temperature_lag24"]
     return split_off_weather(features, ["series_id"], "2024-01-16", "2024-01-31", columns, shift=1.0)
@@ -364,7 +364,8 @@ def climate_share(spark, folder):
 _BACKTEST_SQL = f"""{ORDER_DAYS_SQL},
 x AS (SELECT series_id, d, load, ln(load) AS y, CAST(dayofyear(d) AS DOUBLE) AS doy FROM days),
 folds AS (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS fold FROM x),
-model AS (SELECT series_id, fold, coalesce(regr_slope(y, doy), 0) AS b, coalesce(regr_intercept(y, doy), avg(y)) AS a
+model AS (SELECT series_id, fold, CASE WHEN count(*) >= 12 THEN coalesce(regr_slope(y, doy), 0) ELSE 0 END AS b,
+                 CASE WHEN count(*) >= 12 THEN coalesce(regr_intercept(y, doy), avg(y)) ELSE avg(y) END AS a
           FROM x JOIN folds ON x.d < folds.fold GROUP BY 1, 2),
 pred AS (SELECT x.series_id, d, load, fold, exp(a + b * doy) AS p
          FROM x JOIN model m ON m.series_id = x.series_id AND m.fold = CAST(date_trunc('month', d) AS DATE))"""
@@ -372,7 +373,7 @@ pred AS (SELECT x.series_id, d, load, fold, exp(a + b * doy) AS p
 
 def _backtest(spark, folder):
     days = order_days(spark, folder).withColumn("doy", F.dayofyear("date").cast("double"))
-    return backtest(days, ["series_id"], ["doy"])
+    return backtest(days, ["series_id"], ["doy"], min_rows=12)
 
 
 @query(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", name: str = "gridcast") -> SparkSession:
@@ -46,6 +47,10 @@ def stage(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/stage-{uuid.uuid4().hex}"
-    writer = df.repartition(*by) if by else df
-    writer.write.partitionBy(*by).parquet(path)
+    spread(df, by).write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Gather rows by ``by`` for writing; adaptive execution splits large values over many tasks."""
+    return df.hint("rebalance", *[F.col(c) for c in by]) if by else df

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.util import MLReadable
 from pyspark.sql import DataFrame, SparkSession
 
+from gridcast.session import spread
+
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Parquet, one folder per value of ``by``.
 
-    Rows are first gathered by ``by`` and date, so a folder gets few files and a
-    large value of ``by`` is still written by many tasks.
+    Small values get one file, a large one is written by many tasks.
     """
-    spread = [*by, *[c for c in ("date",) if c in df.columns and c not in by]]
-    ready = df.repartition(*spread) if by else df
-    ready.write.mode(mode).partitionBy(*by).parquet(path)
+    spread(df, tuple(by)).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -29,14 +29,23 @@ def read_prepared_csv(spark: SparkSession, path: str, schema: str, separator: st
     return spark.read.csv(path, schema=schema, header=True, sep=separator)
 
 
-def save_models(models: dict, path: str) -> None:
-    """One folder per model key, e.g. ``hour=7`` or ``horizon=2/hour=7``."""
-    for key, model in models.items():
+def save_models(models: dict, path: str, parallel: int = 8) -> None:
+    """One folder per model key: ``hour=7`` or ``horizon=2/hour=7``."""
+
+    def save(item):
+        key, model = item
         model.write().overwrite().save(f"{path}/{_folder(key)}")
 
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(save, models.items()))
+
 
-def load_model(reader: type[MLReadable], path: str, key):
-    return reader.load(f"{path}/{_folder(key)}")
+def load_models(reader: type[MLReadable], path: str, keys: Iterable, parallel: int = 8) -> dict:
+    """The models of ``keys``, read back."""
+    keys = list(keys)
+    with ThreadPoolExecutor(parallel) as pool:
+        loaded = pool.map(lambda key: reader.load(f"{path}/{_folder(key)}"), keys)
+        return dict(zip(keys, loaded, strict=True))
 
 
 def _folder(key) -> str:

@@ -1,0 +1,168 @@
+import calendar
+import datetime as dt
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridcast.functions.clock import (
+    feed_stamp,
+    hour_number,
+    number_to_date,
+    number_to_hour,
+    parse_clock,
+    parse_day,
+    parse_hour,
+)
+from gridcast.functions.dates import easter_sunday, is_holiday, is_leap_year, weekday_name
+from gridcast.functions.noise import horizon_noise, standard_normal
+from gridcast.operators.daytypes import (
+    add_bridge_days,
+    add_calendar,
+    add_dummies,
+    flag_holidays,
+    off_work_probability,
+)
+
+
+@pytest.mark.parametrize("text,hour", [("00:00", 0.0), ("10:30", 10.5), ("23:00", 23.0), ("24:00", 0.0)])
+def test_parse_hour(spark, text, hour):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_hour(F.col("t"))).first()[0] == hour
+
+
+def test_midnight_stays_or_moves(spark):
+    df = spark.createDataFrame([(dt.date(2014, 1, 1), "24:00")], "d date, t string")
+    row = df.select(parse_day(F.col("d"), F.col("t")), parse_day(F.col("d"), F.col("t"), "next_day")).first()
+    assert row[0] == dt.date(2014, 1, 1) and row[1] == dt.date(2014, 1, 2)
+
+
+def test_clock_text_is_not_decimal_unless_asked(spark):
+    df = spark.createDataFrame([("07:45",)], "t string")
+    row = df.select(parse_clock(F.col("t")), parse_clock(F.col("t"), decimal=True)).first()
+    assert tuple(row) == (7.45, 7.75)
+
+
+def test_feed_stamp(spark):
+    df = spark.createDataFrame([(dt.date(2014, 3, 9), 7.5)], "d date, h double")
+    assert df.select(feed_stamp(F.col("d"), F.col("h"))).first()[0] == "09/03/2014  07:30"
+
+
+def test_hour_axis_round_trip_in_any_zone(spark):
+    df = spark.createDataFrame([(dt.date(1969, 12, 31), 23), (dt.date(2024, 3, 31), 2)], "d date, h int")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        n = hour_number(F.col("d"), F.col("h"))
+        rows = df.select("d", "h", number_to_date(n).alias("d2"), number_to_hour(n).alias("h2")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert all(r.d == r.d2 and r.h == r.h2 for r in rows)
+
+
+def _easter(year):
+    """Another published method (Gauss), for comparison."""
+    a, b, c = year % 19, year % 4, year % 7
+    k = year // 100
+    m = (15 - (13 + 8 * k) // 25 + k - k // 4) % 30
+    n = (4 + k - k // 4) % 7
+    d = (19 * a + m) % 30
+    e = (2 * b + 4 * c + 6 * d + n) % 7
+    if d == 29 and e == 6:
+        return dt.date(year, 4, 19)
+    if d == 28 and e == 6 and (11 * m + 11) % 30 < 19:
+        return dt.date(year, 4, 18)
+    return dt.date(year, 3, 22) + dt.timedelta(days=d + e)
+
+
+def test_easter_over_six_centuries(spark):
+    years = spark.range(1600, 2200).select(F.col("id").cast("int").alias("y"))
+    rows = years.select("y", easter_sunday(F.col("y")).alias("e")).collect()
+    assert [r.e for r in rows] == [_easter(r.y) for r in rows]
+
+
+def test_known_movable_holidays(spark):
+    days = ["2015-04-05", "2015-05-14", "2015-05-25", "2016-03-27", "2016-05-05", "2016-05-16", "2015-01-27",
+            "2015-11-19", "2015-12-08", "2015-04-06"]
+    df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "date date")
+    flags = [r.holiday for r in flag_holidays(df).orderBy("date").collect()]
+    joined = [r.holiday for r in flag_holidays(df, years=(2014, 2017)).orderBy("date").collect()]
+    by_date = dict(zip(sorted(days), flags, strict=True))
+    assert by_date.pop("2015-04-06") == 0 and all(by_date.values())
+    assert flags == joined
+    assert df.select(F.sum(is_holiday(F.col("date")).cast("int"))).first()[0] == 9
+
+
+def test_leap_years_and_names(spark):
+    df = spark.range(1895, 2105).select(F.col("id").cast("int").alias("y"))
+    rows = df.select("y", is_leap_year(F.col("y")).alias("leap")).collect()
+    assert all(r.leap == calendar.isleap(r.y) for r in rows)
+    day = spark.createDataFrame([(dt.date(2015, 1, 1),)], "date date")
+    assert day.select(weekday_name(F.col("date"))).first()[0] == "Jeudi"
+    wide = add_dummies(add_calendar(day)).first().asDict()
+    assert wide["weekday"] == 3 and wide["weekday_3"] == 1 and wide["month_1"] == 1
+    assert sum(v for k, v in wide.items() if k.startswith(("month_", "weekday_"))) == 2
+
+
+OFF_WORK = [  # weekday, christmas, august, bank holiday, school -> probability
+    (2, 0, 0, 0, 0, 0),
+    (5, 0, 0, 0, 0, 80),
+    (6, 0, 0, 0, 0, 100),
+    (6, 30, 0, 0, 0, 30),
+    (2, 30, 40, 0, 0, 40),
+    (2, 30, 40, 1, 0, 100),
+    (2, 30, 40, 1, 60, 60),
+]
+
+
+def test_off_work_rule_order(spark):
+    df = spark.createDataFrame([tuple(map(float, r)) for r in OFF_WORK], "w double, n double, a double, f double, v double, want double")
+    c = F.col
+    rows = df.select("want", off_work_probability(c("w"), c("n"), c("a"), c("f"), c("v")).alias("got")).collect()
+    assert all(r.want == r.got for r in rows)
+
+
+BRIDGES = [  # prev, self, next -> as coded, sandwich
+    (0, 0, 0, 0, 0), (1, 0, 0, 1, 0), (0, 1, 0, 1, 0), (0, 0, 1, 1, 0),
+    (1, 0, 1, 0, 1), (1, 1, 0, 0, 0), (0, 1, 1, 0, 0), (1, 1, 1, 0, 0),
+]
+
+
+def test_bridge_truth_table(spark):
+    rows = []
+    for s, (prev, me, nxt, _, _) in enumerate(BRIDGES):
+        rows += [(s, dt.date(2020, 1, 1 + i), off) for i, off in enumerate((prev, me, nxt))]
+    df = spark.createDataFrame(rows, "series_id int, date date, off int")
+    df = df.withColumn("p", F.lit(7.0))
+    middle = F.col("date") == F.lit("2020-01-02").cast("date")
+    coded_all = add_bridge_days(df, F.col("off") > 0, ["series_id"], probability="p")
+    coded = coded_all.filter(middle).orderBy("series_id").collect()
+    sandwich = add_bridge_days(df, F.col("off") > 0, ["series_id"], mode="sandwich").filter(middle).orderBy("series_id")
+    assert [r.bridge for r in coded] == [b[3] for b in BRIDGES]
+    assert [r.p for r in coded] == [50.0 if b[3] else 7.0 for b in BRIDGES]
+    assert [r.bridge for r in sandwich.collect()] == [b[4] for b in BRIDGES]
+    assert coded_all.filter(~middle).agg(F.sum("bridge")).first()[0] == 0  # series ends
+
+
+def test_bridge_across_window_edges(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1999-12-01', DATE'2012-03-01')) AS date")
+    got = add_bridge_days(days, F.weekday("date") >= 5).orderBy("date").collect()
+    for r in got[1:-1]:
+        assert r.bridge == int(r.date.weekday() in (0, 4)), r.date
+
+
+def test_noise_is_reproducible_and_normal(spark):
+    df = spark.range(20000)
+    a = [r[0] for r in df.select(standard_normal(1, F.col("id"))).collect()]
+    b = [r[0] for r in df.repartition(5).sort("id").select(standard_normal(1, F.col("id"))).collect()]
+    assert a == b
+    assert abs(statistics.mean(a)) < 0.03 and abs(statistics.pstdev(a) - 1) < 0.03
+
+
+def test_noise_grows_with_the_horizon(spark):
+    df = spark.range(8000).withColumn("horizon", F.explode(F.sequence(F.lit(5), F.lit(14))))
+    noise = horizon_noise(F.col("horizon"), 3, F.col("id"))
+    rows = df.withColumn("e", noise).groupBy("horizon").agg(F.var_pop("e").alias("v")).collect()
+    for r in rows:
+        want = max(0, r.horizon - 6)
+        assert abs(r.v - want) <= 0.1 * want
