@@ -1,7 +1,7 @@
-"""Boosted trees and regularised regression, one model per hour of day.
+"""Boosted trees and regularised regression, one model per hour of day (and horizon).
 
 The estimators are Spark ML's.  Features are staged once as a table partitioned
-by hour; each hour's fit reads its own folder.  Fits of different hours are
+by the model key; each fit reads its own folder.  Fits of different keys are
 submitted together, so small ones share the cluster.
 """
 
@@ -63,79 +63,108 @@ def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(known)
 
 
-def _fit_hours(estimator: Callable[[int], object], train: DataFrame, hours: Iterable[int], parallel: int) -> dict:
-    def fit(hour):
-        rows = train.filter(F.col("hour") == hour)
-        return hour, estimator(hour).fit(rows)
+def _groups(hours: Iterable[int], horizons: Iterable[int] | None) -> list:
+    """Model keys: ``hour``, or ``(horizon, hour)``."""
+    if horizons is None:
+        return list(hours)
+    return [(j, h) for j in horizons for h in hours]
+
+
+def _by(keys: Iterable) -> tuple[str, ...]:
+    return ("horizon", "hour") if isinstance(next(iter(keys)), tuple) else ("hour",)
+
+
+def _hour(key) -> int:
+    return key[1] if isinstance(key, tuple) else key
+
+
+def _rows_of(df: DataFrame, key) -> DataFrame:
+    if isinstance(key, tuple):
+        return df.filter((F.col("horizon") == key[0]) & (F.col("hour") == key[1]))
+    return df.filter(F.col("hour") == key)
+
+
+def _fit_groups(estimator: Callable[[int], object], train: DataFrame, keys: list, parallel: int) -> dict:
+    def fit(key):
+        return key, estimator(_hour(key)).fit(_rows_of(train, key))
 
     with ThreadPoolExecutor(parallel) as pool:
-        return dict(pool.map(inheritable_thread_target(train.sparkSession)(fit), hours))
+        return dict(pool.map(inheritable_thread_target(train.sparkSession)(fit), keys))
 
 
 def fit_hourly_gbt(
     df: DataFrame, features: Sequence[str], y: str, kind: str = "day_ahead", hours: Iterable[int] = range(24),
-    validation: Column | None = None, parallel: int = 8, **changes,
+    horizons: Iterable[int] | None = None, validation: Column | None = None, parallel: int = 8, **changes,
 ) -> dict:
-    """One boosted model per hour on ``ln(y)``, pooled over all series.
+    """One boosted model per hour (or per horizon and hour) on ``ln(y)``, pooled over all series.
 
     ``validation`` marks the rows of the evaluation set: rounds stop when its
     error no longer improves.
     """
-    columns = [F.col("hour"), F.col("features"), F.col("label")]
-    ready = with_log_target(df, features, y)
+    keys = _groups(hours, horizons)
+    by = _by(keys)
+    columns = [F.col("features"), F.col("label")]
     if validation is not None:
         columns.append(validation.alias("held_out"))
-    train = stage(ready.select(*columns), by=("hour",))
+    train = stage(with_log_target(df, features, y).select(*by, *columns), by=by)
 
     def estimator(hour):
         gbt = GBTRegressor(**hour_settings(kind, hour, **changes))
         return gbt.setValidationIndicatorCol("held_out") if validation is not None else gbt
 
-    return _fit_hours(estimator, train, hours, parallel)
+    return _fit_groups(estimator, train, keys, parallel)
 
 
 def fit_hourly_linear(
     df: DataFrame, features: Sequence[str], y: str, hours: Iterable[int] = range(24),
-    regularisation: float = 0.0, l1_share: float = 0.0, parallel: int = 8,
+    horizons: Iterable[int] | None = None, regularisation: float = 0.0, l1_share: float = 0.0, parallel: int = 8,
 ) -> dict:
-    """One linear model per hour on ``ln(y)``; no regularisation gives plain least squares."""
-    train = stage(with_log_target(df, features, y).select("hour", "features", "label"), by=("hour",))
+    """One linear model per hour (and horizon) on ``ln(y)``; no regularisation gives plain least squares."""
+    keys = _groups(hours, horizons)
+    by = _by(keys)
+    train = stage(with_log_target(df, features, y).select(*by, "features", "label"), by=by)
 
     def estimator(hour):
         return LinearRegression(regParam=regularisation, elasticNetParam=l1_share, standardization=True)
 
-    return _fit_hours(estimator, train, hours, parallel)
+    return _fit_groups(estimator, train, keys, parallel)
 
 
 def score_hourly(df: DataFrame, models: dict, features: Sequence[str], out: str = "prediction") -> DataFrame:
-    """Score the rows of each hour with that hour's model; ``exp`` back to the load scale.
+    """Score each row with the model of its hour (and horizon); ``exp`` back to the load scale.
 
-    The rows are staged by hour first, so 24 models read 24 folders and the
+    The rows are staged first, so each model reads its own folder and the
     features are prepared once.
     """
-    ready = _vectors(stage(df, by=("hour",)).select(df.columns), features)
+    ready = _vectors(stage(df, by=_by(models)).select(df.columns), features)
     parts = [
-        model.transform(ready.filter(F.col("hour") == hour)).withColumn(out, F.exp("prediction"))
-        for hour, model in sorted(models.items())
+        model.transform(_rows_of(ready, key)).withColumn(out, F.exp("prediction"))
+        for key, model in sorted(models.items())
     ]
     return reduce(DataFrame.unionByName, parts).select(*df.columns, out)
 
 
 def importances(df: DataFrame, models: dict, features: Sequence[str]) -> DataFrame:
-    """``hour, feature, importance`` (shares that add up to 1 per hour)."""
+    """``[horizon,] hour, feature, importance`` (shares that add up to 1 per model).
+
+    The table has one row per model and feature, however large the data.
+    """
     rows = [
-        (hour, name, float(weight))
-        for hour, model in sorted(models.items())
+        (*(key if isinstance(key, tuple) else (key,)), name, float(weight))
+        for key, model in sorted(models.items())
         for name, weight in zip(features, model.featureImportances.toArray(), strict=True)
     ]
-    return df.sparkSession.createDataFrame(rows, "hour int, feature string, importance double")
+    schema = ", ".join(f"{c} int" for c in _by(models))
+    return df.sparkSession.createDataFrame(rows, f"{schema}, feature string, importance double")
 
 
 def learning_curves(df: DataFrame, models: dict, features: Sequence[str], y: str) -> DataFrame:
-    """``hour, round, loss`` of each model on ``df`` (mean squared error of ``ln(y)``)."""
-    ready = with_log_target(df, features, y)
+    """``[horizon,] hour, round, loss`` of each model on ``df`` (mean squared error of ``ln(y)``)."""
+    by = _by(models)
+    ready = stage(with_log_target(df, features, y).select(*by, "features", "label"), by=by)
     rows = []
-    for hour, model in sorted(models.items()):
-        losses = model.evaluateEachIteration(ready.filter(F.col("hour") == hour), "squared")
-        rows += [(hour, i + 1, float(v)) for i, v in enumerate(losses)]
-    return df.sparkSession.createDataFrame(rows, "hour int, round int, loss double")
+    for key, model in sorted(models.items()):
+        losses = model.evaluateEachIteration(_rows_of(ready, key), "squared")
+        rows += [(*(key if isinstance(key, tuple) else (key,)), i + 1, float(v)) for i, v in enumerate(losses)]
+    schema = ", ".join(f"{c} int" for c in by)
+    return df.sparkSession.createDataFrame(rows, f"{schema}, round int, loss double")

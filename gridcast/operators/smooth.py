@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -59,18 +58,13 @@ def smooth_savgol(
     wide = halo.select(df, columns)
 
     def fitted(row):  # value at position ``row`` of the window that starts ``row`` rows earlier
-        terms = [F.col(names[j - row]) * float(weights[row][j]) for j in range(window)]
-        return reduce(lambda a, b: a + b, terms)
+        return " + ".join(f"{names[j - row]} * {float(weights[row][j])!r}D" for j in range(window))
 
-    value = F.lit(None).cast("double")
-    case = None
+    cases = []
     for r in range(half):  # r rows before this one, or r rows after it
-        case = (F if case is None else case).when(F.col(f"_b{r + 1}"), fitted(r))
-        case = case.when(F.col(f"_a{r + 1}"), fitted(window - 1 - r))
-    value = case.otherwise(fitted(half))
-    return wide.withColumn(out, value).drop(
-        *names.values(), *[f"_b{k}" for k in range(1, half + 1)], *[f"_a{k}" for k in range(1, half + 1)]
-    )
+        cases += [f"WHEN _b{r + 1} THEN {fitted(r)}", f"WHEN _a{r + 1} THEN {fitted(window - 1 - r)}"]
+    value = f"CASE {' '.join(cases)} ELSE {fitted(half)} END"
+    return wide.selectExpr(*[f"`{c}`" for c in df.columns], f"{value} AS `{out}`")
 
 
 def temperature_profile(

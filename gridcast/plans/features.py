@@ -111,6 +111,12 @@ def hourly_features(
     return rows.na.drop("any", subset=[c for c in rows.columns if not (online and c == "load")])
 
 
+def feature_columns(df: DataFrame, keys: Sequence[str] = ("series_id",), y: str = "load") -> list[str]:
+    """The regressors of a feature table: everything but keys, time, target and the year."""
+    aside = {*keys, "issue_date", "horizon", "date", "hour", "year", y}
+    return [c for c in df.columns if c not in aside]
+
+
 def day_types(daily: DataFrame, mode: str = "as_coded") -> DataFrame:
     """Off-work probability and bridge flag of a gap-free day-type table (one row per date)."""
     c = F.col

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +24,23 @@ def local_session(cores: str = "*", name: str = "gridcast") -> SparkSession:
     )
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"gridcast-{application}-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    A machine-local folder is only used by a local session that names none.
+    Only a local session that names none gets a temporary folder.  As with
+    checkpoints, cleaning the folder is left to its owner.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="gridcast-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def stage(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

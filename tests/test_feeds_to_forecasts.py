@@ -6,8 +6,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from gridcast.operators.boosted import fit_hourly_gbt, score_hourly
 from gridcast.operators.kpi import kpis, monthly_kpis
 from gridcast.plans.forecasts import backtest, forecast_day, forecast_days, forecast_long_term, split_off_weather
+from gridcast.operators.splits import split_day
+from gridcast.plans.features import feature_columns
 from gridcast.plans.prepare import prepare_long_term, prepare_short_term, published_names
 from gridcast.sources.store import read_table, write_table
 
@@ -67,6 +70,16 @@ def test_published_column_names(spark, short_feeds):
     assert len(set(names)) == len(names) and "temperature" not in names
 
 
+def test_all_columns_feed_a_boosted_model(spark, short_feeds):
+    features = prepare_short_term(spark, short_feeds)
+    columns = feature_columns(features)
+    assert len(columns) == len(features.columns) - 7 and "year" not in columns and "lag0" in columns
+    train, test = split_day(features, "2014-03-20")
+    models = fit_hourly_gbt(train, columns, "load", hours=[7], maxIter=20, maxDepth=3, stepSize=0.2, subsamplingRate=1.0)
+    e = kpis(score_hourly(test.filter("hour = 7"), models, columns)).first()
+    assert e.n == 1 and e.mape < 0.1
+
+
 def test_bank_holiday_makes_bridges(spark, short_feeds):
     days = prepare_short_term(spark, short_feeds, kind="climate").filter("hour = 12").select("date", "bridge", "off_work")
     got = {r.date: (r.bridge, r.off_work) for r in days.collect()}

@@ -300,6 +300,16 @@ def test_boosted_models_per_hour(spark, tmp_path):
     assert curves[-1].loss < curves[0].loss
 
 
+def test_boosted_models_per_horizon_and_hour(spark, tmp_path):
+    df = warm_load(spark, days=60, series=("a",)).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    models = fit_hourly_gbt(df, ["temperature"], "load", "multi_day", hours=[6], horizons=[1, 2], maxIter=2, maxDepth=2)
+    assert sorted(models) == [(1, 6), (2, 6)]
+    save_models(models, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["horizon=1", "horizon=2"]
+    assert score_hourly(df.filter("hour = 6"), models, ["temperature"]).count() == 120
+    assert importances(df, models, ["temperature"]).count() == 2
+
+
 def test_linear_models_per_hour(spark):
     df = warm_load(spark, days=60).filter("series_id = 'a'")
     models = fit_hourly_linear(df, ["temperature"], "load", hours=[5])
