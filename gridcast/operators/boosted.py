@@ -17,6 +17,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.operators.readings import drop_incomplete
 from gridcast.session import stage
 
 # Learning rate by hour of day; hours not listed take the default.
@@ -53,13 +54,13 @@ def hour_settings(kind: str, hour: int, **changes) -> dict:
 
 def with_log_target(df: DataFrame, features: Sequence[str], y: str) -> DataFrame:
     """``features`` vector and ``label = ln(y)``; rows with nulls or ``y <= 0`` are left out."""
-    known = df.filter(F.col(y) > 0).na.drop("any", subset=list(features))
+    known = drop_incomplete(df.filter(F.col(y) > 0), features)
     vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(known)
     return vectors.withColumn("label", F.ln(y))
 
 
 def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    known = df.na.drop("any", subset=list(features))
+    known = drop_incomplete(df, features)
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(known)
 
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.readings import drop_incomplete
+
 # A regressor whose remaining variance is below this share of its own variance
 # is constant or a mix of the others; its coefficient is 0.
 TOLERANCE = 1e-10
@@ -58,7 +60,8 @@ def _target(y: str, log: bool) -> Column:
 
 def _base(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool) -> DataFrame:
     cols = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(x)]
-    return df.select(*keys, *cols, _target(y, log).alias("_y")).na.drop("any", subset=[*[f"_x{i}" for i in range(len(x))], "_y"])
+    rows = df.select(*keys, *cols, _target(y, log).alias("_y"))
+    return drop_incomplete(rows, [*[f"_x{i}" for i in range(len(x))], "_y"])
 
 
 def fit_grouped_linear(

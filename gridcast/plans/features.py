@@ -20,6 +20,7 @@ from gridcast.operators.daytypes import FOUR_YEARS, add_bridge_days, add_calenda
 from gridcast.operators.lags import HaloWindow
 from gridcast.operators.origins import LOAD_LAGS, OFFSET, STAT_HOURS, add_origin_lags, spread_horizons
 from gridcast.operators.profiles import array_stats, days_needed, explode_hours, history, hours_before
+from gridcast.operators.readings import drop_incomplete
 
 # Temperature lags in hours before the target hour.
 DAY_AHEAD_TEMPERATURE_LAGS = (3, 6, 9, 12, 15, 18, 21, 24, 48, 96, 120)
@@ -108,7 +109,7 @@ def hourly_features(
         rows = rows.selectExpr("*", *[f"{v} AS {n}" for n, v in weather.items()]).drop("_weather")
     if dummies:
         rows = add_dummies(rows)
-    return rows.na.drop("any", subset=[c for c in rows.columns if not (online and c == "load")])
+    return drop_incomplete(rows, [c for c in rows.columns if not (online and c == "load")])
 
 
 def feature_columns(df: DataFrame, keys: Sequence[str] = ("series_id",), y: str = "load") -> list[str]:

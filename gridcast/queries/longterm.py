@@ -24,12 +24,12 @@ trend AS (SELECT u.series_id, d, load, my + c1 * (u - m1) + c2 * (u * u - m2) AS
     "trend_quadratic",
     f"""WITH {_TREND_SQL.format(base=1998, before="2000-01-01")}
 SELECT series_id, CAST(d AS VARCHAR) AS date, CAST(year(d) * year(d) AS INTEGER) AS year_squared,
-       round(load, 4) AS load, round(trend, 3) AS trend FROM trend""",
+       round(load, 4) AS load, round(trend, 2) AS trend FROM trend""",
 )
 def trend_quadratic(spark, folder):
     """Quadratic trend over the years, fitted before 2000 and drawn to the end."""
     out = add_trend(order_days(spark, folder), ["series_id"], "load", "2000-01-01", base_year=1998)
-    out = rounded(rounded(out, 4, "load"), 3, "trend").withColumn("date", iso("date"))
+    out = rounded(rounded(out, 4, "load"), 2, "trend").withColumn("date", iso("date"))
     return out.select("series_id", "date", "year_squared", "load", "trend")
 
 
@@ -80,12 +80,12 @@ def _residual(spark, folder):
 @query(
     "long_term_residual",
     f"""WITH {_LONG_SQL}
-SELECT series_id, CAST(d AS VARCHAR) AS date, round(load, 4) AS load, round(trend, 3) AS trend,
-       round(p, 3) AS prediction FROM pred""",
+SELECT series_id, CAST(d AS VARCHAR) AS date, round(load, 4) AS load, round(trend, 2) AS trend,
+       round(p, 2) AS prediction FROM pred""",
 )
 def long_term_residual(spark, folder):
     """Trend plus a fit of what the trend leaves, two years ahead."""
-    out = rounded(rounded(_residual(spark, folder), 4, "load"), 3, "trend", "prediction")
+    out = rounded(rounded(_residual(spark, folder), 4, "load"), 2, "trend", "prediction")
     return out.withColumn("date", iso("date"))
 
 
@@ -99,25 +99,25 @@ m2 AS (SELECT series_id, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, covar_pop(x
        FROM train GROUP BY 1),
 lin AS (SELECT *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS c1,
                (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) AS c2 FROM m2)
-SELECT t.series_id, CAST(d AS VARCHAR) AS date, round(load, 4) AS load, round(trend, 3) AS trend,
-       round(exp(my + c1 * (dayofyear(d) - m1) + c2 * (trend - m2)), 3) AS prediction
+SELECT t.series_id, CAST(d AS VARCHAR) AS date, round(load, 4) AS load, round(trend, 2) AS trend,
+       round(exp(my + c1 * (dayofyear(d) - m1) + c2 * (trend - m2)), 2) AS prediction
 FROM trend t JOIN lin ON lin.series_id = t.series_id WHERE d >= DATE '2000-01-01' AND d < DATE '2002-01-01'""",
 )
 def long_term_forecast(spark, folder):
     """Log load from the calendar and the trend, two years ahead."""
     days = order_days(spark, folder).withColumn("doy", F.dayofyear("date").cast("double"))
     out = forecast_long_term(days, ["series_id"], "2000-01-01", ["doy"], years=2)
-    out = rounded(rounded(out, 4, "load"), 3, "trend", "prediction")
+    out = rounded(rounded(out, 4, "load"), 2, "trend", "prediction")
     return out.withColumn("date", iso("date"))
 
 
 @query(
     "long_term_kpi",
     f"""WITH {_LONG_SQL}
-SELECT count(*) AS n, round(sqrt(avg((load - p) ** 2)), 3) AS rmse, round(avg(abs(load - p) / load) * 100, 6) AS mape_percent
+SELECT count(*) AS n, round(sqrt(avg((load - p) ** 2)), 2) AS rmse, round(avg(abs(load - p) / load) * 100, 6) AS mape_percent
 FROM pred""",
 )
 def long_term_kpi(spark, folder):
     """Total errors over the whole test period, MAPE in percent."""
     out = kpis(_residual(spark, folder)).withColumn("mape_percent", F.col("mape") * 100).drop("mape")
-    return rounded(rounded(out, 3, "rmse"), 6, "mape_percent")
+    return rounded(rounded(out, 2, "rmse"), 6, "mape_percent")

@@ -74,12 +74,12 @@ def day_ahead_kpi(spark, folder):
 @query(
     "hourly_linear_forecast",
     f"""WITH {_FORECAST_SQL}
-SELECT series_id, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load, round(p, 4) AS prediction FROM pred""",
+SELECT series_id, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load, round(p, 3) AS prediction FROM pred""",
 )
 def hourly_linear_forecast(spark, folder):
     """Forecast rows with actuals."""
     forecast = forecast_day(_features(spark, folder), ["series_id"], CUT, ["level"], shift=1.0)
-    return rounded(forecast, 4, "load", "prediction").withColumn("date", iso("date"))
+    return rounded(rounded(forecast, 4, "load"), 3, "prediction").withColumn("date", iso("date"))
 
 
 @query(
@@ -143,12 +143,12 @@ def _multi_forecast(spark, folder):
     "multi_horizon_forecast",
     f"""WITH {_MULTI_SQL}
 SELECT series_id, j AS horizon, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load,
-       round(p, 4) AS prediction FROM pred""",
+       round(p, 3) AS prediction FROM pred""",
 )
 def multi_horizon_forecast(spark, folder):
     """14 days ahead, one model per series, horizon and hour, in one job."""
     out = _multi_forecast(spark, folder)
-    return rounded(out, 4, "load", "prediction").withColumn("date", iso("date"))
+    return rounded(rounded(out, 4, "load"), 3, "prediction").withColumn("date", iso("date"))
 
 
 @query(
@@ -168,7 +168,7 @@ def kpi_by_horizon(spark, folder):
 @query(
     "online_forecast",
     f"""WITH {_MULTI_SQL}
-SELECT series_id, j AS horizon, CAST(d AS VARCHAR) AS date, h AS hour, round(p, 4) AS prediction,
+SELECT series_id, j AS horizon, CAST(d AS VARCHAR) AS date, h AS hour, round(p, 3) AS prediction,
        round(CASE WHEN d < DATE '2024-01-25' THEN load END, 4) AS actual
 FROM pred""",
 )
@@ -178,7 +178,7 @@ def online_forecast(spark, folder):
     known = load_panel(spark, folder).filter(F.col("date") < F.lit("2024-01-25").cast("date"))
     known = known.withColumnRenamed("load", "actual")
     out = attach_actuals(forecast, known, ["series_id", "date", "hour"])
-    out = rounded(out, 4, "prediction", "actual").withColumn("date", iso("date"))
+    out = rounded(rounded(out, 4, "actual"), 3, "prediction").withColumn("date", iso("date"))
     return out.select("series_id", "horizon", "date", "hour", "prediction", "actual")
 
 
@@ -339,13 +339,13 @@ def _climate(spark, folder):
 @query(
     "climate_part",
     f"""WITH {_CLIMATE_SQL}
-SELECT series_id, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load, round(neutral, 4) AS neutral_load,
-       round(greatest(load - neutral, 0), 4) AS climate_part FROM cf""",
+SELECT series_id, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load, round(neutral, 3) AS neutral_load,
+       round(greatest(load - neutral, 0), 3) AS climate_part FROM cf""",
 )
 def climate(spark, folder):
     """Load due to weather over 15 days, against 16 degrees."""
     out = _climate(spark, folder)
-    return rounded(out, 4, "load", "neutral_load", "climate_part").withColumn("date", iso("date"))
+    return rounded(rounded(out, 4, "load"), 3, "neutral_load", "climate_part").withColumn("date", iso("date"))
 
 
 @query(
@@ -380,11 +380,11 @@ def _backtest(spark, folder):
     "backtest_forecast",
     f"""WITH {_BACKTEST_SQL}
 SELECT series_id, CAST(d AS VARCHAR) AS date, CAST(fold AS VARCHAR) AS fold, round(load, 4) AS load,
-       round(p, 3) AS prediction FROM pred""",
+       round(p, 2) AS prediction FROM pred""",
 )
 def backtest_forecast(spark, folder):
     """Models renewed every month from all earlier days, every day scored with the latest."""
-    out = rounded(rounded(_backtest(spark, folder), 4, "load"), 3, "prediction")
+    out = rounded(rounded(_backtest(spark, folder), 4, "load"), 2, "prediction")
     return out.select("series_id", iso("date").alias("date"), iso("fold").alias("fold"), "load", "prediction")
 
 
@@ -393,12 +393,12 @@ def backtest_forecast(spark, folder):
     f"""WITH {_BACKTEST_SQL},
 daily AS (SELECT series_id, d, sqrt(avg((load - p) ** 2)) AS r, avg(abs(load - p) / load) AS m FROM pred GROUP BY 1, 2)
 SELECT series_id, CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS month, count(*) AS days,
-       round(avg(r), 3) AS rmse, round(avg(m), 6) AS mape FROM daily GROUP BY 1, 2""",
+       round(avg(r), 2) AS rmse, round(avg(m), 6) AS mape FROM daily GROUP BY 1, 2""",
 )
 def backtest_kpi(spark, folder):
     """Monthly errors of the walk-forward test."""
     out = monthly_kpis(_backtest(spark, folder), ["series_id"])
-    return rounded(rounded(out, 3, "rmse"), 6, "mape").withColumn("month", iso("month"))
+    return rounded(rounded(out, 2, "rmse"), 6, "mape").withColumn("month", iso("month"))
 
 
 @query(

@@ -86,7 +86,7 @@ def _field(i: int):
 
 
 def _number(i: int):
-    return _field(i).try_cast("double")
+    return F.nullif(_field(i).try_cast("double"), F.lit(float("nan")))
 
 
 def parse_load(fields: DataFrame, slots: int = 6, hour24: str = "same_day") -> DataFrame:
