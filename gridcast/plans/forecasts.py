@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.operators.kpi import kpis
+from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.regression import fit_folds, fit_grouped_linear, score
 from gridcast.operators.splits import split_day, split_horizon, split_long_term, split_window
 from gridcast.operators.climate import NEUTRAL_TEMPERATURE, climate_part, counterfactual
@@ -85,9 +86,10 @@ def backtest(
     """Walk-forward test: models renewed on the first of each month from all earlier rows,
     every day scored with the latest one."""
     groups = [*keys, *by]
-    ready = df.withColumn("_target", _target(y, shift))
-    model = fit_folds(ready, groups, x, "_target", min_rows=min_rows)
-    rows = df.withColumn("fold", F.trunc("date", "month"))
+    # the same rows for fit and score, so that both read one preparation
+    df = drop_incomplete(df.withColumn("fold", F.trunc("date", "month")), [*groups, "date", "fold", *x])
+    model = fit_folds(df.withColumn("_target", _target(y, shift)), groups, x, "_target", min_rows=min_rows)
+    rows = df
     return predict_load(rows, model, [*groups, "fold"], x, shift).filter(F.col("prediction").isNotNull())
 
 
