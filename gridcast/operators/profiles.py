@@ -76,18 +76,21 @@ def fill_days(
     days = spans.withColumn("_day", F.explode(F.sequence("_begin", "_stop")))
 
     empty = "array_repeat(CAST(NULL AS DOUBLE), 24)"
+    if fill == "ffill":
+        # the day's known slots as (hour, value), led by the value carried into the day
+        for c in columns:
+            before = f"CASE WHEN _day > date THEN coalesce(`_own_{c}`, `_carry_{c}`) WHEN _day = date THEN `_carry_{c}` END"
+            slots = f"transform(`{c}`, (x, i) -> struct(i AS h, x AS v))"
+            known = f"CASE WHEN _day = date THEN filter({slots}, s -> s.v IS NOT NULL) ELSE array() END"
+            days = days.withColumn(f"_known_{c}", F.expr(f"concat(array(struct(0 AS h, {before} AS v)), {known})"))
 
     def filled(c):
-        slots = f"CASE WHEN _day = date THEN `{c}` ELSE {empty} END"
         if fill == "null":
-            return slots
+            return f"CASE WHEN _day = date THEN `{c}` ELSE {empty} END"
         if fill == "zero":
             return f"CASE WHEN _day = date THEN transform(`{c}`, x -> coalesce(x, 0D)) ELSE array_repeat(0D, 24) END"
-        before = f"""CASE WHEN _day > date THEN coalesce(`_own_{c}`, `_carry_{c}`)
-                          WHEN _day = date THEN `_carry_{c}` END"""
-        seen = f"""aggregate({slots}, array({before}),
-                             (acc, x) -> concat(acc, array(coalesce(x, element_at(acc, -1)))))"""
-        return f"slice({seen}, 2, 24)"
+        until = f"coalesce(get(`_known_{c}`, i + 1).h, 24)"
+        return f"flatten(transform(`_known_{c}`, (s, i) -> array_repeat(s.v, {until} - s.h)))"
 
     rest = [f"`{c}`" for c in profiles.columns if c not in (*keys, "date", *columns)]
     names = [f"`{k}`" for k in keys]

@@ -96,16 +96,18 @@ def _daily(types: DataFrame, sun: DataFrame) -> DataFrame:
 
 def prepare_short_term(
     spark: SparkSession, root: str, kind: str = "day_ahead", series: str = "all", horizons: int = 14,
-    noise_seed: int | None = 1304, online: bool = False, **options,
+    noise_seed: int | None = 1304, until: str | None = None, **options,
 ) -> DataFrame:
     """Feature table of the next-day, multi-day or climate job from the feeds under ``root``.
 
     Feeds are aligned by date and hour.  Days without sun times or day types drop
-    out with the incomplete rows.
+    out with the incomplete rows.  ``until`` adds the days after the last load, up
+    to that date, with a null load: the rows to forecast before actuals exist.
     """
     src = read_sources(spark, root, **options)
     load = _one_series(hourly_loads(src["load"]), series)
-    days = fill_days(day_profiles(load, KEYS, {"load": F.col("load")}, how="max"), KEYS, fill="null")
+    end = None if until is None else F.lit(until).cast("date")
+    days = fill_days(day_profiles(load, KEYS, {"load": F.col("load")}, how="max"), KEYS, fill="null", end=end)
     weather = day_profiles(src["temperature"], [], {"temperature": F.col("temperature")}, how="max")
     daily = _daily(src["daytype"], src["sun"])
     if kind == "day_ahead":
@@ -117,7 +119,7 @@ def prepare_short_term(
                     same_hour_temperature=True)
     else:
         raise ValueError(f"kind must be 'day_ahead', 'multi_day' or 'climate', not {kind!r}")
-    return hourly_features(days, KEYS, weather, daily, online=online, **plan)
+    return hourly_features(days, KEYS, weather, daily, online=until is not None, **plan)
 
 
 def prepare_long_term(

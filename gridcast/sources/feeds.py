@@ -130,10 +130,15 @@ def parse_daytype(fields: DataFrame) -> DataFrame:
 def read_sources(
     spark: SparkSession, root: str, kinds: Sequence[str] = ("load", "sun", "temperature", "daytype"),
     hourly_temperature: bool = True, hour24: str = "same_day",
-    separators: Mapping[str, str] | None = None,
+    separators: Mapping[str, str] | None = None, prefixes: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All feeds under ``root``, parsed, cut to the years that every kind covers."""
-    years = list_feeds(spark, root).filter(F.col("kind").isin(*kinds))
+    """All feeds under ``root``, parsed, cut to the years that every kind covers.
+
+    ``prefixes`` gives the file name before ``_<yyyy>.txt`` of a kind where it
+    differs from the kind itself.
+    """
+    prefix = {kind: (prefixes or {}).get(kind, kind) for kind in kinds}
+    years = list_feeds(spark, root).filter(F.col("kind").isin(*prefix.values()))
     parse = {
         "load": lambda f: parse_load(f, hour24=hour24),
         "sun": parse_sun,
@@ -142,6 +147,7 @@ def read_sources(
     }
     out = {}
     for kind in kinds:
-        fields = read_fields(spark, root, kind, (separators or {}).get(kind))
+        separator = (separators or {}).get(kind, SEPARATORS.get(kind))
+        fields = read_fields(spark, root, prefix[kind], separator)
         out[kind] = parse[kind](within_coverage(fields, years))
     return out

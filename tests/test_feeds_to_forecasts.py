@@ -80,6 +80,20 @@ def test_all_columns_feed_a_boosted_model(spark, short_feeds):
     assert e.n == 1 and e.mape < 0.1
 
 
+def test_forecast_before_actuals_exist(spark, short_feeds, tmp_path):
+    for kind in ("load", "sun", "temperature", "daytype"):
+        lines = open(f"{short_feeds}/{kind}_2014.txt").read().splitlines()
+        kept = lines[: 85 * 24] if kind == "load" else lines  # load ends on 26 March, weather on 31 March
+        (tmp_path / f"city_{kind}_2014.txt").write_text("\n".join(kept) + "\n")
+    prefixes = {k: f"city_{k}" for k in ("load", "sun", "temperature", "daytype")}
+    features = prepare_short_term(spark, str(tmp_path), until="2014-03-27", prefixes=prefixes)
+    out = forecast_day(features, ["series_id"], "2014-03-27", ["temperature_lag24", "lag0", "lag24"]).collect()
+    assert len(out) == 24 and all(r.load is None and r.prediction is not None for r in out)
+    truth = [load(85, r.hour) for r in sorted(out, key=lambda r: r.hour)]
+    got = [r.prediction for r in sorted(out, key=lambda r: r.hour)]
+    assert max(abs(a - b) / a for a, b in zip(truth, got, strict=True)) < 0.1
+
+
 def test_bank_holiday_makes_bridges(spark, short_feeds):
     days = prepare_short_term(spark, short_feeds, kind="climate").filter("hour = 12").select("date", "bridge", "off_work")
     got = {r.date: (r.bridge, r.off_work) for r in days.collect()}
