@@ -81,15 +81,18 @@ def forecast_long_term(
 
 def backtest(
     df: DataFrame, keys: Sequence[str], x: Sequence[str], by: Sequence[str] = (), y: str = "load",
-    shift: float = 0.0, min_rows: int = 0,
+    shift: float = 0.0, min_rows: int = 0, unit: str = "month", issued: str = "date",
 ) -> DataFrame:
-    """Walk-forward test: models renewed on the first of each month from all earlier rows,
-    every day scored with the latest one."""
+    """Walk-forward test: models renewed at the start of each ``unit`` (month, week) from all
+    earlier rows, every row scored with the latest model at the time it was issued.
+
+    With several horizons pass ``issued="issue_date"``: a model then never knows
+    targets of the period in which the forecast was made.
+    """
     groups = [*keys, *by]
     # the same rows for fit and score, so that both read one preparation
-    df = drop_incomplete(df.withColumn("fold", F.trunc("date", "month")), [*groups, "date", "fold", *x])
-    model = fit_folds(df.withColumn("_target", _target(y, shift)), groups, x, "_target", min_rows=min_rows)
-    rows = df
+    rows = drop_incomplete(df.withColumn("fold", F.trunc(issued, unit)), [*groups, "date", "fold", *x])
+    model = fit_folds(rows.withColumn("_target", _target(y, shift)), groups, x, "_target", unit=unit, min_rows=min_rows)
     return predict_load(rows, model, [*groups, "fold"], x, shift).filter(F.col("prediction").isNotNull())
 
 

@@ -401,6 +401,31 @@ def backtest_kpi(spark, folder):
     return rounded(rounded(out, 2, "rmse"), 6, "mape").withColumn("month", iso("month"))
 
 
+@query(
+    "weekly_backtest",
+    f"""WITH {_LEVEL_SQL},
+js AS (SELECT CAST(unnest(generate_series(1, 7)) AS INTEGER) AS j),
+multi AS (SELECT a.series_id, a.d AS issue, j, g.d, g.h, load, ln(load + 1) AS y, x
+          FROM anchor a CROSS JOIN js JOIN grid g ON g.series_id = a.series_id AND g.d = a.d + (j - 1)),
+folds AS (SELECT DISTINCT CAST(date_trunc('week', d) AS DATE) AS fold FROM multi),
+model AS (SELECT series_id, j, h, fold, CASE WHEN count(*) >= 7 THEN coalesce(regr_slope(y, x), 0) ELSE 0 END AS b,
+                 CASE WHEN count(*) >= 7 THEN coalesce(regr_intercept(y, x), avg(y)) ELSE avg(y) END AS a
+          FROM multi JOIN folds ON multi.d < folds.fold GROUP BY 1, 2, 3, 4),
+pred AS (SELECT f.series_id, f.j, f.issue, f.d, f.h, load, fold, exp(a + b * x) - 1 AS p
+         FROM multi f JOIN model m ON m.series_id = f.series_id AND m.j = f.j AND m.h = f.h
+              AND m.fold = CAST(date_trunc('week', f.issue) AS DATE))
+SELECT series_id, j AS horizon, CAST(fold AS VARCHAR) AS fold, count(*) AS n,
+       round(sqrt(avg((load - p) ** 2)), 3) AS rmse FROM pred GROUP BY 1, 2, 3""",
+)
+def weekly_backtest(spark, folder):
+    """Seven horizons, models renewed every week, judged per horizon and week of issue."""
+    features = _features(spark, folder, horizons=7)
+    out = backtest(features, ["series_id"], ["level"], by=["horizon", "hour"], shift=1.0, min_rows=7, unit="week",
+                   issued="issue_date")
+    errors = kpis(out, ["series_id", "horizon", "fold"]).drop("mape")
+    return rounded(errors, 3, "rmse").withColumn("fold", iso("fold"))
+
+
 @query(
     "stored_models",
     f"""WITH {_FORECAST_SQL},

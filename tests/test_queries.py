@@ -54,6 +54,6 @@ def test_plans_have_no_cross_join_python_or_single_partition_window(spark, small
         assert not (" Window [" in line and "SinglePartition" in following)
 
 
-def test_forecast_reads_the_readings_once(spark, small):
-    plan = plan_of(QUERIES["day_ahead_kpi"](spark, small))
-    assert "ReusedExchange" in plan
+@pytest.mark.parametrize("name", ["day_ahead_kpi", "multi_horizon_forecast", "weekly_backtest", "backtest_kpi", "climate_part"])
+def test_forecasts_read_the_readings_once(spark, small, name):
+    assert "ReusedExchange" in plan_of(QUERIES[name](spark, small))
