@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcast.operators.kpi import importance_share, kpi_rollup, kpis, modal_value, monthly_kpis
+from gridcast.operators.lags import add_lags
 from gridcast.operators.regression import fit_grouped_linear
 from gridcast.operators.splits import split_day, split_horizon, split_long_term, split_window
 from gridcast.plans.features import hourly_features
@@ -26,9 +27,12 @@ from gridcast.queries.registry import (
     load_profiles,
     order_days,
     query,
+    readings,
     rounded,
+    table,
     temperature_profiles,
 )
+from gridcast.session import stage
 
 CUT = "2024-01-20"
 LAST_ISSUE = "2024-01-17"
@@ -204,8 +208,6 @@ known AS (SELECT * FROM naive WHERE p IS NOT NULL)"""
 
 
 def _naive(spark, folder):
-    from gridcast.operators.lags import add_lags
-
     lagged = add_lags(load_panel(spark, folder), ["series_id"], ["load"], [168])
     return lagged.withColumnRenamed("load_lag168", "prediction").filter("prediction IS NOT NULL")
 
@@ -256,8 +258,6 @@ SELECT series_id, CAST(d AS VARCHAR) AS date, n FROM r WHERE rn = 1""",
 )
 def modal_date(spark, folder):
     """Most frequent date per series, the earliest on ties."""
-    from gridcast.queries.registry import readings
-
     return modal_value(readings(spark, folder), "date", ["series_id"]).withColumn("date", iso("date"))
 
 
@@ -269,8 +269,6 @@ SELECT series_id, user_id, round(weight, 4) AS weight,
 )
 def weight_share(spark, folder):
     """Weights as a share of their group's total."""
-    from gridcast.queries.registry import readings
-
     weights = readings(spark, folder).groupBy("series_id", "user_id").agg(F.sum(F.abs("value")).alias("weight"))
     return rounded(rounded(importance_share(weights, "weight", ["series_id"]), 4, "weight"), 8, "share")
 
@@ -294,8 +292,6 @@ FROM sets GROUP BY 1, 2""",
 )
 def split_sets(spark, folder):
     """Row counts and date ranges of every kind of split."""
-    from gridcast.queries.registry import table
-
     single = _features(spark, folder)
     multi = _features(spark, folder, horizons=14)
     orders = table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
@@ -436,8 +432,6 @@ FROM later GROUP BY 1, 2""",
 )
 def stored_models(spark, folder):
     """Models written once and read back, later days scored without training."""
-    from gridcast.session import stage
-
     features = _features(spark, folder)
     train, _ = split_day(features, CUT)
     model = stage(fit_load(train, ["series_id", "hour"], ["level"], shift=1.0), by=("hour",))

@@ -116,7 +116,8 @@ OFF_WORK = [  # weekday, christmas, august, bank holiday, school -> probability
 
 
 def test_off_work_rule_order(spark):
-    df = spark.createDataFrame([tuple(map(float, r)) for r in OFF_WORK], "w double, n double, a double, f double, v double, want double")
+    names = ", ".join(f"{c} double" for c in ("w", "n", "a", "f", "v", "want"))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in OFF_WORK], names)
     c = F.col
     rows = df.select("want", off_work_probability(c("w"), c("n"), c("a"), c("f"), c("v")).alias("got")).collect()
     assert all(r.want == r.got for r in rows)

@@ -108,7 +108,8 @@ def test_multi_day_job(spark, short_feeds):
     clean = prepare_short_term(spark, short_feeds, kind="multi_day", horizons=8, noise_seed=None)
     join = ["issue_date", "horizon", "date", "hour"]
     diff = features.select(*join, "temperature_lag3").join(clean.select(*join, F.col("temperature_lag3").alias("t")), join)
-    by = {r.horizon: r.d for r in diff.groupBy("horizon").agg(F.avg(F.abs(F.col("temperature_lag3") - F.col("t"))).alias("d")).collect()}
+    error = F.avg(F.abs(F.col("temperature_lag3") - F.col("t"))).alias("d")
+    by = {r.horizon: r.d for r in diff.groupBy("horizon").agg(error).collect()}
     assert all(by[j] == 0 for j in range(1, 7)) and by[7] > 0.5 and by[8] > by[7]
     out = forecast_days(features, ["series_id"], "2014-03-15", ["lag0", "lag24"])
     assert kpis(out, ["horizon"]).count() == 8 and out.count() == 8 * 24

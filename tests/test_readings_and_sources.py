@@ -172,7 +172,7 @@ def test_daily_join_keeps_one_row_per_date(spark):
 
 
 def test_prepared_tables_round_trip_with_pruning(spark, tmp_path):
-    df = half_frame(spark, HALF).withColumn("year", F.year("date")).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    df = half_frame(spark, HALF).withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(3))))
     path = str(tmp_path / "prepared")
     write_table(df, path, by=("horizon",))
     back = read_table(spark, path)
