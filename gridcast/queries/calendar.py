@@ -262,7 +262,7 @@ SELECT CAST(d AS VARCHAR) AS date, CAST(h AS INTEGER) AS hour,
              + h ** 2 * CAST(-0.007320 AS DOUBLE) + h ** 3 * CAST(-0.000415 AS DOUBLE)
              + month(d) * CAST(0.354375 AS DOUBLE) + sun_down * CAST(0.500070 AS DOUBLE)
              + sun_rise * CAST(-0.511187 AS DOUBLE) + sun_last * CAST(-0.310402 AS DOUBLE)
-             + dayofyear(d) * CAST(-0.010265 AS DOUBLE), 7) AS temperature
+             + dayofyear(d) * CAST(-0.010265 AS DOUBLE), 8) AS temperature
 FROM ships CROSS JOIN hrs""",
 )
 def hourly_temperature(spark, folder):
@@ -272,7 +272,7 @@ def hourly_temperature(spark, folder):
     c = F.col
     value = temperature_profile(c("temperature"), c("hour"), c("month"), c("sun_down"), c("sun_rise"),
                                 c("sun_last"), c("day_of_year"))
-    return rows.select(iso("date").alias("date"), "hour", F.round(value, 7).alias("temperature"))
+    return rows.select(iso("date").alias("date"), "hour", F.round(value, 8).alias("temperature"))
 
 
 @query(
