@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridcast.llm.common import ascii_lower, checkpointed, space_words
 
@@ -61,7 +62,7 @@ def majority(hashes: np.ndarray, block: int = 1 << 18) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _majority(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
         yield pd.Series([majority(h) for h in batch], dtype="int64")
