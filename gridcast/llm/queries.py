@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridcast.llm import simhash
-from gridcast.llm.common import table
+from gridcast.llm import langid, simhash
+from gridcast.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def in_fold(key: str, parts: int, number: int):
+    """True for rows of the fold; false for a null key."""
+    return F.coalesce(fold(key, parts) == number, F.lit(False))
+
+
+@query("op1_language_id")
+def language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    profiles = langid.learn(docs.where(fold("doc_id", 4) != 2))
+    return langid.identify(docs, profiles).select(
+        "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "__language.lang_pred", "__language.score")
+
+
 SHINGLE, RADIUS = 3, 2
 
 

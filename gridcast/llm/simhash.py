@@ -34,21 +34,15 @@ from gridcast.llm.common import ascii_lower, checkpointed, space_words
 BITS = 64
 
 
-def shingle_hashes(text: Column, length: int) -> Column:
+def shingle_hashes(words: Column, length: int) -> Column:
     """XXH64 (seed 42) of every ``length``-word shingle, repeats included; fewer words: of all; no word: none."""
-    words = space_words(ascii_lower(text))
-
-    def hashes(w: Column) -> Column:
-        n = F.size(w)
-        joined = F.transform(
-            F.sequence(F.lit(0), n - length),
-            lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(w, i + k) for k in range(length)])),
-        )
-        return F.when(n >= length, joined).when(n > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(
-            F.array().cast("array<bigint>"))
-
-    # bound once by a one-element transform: the words are not split again for each shingle
-    return F.get(F.transform(F.array(words), hashes), F.lit(0))
+    n = F.size(words)
+    joined = F.transform(
+        F.sequence(F.lit(0), n - length),
+        lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(words, i + k) for k in range(length)])),
+    )
+    return F.when(n >= length, joined).when(n > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(
+        F.array().cast("array<bigint>"))
 
 
 def majority(hashes: np.ndarray, block: int = 1 << 18) -> int:
@@ -68,9 +62,11 @@ def _majority(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([majority(h) for h in batch], dtype="int64")
 
 
-def fingerprint(text: Column, length: int) -> Column:
-    """64-bit fingerprint of a text as a signed integer; a null or wordless text has 0."""
-    return _majority(shingle_hashes(text, length))
+def fingerprints(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+    """(key, fp) of every row: the 64 bits as a signed integer; a null or wordless text has 0."""
+    worded = docs.select(F.col(key).alias("key"), space_words(ascii_lower(F.col(text))).alias("words"))
+    hashed = worded.select("key", shingle_hashes(F.col("words"), shingle).alias("hashes"))
+    return hashed.select("key", _majority("hashes").alias("fp"))
 
 
 class BKTree:
@@ -184,16 +180,16 @@ def _search(radius: int):
     return search
 
 
-def links(fingerprints: DataFrame, radius: int, tree_size: int = 2048) -> DataFrame:
+def links(distinct: DataFrame, radius: int, tree_size: int = 2048) -> DataFrame:
     """Edges (a, b) with the same components as all pairs within ``radius`` bits.
 
-    ``fingerprints``: distinct values in the bigint column ``fp``.  A shard's values are dealt by hash into parts
+    ``distinct``: distinct values in the bigint column ``fp``.  A shard's values are dealt by hash into parts
     of about ``tree_size``; each cell (a part as tree, an equal or later part as queries) is a group of its own,
     so a task holds about two parts at a time, however large the shard.
     """
     shards = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), key.alias("value"))
                                  for k, key in enumerate(_shard_keys(radius))]))
-    dealt = fingerprints.select("fp", shards.alias("s")).select("fp", "s.*")
+    dealt = distinct.select("fp", shards.alias("s")).select("fp", "s.*")
     sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = (
         dealt.join(sizes, ["band", "value"])
@@ -247,7 +243,7 @@ def near_groups(docs: DataFrame, shingle: int, radius: int, key: str = "doc_id",
     Null and wordless texts have fingerprint zero and link like any other; repeated rows link with each other;
     an empty table gives empty tables.  Further columns of ``docs`` are not read.
     """
-    marked = checkpointed(docs.select(F.col(key).alias("key"), fingerprint(F.col(text), shingle).alias("fp")))
+    marked = checkpointed(fingerprints(docs, shingle, key, text))
     first = marked.groupBy("fp").agg(F.min("key").alias("least"))
     roots = components(links(first.select("fp"), radius, tree_size))
     named = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -276,9 +272,9 @@ def representatives(docs: DataFrame, shingle: int, radius: int, key: str = "doc_
         docs.withColumn("__key", F.col(key)).join(chosen, "__key", "left_semi")
         .withColumn("__row", F.row_number().over(order)).where("__row = 1")
     )
+    nameless = docs.where(F.col(key).isNull()).select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
     unnamed = (
-        docs.where(F.col(key).isNull()).withColumn("fp", fingerprint(F.col(text), shingle))
-        .join(named.where("component_id IS NULL").select("fp", F.col("root").alias("__root")), "fp")
-        .dropDuplicates(["__root"])
+        fingerprints(nameless, shingle, "row", "text")
+        .join(named.where("component_id IS NULL").select("fp", "root"), "fp").dropDuplicates(["root"]).select("key.*")
     )
     return known.select(*docs.columns).union(unnamed.select(*docs.columns))
