@@ -44,3 +44,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(staging_root(df.sparkSession))
     return df.checkpoint()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """(key, text, label) of about ``rows`` labelled documents: all, or those with the lowest key hashes.
+
+    A key with several labels takes the largest.  The labels kept are at most ``2 * rows`` (checked), so they are sent
+    to the documents, and the texts are not shuffled.  Rows without key or label are left out.
+    """
+    one = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias(label))
+    steps, total = 1 << 30, one.count()
+    kept = one if total <= rows else one.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(steps)) < steps * rows // total)
+    if kept.count() > 2 * rows:
+        raise ValueError("the sample of labels is over its bound")
+    return docs.select(key, F.col(text).alias("text")).join(F.broadcast(kept), key)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, simhash
-from gridcast.llm.common import fold, table
+from gridcast.llm import langid, simhash, toxicity
+from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,26 @@ def language_id(spark, folder):
         "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "__language.lang_pred", "__language.score")
 
 
+#: Labelled documents that a classifier learns from, at most.
+LABELLED = 1 << 16
+
+
+def toxicity_model(docs, labels):
+    """Learned from labelled documents outside fold 0 of 5; folds 1 and 2 are one half, 3 and 4 the other."""
+    known = labelled_sample(docs, labels.where(fold("doc_id", 5) != 0), "toxic", LABELLED)
+    return toxicity.learn(known.withColumn("half", (fold("doc_id", 5) > 2).cast("int")))
+
+
+@query("op3_toxicity")
+def toxic_passages(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity_model(docs, table(spark, folder, "labels"))
+    found = toxicity.scored(docs, model)
+    score = F.col("__toxicity.score")
+    return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), score.alias("score"),
+                        (score >= 0.5).cast("int").alias("predicted"), F.col("__toxicity.passages").alias("passages"))
+
+
 SHINGLE, RADIUS = 3, 2
 
 
