@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, simhash, toxicity
+from gridcast.llm import langid, quality, simhash, toxicity
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,16 @@ SHINGLE, RADIUS = 3, 2
 @query("op6_simhash_near_dedup")
 def simhash_near_dedup(spark, folder):
     return simhash.groups(table(spark, folder, "documents"), SHINGLE, RADIUS)
+
+
+#: Labelled documents whose statistics come to the driver, at most twice as many.
+RULE_ROWS = 1 << 15
+
+
+@query("op7_quality_rules")
+def quality_rules(spark, folder):
+    docs = table(spark, folder, "documents")
+    known = labelled_sample(docs, table(spark, folder, "labels"), "quality", RULE_ROWS)
+    found = quality.judged(docs, quality.learned_rules(known))
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", *[F.col(f"__quality.{c}").alias(c) for c in columns])
