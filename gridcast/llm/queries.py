@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, quality, simhash, toxicity
+from gridcast.llm import langid, packing, quality, simhash, toxicity
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,11 @@ def toxic_passages(spark, folder):
                         (score >= 0.5).cast("int").alias("predicted"), F.col("__toxicity.passages").alias("passages"))
 
 
+@query("op4_packing")
+def length_buckets(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
 SHINGLE, RADIUS = 3, 2
 
 
