@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, packing, quality, simhash, toxicity
+from gridcast.llm import langid, licenses, packing, quality, simhash, toxicity
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def length_buckets(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
 
 
+@query("op5_license_scan", licenses.scan_sql())
+def license_scan(spark, folder):
+    docs = table(spark, folder, "documents")
+    return licenses.scan(docs, licenses.document_frequencies(docs)).drop("places")
+
+
 SHINGLE, RADIUS = 3, 2
 
 
