@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, licenses, packing, quality, simhash, toxicity
+from gridcast.llm import langid, licenses, packing, quality, simhash, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,24 @@ def quality_rules(spark, folder):
     found = quality.judged(docs, quality.learned_rules(known))
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return found.select("doc_id", *[F.col(f"__quality.{c}").alias(c) for c in columns])
+
+
+URL_RULES = (
+    urls.Rule("allow", "com/"), urls.Rule("block", "example.com/en/"), urls.Rule("allow", "www.example.com/en/"),
+    urls.Rule("block", "net/es/"), urls.Rule("block", "net/fr/"),
+)
+#: A page's path names the document that it shows: /<language>/<doc_id>.
+SHOWN = "^/[a-z]+/([0-9]{1,18})"
+
+
+@query("op8_url_reputation", urls.judge_sql(URL_RULES, f"""
+  SELECT host, quality AS good FROM split
+  JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id) l
+    ON l.doc_id = try_cast(regexp_extract(path, '{SHOWN}', 1) AS BIGINT)"""))
+def url_reputation(spark, folder):
+    pages = table(spark, folder, "pages")
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    shown = pages.select(urls.host_of(F.col("url")).alias("host"),
+                         F.regexp_extract(urls.path_of(F.col("url")), SHOWN, 1).alias("id"))
+    outcomes = shown.where("id <> ''").select("host", F.col("id").cast("long").alias("doc_id")).join(labels, "doc_id")
+    return urls.judge(pages, outcomes, URL_RULES).drop("reputation")
