@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import langid, licenses, packing, quality, simhash, toxicity, urls
+from gridcast.llm import chat, langid, licenses, packing, quality, simhash, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,19 @@ def url_reputation(spark, folder):
                          F.regexp_extract(urls.path_of(F.col("url")), SHOWN, 1).alias("id"))
     outcomes = shown.where("id <> ''").select("host", F.col("id").cast("long").alias("doc_id")).join(labels, "doc_id")
     return urls.judge(pages, outcomes, URL_RULES).drop("reputation")
+
+
+#: Conversation -1: texts full of control strings.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+@query("op10_chat_formatting", chat.digest_sql(f"""
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '{TRICKY}'), (-1, 1, 'assistant', '{TRICKY}'))"""))
+def chat_formatting(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
+    turns = rows.unionByName(tricky).withColumn("content", chat.text_part(F.col("text")))
+    return chat.digest(chat.format_chats(turns))
