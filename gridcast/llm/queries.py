@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import chat, langid, licenses, packing, quality, simhash, toxicity, urls
+from gridcast.llm import chat, langid, licenses, packing, quality, simhash, topk, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,15 @@ def chat_formatting(spark, folder):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
     turns = rows.unionByName(tricky).withColumn("content", chat.text_part(F.col("text")))
     return chat.digest(chat.format_chats(turns))
+
+
+@query("op9_exact_top_k", """
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20""")
+def exact_top_k(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), every=20)
