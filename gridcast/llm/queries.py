@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import chat, langid, licenses, packing, quality, simhash, topk, toxicity, urls
+from gridcast.llm import chat, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,14 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20""")
 def exact_top_k(spark, folder):
     return topk.top_k(table(spark, folder, "embeddings"), every=20)
+
+
+#: A public tokenizer's model file; described beside it.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op2_sentencepiece")
+def sentencepiece_ids(spark, folder):
+    found = pieces.encoded(table(spark, folder, "documents"), pieces.load(PIECE_MODEL))
+    ids = F.col("__pieces.ids")
+    return found.select("doc_id", ids.alias("ids"), F.size(ids).cast("long").alias("n_ids"), "__pieces.round_trip")
