@@ -1,0 +1,18 @@
+import pytest
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture
+def docs_of(spark):
+    """Documents from (doc_id, text) or (doc_id, text, lang) rows, with columns whose names clash with results."""
+
+    def make(rows, extra=True):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en") for r in rows]
+        df = spark.createDataFrame(full, "doc_id bigint, text string, lang string")
+        if not extra:
+            return df
+        return df.selectExpr("*", "'x' AS source", "cast(length(text) AS bigint) AS n_chars", "1.5D AS score", "'zz' AS lang_pred",
+                             "7 AS key", "'f' AS fp", "true AS kept", "array(1) AS words", "0 AS n", "'h' AS held_out")
+
+    return make
