@@ -1,7 +1,8 @@
 """URL filters: fixed rules, and an empirical-Bayes reputation of hosts for what no rule fits.
 
 Labelled page outcomes are counted per host.  A host's rate of good pages has a beta prior around its registered
-domain's rate, a domain's around its suffix's, a suffix's around the rate of all pages.  How tightly the rates of one
+domain's rate, a domain's around its suffix's, a suffix's around the rate of all pages, each without the outcomes of
+the child itself.  How tightly the rates of one
 level lie around the level above is estimated from all their counts (method of moments).  A host is blocked where even
 the upper bound of its posterior rate is under the threshold; a host without outcomes has its prior.
 
@@ -75,17 +76,15 @@ def domain_of(host: Column) -> Column:
     return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
 
 
-def _level(rows: DataFrame, key: str, above: DataFrame | None, above_key: str | None, mean: float) -> DataFrame:
-    """(key, rate) of one level: posterior means, and posterior parameters ``a`` and ``b``.
+def _level(rows: DataFrame) -> DataFrame:
+    """Posterior parameters ``a`` and ``b`` and mean ``rate`` of the rows of one level.
 
-    ``rows``: key, above_key, n, good.  The prior's strength is 1 / rho - 1, where rho is the share of the children's
-    variance that the binomial does not explain, kept between 0.0001 and 0.5.
+    ``rows``: keys, n, good, and ``above_a`` and ``above_b``, the parameters of the level above.  A row's prior mean is
+    the rate above without the row's own outcomes, which would count twice.  The prior's strength is 1 / rho - 1, where
+    rho is the share of the children's variance that the binomial does not explain, kept between 0.0001 and 0.5.
     """
-    if above is None:
-        joined = rows.withColumn("prior", F.lit(mean))
-    else:
-        joined = rows.join(above.select(F.col(above_key), F.col("rate").alias("prior")), above_key)
-    joined = checkpointed(joined)
+    prior = (F.col("above_a") - F.col("good")) / (F.col("above_a") + F.col("above_b") - F.col("n"))
+    joined = checkpointed(rows.withColumn("prior", prior).drop("above_a", "above_b"))
     p, m, n = F.col("good") / F.col("n"), F.col("prior"), F.col("n").cast("double")
     known = joined.where("n > 0")
     spread, expected, extra = known.agg(
@@ -101,12 +100,16 @@ def reputation(hosts: DataFrame) -> DataFrame:
     """(host, a, b, rate) from (host, n, good): beta posterior of every host, shrunk host to domain to suffix."""
     rows = checkpointed(hosts.select(
         "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "good"))
-    total, good = rows.agg(F.sum("n"), F.sum("good")).first()
-    mean = (good + 1) / (total + 2) if total else 0.5
     counts = (F.sum("n").alias("n"), F.sum("good").alias("good"))
-    suffixes = _level(rows.groupBy("suffix").agg(*counts), "suffix", None, None, mean)
-    domains = _level(rows.groupBy("domain", "suffix").agg(*counts), "domain", suffixes, "suffix", mean)
-    return _level(rows.drop("suffix"), "host", domains, "domain", mean).select("host", "a", "b", "rate")
+    total, good = (x or 0 for x in rows.agg(*counts).first())
+
+    def under(above: DataFrame, key: str) -> DataFrame:
+        return above.select(key, F.col("a").alias("above_a"), F.col("b").alias("above_b"))
+
+    suffixes = _level(rows.groupBy("suffix").agg(*counts).select(
+        "*", F.lit(good + 1.0).alias("above_a"), F.lit(total - good + 1.0).alias("above_b")))
+    domains = _level(rows.groupBy("domain", "suffix").agg(*counts).join(under(suffixes, "suffix"), "suffix"))
+    return _level(rows.drop("suffix").join(under(domains, "domain"), "domain")).select("host", "a", "b", "rate")
 
 
 def upper_bound(z: float) -> Column:
@@ -127,7 +130,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], thresh
     split = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     counted = outcomes.where(F.col("good").isin(0, 1)).groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
-    hosts = split.select("host").distinct().join(counted, "host", "left").select(
+    hosts = split.select("host").distinct().join(counted, "host", "full").select(
         "host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("good", F.lit(0)).alias("good"))
     rated = reputation(hosts).select("host", "rate", upper_bound(z).alias("bound"))
     own = rule_of(F.col("host"), F.col("path"), rules)
@@ -142,6 +145,7 @@ def judge_sql(rules: tuple[Rule, ...], outcomes: str, threshold: float = 0.5, z:
     pairs = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
     values = ", ".join(f"({k}, '{r.verdict}', '{r.rule}', '{r.host}', '{r.path}')"
                        for k, r in enumerate(sorted(rules, key=lambda r: -len(r.rule))))
+    prior = "(a - good) / (a + b - n) AS prior"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
     def level(name: str, rows: str) -> str:
@@ -159,14 +163,14 @@ split AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{upper}', '{
 outcomes AS ({outcomes}),
 counted AS (SELECT host, count(*)::DOUBLE AS n, sum(good)::DOUBLE AS good FROM outcomes WHERE good IN (0, 1) GROUP BY host),
 parts AS (SELECT host, coalesce(n, 0) AS n, coalesce(good, 0) AS good, string_split(host, '.') AS ls
-  FROM (SELECT DISTINCT host FROM split) LEFT JOIN counted USING (host)),
+  FROM (SELECT DISTINCT host FROM split) FULL JOIN counted USING (host)),
 named AS (SELECT host, n, good, ls, array_to_string(ls[-2:], '.') IN ({pairs}) AS two FROM parts),
 hosts AS (SELECT host, n, good, array_to_string(CASE WHEN two THEN ls[-2:] ELSE ls[-1:] END, '.') AS suffix,
   array_to_string(CASE WHEN two THEN ls[-3:] ELSE ls[-2:] END, '.') AS domain FROM named),
-mean AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(good) + 1) / (sum(n) + 2) ELSE 0.5 END AS m FROM hosts),
-{level("s", "SELECT suffix, sum(n) AS n, sum(good) AS good, any_value(m) AS prior FROM hosts CROSS JOIN mean GROUP BY suffix")},
-{level("d", "SELECT h.*, a / (a + b) AS prior FROM (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL) h JOIN (SELECT suffix, a, b FROM s_fit) USING (suffix)")},
-{level("h", "SELECT h.*, a / (a + b) AS prior FROM (SELECT host, domain, n, good FROM hosts) h JOIN (SELECT domain, a, b FROM d_fit) USING (domain)")},
+top AS (SELECT coalesce(sum(good), 0) + 1 AS a, coalesce(sum(n) - sum(good), 0) + 1 AS b FROM hosts),
+{level("s", f"SELECT h.*, {prior} FROM (SELECT suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY suffix) h CROSS JOIN top")},
+{level("d", f"SELECT h.*, {prior} FROM (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL) h JOIN (SELECT suffix, a, b FROM s_fit) USING (suffix)")},
+{level("h", f"SELECT h.*, {prior} FROM (SELECT host, domain, n, good FROM hosts) h JOIN (SELECT domain, a, b FROM d_fit) USING (domain)")},
 rules(k, verdict, rule, rhost, rpath) AS (VALUES {values}),
 fits AS (SELECT page_id, host, path, arg_min(rule, k) AS rule, arg_min(verdict, k) AS verdict
   FROM split JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
