@@ -161,10 +161,10 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: s
     )
     once = rows.select("toxic", "half", F.explode(F.array_distinct("tokens")).alias("bucket"))
     counted = once.groupBy("bucket").agg(*[
-        F.count(F.when((F.col("toxic") == kind) & (F.col("half") == h), 1)).alias(f"n{kind}{h}")
+        F.count(F.when((F.col("toxic") == kind) & (F.col("half") == h), 1)).cast("int").alias(f"n{kind}{h}")
         for kind in (0, 1) for h in range(HALVES)
-    ]).toPandas()
-    table = np.zeros((2, HALVES, buckets))
+    ]).toArrow().to_pandas()
+    table = np.zeros((2, HALVES, buckets), np.float32)  # numbers of documents of a bounded sample are exact
     for kind in (0, 1):
         for h in range(HALVES):
             table[kind, h, counted["bucket"].to_numpy(int)] = counted[f"n{kind}{h}"].to_numpy(float)
@@ -184,7 +184,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: s
     evidence = F.when(F.size(hot) > 0, F.aggregate(hot, F.lit(0.0), lambda x, y: x + y)).otherwise(rate * best - chance)
     steps = found.groupBy(F.floor(F.least(F.greatest(evidence, F.lit(-40.0)), F.lit(400.0)) * 4).alias("step")).agg(
         F.count(F.when(F.col("toxic") == 1, 1)).alias("t"), F.count(F.when(F.col("toxic") == 0, 1)).alias("c")
-    ).toPandas().sort_values("step")
+    ).toArrow().to_pandas().sort_values("step")
     return Model(whole, tail, *_logistic(steps), alpha)
 
 
