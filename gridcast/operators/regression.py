@@ -1,111 +1,239 @@
 """Least squares for many groups at once.
 
-One aggregate gives the moments of every group (series, hour, horizon, ...), with
-map-side combine, so a hot group is no slower than the others.  The normal
-equations are then solved by column expressions on the small moment table.
-Models are tables: ``keys..., n, intercept, coef_<x>...``.
+Models are tables: ``keys..., n, intercept, coef_<x>...``.  Both ways read every row once and combine moments on the
+map side, so a hot group is no slower than the others:
+
+* Up to ``NARROW`` regressors, one aggregate gives the moments of every group and one array expression solves the
+  normal equations: millions of small models cost no Python.
+* Wider tables would need thousands of aggregates.  There, tasks add up the moment matrices of their own rows with
+  numpy, one row per group and task is shuffled, and each group is solved where its rows meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from gridcast.operators.readings import drop_incomplete
+from pyspark.sql import types as T
 
 # A regressor whose remaining variance is below this share of its own variance
 # is constant or a mix of the others; its coefficient is 0.
 TOLERANCE = 1e-10
+#: Widest table that is fitted by aggregates.
+NARROW = 6
+#: Numbers that a task holds in moment matrices before it passes them on.
+HELD = 1 << 22
 
 
 def _pairs(k: int):
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
-def _solve(moments: DataFrame, keys: Sequence[str], x: Sequence[str], min_rows: int = 0) -> DataFrame:
-    """Coefficients from ``n, _mx<i>, _my, _a<i>_<j>`` (covariances) and ``_b<i>``."""
+def _target(y: str, log: bool) -> Column:
+    value = F.col(y).cast("double")
+    return F.when(value > 0, F.ln(value)) if log else value
+
+
+def _base(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool) -> DataFrame:
+    """``keys, _x0.., _y``: all null where any is, so that aggregates leave the row out and its group stays."""
+    names = [f"_x{i}" for i in range(len(x))]
+    wide = df.select(*keys, *[F.col(c).cast("double").alias(n) for c, n in zip(x, names, strict=True)],
+                     _target(y, log).alias("_y"))
+    known = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in [*names, "_y"]))
+    return wide.select(*keys, *[F.when(known, F.col(c)).alias(c) for c in [*names, "_y"]])
+
+
+# -- narrow tables -------------------------------------------------------------
+
+
+def _solve(moments: DataFrame, keys: Sequence[str], x: Sequence[str]) -> DataFrame:
+    """Coefficients from ``n, _mx<i>, _my, _a<i>_<j>`` (covariances) and ``_b<i>``: Gauss-Jordan steps over one array
+    of rows, each with its right side at the end."""
     k = len(x)
-    enough = F.col("n") >= min_rows
 
     def a(i, j):
         return F.col(f"_a{i}_{j}") if i <= j else F.col(f"_a{j}_{i}")
 
-    out = moments.withColumns({f"_v{i}": a(i, i) for i in range(k)})
-    for p in range(k):
-        usable = enough & (a(p, p) > TOLERANCE * F.col(f"_v{p}"))
-        out = out.withColumn(f"_p{p}", F.when(usable, a(p, p)))
-        for i in range(p + 1, k):
-            out = out.withColumn("_f", F.coalesce(a(p, i) / F.col(f"_p{p}"), F.lit(0.0)))
-            update = {f"_a{i}_{j}": a(i, j) - F.col("_f") * a(p, j) for j in range(i, k)}
-            update[f"_b{i}"] = F.col(f"_b{i}") - F.col("_f") * F.col(f"_b{p}")
-            out = out.withColumns(update)
-    for p in reversed(range(k)):
-        rest = F.col(f"_b{p}")
-        for j in range(p + 1, k):
-            rest = rest - a(p, j) * F.col(f"coef_{x[j]}")
-        out = out.withColumn(f"coef_{x[p]}", F.coalesce(rest / F.col(f"_p{p}"), F.lit(0.0)))
+    if not k:
+        return moments.select(*keys, "n", F.col("_my").alias("intercept"))
+    matrix = F.array(*[F.array(*[a(i, j) for j in range(k)], F.col(f"_b{i}")) for i in range(k)])
+    own = F.array(*[a(i, i) for i in range(k)])
+
+    def step(rows: Column, p: Column) -> Column:
+        pivot = F.get(F.get(rows, p), p)
+        usable = F.coalesce(pivot > TOLERANCE * F.get(own, p), F.lit(False))
+        line = F.transform(F.get(rows, p), lambda v: F.when(usable, v / pivot).otherwise(0.0))
+        return F.transform(rows, lambda row, i: F.when(i == p, line).otherwise(
+            F.zip_with(row, line, lambda v, w: v - F.get(row, p) * w)))
+
+    solved = F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), matrix, step)
+    out = moments.withColumn("_c", F.transform(solved, lambda row: F.coalesce(F.get(row, F.lit(k)), F.lit(0.0))))
     level = F.col("_my")
     for i in range(k):
-        level = level - F.col(f"coef_{x[i]}") * F.col(f"_mx{i}")
-    out = out.withColumn("intercept", level)
-    return out.select(*keys, "n", "intercept", *[f"coef_{c}" for c in x])
+        level = level - F.get("_c", F.lit(i)) * F.col(f"_mx{i}")
+    return out.select(*keys, "n", level.alias("intercept"), *[F.get("_c", F.lit(i)).alias(f"coef_{c}") for i, c in enumerate(x)])
 
 
-def _target(y: str, log: bool) -> Column:
-    value = F.col(y).cast("double")
-    return F.when(value > 0, F.ln(value)) if log else value
+def _moments(base: DataFrame, keys: Sequence[str], k: int, n: str = "n") -> DataFrame:
+    return base.groupBy(*keys).agg(
+        F.count("_y").alias(n),
+        F.avg("_y").alias("_my"),
+        *[F.avg(f"_x{i}").alias(f"_mx{i}") for i in range(k)],
+        *[F.covar_pop(f"_x{i}", f"_x{j}").alias(f"_a{i}_{j}") for i, j in _pairs(k)],
+        *[F.covar_pop(f"_x{i}", "_y").alias(f"_b{i}") for i in range(k)],
+    )
 
 
-def _base(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool) -> DataFrame:
-    cols = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(x)]
-    rows = df.select(*keys, *cols, _target(y, log).alias("_y"))
-    return drop_incomplete(rows, [*[f"_x{i}" for i in range(len(x))], "_y"])
+# -- wide tables ---------------------------------------------------------------
+
+
+def _added(parts: list[tuple]) -> tuple:
+    """(n, mean, sum of products around the mean) of all parts together."""
+    n, mean, products = parts[0]
+    for m, other, more in parts[1:]:
+        if not m:
+            continue
+        if not n:
+            n, mean, products = m, other, more
+            continue
+        shift = other - mean
+        mean = mean + shift * (m / (n + m))
+        products = products + more + np.outer(shift, shift) * (n * m / (n + m))
+        n += m
+    return n, mean, products
+
+
+def _fitted(n: int, mean: np.ndarray, products: np.ndarray) -> list[float]:
+    """Intercept and coefficients by the elimination steps of ``_solve``."""
+    k = len(mean) - 1
+    rows = products[:k].copy() / max(n, 1)
+    own = rows.diagonal().copy()
+    for p in range(k):
+        pivot = rows[p, p]
+        rows[p] = rows[p] / pivot if pivot > TOLERANCE * own[p] else 0.0
+        others = np.arange(k) != p
+        rows[others] -= np.outer(rows[others, p], rows[p])
+    coefficients = rows[:, k]
+    return [float(mean[k] - coefficients @ mean[:k]), *coefficients.tolist()]
+
+
+def _partial_moments(base: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """``keys, n, mean, products`` of each group and task."""
+    names = [*[f"_x{i}" for i in range(k)], "_y"]
+    keys = list(keys)
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list] = {}
+
+        def handed() -> pd.DataFrame:
+            rows = [(*key, *_added(parts)) for key, parts in held.items()]
+            held.clear()
+            out = pd.DataFrame(rows, columns=[*keys, "n", "mean", "products"])
+            return out.assign(products=[p.ravel() for p in out["products"]])
+
+        for batch in batches:
+            values = batch[names].to_numpy(float)
+            for key, at in batch.groupby(keys, sort=False, dropna=False).indices.items():
+                rows = values[at]
+                rows = rows[~np.isnan(rows).any(axis=1)]
+                mean = rows.mean(axis=0) if len(rows) else np.zeros(k + 1)
+                part = len(rows), mean, (rows - mean).T @ (rows - mean)
+                key = key if isinstance(key, tuple) else (key,)
+                held[key] = [_added([*held[key], part])] if key in held else [part]
+            if len(held) * (k + 1) ** 2 > HELD:
+                yield handed()
+        if held:
+            yield handed()
+
+    kinds = [f for f in base.schema.fields if f.name in keys]
+    kinds.sort(key=lambda f: keys.index(f.name))
+    numbers = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*kinds, T.StructField("n", T.LongType()), T.StructField("mean", numbers),
+                           T.StructField("products", numbers)])
+    return base.mapInPandas(add_up, schema)
+
+
+def _wide_models(partial: DataFrame, keys: Sequence[str], x: Sequence[str], fold: str | None = None) -> DataFrame:
+    """One model per group of ``keys`` from the partial moments, or with ``fold`` one per fold from all earlier folds."""
+    k, keys = len(x), list(keys)
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        def parts(rows):
+            return [(n, np.array(m), np.array(p).reshape(k + 1, k + 1)) for n, m, p in
+                    zip(rows["n"], rows["mean"], rows["products"], strict=True)]
+
+        head = [frame[c].iloc[0] for c in keys]
+        if fold is None:
+            total = _added(parts(frame))
+            rows = [(*head, total[0], *_fitted(*total))]
+        else:
+            rows, before = [], None
+            for day, own in frame.sort_values(fold).groupby(fold):
+                if before is not None and before[0]:
+                    rows.append((*head, day, before[0], *_fitted(*before)))
+                before = _added([*([before] if before else []), *parts(own)])
+        return pd.DataFrame(rows, columns=columns)
+
+    columns = [*keys, *([fold] if fold else []), "n", "intercept", *[f"coef_{c}" for c in x]]
+    kinds = {f.name: f for f in partial.schema.fields}
+    schema = T.StructType([*[kinds[c] for c in columns if c in kinds],
+                           *[T.StructField(c, T.DoubleType()) for c in columns if c not in kinds]])
+    return partial.groupBy(*keys).applyInPandas(fit, schema)
+
+
+# -- models ----------------------------------------------------------------------
 
 
 def fit_grouped_linear(
-    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False, min_rows: int = 0
+    df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False
 ) -> DataFrame:
     """One least-squares model per group, on rows where all columns are known.
 
-    ``log`` fits the logarithm of ``y`` (rows with ``y <= 0`` are left out).
-    Groups with fewer than ``min_rows`` rows get their mean as a flat model.
+    ``log`` fits the logarithm of ``y`` (rows with ``y <= 0`` are left out).  A group without a known row has no model.
     """
-    k = len(x)
-    moments = _base(df, keys, x, y, log).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("_y").alias("_my"),
-        *[F.avg(f"_x{i}").alias(f"_mx{i}") for i in range(k)],
-        *[F.covar_pop(f"_x{i}", f"_x{j}").alias(f"_a{i}_{j}") for i, j in _pairs(k)],
-        *[F.covar_pop(f"_x{i}", "_y").alias(f"_b{i}") for i in range(k)],
-    )
-    return _solve(moments, keys, x, min_rows)
+    base = _base(df, keys, x, y, log).filter(F.col("_y").isNotNull())
+    if len(x) > NARROW:
+        return _wide_models(_partial_moments(base, keys, len(x)), keys, x)
+    return _solve(_moments(base, keys, len(x)), keys, x)
 
 
 def fit_folds(
     df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool = False, unit: str = "month",
-    min_rows: int = 0,
+    folds: DataFrame | None = None,
 ) -> DataFrame:
-    """One model per group and ``fold`` (first day of each month), fitted on all earlier rows.
+    """One model per group and ``fold`` (first day of each ``unit``), fitted on all earlier rows.
+
+    The folds are those of all rows of ``df``, also of rows whose target is not known, and those of ``folds``
+    (``keys, fold``).  A fold with nothing known before it has no model.
 
     Moments add up: they are taken once per month and summed over the months
     before each fold.  Every row is read once, however many folds there are.
     """
-    k = len(x)
-    names = ["_y", *[f"_x{i}" for i in range(k)]]
+    k, keys = len(x), list(keys)
     base = _base(df.withColumn("fold", F.trunc("date", unit)), [*keys, "fold"], x, y, log)
+    if k > NARROW:
+        partial = _partial_moments(base, [*keys, "fold"], k)
+        if folds is not None:
+            none = F.array_repeat(F.lit(0.0), k + 1), F.array_repeat(F.lit(0.0), (k + 1) ** 2)
+            partial = partial.unionByName(folds.select(
+                *keys, "fold", F.lit(0).cast("long").alias("n"), none[0].alias("mean"), none[1].alias("products")))
+        return _wide_models(partial, keys, x, "fold")
+    names = ["_y", *[f"_x{i}" for i in range(k)]]
     pairs = [(f"_x{i}", f"_x{j}", f"_a{i}_{j}") for i, j in _pairs(k)]
     pairs += [(f"_x{i}", "_y", f"_b{i}") for i in range(k)]
-    monthly = base.groupBy(*keys, "fold").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.avg(c).alias(f"_m{c}") for c in names],
-        *[F.covar_pop(p, q).alias(out) for p, q, out in pairs],
-    )
+    monthly = _moments(base, [*keys, "fold"], k, "_n")
+    if folds is not None:
+        rest = [c for c in monthly.columns if c not in (*keys, "fold", "_n")]
+        empty = folds.select(*keys, "fold", F.lit(0).cast("long").alias("_n"), *[F.lit(None).cast("double").alias(c) for c in rest])
+        monthly = monthly.unionByName(empty).groupBy(*keys, "fold").agg(
+            F.sum("_n").alias("_n"), *[F.max(c).alias(c) for c in rest])
     # distances from the mean of the monthly means keep the sums small
     group = Window.partitionBy(*keys)
-    centred = monthly.withColumns({f"_g{c}": F.avg(f"_m{c}").over(group) for c in names})
-    centred = centred.withColumns({f"_d{c}": F.col(f"_m{c}") - F.col(f"_g{c}") for c in names})
+    centred = monthly.withColumns({f"_g{c}": F.avg(f"_m{c[1:]}").over(group) for c in names})
+    centred = centred.withColumns({f"_d{c}": F.col(f"_m{c[1:]}") - F.col(f"_g{c}") for c in names})
     earlier = group.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)
     n = F.col("_n")
     sums = {"n": F.sum(n).over(earlier)}
@@ -114,7 +242,7 @@ def fit_folds(
         f"_q{out}": F.sum(n * (F.col(out) + F.col(f"_d{p}") * F.col(f"_d{q}"))).over(earlier)
         for p, q, out in pairs
     }
-    total = centred.withColumns(sums).filter(F.col("n").isNotNull())
+    total = centred.withColumns(sums).filter(F.col("n") > 0)
     mean = {c: F.col(f"_s{c}") / F.col("n") for c in names}
     moments = total.select(
         *keys, "fold", "n",
@@ -122,7 +250,7 @@ def fit_folds(
         *[(F.col(f"_g_x{i}") + mean[f"_x{i}"]).alias(f"_mx{i}") for i in range(k)],
         *[(F.col(f"_q{out}") / F.col("n") - mean[p] * mean[q]).alias(out) for p, q, out in pairs],
     )
-    return _solve(moments, [*keys, "fold"], x, min_rows)
+    return _solve(moments, [*keys, "fold"], x)
 
 
 def linear_value(x: Sequence[str], log: bool = False) -> Column:

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.operators.kpi import kpis
 from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.regression import fit_folds, fit_grouped_linear, score
 from gridcast.operators.splits import split_day, split_horizon, split_long_term, split_window
@@ -20,10 +19,10 @@ def _target(y: str, shift: float) -> Column:
 
 
 def fit_load(
-    train: DataFrame, by: Sequence[str], x: Sequence[str], y: str = "load", shift: float = 0.0, min_rows: int = 0
+    train: DataFrame, by: Sequence[str], x: Sequence[str], y: str = "load", shift: float = 0.0
 ) -> DataFrame:
     """One model per group on ``ln(load + shift)``; ``shift=1`` admits hours without load."""
-    return fit_grouped_linear(train.withColumn("_target", _target(y, shift)), by, x, "_target", min_rows=min_rows)
+    return fit_grouped_linear(train.withColumn("_target", _target(y, shift)), by, x, "_target")
 
 
 def predict_load(
@@ -45,12 +44,16 @@ def forecast_day(
 
 
 def forecast_days(
-    features: DataFrame, keys: Sequence[str], cut, x: Sequence[str], shift: float = 0.0, min_rows: int = 0
+    features: DataFrame, keys: Sequence[str], cut, x: Sequence[str], shift: float = 0.0,
+    models: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Multi-day forecast: models per series, horizon and hour, all in one job."""
-    by = [*keys, "horizon", "hour"]
+    """Multi-day forecast: models per series, horizon and hour, all in one job.
+
+    ``models`` names the keys that have models of their own (all); ``()`` pools the series.
+    """
+    by = [*(keys if models is None else models), "horizon", "hour"]
     train, test = split_horizon(features, cut)
-    scored = predict_load(test, fit_load(train, by, x, shift=shift, min_rows=min_rows), by, x, shift)
+    scored = predict_load(test, fit_load(train, by, x, shift=shift), by, x, shift)
     return scored.select(*keys, "horizon", "date", "hour", "load", "prediction")
 
 
@@ -81,19 +84,21 @@ def forecast_long_term(
 
 def backtest(
     df: DataFrame, keys: Sequence[str], x: Sequence[str], by: Sequence[str] = (), y: str = "load",
-    shift: float = 0.0, min_rows: int = 0, unit: str = "month", issued: str = "date",
+    shift: float = 0.0, unit: str = "month", issued: str = "date", models: Sequence[str] | None = None,
 ) -> DataFrame:
     """Walk-forward test: models renewed at the start of each ``unit`` (month, week) from all
     earlier rows, every row scored with the latest model at the time it was issued.
 
-    With several horizons pass ``issued="issue_date"``: a model then never knows
-    targets of the period in which the forecast was made.
+    Every row with known regressors is in the result, also one whose load is not known yet; its prediction is null
+    only where nothing was known before its period.  With several horizons pass ``issued="issue_date"``: a model then
+    never knows targets of the period in which the forecast was made.  ``models`` as in ``forecast_days``.
     """
-    groups = [*keys, *by]
+    groups = [*(keys if models is None else models), *by]
     # the same rows for fit and score, so that both read one preparation
-    rows = drop_incomplete(df.withColumn("fold", F.trunc(issued, unit)), [*groups, "date", "fold", *x])
-    model = fit_folds(rows.withColumn("_target", _target(y, shift)), groups, x, "_target", unit=unit, min_rows=min_rows)
-    return predict_load(rows, model, [*groups, "fold"], x, shift).filter(F.col("prediction").isNotNull())
+    rows = drop_incomplete(df.withColumn("fold", F.trunc(issued, unit)), [*keys, *by, "date", "fold", *x])
+    folds = None if issued == "date" else rows.select(*groups, "fold").distinct()
+    model = fit_folds(rows.withColumn("_target", _target(y, shift)), groups, x, "_target", unit=unit, folds=folds)
+    return predict_load(rows, model, [*groups, "fold"], x, shift)
 
 
 def split_off_weather(
@@ -116,6 +121,3 @@ def attach_actuals(forecast: DataFrame, actuals: DataFrame, on: Sequence[str]) -
     """Forecast with the actuals known so far; hours without one keep a null."""
     return forecast.join(actuals, list(on), "left")
 
-
-def kpi_table(forecast: DataFrame, by: Sequence[str]) -> DataFrame:
-    return kpis(forecast, by)

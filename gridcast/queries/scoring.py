@@ -130,17 +130,16 @@ _MULTI_SQL = f"""{_LEVEL_SQL},
 js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS j),
 multi AS (SELECT a.series_id, a.d AS issue, j, g.d, g.h, load, ln(load + 1) AS y, x
           FROM anchor a CROSS JOIN js JOIN grid g ON g.series_id = a.series_id AND g.d = a.d + (j - 1)),
-model AS (SELECT series_id, j, h, CASE WHEN count(*) >= 7 THEN coalesce(regr_slope(y, x), 0) ELSE 0 END AS b,
-                 CASE WHEN count(*) >= 7 THEN coalesce(regr_intercept(y, x), avg(y)) ELSE avg(y) END AS a
-          FROM multi WHERE d < DATE '{LAST_ISSUE}' GROUP BY 1, 2, 3),
+model AS (SELECT j, h, regr_slope(y, x) AS b, regr_intercept(y, x) AS a
+          FROM multi WHERE d < DATE '{LAST_ISSUE}' GROUP BY 1, 2),
 pred AS (SELECT f.series_id, f.j, f.d, f.h, load, exp(a + b * x) - 1 AS p
-         FROM multi f JOIN model m ON m.series_id = f.series_id AND m.j = f.j AND m.h = f.h
+         FROM multi f JOIN model m ON m.j = f.j AND m.h = f.h
          WHERE f.issue = DATE '{LAST_ISSUE}' AND f.d = DATE '{LAST_ISSUE}' + (f.j - 1))"""
 
 
 def _multi_forecast(spark, folder):
     features = _features(spark, folder, horizons=14)
-    return forecast_days(features, ["series_id"], LAST_ISSUE, ["level"], shift=1.0, min_rows=7)
+    return forecast_days(features, ["series_id"], LAST_ISSUE, ["level"], shift=1.0, models=())
 
 
 @query(
@@ -150,7 +149,7 @@ SELECT series_id, j AS horizon, CAST(d AS VARCHAR) AS date, h AS hour, round(loa
        round(p, 3) AS prediction FROM pred""",
 )
 def multi_horizon_forecast(spark, folder):
-    """14 days ahead, one model per series, horizon and hour, in one job."""
+    """14 days ahead, one model per horizon and hour for all series, in one job."""
     out = _multi_forecast(spark, folder)
     return rounded(rounded(out, 4, "load"), 3, "prediction").withColumn("date", iso("date"))
 
@@ -360,16 +359,16 @@ def climate_share(spark, folder):
 _BACKTEST_SQL = f"""{ORDER_DAYS_SQL},
 x AS (SELECT series_id, d, load, ln(load) AS y, CAST(dayofyear(d) AS DOUBLE) AS doy FROM days),
 folds AS (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS fold FROM x),
-model AS (SELECT series_id, fold, CASE WHEN count(*) >= 12 THEN coalesce(regr_slope(y, doy), 0) ELSE 0 END AS b,
-                 CASE WHEN count(*) >= 12 THEN coalesce(regr_intercept(y, doy), avg(y)) ELSE avg(y) END AS a
+model AS (SELECT series_id, fold, coalesce(regr_slope(y, doy), 0) AS b,
+                 coalesce(regr_intercept(y, doy), avg(y)) AS a
           FROM x JOIN folds ON x.d < folds.fold GROUP BY 1, 2),
-pred AS (SELECT x.series_id, d, load, fold, exp(a + b * doy) AS p
-         FROM x JOIN model m ON m.series_id = x.series_id AND m.fold = CAST(date_trunc('month', d) AS DATE))"""
+pred AS (SELECT x.series_id, d, load, CAST(date_trunc('month', d) AS DATE) AS fold, exp(a + b * doy) AS p
+         FROM x LEFT JOIN model m ON m.series_id = x.series_id AND m.fold = CAST(date_trunc('month', d) AS DATE))"""
 
 
 def _backtest(spark, folder):
     days = order_days(spark, folder).withColumn("doy", F.dayofyear("date").cast("double"))
-    return backtest(days, ["series_id"], ["doy"], min_rows=12)
+    return backtest(days, ["series_id"], ["doy"])
 
 
 @query(
@@ -388,7 +387,7 @@ def backtest_forecast(spark, folder):
     "backtest_kpi",
     f"""WITH {_BACKTEST_SQL},
 daily AS (SELECT series_id, d, sqrt(avg((load - p) ** 2)) AS r, avg(abs(load - p) / load) AS m FROM pred GROUP BY 1, 2)
-SELECT series_id, CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS month, count(*) AS days,
+SELECT series_id, CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS month, count(r) AS days,
        round(avg(r), 2) AS rmse, round(avg(m), 6) AS mape FROM daily GROUP BY 1, 2""",
 )
 def backtest_kpi(spark, folder):
@@ -404,20 +403,19 @@ js AS (SELECT CAST(unnest(generate_series(1, 7)) AS INTEGER) AS j),
 multi AS (SELECT a.series_id, a.d AS issue, j, g.d, g.h, load, ln(load + 1) AS y, x
           FROM anchor a CROSS JOIN js JOIN grid g ON g.series_id = a.series_id AND g.d = a.d + (j - 1)),
 folds AS (SELECT DISTINCT CAST(date_trunc('week', d) AS DATE) AS fold FROM multi),
-model AS (SELECT series_id, j, h, fold, CASE WHEN count(*) >= 7 THEN coalesce(regr_slope(y, x), 0) ELSE 0 END AS b,
-                 CASE WHEN count(*) >= 7 THEN coalesce(regr_intercept(y, x), avg(y)) ELSE avg(y) END AS a
-          FROM multi JOIN folds ON multi.d < folds.fold GROUP BY 1, 2, 3, 4),
-pred AS (SELECT f.series_id, f.j, f.issue, f.d, f.h, load, fold, exp(a + b * x) - 1 AS p
-         FROM multi f JOIN model m ON m.series_id = f.series_id AND m.j = f.j AND m.h = f.h
+model AS (SELECT j, h, fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a
+          FROM multi JOIN folds ON multi.d < folds.fold GROUP BY 1, 2, 3),
+pred AS (SELECT f.series_id, f.j, f.issue, f.d, f.h, load, CAST(date_trunc('week', f.issue) AS DATE) AS fold, exp(a + b * x) - 1 AS p
+         FROM multi f LEFT JOIN model m ON m.j = f.j AND m.h = f.h
               AND m.fold = CAST(date_trunc('week', f.issue) AS DATE))
-SELECT series_id, j AS horizon, CAST(fold AS VARCHAR) AS fold, count(*) AS n,
+SELECT series_id, j AS horizon, CAST(fold AS VARCHAR) AS fold, count(p) AS n,
        round(sqrt(avg((load - p) ** 2)), 3) AS rmse FROM pred GROUP BY 1, 2, 3""",
 )
 def weekly_backtest(spark, folder):
     """Seven horizons, models renewed every week, judged per horizon and week of issue."""
     features = _features(spark, folder, horizons=7)
-    out = backtest(features, ["series_id"], ["level"], by=["horizon", "hour"], shift=1.0, min_rows=7, unit="week",
-                   issued="issue_date")
+    out = backtest(features, ["series_id"], ["level"], by=["horizon", "hour"], shift=1.0, unit="week",
+                   issued="issue_date", models=())
     errors = kpis(out, ["series_id", "horizon", "fold"]).drop("mape")
     return rounded(errors, 3, "rmse").withColumn("fold", iso("fold"))
 

@@ -1,12 +1,14 @@
 import datetime as dt
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
+from gridcast.operators import regression
 from gridcast.operators.boosted import (
     fit_hourly_gbt,
     fit_hourly_linear,
@@ -73,11 +75,38 @@ def test_constant_and_doubled_regressors_get_zero(spark):
     assert math.isclose(r.coef_x0, plain.coef_x0) and math.isclose(r.intercept, plain.intercept)
 
 
-def test_small_groups_fall_back_to_the_mean(spark):
-    df = cloud(spark, n=4, k=1)
-    r = fit_grouped_linear(df, ["g"], ["x0"], "y", min_rows=5).orderBy("g").first()
-    mean = df.filter("g = 'a'").agg(F.avg("y")).first()[0]
-    assert r.coef_x0 == 0 and math.isclose(r.intercept, mean)
+@pytest.mark.parametrize("k", [20, 80])
+def test_wide_tables_match_numpy_and_plan_fast(spark, k):
+    df = cloud(spark, k=k, n=300).withColumn("x1", F.when(F.col("date") > "2020-02-01", F.col("x1")))
+    x = [f"x{j}" for j in range(k)]
+    start = time.perf_counter()
+    model = fit_grouped_linear(df, ["g"], x, "y")
+    model._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < (2 if k == 20 else 10)
+    for r in model.collect():
+        rows = df.filter((F.col("g") == r.g) & F.col("x1").isNotNull()).collect()
+        data = np.array([[1.0, *[row[c] for c in x], row.y] for row in rows])
+        want = np.linalg.lstsq(data[:, :-1], data[:, -1], rcond=None)[0]
+        assert r.n == len(rows) and np.allclose([r.intercept, *[r[f"coef_{c}"] for c in x]], want, atol=1e-6)
+
+
+def test_both_ways_agree(spark, monkeypatch):
+    df = cloud(spark, k=3).withColumns({"c": F.lit(3.0), "twice": F.col("x0") * 2})
+    x = ["x0", "c", "twice", "x1"]
+
+    def tables():
+        folds = spark.createDataFrame([("a", dt.date(2021, 1, 1))], "g string, fold date")
+        return [sorted(map(tuple, m.collect())) for m in (
+            fit_grouped_linear(df, ["g"], x, "y"), fit_folds(df, ["g"], x, "y", folds=folds))]
+
+    narrow = tables()
+    monkeypatch.setattr(regression, "NARROW", 0)
+    monkeypatch.setattr(regression, "HELD", 40)
+    for a, b in zip(narrow, tables(), strict=True):
+        assert len(a) == len(b) > 0
+        for p, q in zip(a, b, strict=True):
+            keys = len([v for v in p if not isinstance(v, float)])
+            assert p[:keys] == q[:keys] and np.allclose(p[keys:], q[keys:], atol=1e-8)
 
 
 def test_log_models_leave_out_unknown_and_non_positive_loads(spark):
@@ -111,7 +140,8 @@ def test_backtest_uses_earlier_months_only(spark):
     train = df.filter("date < '2020-06-01' AND g = 'a'")
     m = fit_grouped_linear(train, ["g"], ["x0"], "y", log=True).first()
     assert math.isclose(out.prediction, math.exp(m.intercept + m.coef_x0 * out.x0), rel_tol=1e-9)
-    assert backtest(df, ["g"], ["x0"], y="y").filter("date < '2020-02-01'").count() == 0
+    early = backtest(df, ["g"], ["x0"], y="y").filter("date < '2020-02-01'")
+    assert early.count() == 62 and early.filter("prediction IS NOT NULL").count() == 0
 
 
 def test_trend_is_exact_on_a_quadratic(spark):
