@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 
 def _minutes(text: Column) -> Column:
+    """Minutes of ``HH:mm``; null for any other text."""
     part = F.split(text, ":")
-    return part[0].cast("int") * 60 + part[1].cast("int")
+    return F.get(part, F.lit(0)).try_cast("int") * 60 + F.get(part, F.lit(1)).try_cast("int")
 
 
 def parse_hour(text: Column) -> Column:
@@ -37,7 +38,7 @@ def parse_clock(text: Column, decimal: bool = False) -> Column:
     """Clock text to a number: ``07:45`` -> 7.45, or 7.75 with ``decimal``."""
     if decimal:
         return _minutes(text) / F.lit(60.0)
-    return F.replace(text, F.lit(":"), F.lit(".")).cast("double")
+    return F.replace(text, F.lit(":"), F.lit(".")).try_cast("double")
 
 
 def feed_stamp(date: Column, hour: Column) -> Column:

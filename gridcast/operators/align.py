@@ -10,20 +10,33 @@ from pyspark.sql import functions as F
 from gridcast.operators.readings import dedup_first
 
 
+def one_per_date(daily: DataFrame) -> DataFrame:
+    """One row per date: of repeated dates the first by ``_line`` (the order of the feed), which is dropped; a table
+    without ``_line`` has no order, and its smallest row stays."""
+    order = ["_line"] if "_line" in daily.columns else [c for c in daily.columns if c != "date"]
+    return dedup_first(daily, ["date"], order).drop("_line")
+
+
 def join_daily(df: DataFrame, daily: DataFrame, on: Sequence[str] = ("date",), how: str = "inner") -> DataFrame:
     """Attach one daily row to every row of its date.
 
-    A table keyed by ``date`` alone is first brought to one row per date (repeated
-    dates keep their smallest row), so it holds at most 366 rows per calendar year
-    and can be broadcast.  A table keyed by series as well grows with the data:
-    Spark picks the join from its size.
+    A table keyed by ``date`` alone is first brought to one row per date (``one_per_date``), so it holds at most 366
+    rows per calendar year and can be broadcast.  A table keyed by series as well grows with the data: Spark picks the
+    join from its size.
     """
     if list(on) == ["date"]:
-        order = [c for c in daily.columns if c != "date"]
-        return df.join(F.broadcast(dedup_first(daily, ["date"], order)), "date", how)
+        return df.join(F.broadcast(one_per_date(daily)), "date", how)
     return df.join(daily, list(on), how)
 
 
+def fill_dates(daily: DataFrame) -> DataFrame:
+    """Every date from the first to the last of a table with one row per date; the other columns of an added date are
+    null.  Windows that count rows need such an axis."""
+    span = daily.agg(F.min("date").alias("a"), F.max("date").alias("b")).where("a IS NOT NULL")
+    axis = span.select(F.explode(F.sequence("a", "b")).alias("date"))
+    return axis.join(daily, "date", "left").select(daily.columns)
+
+
 def row_positions(df: DataFrame, keys: Sequence[str], date: str, order: Sequence[str], out: str = "position") -> DataFrame:
     """0-based position of each row in its series.
 

@@ -97,6 +97,14 @@ def fill_days(
     return days.selectExpr(*names, "_day AS date", *[f"{filled(c)} AS `{c}`" for c in columns], *rest)
 
 
+def fill_profiles(profiles: DataFrame, column: str) -> DataFrame:
+    """Every date from the first to the last of profiles keyed by ``date`` alone; an added day has 24 nulls."""
+    span = profiles.agg(F.min("date").alias("a"), F.max("date").alias("b")).where("a IS NOT NULL")
+    axis = span.select(F.explode(F.sequence("a", "b")).alias("date"))
+    empty = F.expr("array_repeat(CAST(NULL AS DOUBLE), 24)")
+    return axis.join(profiles, "date", "left").select("date", F.coalesce(column, empty).alias(column))
+
+
 def explode_hours(profiles: DataFrame, columns: Sequence[str] = ("load",)) -> DataFrame:
     """Profiles to a panel: one row per hour, array columns become scalars."""
     rest = [f"`{c}`" for c in profiles.columns if c not in columns]

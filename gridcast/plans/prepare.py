@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridcast.functions.clock import day_number
-from gridcast.operators.align import join_daily
+from gridcast.operators.align import fill_dates, join_daily, one_per_date
 from gridcast.operators.daytypes import FOUR_YEARS, add_bridge_days, add_calendar, add_dummies, flag_holidays
 from gridcast.operators.lags import HaloWindow
-from gridcast.operators.profiles import day_profiles, explode_hours, fill_days
+from gridcast.operators.profiles import day_profiles, explode_hours, fill_days, fill_profiles
 from gridcast.operators.readings import (
     dedup_first,
     drop_incomplete,
@@ -26,7 +26,7 @@ from gridcast.plans.features import (
     day_types,
     hourly_features,
 )
-from gridcast.sources.feeds import read_sources
+from gridcast.sources.feeds import LONG_TERM_SEPARATORS, read_sources
 
 KEYS = ["series_id"]
 SLOTS = tuple(f"slot{i}" for i in range(6))
@@ -65,33 +65,48 @@ def published_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name(c) for c in df.columns])
 
 
-def _one_series(df: DataFrame, series: str) -> DataFrame:
-    return df.withColumn("series_id", F.lit(series))
+def _of_series(df: DataFrame, series: str) -> DataFrame:
+    """``series_id`` of the folder the rows come from, else ``series``."""
+    return df if "series_id" in df.columns else df.withColumn("series_id", F.lit(series))
 
 
-def hourly_loads(feed: DataFrame) -> DataFrame:
-    """Ten-minute rows to one load per date and hour; the first of repeated hours wins."""
+def _ten_minutes(feed: DataFrame) -> DataFrame:
     means = on_the_hour(mean_of_slots(feed, SLOTS))
-    first = dedup_first(means.select("date", F.col("hour").cast("int").alias("hour"), "load", "_line"),
-                        ["date", "hour"], ["_line"])
-    return first.drop("_line")
+    return means.select(*KEYS, "date", F.col("hour").cast("int").alias("hour"), "load", "_line")
 
 
-def mixed_loads(feed: DataFrame, series: str) -> DataFrame:
-    """Half-hour rows of the older years and ten-minute rows of the later ones as hourly loads."""
-    full, short = split_by_slot(feed, SLOTS[-1])
-    ten = _one_series(hourly_loads(full), series)
-    half = _one_series(short.select("date", "hour", F.col(SLOTS[0]).alias("load"), "_line"), series)
-    half = dedup_first(half, [*KEYS, "date", "hour"], ["_line"]).drop("_line")
+def hourly_loads(feed: DataFrame, series: str = "all") -> DataFrame:
+    """Ten-minute rows to one load per series, date and hour; the first of repeated hours with a load wins."""
+    return _first_known(_ten_minutes(_of_series(feed, series)), ["_line"]).drop("_line")
+
+
+def _first_known(loads: DataFrame, order: list[str]) -> DataFrame:
+    """The first row per hour by ``order``, rows without a load last."""
+    return dedup_first(loads, [*KEYS, "date", "hour"], [F.col("load").isNull(), *order])
+
+
+def mixed_loads(feed: DataFrame, series: str = "all") -> DataFrame:
+    """Half-hour rows of the older years and ten-minute rows of the later ones as hourly loads.
+
+    Where both feeds have an hour, the half-hour feed, which comes first, wins; an unknown load never does.
+    """
+    full, short = split_by_slot(_of_series(feed, series), SLOTS[-1])
+    ten = _first_known(_ten_minutes(full), ["_line"]).drop("_line")
+    half = short.select(*KEYS, "date", "hour", F.col(SLOTS[0]).alias("load"), "_line")
+    half = _first_known(half, ["_line"]).drop("_line")
     closing = ten.groupBy(*KEYS).agg(F.min_by("load", F.struct("date", "hour")).alias("closing"))
     paired = pair_half_hours(half, KEYS, closing=closing).withColumn("hour", F.col("hour").cast("int"))
-    return dedup_first(union_feeds(paired, ten.select(paired.columns)), [*KEYS, "date", "hour"], ["load"])
+    both = union_feeds(paired.withColumn("_feed", F.lit(0)), ten.select(paired.columns).withColumn("_feed", F.lit(1)))
+    return _first_known(both, ["_feed"]).drop("_feed")
 
 
 def _daily(types: DataFrame, sun: DataFrame) -> DataFrame:
-    """One row per date with day types, off-work probability, bridge flag and sun times."""
-    per_day = dedup_first(types.drop("hour"), ["date"], ["_line"]).drop("_line")
-    return day_types(per_day).join(sun, "date")
+    """One row per date with day types, off-work probability, bridge flag and sun times.
+
+    Neighbours are looked up on a gap-free axis: a day next to an unknown one has no bridge flag of its own making.
+    """
+    per_day = fill_dates(one_per_date(types.drop("hour")))
+    return day_types(per_day).join(one_per_date(sun), "date")
 
 
 def prepare_short_term(
@@ -100,15 +115,17 @@ def prepare_short_term(
 ) -> DataFrame:
     """Feature table of the next-day, multi-day or climate job from the feeds under ``root``.
 
-    Feeds are aligned by date and hour.  Days without sun times or day types drop
-    out with the incomplete rows.  ``until`` adds the days after the last load, up
-    to that date, with a null load: the rows to forecast before actuals exist.
+    Feeds are aligned by date and hour; of repeated rows the first in the files stays, and what follows a missing day
+    is unknown, not shifted.  Days without sun times or day types drop out with the incomplete rows.  ``until`` adds
+    the days after the last load, up to that date, with a null load: the rows to forecast before actuals exist.
+    ``sites=True`` takes one series per folder of load files.
     """
     src = read_sources(spark, root, **options)
-    load = _one_series(hourly_loads(src["load"]), series)
+    load = hourly_loads(src["load"], series)
     end = None if until is None else F.lit(until).cast("date")
     days = fill_days(day_profiles(load, KEYS, {"load": F.col("load")}, how="max"), KEYS, fill="null", end=end)
-    weather = day_profiles(src["temperature"], [], {"temperature": F.col("temperature")}, how="max")
+    hourly = dedup_first(src["temperature"], ["date", "hour"], ["_line"])
+    weather = fill_profiles(day_profiles(hourly, [], {"temperature": F.col("temperature")}, how="max"), "temperature")
     daily = _daily(src["daytype"], src["sun"])
     if kind == "day_ahead":
         plan = dict(temperature_lags=DAY_AHEAD_TEMPERATURE_LAGS)
@@ -128,23 +145,24 @@ def prepare_long_term(
 ) -> DataFrame:
     """Feature table of the three-year job: history and future hours up to ``until``.
 
-    Future hours have load 0.  Loads under ``low`` dated before ``low_before`` are
-    taken for outages and dropped.
+    The future begins after a series' last reading and has load 0; it needs sun times and temperatures, which may
+    reach beyond the last load file.  Loads under ``low`` dated before ``low_before`` are taken for outages and
+    dropped.
     """
-    src = read_sources(spark, root, kinds=("load", "sun", "temperature"), hourly_temperature=False, **options)
+    options = {"separators": LONG_TERM_SEPARATORS, **options}
+    src = read_sources(spark, root, kinds=("load", "sun", "temperature"), hourly_temperature=False, ahead=True, **options)
     load = mixed_loads(src["load"], series)
     profiles = day_profiles(load, KEYS, {"load": F.col("load")}, how="max")
-    hours = explode_hours(fill_days(profiles, KEYS, fill="null", end=F.lit(until).cast("date")))
-    last = load.agg(F.max("date")).scalar()
-    known = hours.withColumn("_last", last)
-    future = F.when(F.col("date") > F.col("_last"), F.coalesce("load", F.lit(0.0))).otherwise(F.col("load"))
-    hours = known.withColumn("load", future).drop("_last")
+    # the days that the fill adds after a series' last reading are the future
+    marked = profiles.withColumn("_last", F.max("date").over(Window.partitionBy(*KEYS)))
+    hours = explode_hours(fill_days(marked, KEYS, fill="null", end=F.lit(until).cast("date")))
+    future = F.when(F.col("date") > F.col("_last"), F.lit(0.0)).otherwise(F.col("load"))
+    hours = hours.withColumn("load", future).drop("_last")
 
-    days = dedup_first(src["temperature"], ["date"], ["temperature"])
+    days = fill_dates(one_per_date(src["temperature"]))
     lags = {f"temperature_lag{k}": (lambda w, k=k: F.lag("temperature", k).over(w)) for k in range(1, 5)}
     daily = HaloWindow([], day_number(F.col("date")), FOUR_YEARS, before=4).select(days, lags)
-    daily = daily.join(src["sun"], "date")
-    daily = add_bridge_days(daily, F.weekday("date").isin(5, 6))
+    daily = add_bridge_days(daily, F.weekday("date").isin(5, 6)).join(one_per_date(src["sun"]), "date")
     daily = flag_holidays(add_dummies(add_calendar(daily)))
     rows = drop_incomplete(join_daily(hours, daily))
     return drop_outliers(rows, "load", low, low_before)

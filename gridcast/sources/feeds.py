@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from gridcast.functions.clock import parse_clock, parse_day, parse_hour
 
-# Separator of each kind of feed (a regular expression).
-SEPARATORS = {"load": r"\s+", "sun": r"\s*;\s*|\s{2,}", "temperature": r"\s*;\s*|\s{2,}", "daytype": r"\s+"}
+# Separator of each kind of feed (a regular expression).  Two spaces part the fields of the short-term
+# feeds, so an empty field keeps its place; the long-term feeds have single spaces, or semicolons.
+SEPARATORS = {"load": " {2}", "sun": " {2}", "temperature": " {2}", "daytype": " {2}"}
+LONG_TERM_SEPARATORS = {"load": r"\s+", "sun": ";", "temperature": ";"}
 
 # Columns of the day-type feed after date and hour.
 DAYTYPE_COLUMNS = ("august", "christmas", "bank_holiday", "school", "variable")
@@ -31,9 +33,10 @@ def _named(df: DataFrame) -> DataFrame:
     )
 
 
-def list_feeds(spark: SparkSession, root: str) -> DataFrame:
-    """``kind, year`` of every feed file under ``root`` (file contents are not read)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*_[0-9][0-9][0-9][0-9].txt").load(root)
+def list_feeds(spark: SparkSession, root: str, sites: bool = False) -> DataFrame:
+    """``kind, year`` of every feed file in ``root`` (``sites``: and in the folders under it); no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*_[0-9][0-9][0-9][0-9].txt").option(
+        "recursiveFileLookup", str(sites).lower()).load(root)
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(
         F.regexp_extract(name, _NAME, 1).alias("kind"),
@@ -59,26 +62,41 @@ def coverage(years: DataFrame) -> DataFrame:
     )
 
 
-def within_coverage(df: DataFrame, years: DataFrame) -> DataFrame:
-    """Rows whose ``year`` lies in the range that all kinds of ``years`` share."""
+def within_coverage(df: DataFrame, years: DataFrame, ahead: bool = False) -> DataFrame:
+    """Rows whose ``year`` lies in the range that all kinds of ``years`` share; with ``ahead`` also later years."""
     per_kind = years.groupBy("kind").agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
     start, end = per_kind.agg(F.max("lo")).scalar(), per_kind.agg(F.min("hi")).scalar()
-    return df.filter((F.col("year") >= start) & (F.col("year") <= end))
+    return df.filter(F.col("year") >= start if ahead else (F.col("year") >= start) & (F.col("year") <= end))
 
 
-def read_fields(spark: SparkSession, root: str, kind: str, separator: str | None = None) -> DataFrame:
+def read_fields(
+    spark: SparkSession, root: str, kind: str, separator: str | None = None, sites: bool = False
+) -> DataFrame:
     """Rows of one kind as an array of fields, in ``_line`` order within a file.
 
-    ``_line`` orders the rows of a kind as they stand in its files, year by year:
-    block start within the file, then running number within the block.
+    ``_line`` orders the rows of a kind as they stand in its files, year by year: block start within the file, then
+    running number within the block.  With ``sites`` the files lie in one folder per site under ``root``, and
+    ``series_id`` is the folder's name: one scan for all sites.
     """
-    text = spark.read.option("pathGlobFilter", f"{kind}_[0-9][0-9][0-9][0-9].txt").text(root)
+    reader = spark.read.option("pathGlobFilter", f"{kind}_[0-9][0-9][0-9][0-9].txt")
+    text = reader.option("recursiveFileLookup", str(sites).lower()).text(root)
     lines = _named(text.select("value", "_metadata")).withColumn(
         "_line", F.struct("year", F.col("_metadata.file_block_start").alias("block"),
                           F.monotonically_increasing_id().alias("row"))
     )
-    fields = F.split(F.trim("value"), separator or SEPARATORS.get(kind, r"\s+"))
-    return lines.filter(F.length(F.trim("value")) > 0).select(fields.alias("fields"), "kind", "year", "_line")
+    site = [F.element_at(F.split("_metadata.file_path", "/"), -2).alias("series_id")] if sites else []
+    fields = F.transform(F.split("value", separator or SEPARATORS.get(kind, " {2}")), lambda f: F.trim(f))
+    return lines.filter(F.length(F.trim("value")) > 0).select(fields.alias("fields"), "kind", "year", "_line", *site)
+
+
+def rejected_lines(parsed: DataFrame) -> DataFrame:
+    """``lines`` of a parsed feed and how many have no readable date or hour; such lines belong to no day, and every
+    unreadable value is null."""
+    unread = F.lit(False)
+    for c in ("date", "hour"):
+        if c in parsed.columns:
+            unread = unread | F.col(c).isNull()
+    return parsed.agg(F.count(F.lit(1)).alias("lines"), F.count(F.when(unread, 1)).alias("rejected"))
 
 
 def _field(i: int):
@@ -91,8 +109,9 @@ def _number(i: int):
 
 def parse_load(fields: DataFrame, slots: int = 6, hour24: str = "same_day") -> DataFrame:
     """``date, hour, slot0..`` from ``dd/MM/yyyy HH:mm v v v ...``; missing slots are null."""
-    day, text = F.to_date(_field(0), "dd/MM/yyyy"), _field(1)
+    day, text = F.try_to_date(_field(0), "dd/MM/yyyy"), _field(1)
     return fields.select(
+        *[c for c in fields.columns if c == "series_id"],
         parse_day(day, text, hour24).alias("date"),
         parse_hour(text).alias("hour"),
         *[_number(2 + i).alias(f"slot{i}") for i in range(slots)],
@@ -103,8 +122,8 @@ def parse_load(fields: DataFrame, slots: int = 6, hour24: str = "same_day") -> D
 def parse_sun(fields: DataFrame, decimal: bool = False) -> DataFrame:
     names = {"sun_rise": 1, "sun_down": 2, "sun_last": 3}
     return fields.select(
-        F.to_date(_field(0), "yyyy-MM-dd").alias("date"),
-        *[parse_clock(_field(i), decimal).alias(n) for n, i in names.items()],
+        F.try_to_date(_field(0), "yyyy-MM-dd").alias("date"),
+        *[parse_clock(_field(i), decimal).alias(n) for n, i in names.items()], "_line",
     )
 
 
@@ -112,7 +131,7 @@ def parse_temperature(fields: DataFrame, hourly: bool = True) -> DataFrame:
     """Hourly: ``date hour temperature`` by position; daily: ``date temperature``."""
     date = F.coalesce(F.try_to_date(_field(0), "dd/MM/yyyy"), F.try_to_date(_field(0), "yyyy-MM-dd"))
     if not hourly:
-        return fields.select(date.alias("date"), _number(1).alias("temperature"))
+        return fields.select(date.alias("date"), _number(1).alias("temperature"), "_line")
     return fields.select(
         date.alias("date"), F.floor(parse_hour(_field(1))).cast("int").alias("hour"),
         _number(2).alias("temperature"), "_line",
@@ -131,14 +150,16 @@ def read_sources(
     spark: SparkSession, root: str, kinds: Sequence[str] = ("load", "sun", "temperature", "daytype"),
     hourly_temperature: bool = True, hour24: str = "same_day",
     separators: Mapping[str, str] | None = None, prefixes: Mapping[str, str] | None = None,
+    sites: bool = False, ahead: bool = False,
 ) -> dict[str, DataFrame]:
     """All feeds under ``root``, parsed, cut to the years that every kind covers.
 
-    ``prefixes`` gives the file name before ``_<yyyy>.txt`` of a kind where it
-    differs from the kind itself.
+    ``prefixes`` gives the file name before ``_<yyyy>.txt`` of a kind where it differs from the kind itself.  With
+    ``sites`` the load files lie in one folder per site; sun, temperature and day types are shared and lie in
+    ``root``.  With ``ahead`` the shared range has no end: weather may reach beyond the last load.
     """
     prefix = {kind: (prefixes or {}).get(kind, kind) for kind in kinds}
-    years = list_feeds(spark, root).filter(F.col("kind").isin(*prefix.values()))
+    years = list_feeds(spark, root, sites).filter(F.col("kind").isin(*prefix.values()))
     parse = {
         "load": lambda f: parse_load(f, hour24=hour24),
         "sun": parse_sun,
@@ -147,7 +168,7 @@ def read_sources(
     }
     out = {}
     for kind in kinds:
-        separator = (separators or {}).get(kind, SEPARATORS.get(kind))
-        fields = read_fields(spark, root, prefix[kind], separator)
-        out[kind] = parse[kind](within_coverage(fields, years))
+        separator = (separators or SEPARATORS).get(kind, SEPARATORS.get(kind))
+        fields = read_fields(spark, root, prefix[kind], separator, sites and kind == "load")
+        out[kind] = parse[kind](within_coverage(fields, years, ahead))
     return out

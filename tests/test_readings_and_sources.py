@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gridcast.operators.align import join_daily, row_positions, zip_by_position
+from gridcast.operators.align import fill_dates, join_daily, row_positions, zip_by_position
 from gridcast.operators.readings import (
     dedup_first,
     drop_incomplete,
@@ -15,7 +15,17 @@ from gridcast.operators.readings import (
     split_by_slot,
     union_feeds,
 )
-from gridcast.sources.feeds import coverage, list_feeds, parse_load, read_fields, read_sources
+from gridcast.sources.feeds import (
+    LONG_TERM_SEPARATORS,
+    coverage,
+    list_feeds,
+    parse_daytype,
+    parse_load,
+    parse_sun,
+    read_fields,
+    read_sources,
+    rejected_lines,
+)
 from gridcast.sources.store import read_prepared_csv, read_table, write_table
 
 SLOTS = [f"slot{i}" for i in range(6)]
@@ -81,7 +91,7 @@ def test_lines_keep_file_order(spark, tmp_path):
     write(tmp_path, "load_2014.txt", text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     try:
-        rows = parse_load(read_fields(spark, str(tmp_path), "load"), slots=1)
+        rows = parse_load(read_fields(spark, str(tmp_path), "load", LONG_TERM_SEPARATORS["load"]), slots=1)
         got = [r.slot0 for r in rows.orderBy("_line").collect()]
         first = dedup_first(rows, ["date", "hour"], ["_line"]).first().slot0
     finally:
@@ -91,10 +101,50 @@ def test_lines_keep_file_order(spark, tmp_path):
 
 def test_semicolon_feed_with_daily_temperature(spark, tmp_path):
     write(tmp_path, "temperature_2014.txt", "2014-01-01;9.5\n2014-01-02;8.25\n")
-    out = read_sources(spark, str(tmp_path), kinds=("temperature",), hourly_temperature=False)["temperature"]
+    out = read_sources(spark, str(tmp_path), kinds=("temperature",), hourly_temperature=False,
+                       separators=LONG_TERM_SEPARATORS)["temperature"]
     assert [(str(r.date), r.temperature) for r in out.orderBy("date").collect()] == [("2014-01-01", 9.5), ("2014-01-02", 8.25)]
 
 
+def test_empty_fields_keep_their_place(spark, tmp_path):
+    write(tmp_path, "daytype_2014.txt", "01/01/2014  00:00  0    100  0  0\n")
+    write(tmp_path, "load_2014.txt", "01/01/2014  00:00  1  2    4  5  6\n01/01/2014  01:00  1  2  3\n")
+    day = parse_daytype(read_fields(spark, str(tmp_path), "daytype")).first()
+    assert (day.august, day.christmas, day.bank_holiday, day.school) == (0.0, None, 100.0, 0.0)
+    rows = parse_load(read_fields(spark, str(tmp_path), "load")).orderBy("hour").collect()
+    assert [tuple(r[c] for c in SLOTS) for r in rows] == [(1.0, 2.0, None, 4.0, 5.0, 6.0), (1.0, 2.0, 3.0, None, None, None)]
+    full, short = split_by_slot(parse_load(read_fields(spark, str(tmp_path), "load")), "slot5")
+    assert (full.count(), short.count()) == (1, 1)
+
+
+def test_unreadable_lines_are_counted_and_end_no_job(spark, tmp_path):
+    write(tmp_path, "load_2014.txt", "01/01/2014  00:00  1  x  3\nnonsense\n32/01/2014  00:00  1\n01/01/2014  ab:00  1\n")
+    write(tmp_path, "sun_2014.txt", "2014-01-01  07:45  16:59  --\n2014-13-01  07:45  16:59  09:14\n")
+    loads = parse_load(read_fields(spark, str(tmp_path), "load"))
+    assert tuple(rejected_lines(loads).first()) == (4, 3)
+    good = loads.filter("date IS NOT NULL AND hour IS NOT NULL").first()
+    assert (good.slot0, good.slot1, good.slot2) == (1.0, None, 3.0)
+    sun = parse_sun(read_fields(spark, str(tmp_path), "sun"))
+    assert tuple(rejected_lines(sun).first()) == (2, 1)
+    assert sun.filter("date IS NOT NULL").first().sun_last is None
+
+
+def test_one_folder_per_site(spark, tmp_path):
+    for site, value in (("north", 10), ("south", 20)):
+        (tmp_path / site).mkdir()
+        write(tmp_path / site, "load_2014.txt", f"01/01/2014  00:00  {value}  {value}\n")
+    write(tmp_path, "sun_2014.txt", "2014-01-01  07:45  16:59  09:14\n")
+    loads = read_sources(spark, str(tmp_path), kinds=("load", "sun"), sites=True)["load"]
+    assert sorted((r.series_id, r.slot0) for r in loads.collect()) == [("north", 10.0), ("south", 20.0)]
+
+
+def test_dates_are_filled(spark):
+    rows = [(dt.date(2014, 1, d), float(d)) for d in (1, 2, 5)]
+    got = fill_dates(spark.createDataFrame(rows, "date date, v double")).orderBy("date").collect()
+    assert [(r.date.day, r.v) for r in got] == [(1, 1.0), (2, 2.0), (3, None), (4, None), (5, 5.0)]
+    assert fill_dates(spark.createDataFrame(rows, "date date, v double").filter("false")).count() == 0
+
+
 def test_mixed_feed_is_told_apart_by_the_last_slot(spark, feeds):
     rows = parse_load(read_fields(spark, feeds, "load").filter("year = 2014"))
     full, short = split_by_slot(rows, "slot5")
