@@ -59,3 +59,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     if kept.count() > 2 * rows:
         raise ValueError("the sample of labels is over its bound")
     return docs.select(key, F.col(text).alias("text")).join(F.broadcast(kept), key)
+
+
+#: Rows that go to Python at a time.  Documents and their token arrays are long: the default of 10,000 rows can be
+#: hundreds of megabytes on either side.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches are small; a session that sets their size itself keeps it."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(setting, None) is None:
+        conf.set(setting, str(BATCH_ROWS))
+    return df

@@ -17,6 +17,7 @@ are kept for the next time.  The compiled model is sent to the executors once; e
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -28,14 +29,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridcast.llm.common import small_batches
+
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-#: Words whose paths a worker keeps, and seams between pieces.
-WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 400_000, 1_000_000, 64
+#: Words whose paths a worker keeps (twice as many with those of the generation before), and seams between pieces.
+WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 250_000, 500_000, 64
+#: Characters whose ids a task holds at a time, but for a single longer text.
+CHUNK_CHARS = 1 << 20
 INFINITE = float("inf")
+#: A state of the trie of pieces: the piece that ends here, if any, and the next states by character.
+Node = tuple[int | None, dict]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -114,14 +121,20 @@ class Transducer:
         self.weights = [-p[1] for p in spec.pieces]
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
         self.words: dict[str, tuple[int, ...]] = {}
-        self.seams: dict[tuple[int, int], bool] = {}
-        self.trie: dict = {}
-        for k, (text, _, kind) in enumerate(spec.pieces):
-            if kind in (NORMAL, USER) and text and (not self.bpe or len(self._merged(text)) == 1):
-                node = self.trie
-                for char in text:
-                    node = node.setdefault(char, {})
-                node[""] = k
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.seams: dict[int, bool] = {}
+        self.inner = {pair for text in self.scores for pair in zip(text, text[1:], strict=False)}
+        whole = {p[0]: k for k, p in enumerate(spec.pieces)
+                 if p[2] in (NORMAL, USER) and p[0] and (not self.bpe or len(self._merged(p[0])) == 1)}
+        starts: dict[str, set[str]] = {}  # the characters that may follow a start of a piece
+        for text in whole:
+            for n in range(len(text)):
+                starts.setdefault(text[:n], set()).add(text[n])
+
+        def node(start: str) -> Node:
+            return whole.get(start), {char: node(start + char) for char in starts.get(start, ())}
+
+        self.trie = node("")[1]
 
     # -- normaliser -----------------------------------------------------------
 
@@ -179,21 +192,22 @@ class Transducer:
         last: list[int | None] = [None] * (size + 1)
         before = [0] * (size + 1)
         for start in range(size):
-            left, node, end = last[start], trie, start
+            left, following, end = last[start], trie, start
             for char in word[start:]:
-                node = node.get(char)
+                node = following.get(char)
                 if node is None:
                     break
                 end += 1
-                label = node.get("")
+                label, following = node
                 if label is None or last[end] is not None:
                     continue
                 if left is not None:
-                    holds = seams.get((left, label))
+                    pair = (left << 32) + label
+                    holds = seams.get(pair)
                     if holds is None:
                         if len(seams) >= SEAMS_KEPT:
                             seams.clear()
-                        holds = seams[left, label] = self.seam_holds(left, label)
+                        holds = seams[pair] = self.seam_holds(left, label)
                     if not holds:
                         continue
                 last[end], before[end] = label, start
@@ -207,13 +221,13 @@ class Transducer:
         size = len(word)
         cost, last, before = [0.0] + [INFINITE] * size, [None] * (size + 1), [0] * (size + 1)
         for start in range(size):
-            node, here = self.trie, cost[start]
+            following, here = self.trie, cost[start]
             single = False
             for end, char in enumerate(word[start:], start + 1):
-                node = node.get(char)
+                node = following.get(char)
                 if node is None:
                     break
-                label = node.get("")
+                label, following = node
                 if label is not None:
                     single = single or end == start + 1
                     if here + self.weights[label] < cost[end]:
@@ -249,19 +263,40 @@ class Transducer:
         line = self.normalised(text or "")
         if not self.by_words:
             return np.array(self._emitted(self.shortest_path(line)), np.int32)
-        words, out = self.words, []
+        out: list[int] = []
         # a word is its marks and what follows up to the next mark
         for word in WORD.findall(line):
-            ids = words.get(word)
-            if ids is None:
-                ids = self._emitted(self.shortest_path(word))
-                if len(word) <= LONGEST_KEPT:
-                    if len(words) >= WORDS_KEPT:
-                        words.clear()
-                    words[word] = ids
-            out += ids
+            ids = self.words.get(word)
+            out += self._kept(word) if ids is None else ids
         return np.array(out, np.int32)
 
+    def _kept(self, word: str) -> tuple[int, ...]:
+        """Ids of a word that was not seen yet.  Between two characters that stand together in no piece there is always
+        a seam: the stretches between such seams, like a stem and its punctuation, are composed and kept each."""
+        inner, parts, start = self.inner, [], 0
+        for end, pair in enumerate(zip(word, word[1:], strict=False), 1):
+            if pair not in inner:
+                parts.append(word[start:end])
+                start = end
+        if not parts:
+            ids = self.older.get(word)
+            return self._remembered(word, self._emitted(self.shortest_path(word)) if ids is None else ids)
+        parts.append(word[start:])
+        found = []
+        for part in parts:
+            ids = self.words.get(part)
+            found.append(self._kept(part) if ids is None else ids)
+        if not self.spec.byte_fallback and any(self.unknown in ids for ids in found):
+            return self._emitted(self.shortest_path(word))  # neighbouring unknown characters are one
+        return tuple(itertools.chain.from_iterable(found))
+
+    def _remembered(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(word) <= LONGEST_KEPT:
+            if len(self.words) >= WORDS_KEPT:
+                self.words, self.older = {}, self.words
+            self.words[word] = ids
+        return ids
+
     def decode(self, ids) -> str:
         """The text of ids; bytes that are not UTF-8 become replacement characters, control ids are silent."""
         texts, byte_of = self.texts, self.byte_of
@@ -290,27 +325,39 @@ def load(path: str) -> Transducer:
         return Transducer(read_spec(file.read()))
 
 
-ENCODED = T.StructType([
-    T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Stretches of neighbouring rows with about ``CHUNK_CHARS`` characters each, one row at least."""
+    start = held = 0
+    for end, size in enumerate(sizes, 1):
+        held += size
+        if held >= CHUNK_CHARS:
+            yield start, end
+            start, held = end, 0
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
-def encoded(docs: DataFrame, model: Transducer, text: str = "text", into: str = "__pieces") -> DataFrame:
-    """``docs`` with the struct ``into`` in front: ids, and whether decoding them gives the text back.
+def encoded(docs: DataFrame, model: Transducer, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The ``keys`` of every row with its ids, and ``round_trip``: whether decoding gives the text back.
 
     A null text has no ids and goes back to the empty text; one with the mark U+2581 itself comes back with a space.
-    Repeated rows each get a result; an empty table gives an empty one; further columns stay as they are.
+    Repeated rows each get a result; an empty table gives an empty one; further columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = small_batches(docs).select(*keys, F.col(text).alias("__text"))
 
-    @F.pandas_udf(ENCODED)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         transducer = shared.value
         for batch in batches:
-            ids = [transducer.encode(x) for x in batch]
-            back = [transducer.decode(k) == (x or "") for k, x in zip(ids, batch, strict=True)]
-            yield pd.DataFrame({"ids": ids, "round_trip": back})
+            texts = [x if x is not None else "" for x in batch.pop("__text")]
+            for start, end in _chunks([len(x) for x in texts]):
+                ids = [transducer.encode(x) for x in texts[start:end]]
+                back = [transducer.decode(k) == x for k, x in zip(ids, texts[start:end], strict=True)]
+                yield batch.iloc[start:end].assign(ids=ids, round_trip=back)
 
-    return docs.select(encode(F.col(text)).alias(into), *[F.col(f"`{c}`") for c in docs.columns])
+    fields = [f for f in rows.schema.fields if f.name != "__text"]
+    return rows.mapInPandas(encode, T.StructType([
+        *fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]))
 
 
 def decoded(rows: DataFrame, model: Transducer, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -322,4 +369,4 @@ def decoded(rows: DataFrame, model: Transducer, ids: str = "ids", into: str = "d
         for batch in batches:
             yield pd.Series([shared.value.decode(x if x is not None else []) for x in batch], dtype=object)
 
-    return rows.select(decode(F.col(ids)).alias(into), *[F.col(f"`{c}`") for c in rows.columns])
+    return small_batches(rows).select(decode(F.col(ids)).alias(into), *[F.col(f"`{c}`") for c in rows.columns])

@@ -145,5 +145,4 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 @query("op2_sentencepiece")
 def sentencepiece_ids(spark, folder):
     found = pieces.encoded(table(spark, folder, "documents"), pieces.load(PIECE_MODEL))
-    ids = F.col("__pieces.ids")
-    return found.select("doc_id", ids.alias("ids"), F.size(ids).cast("long").alias("n_ids"), "__pieces.round_trip")
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")

@@ -48,6 +48,13 @@ def test_kept_words_change_nothing(model, library, monkeypatch):
     assert model.encode(text).tolist() == library.encode(text)
 
 
+@pytest.mark.parametrize("sizes", [[], [0], [5], [3, 3, 3], [10, 1, 1, 10, 0]])
+def test_chunks_hold_every_row(monkeypatch, sizes):
+    monkeypatch.setattr(pieces, "CHUNK_CHARS", 5)
+    spans = list(pieces._chunks(sizes))
+    assert [i for a, b in spans for i in range(a, b)] == list(range(len(sizes))) and all(a < b for a, b in spans)
+
+
 def test_unknown_bytes_decode(model):
     assert model.decode([model.byte_ids[0xFF], 1, 2, 0]) == "�"
 
@@ -94,10 +101,10 @@ def test_odd_rows(docs_of, model, library):
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "é日😀"), (4, "long text " * 200_000), (5, "a▁b")]
     docs = docs_of(rows)
     found = pieces.encoded(docs, model)
-    assert found.columns == ["__pieces", *docs.columns]
-    got = sorted((str(r.doc_id), r["__pieces"].ids, r["__pieces"].round_trip) for r in found.collect())
+    assert found.columns == ["doc_id", "ids", "round_trip"]
+    got = sorted((str(r.doc_id), r.ids, r.round_trip) for r in found.collect())
     assert got == sorted((str(k), library.encode(t or ""), k != 5) for k, t in rows)
-    back = pieces.decoded(found.select("__pieces.ids", "doc_id"), model).collect()
+    back = pieces.decoded(found, model).collect()
     assert sorted((str(r.doc_id), r.decoded) for r in back) == sorted((str(k), (t or "").replace("▁", " ")) for k, t in rows)
     assert pieces.encoded(docs.where("false"), model).collect() == []
 
