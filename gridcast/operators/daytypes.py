@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.functions.clock import day_number
@@ -34,26 +34,26 @@ def holiday_dimension(years: DataFrame) -> DataFrame:
     return days.distinct()
 
 
-def year_range(spark: SparkSession, first: int, last: int) -> DataFrame:
-    return spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
-
-
 def flag_holidays(
-    df: DataFrame, years: tuple[int, int] | None = None, date: str = "date", out: str = "holiday"
+    df: DataFrame, years: DataFrame | None = None, date: str = "date", out: str = "holiday"
 ) -> DataFrame:
     """0/1 holiday flag.
 
-    With a year range, by join with the holiday dimension (broadcast: at most 11
-    rows per calendar year).  Without one, by the calendar rule of the row's own
-    year, which needs no join and no pass over the data to find the range.
+    With ``years(year)``, by join with the holiday dimension of these years (broadcast: at most 11 rows per calendar
+    year); they must be those of ``df`` (``years_of``).  Without, by the calendar rule of the row's own year, which
+    needs no join and no pass over the data to find the years.
     """
     if years is None:
         return df.withColumn(out, is_holiday(F.col(date)).cast("int"))
-    dim = holiday_dimension(year_range(df.sparkSession, *years))
-    dim = F.broadcast(dim.select(F.col("date").alias(date), F.lit(1).alias(out)))
+    dim = F.broadcast(holiday_dimension(years).select(F.col("date").alias(date), F.lit(1).alias(out)))
     return df.join(dim, date, "left").withColumn(out, F.coalesce(out, F.lit(0)))
 
 
+def years_of(df: DataFrame, date: str = "date") -> DataFrame:
+    """The distinct years of a table, one row each."""
+    return df.select(F.year(date).alias("year")).where("year IS NOT NULL").distinct()
+
+
 def off_work_probability(
     weekday: Column, christmas: Column, august: Column, bank_holiday: Column, school: Column
 ) -> Column:

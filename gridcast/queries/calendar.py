@@ -14,6 +14,7 @@ from gridcast.operators.daytypes import (
     flag_holidays,
     holiday_dimension,
     off_work_probability,
+    years_of,
 )
 from gridcast.operators.lags import HaloWindow
 from gridcast.operators.smooth import temperature_profile
@@ -122,7 +123,8 @@ FROM days LEFT JOIN holidays ON holidays.d = days.d""",
 )
 def holiday_flags(spark, folder):
     """Holiday flag by join with the holiday dimension."""
-    out = flag_holidays(order_days(spark, folder), years=(1990, 2030))
+    days = order_days(spark, folder)
+    out = flag_holidays(days, years_of(days))
     return rounded(out, 4, "load").select("series_id", iso("date").alias("date"), "load", "holiday")
 
 

@@ -238,26 +238,64 @@ def multi_day_features(spark, folder):
                       "mean_24h", *_M_T)
 
 
-@query("noise_horizon")
+# Noise is random, but some facts of it are not: none before horizon 7; from there on mean and variance within five
+# standard errors of 0 and of horizon - 6.
+@query(
+    "noise_horizon",
+    f"""WITH {TEMPERATURE_SQL},
+js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS horizon),
+ends AS (SELECT max(d) AS last FROM temps)
+SELECT horizon, (SELECT count(DISTINCT d) FROM temps) * 24 - (horizon - 1) * 24 AS n, 1 AS mean_fits, 1 AS variance_fits,
+       round(avg(temperature), 6) AS temperature
+FROM js JOIN temps ON temps.d >= (SELECT min(d) FROM temps) + (horizon - 1) GROUP BY 1""",
+)
 def noise_horizon(spark, folder):
     """C17: moments of the temperature noise per horizon (variance grows from horizon 7 on)."""
     days = temperature_profiles(spark, folder).withColumn("site", F.lit(0))
     spread = spread_horizons(days, ["site"], ["temperature"], 14)
     hours = explode_hours(spread, ("temperature",))
-    noise = horizon_noise(F.col("horizon"), 1304, F.col("date"), F.col("hour"))
-    noisy = hours.withColumns({"noise": noise, "noisy": F.col("temperature") + noise})
-    return noisy.groupBy("horizon").agg(
+    noisy = hours.withColumn("noise", horizon_noise(F.col("horizon"), 1304, F.col("date"), F.col("hour")))
+    out = noisy.groupBy("horizon").agg(
         F.count(F.lit(1)).alias("n"), F.avg("noise").alias("mean"), F.var_pop("noise").alias("variance"),
-        F.avg("noisy").alias("temperature"),
-    )
+        F.avg("temperature").alias("temperature"))
+    steps = F.greatest(F.col("horizon") - 6, F.lit(0))
+    return rounded(out.select(
+        "horizon", "n", (F.abs("mean") <= 5 * F.sqrt(steps / F.col("n"))).cast("int").alias("mean_fits"),
+        (F.abs(F.col("variance") - steps) <= 5 * steps * F.sqrt(2 / F.col("n"))).cast("int").alias("variance_fits"),
+        "temperature"), 6, "temperature")
 
 
-@query("multi_day_noised_features")
+@query(
+    "multi_day_noised_features",
+    f"""WITH {grid_sql()}, {TEMPERATURE_SQL}, {_WIDE_SQL},
+js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS horizon),
+tlags AS (SELECT d, h, {", ".join(f"lag(temperature, {k}) OVER (ORDER BY t) AS temperature_lag{k}"
+                                 for k in MULTI_DAY_TEMPERATURE_LAGS)} FROM temps)
+SELECT horizon, count(*) AS n, round(avg(mean_24h), 6) AS mean_24h,
+       CASE WHEN horizon < 7 THEN round(avg(temperature_lag3), 6) END AS temperature_lag3, 1 AS noise_fits
+FROM lags l CROSS JOIN js JOIN grid g ON g.series_id = l.series_id AND g.d = l.d + (horizon - 1)
+JOIN stats s ON s.series_id = l.series_id AND s.d = l.d
+JOIN tlags u ON u.d = g.d AND u.h = g.h
+WHERE lag337 IS NOT NULL AND temperature_lag99 IS NOT NULL AND mean_48h IS NOT NULL GROUP BY 1""",
+)
 def multi_day_noised(spark, folder):
-    """C17, M3: the 14-horizon feature table with weather noise from horizon 7 on."""
-    out = hourly_features(load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder),
-                          horizons=14, temperature_lags=MULTI_DAY_TEMPERATURE_LAGS, noise_seed=1304, dummies=False)
-    return out.groupBy("horizon").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("temperature_lag3").alias("temperature_lag3"),
-        F.stddev("temperature_lag3").alias("spread"), F.avg("mean_24h").alias("mean_24h"),
-    )
+    """C17, M3: the 14-horizon feature table with weather noise from horizon 7 on, next to the one without."""
+
+    def table_of(seed):
+        return hourly_features(load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder),
+                               horizons=14, temperature_lags=MULTI_DAY_TEMPERATURE_LAGS, noise_seed=seed, dummies=False)
+
+    key = ["series_id", "issue_date", "horizon", "date", "hour"]
+    clean = table_of(None).select(*key, F.col("temperature_lag3").alias("clean"))
+    both = table_of(1304).select(*key, "temperature_lag3", "mean_24h").join(clean, key)
+    out = both.groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("mean_24h").alias("mean_24h"), F.avg("temperature_lag3").alias("t"),
+        F.avg(F.col("temperature_lag3") - F.col("clean")).alias("mean"),
+        F.var_pop(F.col("temperature_lag3") - F.col("clean")).alias("variance"))
+    steps = F.greatest(F.col("horizon") - 6, F.lit(0))
+    # all series share the weather, and with it the noise of an hour only by chance: the rows count as hours
+    fits = (F.abs("mean") <= 5 * F.sqrt(5 * steps / F.col("n"))) & (
+        F.abs(F.col("variance") - steps) <= 5 * steps * F.sqrt(10 / F.col("n")))
+    return rounded(out.select(
+        "horizon", "n", "mean_24h", F.when(F.col("horizon") < 7, F.col("t")).alias("temperature_lag3"),
+        fits.cast("int").alias("noise_fits")), 6, "mean_24h", "temperature_lag3")

@@ -131,3 +131,25 @@ SHIP_DAYS_SQL = """
 ships AS (SELECT CAST(l_shipdate AS DATE) AS d, avg(l_quantity) AS temperature, min(l_quantity) AS sun_rise,
                  max(l_quantity) AS sun_down, count(*) AS sun_last
           FROM lineitem GROUP BY 1)"""
+
+
+def least_squares_sql(source: str, keys: str, k: int) -> str:
+    """CTEs up to ``solved``: least squares of ``y`` on ``x0..`` per group by elimination, columns ``c0..`` and ``c``
+    (the intercept)."""
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    moments = ", ".join([f"avg(x{i}) AS m{i}, covar_pop(x{i}, y) AS b{i}" for i in range(k)]
+                        + [f"covar_pop(x{i}, x{j}) AS a{i}_{j}" for i, j in pairs])
+    out = [f"e0 AS (SELECT {keys}, count(*) AS n, avg(y) AS my, {moments} FROM {source} GROUP BY {keys})"]
+    for p in range(k - 1):
+        rest = [(i, j) for i, j in pairs if i > p]
+        changes = [f"a{i}_{j} - a{p}_{i} * a{p}_{j} / a{p}_{p} AS a{i}_{j}" for i, j in rest]
+        changes += [f"b{i} - a{p}_{i} * b{p} / a{p}_{p} AS b{i}" for i in range(p + 1, k)]
+        out.append(f"e{p + 1} AS (SELECT * REPLACE ({', '.join(changes)}) FROM e{p})")
+    last = f"e{k - 1}"
+    for p in reversed(range(k)):
+        known = "".join(f" - a{p}_{j} * c{j}" for j in range(p + 1, k))
+        out.append(f"s{p} AS (SELECT *, (b{p}{known}) / a{p}_{p} AS c{p} FROM {last})")
+        last = f"s{p}"
+    level = "my" + "".join(f" - c{i} * m{i}" for i in range(k))
+    out.append(f"solved AS (SELECT *, {level} AS c FROM {last})")
+    return ",\n".join(out)

@@ -21,6 +21,7 @@ from gridcast.operators.daytypes import (
     add_calendar,
     add_dummies,
     flag_holidays,
+    years_of,
     off_work_probability,
 )
 
@@ -86,7 +87,7 @@ def test_known_movable_holidays(spark):
             "2015-11-19", "2015-12-08", "2015-04-06"]
     df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "date date")
     flags = [r.holiday for r in flag_holidays(df).orderBy("date").collect()]
-    joined = [r.holiday for r in flag_holidays(df, years=(2014, 2017)).orderBy("date").collect()]
+    joined = [r.holiday for r in flag_holidays(df, years_of(df)).orderBy("date").collect()]
     by_date = dict(zip(sorted(days), flags, strict=True))
     assert by_date.pop("2015-04-06") == 0 and all(by_date.values())
     assert flags == joined
