@@ -2,9 +2,14 @@
 
 A window partitioned by a series alone sends that series to one task.  Here the
 time axis is cut into buckets, rows near a bucket edge are copied to the
-neighbouring bucket that needs them (the halo), and the copies are dropped after
-the window.  With ``width`` much larger than the longest lag the copies stay a
-few percent.
+neighbouring bucket that needs them (the halo), rows are dealt by series and
+bucket (also where they were dealt by series before), and the copies are dropped
+after the window.  With ``width`` much larger than the longest lag the copies
+stay a few percent.
+
+Windows count rows: the axis must have no gap (``fill_days``, ``fill_dates``).
+Where day profiles are at hand, ``hour_lags`` takes hourly lags from the day
+history instead, on 24 times fewer rows.
 """
 
 from __future__ import annotations
@@ -40,6 +45,8 @@ class HaloWindow:
         wide = df.withColumn("_step", self.step)
         spread = F.sequence(self._bucket(step - self.after), self._bucket(step + self.before))
         wide = wide.withColumn("_bucket", F.explode(spread))
+        if self.keys:
+            wide = wide.repartition(*self.keys, "_bucket")
         w = Window.partitionBy(*self.keys, "_bucket").orderBy("_step")
         wide = wide.withColumns({name: build(w) for name, build in columns.items()})
         wide = wide.filter(F.col("_bucket") == self._bucket(step))

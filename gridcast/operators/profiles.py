@@ -145,6 +145,17 @@ def hours_before(past: str, n: int | str) -> str:
     return f"try_element_at({past}, -({n} + 24))"
 
 
+def hour_lags(profiles: DataFrame, keys: Sequence[str], column: str, lags: Sequence[int]) -> DataFrame:
+    """The hourly panel of gap-free profiles with ``<column>_lag<k>``, the value ``k`` hours earlier.
+
+    The window runs over days; hours are exploded last.
+    """
+    past = profiles.withColumn("_past", history(column, keys, days_needed(max(lags))))
+    hours = explode_hours(past, (column,))
+    out = [f"{hours_before('_past', f'{k} - hour')} AS `{column}_lag{k}`" for k in lags]
+    return hours.selectExpr(*[f"`{c}`" for c in hours.columns if c != "_past"], *out)
+
+
 def days_needed(hours: int) -> int:
     return -(-hours // 24)
 

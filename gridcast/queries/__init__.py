@@ -4,7 +4,7 @@
 same name to a SQL text over the same tables, where SQL can say it.
 """
 
-from gridcast.queries import calendar, grid, hourly, learned, longterm, scoring  # noqa: F401
+from gridcast.queries import calendar, grid, hourly, learned, longterm, scoring, storage  # noqa: F401
 from gridcast.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

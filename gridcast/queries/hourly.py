@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.noise import horizon_noise
 from gridcast.operators.lags import add_lags
 from gridcast.operators.origins import LOAD_LAGS, OFFSET, add_origin_lags, spread_horizons
-from gridcast.operators.profiles import array_stats, explode_hours, lag_days
+from gridcast.operators.profiles import array_stats, explode_hours, hour_lags, lag_days
 from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.smooth import smooth_savgol
 from gridcast.plans.features import DAY_AHEAD_TEMPERATURE_LAGS, MULTI_DAY_TEMPERATURE_LAGS, hourly_features
@@ -51,9 +51,8 @@ SELECT series_id, CAST(d AS VARCHAR) AS date, h AS hour, round(load, 4) AS load,
        round(l24, 4) AS load_lag24, round(l168, 4) AS load_lag168 FROM lagged""",
 )
 def load_lags_by_user(spark, folder):
-    """Hourly lags on a large panel, in bucketed windows with halo rows."""
-    panel = load_panel(spark, folder, "user_id")
-    out = add_lags(panel, ["series_id"], ["load"], [1, 24, 168], width=24 * 14)
+    """Hourly lags on a large panel, from the day history."""
+    out = hour_lags(load_profiles(spark, folder, "user_id"), ["series_id"], "load", [1, 24, 168])
     return rounded(out, 4, "load", "load_lag1", "load_lag24", "load_lag168").withColumn("date", iso("date"))
 
 

@@ -48,8 +48,10 @@ def readings(spark: SparkSession, folder: str, key: str = "event_type") -> DataF
 
 
 def event_span(spark: SparkSession, folder: str) -> tuple[Column, Column]:
+    """First and last date of all events, from one aggregate."""
     days = table(spark, folder, "events").select(F.col("ts").cast("date").alias("d"))
-    return days.agg(F.min("d")).scalar(), days.agg(F.max("d")).scalar()
+    span = days.agg(F.struct(F.min("d").alias("first"), F.max("d").alias("last")).alias("span")).scalar()
+    return span["first"], span["last"]
 
 
 def load_profiles(spark: SparkSession, folder: str, key: str = "event_type", fill: str = "zero") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridcast.operators.kpi import importance_share, kpi_rollup, kpis, modal_value, monthly_kpis
-from gridcast.operators.lags import add_lags
+from gridcast.operators.profiles import hour_lags
 from gridcast.operators.regression import fit_grouped_linear
 from gridcast.operators.splits import split_day, split_horizon, split_long_term, split_window
 from gridcast.plans.features import hourly_features
@@ -238,7 +238,7 @@ known AS (SELECT * FROM naive WHERE p IS NOT NULL)"""
 
 
 def _naive(spark, folder):
-    lagged = add_lags(load_panel(spark, folder), ["series_id"], ["load"], [168])
+    lagged = hour_lags(load_profiles(spark, folder), ["series_id"], "load", [168])
     return lagged.withColumnRenamed("load_lag168", "prediction").filter("prediction IS NOT NULL")
 
 

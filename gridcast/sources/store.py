@@ -19,6 +19,34 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "o
     spread(df, tuple(by)).write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def write_feed(lines: DataFrame, root: str, kind: str) -> None:
+    """Text feeds ``<root>/<series_id>/<kind>_<year>.txt`` from ``series_id, year, line``, in the order of ``line``.
+
+    A feed is one file per site and year, so that many rows meet in one task.  Spark writes them next to the feeds;
+    the driver then gives the files their names.
+    """
+    spark = lines.sparkSession
+    fresh = f"{root}/_written-{kind}"
+    dealt = lines.repartition("series_id", "year").sortWithinPartitions("series_id", "year", "line")
+    dealt.write.partitionBy("series_id", "year").text(fresh)
+    paths = spark._jvm.org.apache.hadoop.fs
+    base = paths.Path(fresh)
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    for site in files.listStatus(base):
+        name = site.getPath().getName()
+        if not name.startswith("series_id="):
+            continue
+        home = paths.Path(root, name.partition("=")[2])
+        files.mkdirs(home)
+        for year in files.listStatus(site.getPath()):
+            parts = [p.getPath() for p in files.listStatus(year.getPath()) if p.getPath().getName().startswith("part-")]
+            if len(parts) != 1:
+                raise ValueError(f"{len(parts)} files for {year.getPath()}")
+            number = year.getPath().getName().partition("=")[2]
+            files.rename(parts[0], paths.Path(home, f"{kind}_{number}.txt"))
+    files.delete(base, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Filters on the folder columns (year, horizon, hour) prune files."""
     return spark.read.parquet(path)
