@@ -7,6 +7,7 @@ distance, and an annulus into blocks by hash, so a block is small however many e
 
 A query first searches one block around itself.  Its k-th score there bounds how far the rest can lie; the search
 expands to the annuli, pivot by pivot, whose distances the triangle inequality does not rule out, and stops there.
+A block gives only what reaches that k-th score.
 Query and block meet by key (pivot, annulus, block), the queries of a block in parts, so a task holds one block and
 one part.  Bounds have a margin for rounding; scores are exact integers.
 
@@ -85,8 +86,11 @@ def fit_pivots(points: np.ndarray, count: int, rounds: int = 4) -> np.ndarray:
     return pivots
 
 
-def best_in_block(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's k best of a block by (score, smaller id), the query's own id left out."""
+def best_in_block(
+    queries: np.ndarray, query_ids: np.ndarray, least: np.ndarray, block: np.ndarray, ids: np.ndarray, k: int,
+) -> pd.DataFrame:
+    """Each query's k best of a block by (score, smaller id), the query's own id left out, and nothing under ``least``:
+    the query's k-th score elsewhere (NaN: not known)."""
     if not len(queries) or not len(block):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
     exact = np.abs(queries).max(initial=0) * np.abs(block).max(initial=0) * queries.shape[1] < 2 ** 53
@@ -96,6 +100,9 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray,
     shown = np.where(allowed, scores, low)
     place = min(k, shown.shape[1]) - 1
     cut = -np.partition(-np.maximum(shown, low + 1), place, axis=1)[:, place]
+    # a score beyond 2^53 may have been rounded up on its way
+    floor = np.where(np.abs(least) < 2 ** 53, least, np.nextafter(least, -np.inf))
+    cut = np.where(np.isnan(least), cut, np.maximum(cut, np.nan_to_num(floor).astype(np.int64)))
     row, column = np.nonzero(allowed & (shown >= cut[:, None]))
     order = np.lexsort((ids[column], -scores[row, column], row))
     row, column = row[order], column[order]
@@ -108,7 +115,7 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray,
 def _search(space: Space, k: int):
     def run(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         return best_in_block(space.matrix(queries["v"]), queries["query_id"].to_numpy(np.int64),
-                             space.matrix(block["v"]), block["vec_id"].to_numpy(np.int64), k)
+                             queries["least"].to_numpy(float), space.matrix(block["v"]), block["vec_id"].to_numpy(np.int64), k)
 
     return run
 
@@ -121,7 +128,7 @@ def _searched(pairs: DataFrame, queries: DataFrame, index: DataFrame, space: Spa
     parts = pairs.groupBy(*BLOCK).agg(F.ceil(F.count(F.lit(1)) / part_size).cast("int").alias("parts"))
     cell = [*BLOCK, "part"]
     left = (pairs.join(parts, BLOCK).withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int"))
-            .join(queries, "query_id").select(*[F.col(c).alias(c) for c in (*cell, "query_id", "v")]))
+            .join(queries, "query_id").select(*[F.col(c).alias(c) for c in (*cell, "query_id", "v", "least")]))
     right = index.join(parts, BLOCK).select(
         *BLOCK, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "vec_id", "v")
     return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_search(space, k), FOUND)
@@ -144,7 +151,7 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     space = Space(dims, largest, np.zeros((1, dims + 1)))
     pivots = int(min(PIVOTS, max(1, np.ceil(np.sqrt(n / block_size)))))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().to_pandas()
     space = Space(dims, largest, fit_pivots(space.lifted(space.matrix(sample["v"]), False), pivots))
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,10 +177,11 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
     asked = index.where(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), F.struct("v", *BLOCK).alias("own"))
     queries = checkpointed(asked.groupBy("query_id").agg(F.min("own").alias("own")).select("query_id", "own.*"))
-    vectors_of = queries.select("query_id", "v")
-    first = checkpointed(_searched(queries.select("query_id", *BLOCK), vectors_of, index, space, k, part_size))
+    unbounded = queries.select("query_id", "v", F.lit(None).cast("double").alias("least"))
+    first = checkpointed(_searched(queries.select("query_id", *BLOCK), unbounded, index, space, k, part_size))
     known = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
-    bounded = queries.join(known.select("query_id", "least"), "query_id", "left")
+    bounded = checkpointed(queries.select("query_id", "v").join(
+        known.select("query_id", F.col("least").cast("double").alias("least")), "query_id", "left"))
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -186,13 +194,13 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
             yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(np.int64), far.shape[1]), "pivot": which,
                                 "low": (far - radius[:, None]).ravel(), "high": (far + radius[:, None]).ravel()})
 
-    spans = bounded.select("query_id", "v", "least").mapInPandas(reach, "query_id bigint, pivot int, low double, high double")
+    spans = bounded.mapInPandas(reach, "query_id bigint, pivot int, low double, high double")
     open_rings = rounds.select("pivot", "annulus", "near", "most", "chunks")
     pairs = (
         spans.join(open_rings, "pivot").where("near <= high AND most >= low")
         .select("query_id", "pivot", "annulus", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
         .join(queries.select("query_id", *BLOCK).withColumn("done", F.lit(True)), ["query_id", *BLOCK], "left_anti")
     )
-    rest = _searched(pairs, vectors_of, index, space, k, part_size)
+    rest = _searched(pairs, bounded, index, space, k, part_size)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return first.union(rest).withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
