@@ -1,0 +1,92 @@
+"""The pipeline against its stages by hand, and on planted documents."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as pipeline
+from gridcast.llm import langid, queries, toxicity
+from gridcast.llm.common import fold, table
+
+from .test_packing import check
+from .test_simhash import groups_by_hand
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages():
+    assert [name for name, _ in pipeline.STAGES] == ["language id", "toxicity", "simhash near-dedup", "packing"]
+    assert pipeline.ORACLE_SQL is None and pipeline.PIPELINE_QUERIES == {"pipeline": pipeline.run}
+
+
+def by_hand(spark, docs, folder):
+    """Rows that each stage keeps, from the models' Python side alone."""
+    profiles = langid.learn(docs.where(fold("doc_id", 4) != 2))
+    rows = docs.collect()
+    known = []
+    for r in rows:
+        lang, score = profiles.predict(r.text)
+        if lang != "und" and score >= pipeline.LEAST_SCORE:
+            known.append(r)
+    left = spark.createDataFrame(known, docs.schema)
+    model = queries.toxicity_model(left, table(spark, folder, "labels"))
+    tokens = {r.doc_id: np.array(r.t, int) for r in left.select(
+        "doc_id", toxicity.token_buckets(F.col("text"), len(model.scores)).alias("t")).collect()}
+    clean = [r for r in known if not len(tokens[r.doc_id]) or model.score(model.passages(tokens[r.doc_id])[0]) < 0.5]
+    named = groups_by_hand([(r.doc_id, r.text) for r in clean])
+    firsts = {component for _, _, component in named}
+    return known, clean, [r for r in clean if r.doc_id in firsts]
+
+
+def test_whole_run_by_hand(spark, small):
+    docs = table(spark, small, "documents")
+    assert docs.columns == COLUMNS
+    known, clean, kept = by_hand(spark, docs, small)
+    assert len(docs.collect()) >= len(known) >= len(clean) > len(kept) > 0
+    now = docs
+    for (_, stage), want in zip(pipeline.STAGES[:3], (known, clean, kept), strict=True):
+        now = stage(spark, now, small)
+        assert now.columns == COLUMNS
+        assert sorted(map(tuple, now.collect())) == sorted(map(tuple, want))
+    out = pipeline.run(spark, small).collect()
+    check(out, len(kept), 32768, 16)
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in kept)
+
+
+@pytest.fixture
+def planted(spark, small):
+    """Real documents and, among them, copies, gibberish, and rows with nulls."""
+    docs = table(spark, small, "documents")
+    longest = docs.where("length(text) > 3000").orderBy("doc_id").first()
+    words = longest.text.split(" ")
+    words[len(words) // 2] += "x"
+    rng = random.Random(8)
+    foreign = " ".join("".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(9)) for _ in range(80))
+    extra = [(9001, longest.text, "en", "s", 1), (9002, longest.text, None, None, None), (9003, " ".join(words), "en", "s", 1),
+             (9004, foreign, None, "s", 1), (9005, "%%% 123 ###", None, "s", 1), (9006, None, "en", "s", 1), (9007, "", "en", "s", 1)]
+    return docs, longest, docs.union(spark.createDataFrame(extra, docs.schema))
+
+
+def test_planted_documents(spark, small, planted):
+    docs, longest, all_docs = planted
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+    known = pipeline.identified(spark, all_docs, small)
+    assert ids(all_docs) - ids(known) == {9004, 9005, 9006, 9007}  # foreign script, no letters, no text; clean ones stay
+    one = pipeline.without_near_copies(spark, known, small)
+    assert longest.doc_id in ids(one) and not ids(one) & {9001, 9002, 9003}
+
+
+def test_empty_documents(spark, small):
+    now = table(spark, small, "documents").where("false")
+    for _, stage in pipeline.STAGES:
+        now = stage(spark, now, small)
+        assert now.collect() == []
+
+
+def test_extra_columns_stay(spark, small):
+    docs = table(spark, small, "documents").limit(60).selectExpr("*", "1 AS score", "'x' AS fingerprint", "2 AS component_id")
+    for _, stage in pipeline.STAGES[:3]:
+        docs = stage(spark, docs, small)
+        assert docs.columns == [*COLUMNS, "score", "fingerprint", "component_id"] and docs.count() > 0
