@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridcast.llm.common import small_batches
+
 BLANK, SHIFT, TOP = 32, 21, 0x110000
 #: Parts of a text's code points that are counted at a time, so a very long text needs no more memory.
 CHUNK = 1 << 20
 #: Distinct n-grams that a task holds before it passes its counts on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 Counts = tuple[np.ndarray, np.ndarray]
 NONE: Counts = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -143,7 +145,7 @@ def learn(docs: DataFrame, size: int = 400, text: str = "text", lang: str = "lan
           max_languages: int = 4096) -> Profiles:
     """Profiles from every row with text and language.  Over ``max_languages`` languages raise an error: their
     profiles are sent to all tasks, and must be few."""
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = small_batches(docs).select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     counts = rows.mapInPandas(_count_tasks, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
@@ -153,7 +155,7 @@ def learn(docs: DataFrame, size: int = 400, text: str = "text", lang: str = "lan
 
     salted = counts.withColumn("salt", F.pmod(F.xxhash64("gram"), F.lit(salts)))
     top = first(first(salted, "lang", "salt"), "lang").select("lang", "gram", "place")
-    found = top.limit(size * max_languages + 1).toPandas()
+    found = top.limit(size * max_languages + 1).toArrow().to_pandas()
     if len(found) > size * max_languages:
         raise ValueError(f"over {max_languages} languages")
     found = found.sort_values(["lang", "place"])
@@ -178,4 +180,4 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", into: str
     Null texts, empty texts and texts without a letter are ``und`` with score 0.  Repeated rows each get a result; an
     empty table gives an empty one.  Only the text is an input of the prediction.
     """
-    return docs.select(predicted(F.col(text), profiles).alias(into), *[F.col(f"`{c}`") for c in docs.columns])
+    return small_batches(docs).select(predicted(F.col(text), profiles).alias(into), *[F.col(f"`{c}`") for c in docs.columns])

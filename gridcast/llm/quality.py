@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import ASCII_SPACE
+from gridcast.llm.common import ASCII_SPACE, small_batches
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -82,7 +82,7 @@ def measured(docs: DataFrame, text: str = "text", into: str = "__stats") -> Data
         for batch in batches:
             yield pd.DataFrame([statistics(x) for x in batch], columns=list(COUNTS), dtype="int64")
 
-    return docs.select(measure(F.col(text)).alias(into), *[F.col(f"`{c}`") for c in docs.columns])
+    return small_batches(docs).select(measure(F.col(text)).alias(into), *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def feature(name: str, stats: str = "__stats") -> Column:
@@ -225,7 +225,7 @@ def learned_rules(labelled: DataFrame, label: str = "quality", text: str = "text
     """``learn`` over the statistics of the (bounded) labelled rows that pass the base rules, the only ones that the
     list decides; ordered by key hash, so that a run repeats."""
     stats = measured(labelled.where(F.col(label).isin(0, 1)), text).where(~base_failed())
-    frame = stats.select(F.xxhash64(key).alias("order"), F.col(label).alias("label"), "__stats.*").toPandas()
+    frame = stats.select(F.xxhash64(key).alias("order"), F.col(label).alias("label"), "__stats.*").toArrow().to_pandas()
     frame = frame.sort_values(list(frame.columns)).drop(columns=["order"])
     return learn(frame, "label", **how)
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import ascii_lower, checkpointed, space_words
+from gridcast.llm.common import ascii_lower, checkpointed, small_batches, space_words
 
 BITS = 64
 
@@ -64,7 +64,7 @@ def _majority(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def fingerprints(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     """(key, fp) of every row: the 64 bits as a signed integer; a null or wordless text has 0."""
-    worded = docs.select(F.col(key).alias("key"), space_words(ascii_lower(F.col(text))).alias("words"))
+    worded = small_batches(docs).select(F.col(key).alias("key"), space_words(ascii_lower(F.col(text))).alias("words"))
     hashed = worded.select("key", shingle_hashes(F.col("words"), shingle).alias("hashes"))
     return hashed.select("key", _majority("hashes").alias("fp"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import checkpointed
+from gridcast.llm.common import checkpointed, small_batches
 
 #: Runs of ASCII characters that are neither letters nor digits part the tokens.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -155,7 +155,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: s
     Without a toxic or a clean row no token scores, and every document gets a score under one half.
     """
     rows = checkpointed(
-        labelled.where(F.col(label).isin(0, 1)).select(
+        small_batches(labelled).where(F.col(label).isin(0, 1)).select(
             F.col(label).alias("toxic"), F.col(half).cast("int").alias("half"),
             token_buckets(F.col(text), buckets).alias("tokens"))
     )
@@ -220,5 +220,5 @@ def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "__tox
             yield pd.DataFrame(out, columns=["score", "n_tokens", "passages"])
 
     own = [F.col(f"`{c}`") for c in docs.columns]
-    tokens = docs.select(token_buckets(F.col(text), len(model.scores)).alias(f"{into}_tokens"), *own)
+    tokens = small_batches(docs).select(token_buckets(F.col(text), len(model.scores)).alias(f"{into}_tokens"), *own)
     return tokens.select(judge(f"{into}_tokens").alias(into), *own)
