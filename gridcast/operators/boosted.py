@@ -7,14 +7,16 @@ submitted together, so small ones share the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridcast.operators.readings import drop_incomplete
@@ -159,13 +161,52 @@ def importances(df: DataFrame, models: dict, features: Sequence[str]) -> DataFra
     return df.sparkSession.createDataFrame(rows, f"{schema}, feature string, importance double")
 
 
-def learning_curves(df: DataFrame, models: dict, features: Sequence[str], y: str) -> DataFrame:
-    """``[horizon,] hour, round, loss`` of each model on ``df`` (mean squared error of ``ln(y)``)."""
+def log_losses(df: DataFrame, models: dict, features: Sequence[str], y: str) -> dict:
+    """For each model the mean squared error of ``ln(y)`` after every round, the loss that training lowers."""
     by = _by(models)
     ready = stage(with_log_target(df, features, y).select(*by, "features", "label"), by=by)
-    rows = []
+    return {key: list(model.evaluateEachIteration(_rows_of(ready, key), "squared")) for key, model in sorted(models.items())}
+
+
+def learning_curves(df: DataFrame, models: dict, features: Sequence[str], y: str) -> DataFrame:
+    """``[horizon,] hour, round, loss`` of each model on ``df``: the RMSE of ``y`` in its own units after every round.
+
+    Each tree adds one column; tasks add up the rounds of their rows with numpy, and one row per round and task is
+    shuffled.
+    """
+    by = _by(models)
+    ready = stage(with_log_target(df, features, y).select(*by, "features", F.col(y).cast("double").alias("_y")), by=by)
+
+    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                steps = np.cumsum(np.stack(batch["_steps"]), axis=1)
+                squares = (batch["_y"].to_numpy(float)[:, None] - np.exp(steps)) ** 2
+                yield pd.DataFrame({"round": np.arange(1, steps.shape[1] + 1, dtype="int32"),
+                                    "n": len(batch), "squares": squares.sum(axis=0)})
+
+    parts = []
     for key, model in sorted(models.items()):
-        losses = model.evaluateEachIteration(_rows_of(ready, key), "squared")
-        rows += [(*(key if isinstance(key, tuple) else (key,)), i + 1, float(v)) for i, v in enumerate(losses)]
-    schema = ", ".join(f"{c} int" for c in by)
-    return df.sparkSession.createDataFrame(rows, f"{schema}, round int, loss double")
+        rows, steps = _rows_of(ready, key), []
+        for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights, strict=True)):
+            rows = tree.setPredictionCol(f"_p{i}").transform(rows)
+            steps.append(F.col(f"_p{i}") * float(weight))
+        curve = rows.select("_y", F.array(*steps).alias("_steps")).mapInPandas(errors, "round int, n bigint, squares double")
+        curve = curve.groupBy("round").agg(F.sqrt(F.sum("squares") / F.sum("n")).alias("loss"))
+        names = [F.lit(v).alias(c) for c, v in zip(by, key if isinstance(key, tuple) else (key,), strict=True)]
+        parts.append(curve.select(*names, "round", "loss"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def best_rounds(curves: DataFrame, by: Sequence[str] = ("hour",), patience: int = 100) -> DataFrame:
+    """``by, round, loss``: the round where training stops being worth it.
+
+    Going up the rounds, the search ends when ``patience`` rounds in a row have not lowered the least loss so far; the
+    round of that least loss is the result.  A curve has one row per round, so the window is as long as the training.
+    """
+    so_far = Window.partitionBy(*by).orderBy("round")
+    least = curves.withColumn("_least", F.min("loss").over(so_far))
+    first = least.withColumn("_at", F.min("round").over(Window.partitionBy(*by, "_least").orderBy("round")))
+    waited = first.withColumn("_out", F.max((F.col("round") - F.col("_at") >= patience).cast("int")).over(so_far))
+    return waited.where("_out = 0 AND loss = _least AND round = _at").groupBy(*by).agg(
+        F.max("round").alias("round"), F.min("loss").alias("loss"))

@@ -10,6 +10,7 @@ from gridcast.operators.boosted import (
     fit_hourly_linear,
     importances,
     learning_curves,
+    log_losses,
     score_hourly,
 )
 from gridcast.operators.kpi import kpis
@@ -28,7 +29,7 @@ FIRST_ROUNDS = 3
 @query(
     "gbt_first_rounds",
     f"""WITH {grid_sql()}
-SELECT h AS hour, 1 AS models, 1 AS shares_add_up, 1 AS loss_falls, 1 AS reads_back,
+SELECT h AS hour, 1 AS models, 1 AS shares_add_up, 1 AS loss_falls, 1 AS curve_fits, 1 AS reads_back,
        count(*) FILTER (WHERE d = DATE '2024-01-25') AS predicted FROM grid GROUP BY 1""",
 )
 def gbt_first_rounds(spark, folder):
@@ -43,15 +44,19 @@ def gbt_first_rounds(spark, folder):
     save_models(models, path)
     loaded = load_models(GBTRegressionModel, path, models)
     shares = importances(train, loaded, features).groupBy("hour").agg(F.sum("importance").alias("s"))
-    loss = learning_curves(train, models, features, "load").groupBy("hour").agg(
-        F.max_by("loss", "round").alias("last"), F.min_by("loss", "round").alias("first"))
+    curves = learning_curves(train, models, features, "load")
+    last = kpis(score_hourly(train.where("load > 0"), models, features), ["hour"]).select("hour", "rmse")
+    fits = curves.where(F.col("round") == FIRST_ROUNDS).join(last, "hour").select(
+        "hour", (F.abs(F.col("loss") - F.col("rmse")) <= 1e-9 * (1 + F.col("rmse"))).cast("int").alias("curve_fits"))
+    falls = [(hour, int(losses == sorted(losses, reverse=True))) for hour, losses in log_losses(train, models, features, "load").items()]
+    loss = fits.join(spark.createDataFrame(falls, "hour int, loss_falls int"), "hour")
     scored = score_hourly(test, models, features).groupBy("hour").agg(F.count("prediction").alias("predicted"))
     again = score_hourly(test, loaded, features).groupBy("hour").agg(F.sum("prediction").alias("b"))
     once = score_hourly(test, models, features).groupBy("hour").agg(F.sum("prediction").alias("a"))
     out = shares.join(loss, "hour").join(scored, "hour").join(once, "hour").join(again, "hour")
     return out.select(
         "hour", F.lit(1).alias("models"), (F.abs(F.col("s") - 1) < 1e-9).cast("int").alias("shares_add_up"),
-        (F.col("last") <= F.col("first")).cast("int").alias("loss_falls"),
+        "loss_falls", "curve_fits",
         (F.abs(F.col("a") - F.col("b")) <= 1e-9 * F.abs("a")).cast("int").alias("reads_back"), "predicted")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridcast.operators import regression
 from gridcast.operators.boosted import (
+    best_rounds,
     fit_hourly_gbt,
     fit_hourly_linear,
     hour_settings,
@@ -327,7 +328,17 @@ def test_boosted_models_per_hour(spark, tmp_path):
     assert a == b and len(a) == 2 * 90 * 2
     plain = fit_hourly_gbt(df, features, "load", hours=[3], maxIter=4, maxDepth=3, stepSize=0.5)
     curves = learning_curves(df, plain, features, "load").orderBy("round").collect()
-    assert curves[-1].loss < curves[0].loss
+    assert curves[-1].loss < curves[0].loss and [r["round"] for r in curves] == [1, 2, 3, 4]
+    last = kpis(score_hourly(df.filter("hour = 3"), plain, features)).first()
+    assert math.isclose(curves[-1].loss, last.rmse, rel_tol=1e-9)  # in units of the load
+
+
+def test_training_stops_after_waiting_in_vain(spark):
+    losses = {1: [9, 5, 6, 7, 4, 4, 8], 2: [5, 4, 3, 2, 1], 3: [2, 3, 3, 3, 1]}
+    rows = [(h, i + 1, float(v)) for h, ls in losses.items() for i, v in enumerate(ls)]
+    curves = spark.createDataFrame(rows, "hour int, round int, loss double")
+    got = {r.hour: (r["round"], r.loss) for r in best_rounds(curves, patience=3).collect()}
+    assert got == {1: (5, 4.0), 2: (5, 1.0), 3: (1, 2.0)}
 
 
 def test_boosted_models_per_horizon_and_hour(spark, tmp_path):
