@@ -122,7 +122,8 @@ class Transducer:
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
         self.words: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.seams: dict[int, bool] = {}
+        self.seams: dict[int, dict[int, bool]] = {}  # left piece, right piece
+        self.seams_kept = 0
         self.inner = {pair for text in self.scores for pair in zip(text, text[1:], strict=False)}
         whole = {p[0]: k for k, p in enumerate(spec.pieces)
                  if p[2] in (NORMAL, USER) and p[0] and (not self.bpe or len(self._merged(p[0])) == 1)}
@@ -180,6 +181,14 @@ class Transducer:
         a = self._text(left)
         return bool(self._merged(a + self._text(right), len(a)))
 
+    def _new_seam(self, left: int, right: int) -> bool:
+        self.seams_kept += 1
+        if self.seams_kept > SEAMS_KEPT:
+            for known in self.seams.values():
+                known.clear()
+            self.seams_kept = 1
+        return self.seam_holds(left, right)
+
     # -- shortest path ----------------------------------------------------------
 
     def shortest_path(self, word: str) -> list[int]:
@@ -193,6 +202,7 @@ class Transducer:
         before = [0] * (size + 1)
         for start in range(size):
             left, following, end = last[start], trie, start
+            holds_after = seams.setdefault(left, {}) if left is not None else None
             for char in word[start:]:
                 node = following.get(char)
                 if node is None:
@@ -201,13 +211,10 @@ class Transducer:
                 label, following = node
                 if label is None or last[end] is not None:
                     continue
-                if left is not None:
-                    pair = (left << 32) + label
-                    holds = seams.get(pair)
+                if holds_after is not None:
+                    holds = holds_after.get(label)
                     if holds is None:
-                        if len(seams) >= SEAMS_KEPT:
-                            seams.clear()
-                        holds = seams[pair] = self.seam_holds(left, label)
+                        holds = holds_after[label] = self._new_seam(left, label)
                     if not holds:
                         continue
                 last[end], before[end] = label, start
@@ -288,7 +295,7 @@ class Transducer:
             found.append(self._kept(part) if ids is None else ids)
         if not self.spec.byte_fallback and any(self.unknown in ids for ids in found):
             return self._emitted(self.shortest_path(word))  # neighbouring unknown characters are one
-        return tuple(itertools.chain.from_iterable(found))
+        return self._remembered(word, tuple(itertools.chain.from_iterable(found)))
 
     def _remembered(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(word) <= LONGEST_KEPT:

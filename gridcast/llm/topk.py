@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import checkpointed
 
-#: Vectors of the sample that pivots are fitted on, and pivots, at most.
-SAMPLE, PIVOTS = 4096, 256
+#: Vectors of the sample that pivots are fitted on, pivots, and annuli of a pivot, at most.  Beyond, annuli hold more
+#: blocks.  The table of annulus bounds is sent to all tasks: PIVOTS rows of RINGS numbers.
+SAMPLE, PIVOTS, RINGS = 4096, 256, 1024
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -161,7 +162,7 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
             yield batch.assign(pivot=own.astype("int32"), far=far[np.arange(len(batch)), own])
 
     placed = checkpointed(vectors.mapInPandas(keyed, "vec_id bigint, v array<bigint>, pivot int, far double"))
-    rings = int(np.ceil(n / (pivots * block_size)))
+    rings = int(min(RINGS, np.ceil(n / (pivots * block_size))))
     cuts = placed.groupBy("pivot").agg(
         F.percentile_approx("far", [(r + 1) / rings for r in range(rings)]).alias("cuts"))
     ring = F.size(F.filter("cuts", lambda c: c < F.col("far")))
