@@ -50,10 +50,10 @@ def gbt_first_rounds(spark, folder):
         "hour", (F.abs(F.col("loss") - F.col("rmse")) <= 1e-9 * (1 + F.col("rmse"))).cast("int").alias("curve_fits"))
     falls = [(hour, int(losses == sorted(losses, reverse=True))) for hour, losses in log_losses(train, models, features, "load").items()]
     loss = fits.join(spark.createDataFrame(falls, "hour int, loss_falls int"), "hour")
-    scored = score_hourly(test, models, features).groupBy("hour").agg(F.count("prediction").alias("predicted"))
     again = score_hourly(test, loaded, features).groupBy("hour").agg(F.sum("prediction").alias("b"))
-    once = score_hourly(test, models, features).groupBy("hour").agg(F.sum("prediction").alias("a"))
-    out = shares.join(loss, "hour").join(scored, "hour").join(once, "hour").join(again, "hour")
+    once = score_hourly(test, models, features).groupBy("hour").agg(
+        F.sum("prediction").alias("a"), F.count("prediction").alias("predicted"))
+    out = shares.join(loss, "hour").join(once, "hour").join(again, "hour")
     return out.select(
         "hour", F.lit(1).alias("models"), (F.abs(F.col("s") - 1) < 1e-9).cast("int").alias("shares_add_up"),
         "loss_falls", "curve_fits",
