@@ -44,6 +44,17 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float, caution: float)
     return (odds - caution * np.sqrt(1 / t + 1 / c)).astype(np.float32)
 
 
+def weighed(scores: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """The score of each token of a document; a toxic token counts where it comes first, and is neutral where it comes
+    again, as it counts once per document in learning.  So a line that repeats is no evidence for itself."""
+    each = scores[tokens].astype(np.float64)
+    toxic = np.flatnonzero(each > 0)
+    again = np.ones(len(toxic), bool)
+    again[np.unique(tokens[toxic], return_index=True)[1]] = False
+    each[toxic[again]] = 0.0
+    return each
+
+
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), end exclusive, in order of position.
 
@@ -112,7 +123,7 @@ class Model:
 
     def passages(self, tokens: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
         """Evidence of a document and its significant passages (first token, end, expected number by chance)."""
-        n, found = len(tokens), segments(self.scores[tokens]) if len(tokens) else []
+        n, found = len(tokens), segments(weighed(self.scores, tokens)) if len(tokens) else []
         if not found:
             return self.tail.evidence(0.0, n), []
         each = [(a, b, self.tail.evidence(s, n)) for a, b, s in found]
@@ -140,7 +151,7 @@ def _segment_scores(tables: list[np.ndarray]):
     @F.pandas_udf(kind)
     def each(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for tokens, half in batches:
-            out = [([s for _, _, s in segments(tables[h][t])] if len(t) else [], len(t))
+            out = [([s for _, _, s in segments(weighed(tables[h], t))] if len(t) else [], len(t))
                    for t, h in zip(tokens, half, strict=True)]
             yield pd.DataFrame(out, columns=["each", "n"])
 

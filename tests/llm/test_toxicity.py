@@ -36,6 +36,12 @@ def test_segments_of_one_sign():
     assert toxicity.segments(np.zeros(4)) == []
 
 
+def test_a_toxic_token_counts_once():
+    scores = np.array([-1.0, 3.0, 2.0], np.float32)
+    assert toxicity.weighed(scores, np.array([1, 0, 1, 2, 2, 0])).tolist() == [3.0, -1.0, 0.0, 2.0, 0.0, -1.0]
+    assert toxicity.weighed(scores, np.array([0])).tolist() == [-1.0]
+
+
 def test_decay_rate_solves_its_equation():
     scores, share = np.array([-1.0, 2.0]), np.array([0.9, 0.1])
     rate = toxicity.decay_rate(scores, share)
