@@ -60,8 +60,10 @@ def pair_half_hours(
     keys = list(keys)
     stamp = F.struct("date", "hour")
     rows = df.withColumn("_year", F.year("date"))
+    full = F.col("hour") == F.floor("hour")
     edges = rows.groupBy(*keys, "_year").agg(
-        F.min_by(load, stamp).alias("_head"), F.max_by(load, stamp).alias("_tail")
+        F.min_by(load, stamp).alias("_head"), F.max_by(load, stamp).alias("_tail"),
+        F.max(F.when(full, stamp)).alias("_last_full"),
     )
     years = Window.partitionBy(*keys).orderBy("_year")
     edges = edges.withColumn("_follow", F.lead("_head").over(years))
@@ -74,11 +76,8 @@ def pair_half_hours(
     times = Window.partitionBy(*keys, "_year").orderBy("date", "hour")
     rows = rows.join(edges, [*keys, "_year"])
     rows = rows.withColumn("_next", F.coalesce(F.lead(load).over(times), "_follow"))
-    rows = rows.withColumn("_full", (F.col("hour") == F.floor("hour")).cast("int"))
-    # the last full hour of the series: no full hour after this row in the final year
-    after = times.rowsBetween(1, Window.unboundedFollowing)
-    last = F.col("_final") & (F.coalesce(F.max("_full").over(after), F.lit(0)) == 0)
-    rows = rows.withColumn("_last", last).filter("_full = 1")
+    # the last full hour of the series lies in its final year
+    rows = rows.filter(full).withColumn("_last", F.col("_final") & (stamp == F.col("_last_full")))
     paired = F.coalesce((F.col(load) + F.col("_next")) / 2, load)
     closed = (F.col("_tail") + F.col("closing")) / 2
     value = F.when(F.col("_last") & F.col("closing").isNotNull(), closed).otherwise(paired)

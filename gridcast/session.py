@@ -26,8 +26,9 @@ def local_session(cores: str = "*", name: str = "gridcast") -> SparkSession:
 
 
 @cache
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"gridcast-{application}-")
+def _local_root(application: str) -> tempfile.TemporaryDirectory:
+    """Removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix=f"gridcast-{application}-", ignore_cleanup_errors=True)
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -41,7 +42,7 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_root(spark.sparkContext.applicationId)
+    return _local_root(spark.sparkContext.applicationId).name
 
 
 def stage(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -191,3 +191,16 @@ def test_smoothing_matches_direct_fits(spark):
 def test_short_series_have_no_smooth_value(spark):
     panel = noisy_panel(spark, hours=5, series=("a",))
     assert all(r.smooth is None for r in smooth_savgol(panel, ["series_id"], "load").collect())
+
+
+def test_halo_splits_a_series_that_was_dealt_by_series(spark):
+    hours = spark.range(20_000).selectExpr("'a' AS s", "date_add(DATE'2020-01-01', int(id div 24)) AS date", "int(id % 24) AS hour", "id AS v")
+    dealt = hours.repartition("s").persist()
+    answers = set()
+    for width in (200, 1000, 50_000):
+        out = add_lags(dealt, ["s"], ["v"], [1, 100], width=width)
+        assert "_bucket" in out._jdf.queryExecution().executedPlan().toString().split("Window")[-1]
+        assert out.where("v_lag1 <> v - 1 OR v_lag100 <> v - 100").count() == 0
+        answers.add((out.where("v_lag100 IS NULL").count(), out.where("v_lag1 IS NULL").count(), out.count()))
+    assert answers == {(100, 1, 20_000)}
+    dealt.unpersist()
