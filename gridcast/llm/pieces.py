@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
 A model file is compiled into three parts: the normaliser (white-space marks, the dummy prefix, rewrite rules), the
-pieces (a trie; each path that ends in a piece emits its id) and the byte fallback (a character in no piece emits its
-bytes).  Composed with a text they give a lattice, and the encoding is its shortest path in the tropical semiring.
+pieces (an automaton that emits the id of every piece that ends at a position) and the byte fallback (a character in no
+piece emits its bytes).  Composed with a text they give a lattice, and the encoding is its shortest path in the tropical semiring.
 
 * A unigram model's arcs weigh the negated piece score, an unknown character the lowest score and a penalty.
 * A BPE model's arcs weigh zero, and two pieces may follow each other only where merging their joined text would
@@ -23,6 +23,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -41,8 +42,6 @@ WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 250_000, 500_000, 64
 #: Characters whose ids a task holds at a time, but for a single longer text.
 CHUNK_CHARS = 1 << 20
 INFINITE = float("inf")
-#: A state of the trie of pieces: the piece that ends here, if any, and the next states by character.
-Node = tuple[int | None, dict]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -127,15 +126,10 @@ class Transducer:
         self.inner = {pair for text in self.scores for pair in zip(text, text[1:], strict=False)}
         whole = {p[0]: k for k, p in enumerate(spec.pieces)
                  if p[2] in (NORMAL, USER) and p[0] and (not self.bpe or len(self._merged(p[0])) == 1)}
-        starts: dict[str, set[str]] = {}  # the characters that may follow a start of a piece
-        for text in whole:
-            for n in range(len(text)):
-                starts.setdefault(text[:n], set()).add(text[n])
-
-        def node(start: str) -> Node:
-            return whole.get(start), {char: node(start + char) for char in starts.get(start, ())}
-
-        self.trie = node("")[1]
+        self.arcs = ahocorasick.Automaton()  # emits (piece, length) at the end of every occurrence of every piece
+        for text, k in whole.items():
+            self.arcs.add_word(text, (k, len(text)))
+        self.arcs.make_automaton()
 
     # -- normaliser -----------------------------------------------------------
 
@@ -197,50 +191,55 @@ class Transducer:
 
     def _by_seams(self, word: str) -> list[int]:
         """All weights are zero or infinite, so a position is done once a finite path reaches it."""
-        size, trie, seams = len(word), self.trie, self.seams
+        size, seams = len(word), self.seams
         last: list[int | None] = [None] * (size + 1)
         before = [0] * (size + 1)
-        for start in range(size):
-            left, following, end = last[start], trie, start
-            holds_after = seams.setdefault(left, {}) if left is not None else None
-            for char in word[start:]:
-                node = following.get(char)
-                if node is None:
-                    break
-                end += 1
-                label, following = node
-                if label is None or last[end] is not None:
+        for at, (label, long) in self.arcs.iter(word):
+            at += 1
+            if last[at] is not None:
+                continue
+            start = at - long
+            if start:
+                left = last[start]
+                if left is None:
+                    self._unknown_until(start, word, last, before)
+                    left = last[start]
+                known = seams.get(left)
+                if known is None:
+                    known = seams[left] = {}
+                holds = known.get(label)
+                if holds is None:
+                    holds = known[label] = self._new_seam(left, label)
+                if not holds:
                     continue
-                if holds_after is not None:
-                    holds = holds_after.get(label)
-                    if holds is None:
-                        holds = holds_after[label] = self._new_seam(left, label)
-                    if not holds:
-                        continue
-                last[end], before[end] = label, start
-            if last[start + 1] is None:
-                # no piece ends here: the character is in none by itself, and stays as it is
-                last[start + 1], before[start + 1] = -1 - ord(word[start]), start
+            last[at], before[at] = label, start
+        if size and last[size] is None:
+            self._unknown_until(size, word, last, before)
         return self._traced(last, before)
 
+    @staticmethod
+    def _unknown_until(end: int, word: str, last: list, before: list[int]) -> None:
+        """Where no piece ends a finite path, the character before is an arc of its own."""
+        start = end
+        while start and last[start] is None:
+            start -= 1
+        for at in range(start + 1, end + 1):
+            last[at], before[at] = -1 - ord(word[at - 1]), at - 1
+
     def _by_weights(self, word: str) -> list[int]:
         """Least sum of weights; the first found of equal ones."""
         size = len(word)
         cost, last, before = [0.0] + [INFINITE] * size, [None] * (size + 1), [0] * (size + 1)
-        for start in range(size):
-            following, here = self.trie, cost[start]
-            single = False
-            for end, char in enumerate(word[start:], start + 1):
-                node = following.get(char)
-                if node is None:
-                    break
-                label, following = node
-                if label is not None:
-                    single = single or end == start + 1
-                    if here + self.weights[label] < cost[end]:
-                        cost[end], last[end], before[end] = here + self.weights[label], label, start
-            if not single and here + self.unknown_weight < cost[start + 1]:
-                cost[start + 1], last[start + 1], before[start + 1] = here + self.unknown_weight, -1 - ord(word[start]), start
+        ends: dict[int, list[tuple[int, int]]] = {}
+        for end, (label, long) in self.arcs.iter(word):
+            ends.setdefault(end + 1, []).append((long, label))
+        for end in range(1, size + 1):
+            arcs = sorted(ends.get(end, ()), reverse=True)
+            for long, label in arcs:
+                if cost[end - long] + self.weights[label] < cost[end]:
+                    cost[end], last[end], before[end] = cost[end - long] + self.weights[label], label, end - long
+            if not any(long == 1 for long, _ in arcs) and cost[end - 1] + self.unknown_weight < cost[end]:
+                cost[end], last[end], before[end] = cost[end - 1] + self.unknown_weight, -1 - ord(word[end - 1]), end - 1
         return self._traced(last, before)
 
     @staticmethod
@@ -270,12 +269,14 @@ class Transducer:
         line = self.normalised(text or "")
         if not self.by_words:
             return np.array(self._emitted(self.shortest_path(line)), np.int32)
-        out: list[int] = []
         # a word is its marks and what follows up to the next mark
-        for word in WORD.findall(line):
-            ids = self.words.get(word)
-            out += self._kept(word) if ids is None else ids
-        return np.array(out, np.int32)
+        words = WORD.findall(line)
+        found = list(map(self.words.get, words))
+        for at, ids in enumerate(found):
+            if ids is None:
+                again = self.words.get(words[at])
+                found[at] = self._kept(words[at]) if again is None else again
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32)
 
     def _kept(self, word: str) -> tuple[int, ...]:
         """Ids of a word that was not seen yet.  Between two characters that stand together in no piece there is always

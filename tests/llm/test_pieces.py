@@ -21,7 +21,7 @@ def library():
 
 
 ODD = ["", " ", "  a  b ", "▁x", "日本語のテキスト。漢字", "😀 emoji 𝔘𝔫𝔦", "a\u0000b\tc\n\n  d", "=" * 300, "<s> </s> <0x41> <unk>",
-       "مرحبا", "ﬁ é é", " " * 50, "\U0010ffff", "Hello World", "x" * 100]
+       "مرحبا", "ﬁ é é", " " * 50, "\U0010ffff", "Hello World", "x" * 100, "𝔘" * 3000, "𝔘x" * 500]
 
 
 def test_ids_of_odd_texts(model, library):
