@@ -245,7 +245,7 @@ def multi_day_features(spark, folder):
 js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS horizon),
 ends AS (SELECT max(d) AS last FROM temps)
 SELECT horizon, (SELECT count(DISTINCT d) FROM temps) * 24 - (horizon - 1) * 24 AS n, 1 AS mean_fits, 1 AS variance_fits,
-       round(avg(temperature), 6) AS temperature
+       round(avg(temperature), 8) AS temperature
 FROM js JOIN temps ON temps.d >= (SELECT min(d) FROM temps) + (horizon - 1) GROUP BY 1""",
 )
 def noise_horizon(spark, folder):
@@ -261,7 +261,7 @@ def noise_horizon(spark, folder):
     return rounded(out.select(
         "horizon", "n", (F.abs("mean") <= 5 * F.sqrt(steps / F.col("n"))).cast("int").alias("mean_fits"),
         (F.abs(F.col("variance") - steps) <= 5 * steps * F.sqrt(2 / F.col("n"))).cast("int").alias("variance_fits"),
-        "temperature"), 6, "temperature")
+        "temperature"), 8, "temperature")
 
 
 @query(
@@ -271,7 +271,7 @@ js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS horizon),
 tlags AS (SELECT d, h, {", ".join(f"lag(temperature, {k}) OVER (ORDER BY t) AS temperature_lag{k}"
                                  for k in MULTI_DAY_TEMPERATURE_LAGS)} FROM temps)
 SELECT horizon, count(*) AS n, round(avg(mean_24h), 6) AS mean_24h,
-       CASE WHEN horizon < 7 THEN round(avg(temperature_lag3), 6) END AS temperature_lag3, 1 AS noise_fits
+       CASE WHEN horizon < 7 THEN round(avg(temperature_lag3), 8) END AS temperature_lag3, 1 AS noise_fits
 FROM lags l CROSS JOIN js JOIN grid g ON g.series_id = l.series_id AND g.d = l.d + (horizon - 1)
 JOIN stats s ON s.series_id = l.series_id AND s.d = l.d
 JOIN tlags u ON u.d = g.d AND u.h = g.h
@@ -295,6 +295,6 @@ def multi_day_noised(spark, folder):
     # all series share the weather, and with it the noise of an hour only by chance: the rows count as hours
     fits = (F.abs("mean") <= 5 * F.sqrt(5 * steps / F.col("n"))) & (
         F.abs(F.col("variance") - steps) <= 5 * steps * F.sqrt(10 / F.col("n")))
-    return rounded(out.select(
-        "horizon", "n", "mean_24h", F.when(F.col("horizon") < 7, F.col("t")).alias("temperature_lag3"),
-        fits.cast("int").alias("noise_fits")), 6, "mean_24h", "temperature_lag3")
+    facts = out.select("horizon", "n", "mean_24h", F.when(F.col("horizon") < 7, F.col("t")).alias("temperature_lag3"),
+                       fits.cast("int").alias("noise_fits"))
+    return rounded(rounded(facts, 6, "mean_24h"), 8, "temperature_lag3")
