@@ -270,7 +270,7 @@ def noise_horizon(spark, folder):
 js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS horizon),
 tlags AS (SELECT d, h, {", ".join(f"lag(temperature, {k}) OVER (ORDER BY t) AS temperature_lag{k}"
                                  for k in MULTI_DAY_TEMPERATURE_LAGS)} FROM temps)
-SELECT horizon, count(*) AS n, round(avg(mean_24h), 6) AS mean_24h,
+SELECT horizon, count(*) AS n, round(avg(mean_24h), 8) AS mean_24h,
        CASE WHEN horizon < 7 THEN round(avg(temperature_lag3), 8) END AS temperature_lag3, 1 AS noise_fits
 FROM lags l CROSS JOIN js JOIN grid g ON g.series_id = l.series_id AND g.d = l.d + (horizon - 1)
 JOIN stats s ON s.series_id = l.series_id AND s.d = l.d
@@ -297,4 +297,4 @@ def multi_day_noised(spark, folder):
         F.abs(F.col("variance") - steps) <= 5 * steps * F.sqrt(10 / F.col("n")))
     facts = out.select("horizon", "n", "mean_24h", F.when(F.col("horizon") < 7, F.col("t")).alias("temperature_lag3"),
                        fits.cast("int").alias("noise_fits"))
-    return rounded(rounded(facts, 6, "mean_24h"), 8, "temperature_lag3")
+    return rounded(facts, 8, "mean_24h", "temperature_lag3")
