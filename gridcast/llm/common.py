@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import string
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
 BATCH_ROWS = 1000
 
 
+class _Whole:
+    """Pickles as its value with the code that the value needs."""
+
+    def __init__(self, value):
+        self.value = value
+
+    def __reduce__(self):
+        return pickle.loads, (cloudpickle.dumps(self.value),)
+
+
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of this package to executors that need no copy of the package.
+
+    In tasks ``value`` of the result is the object itself, once for each Python worker.
+    """
+    return spark.sparkContext.broadcast(_Whole(value))
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, in a session whose Arrow batches are small; a session that sets their size itself keeps it."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"

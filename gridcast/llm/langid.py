@@ -12,7 +12,6 @@ the parts.  The profiles hold ``size`` rows per language, and their number of la
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -32,9 +31,14 @@ Counts = tuple[np.ndarray, np.ndarray]
 NONE: Counts = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-@cache
+_LETTERS: list[np.ndarray] = []
+
+
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(TOP)), bool, TOP)
+    """For each code point whether it is a letter; made once where it is used (a cached function does not travel)."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((chr(c).isalpha() for c in range(TOP)), bool, TOP))
+    return _LETTERS[0]
 
 
 def _ngrams(codes: np.ndarray) -> np.ndarray:

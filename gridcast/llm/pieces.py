@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import small_batches
+from gridcast.llm.common import shipped, small_batches
 
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
@@ -351,7 +351,7 @@ def encoded(docs: DataFrame, model: Transducer, keys: tuple[str, ...] = ("doc_id
     A null text has no ids and goes back to the empty text; one with the mark U+2581 itself comes back with a space.
     Repeated rows each get a result; an empty table gives an empty one; further columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     rows = small_batches(docs).select(*keys, F.col(text).alias("__text"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -370,7 +370,7 @@ def encoded(docs: DataFrame, model: Transducer, keys: tuple[str, ...] = ("doc_id
 
 def decoded(rows: DataFrame, model: Transducer, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the text of their ids in the column ``into`` in front; null ids give an empty text."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(rows.sparkSession, model)
 
     @F.pandas_udf(T.StringType())
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
