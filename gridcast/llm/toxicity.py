@@ -4,10 +4,12 @@ A token's log-odds compares its counts in toxic and clean documents under a symm
 the log-odds less ``caution`` times its standard deviation, so a token that was seen a few times scores low.  Tokens
 are hashed to a fixed number of buckets, so the model has the same size over any corpus, and every token counts.
 
-Passages are the maximal scoring segments of the score sequence (linear time, all of them, disjoint).  Over clean
-text, the best segment of n tokens exceeds S with probability 1 - exp(-K n exp(-lambda S)): ``lambda`` solves the
-equation sum p exp(lambda s) = 1 over the clean token distribution, ``K`` is fitted to the best segments of clean
-documents.  A segment is significant where its expected number K n exp(-lambda S) is under ``alpha``.  A document's
+Passages are the maximal scoring segments of the score sequence (linear time, all of them, disjoint); every token
+counts wherever it stands, also where it comes again.  Over clean text, the best segment of n tokens exceeds S with
+probability 1 - exp(-K n exp(-lambda S)).  ``lambda`` solves the equation sum p exp(lambda s) = 1 over the clean token
+distribution, which takes tokens as independent; lines that repeat make the tail of real text longer, so ``lambda`` is
+at most what fits the best segments of clean documents, and ``K`` is such that at most ``alpha`` of these documents have
+a significant one.  A segment is significant where its expected number K n exp(-lambda S) is under ``alpha``.  A document's
 evidence sums lambda S - ln(K n) over its significant segments (or takes its best one's), and a logistic function of
 it is the score: its centre makes the fewest errors on labelled documents that were scored by the counts of the other
 half.
@@ -45,8 +47,10 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float, caution: float)
 
 
 def weighed(scores: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """The score of each token of a document; a toxic token counts where it comes first, and is neutral where it comes
-    again, as it counts once per document in learning.  So a line that repeats is no evidence for itself."""
+    """The score of each token of a document if a toxic token counted only where it comes first.
+
+    Neither learning nor scoring uses it: passages that repeat earlier words would be lost.
+    """
     each = scores[tokens].astype(np.float64)
     toxic = np.flatnonzero(each > 0)
     again = np.ones(len(toxic), bool)
@@ -113,6 +117,24 @@ def decay_rate(scores: np.ndarray, share: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def fitted_rate(best: np.ndarray, rows: np.ndarray, tokens: np.ndarray, most: float) -> float:
+    """The likeliest rate, ``most`` at most, of the law of best segments: ``rows`` documents of ``tokens`` tokens in all
+    have the best score ``best``.  It solves 1 / rate = mean score - mean score weighted by tokens * exp(-rate * score)."""
+    mean, above = float((best * rows).sum() / rows.sum()), best - best.min()
+
+    def short(rate: float) -> bool:
+        weight = tokens * np.exp(-rate * above)
+        return 1 / rate > mean - float((best * weight).sum() / weight.sum())
+
+    low, high = 0.0, most
+    if short(most):
+        return most
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if short(middle) else (low, middle)
+    return (low + high) / 2
+
+
 @dataclass
 class Model:
     scores: np.ndarray
@@ -123,7 +145,7 @@ class Model:
 
     def passages(self, tokens: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
         """Evidence of a document and its significant passages (first token, end, expected number by chance)."""
-        n, found = len(tokens), segments(weighed(self.scores, tokens)) if len(tokens) else []
+        n, found = len(tokens), segments(self.scores[tokens]) if len(tokens) else []
         if not found:
             return self.tail.evidence(0.0, n), []
         each = [(a, b, self.tail.evidence(s, n)) for a, b, s in found]
@@ -151,13 +173,33 @@ def _segment_scores(tables: list[np.ndarray]):
     @F.pandas_udf(kind)
     def each(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for tokens, half in batches:
-            out = [([s for _, _, s in segments(weighed(tables[h], t))] if len(t) else [], len(t))
+            out = [([s for _, _, s in segments(tables[h][t])] if len(t) else [], len(t))
                    for t, h in zip(tokens, half, strict=True)]
             yield pd.DataFrame(out, columns=["each", "n"])
 
     return each
 
 
+#: Best segments of clean documents count in the fit of the rate up to this quantile, so that a single wrong label does
+#: not decide it; and by steps of their score, of which each has one row on the driver.
+FIT_QUANTILE, FIT_STEPS = 0.995, 64
+
+
+def _fitted_tail(clean: DataFrame, best: Column, rate: float, alpha: float) -> Tail:
+    """The law of the best segments of ``clean`` (a score ``best`` and a number of tokens ``n`` of each document)."""
+    top = clean.agg(F.percentile_approx(best, F.lit(FIT_QUANTILE), F.lit(10_000))).first()[0]
+    if top is None:
+        return Tail(rate, 1.0)
+    capped = F.least(best, F.lit(top))
+    steps = clean.groupBy(F.floor(capped * FIT_STEPS).alias("step")).agg(
+        F.avg(capped).alias("best"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")
+    ).toArrow().to_pandas().sort_values("step")
+    rate = fitted_rate(*(steps[c].to_numpy(float) for c in ("best", "rows", "tokens")), rate)
+    chance = F.col("n") * F.exp(-F.least(F.lit(rate) * best, F.lit(600.0)))
+    mean, least = clean.agg(F.avg(chance), F.percentile_approx(chance, F.lit(alpha), F.lit(10_000))).first()
+    return Tail(rate, max(1 / mean, alpha / least))
+
+
 def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: str = "half", buckets: int = 1 << 20,
           prior: float = 0.5, caution: float = 1.0, alpha: float = 0.05) -> Model:
     """A model from all ``labelled`` rows: text, label (0 or 1, others are left out) and half (0 or 1).
@@ -188,11 +230,10 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: s
     found = checkpointed(rows.select("toxic", _segment_scores(crossed)("tokens", "half").alias("s"))
                          .select("toxic", "s.*").where("n > 0"))
     best = F.greatest(F.lit(0.0), F.coalesce(F.array_max("each"), F.lit(0.0)))
-    mean = found.where("toxic = 0").agg(F.avg(F.col("n") * F.exp(-F.lit(rate) * best))).first()[0]
-    tail = Tail(rate, 1 / mean if mean else 1.0)
+    tail = _fitted_tail(found.where("toxic = 0"), best, rate, alpha)
     chance = F.log(F.lit(tail.k) * F.col("n"))
-    hot = F.filter(F.transform("each", lambda s: s * rate - chance), lambda e: e > float(-np.log(alpha)))
-    evidence = F.when(F.size(hot) > 0, F.aggregate(hot, F.lit(0.0), lambda x, y: x + y)).otherwise(rate * best - chance)
+    hot = F.filter(F.transform("each", lambda s: s * tail.rate - chance), lambda e: e > float(-np.log(alpha)))
+    evidence = F.when(F.size(hot) > 0, F.aggregate(hot, F.lit(0.0), lambda x, y: x + y)).otherwise(tail.rate * best - chance)
     steps = found.groupBy(F.floor(F.least(F.greatest(evidence, F.lit(-40.0)), F.lit(400.0)) * 4).alias("step")).agg(
         F.count(F.when(F.col("toxic") == 1, 1)).alias("t"), F.count(F.when(F.col("toxic") == 0, 1)).alias("c")
     ).toArrow().to_pandas().sort_values("step")

@@ -80,6 +80,47 @@ def test_finds_the_passage(spark):
             assert any(len(set(s) & {"nasty", "vile", "awful"}) and set(s) <= {"nasty", "vile", "awful"} for s in spans)
 
 
+def test_repeated_toxic_words_count_each_time(spark, docs_of):
+    """A passage after scattered mentions of its words, a passage that comes twice, and one word many times."""
+    _, labelled = corpus(spark)
+    model = toxicity.learn(labelled, buckets=1 << 14)
+    rng = random.Random(9)
+    plain = lambda n: [f"w{rng.randrange(200)}" for _ in range(n)]
+    passage = "nasty vile awful vile nasty".split()
+    texts = {
+        1: plain(3000) + ["nasty"] + plain(3000) + ["vile"] + plain(3000) + ["awful"] + plain(3000) + passage + plain(9),
+        2: plain(40) + passage + plain(400) + passage + plain(40),
+        3: plain(40) + ["nasty"] * 6 + plain(40),
+    }
+    docs = docs_of([(k, " ".join(words)) for k, words in texts.items()])
+    found = {r.doc_id: r["__toxicity"] for r in toxicity.scored(docs, model).collect()}
+    spans = {k: {(p.first, p.end) for p in found[k].passages} for k in texts}
+    assert all(found[k].score >= 0.5 for k in texts)
+    assert (12003, 12008) in spans[1]
+    assert spans[2] == {(40, 45), (445, 450)}
+    assert spans[3] == {(40, 46)}
+
+
+def test_calibration_bears_repeats(spark):
+    """Clean documents with one line over and over: at most ``alpha`` of those not learned from are significant."""
+    rows, _ = corpus(spark)
+    rng = random.Random(2)
+    rows += [(1000 + i, "w1 w2 nasty w3 " * rng.choice([1, 1, 2, 8]) if i % 9 == 0 else f"w{i % 200} w5 w6", 0, i % 2) for i in range(200)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int, half int")
+    model = toxicity.learn(labelled, buckets=1 << 14)
+    clean = toxicity.scored(labelled.where("toxic = 0"), model)
+    assert clean.where("size(__toxicity.passages) > 0").count() <= 0.06 * clean.count()
+
+
+def test_fitted_rate():
+    rng = np.random.default_rng(3)
+    n = rng.integers(50, 500, 20_000)
+    best = np.maximum(rng.gumbel(np.log(0.3 * n) / 1.7, 1 / 1.7), 0)  # rate 1.7, K 0.3
+    assert abs(toxicity.fitted_rate(best, np.ones(len(n)), n.astype(float), 50.0) - 1.7) < 0.05
+    assert toxicity.fitted_rate(best, np.ones(len(n)), n.astype(float), 1.2) == 1.2
+    assert toxicity.fitted_rate(np.array([2.0]), np.array([9.0]), np.array([90.0]), 1.5) == 1.5
+
+
 def test_odd_rows(spark, docs_of):
     _, labelled = corpus(spark)
     model = toxicity.learn(labelled, buckets=1 << 14)
