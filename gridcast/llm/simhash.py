@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,19 +262,12 @@ def groups(docs: DataFrame, shingle: int, radius: int, key: str = "doc_id", text
 def representatives(docs: DataFrame, shingle: int, radius: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` from each group, all its columns: a row with the smallest key.
 
-    Of repeated rows with that key the one with the smallest text hash stays.  A group whose keys are all null
-    keeps one row.
+    Of its rows with that key one with the smallest text hash stays.  A group whose keys are all null keeps one row.
+    A key may have several texts: each row is ranked by key and text hash, so it stands for its own group alone.
     """
-    _, named = near_groups(docs, shingle, radius, key, text)
-    chosen = named.select(F.col("component_id").alias("__key")).where("__key IS NOT NULL").distinct()
-    order = Window.partitionBy("__key").orderBy(F.xxhash64(F.col(text)), F.col(text))
-    known = (
-        docs.withColumn("__key", F.col(key)).join(chosen, "__key", "left_semi")
-        .withColumn("__row", F.row_number().over(order)).where("__row = 1")
-    )
-    nameless = docs.where(F.col(key).isNull()).select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    unnamed = (
-        fingerprints(nameless, shingle, "row", "text")
-        .join(named.where("component_id IS NULL").select("fp", "root"), "fp").dropDuplicates(["root"]).select("key.*")
-    )
-    return known.select(*docs.columns).union(unnamed.select(*docs.columns))
+    rank = F.struct(F.col(key).isNull().alias("nameless"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text"))
+    ranked = docs.select(rank.alias("rank"), F.col(text).alias("text"))
+    _, named = near_groups(ranked, shingle, radius, "rank", "text")
+    chosen = named.select(F.col("component_id").alias("__rank")).distinct()
+    once = docs.withColumn("__rank", rank).dropDuplicates(["__rank"])
+    return once.join(chosen, "__rank", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

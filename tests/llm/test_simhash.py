@@ -121,6 +121,22 @@ def test_one_row_of_each_group_stays_whole(docs_of):
     assert ids.count(None) == 1  # the group without a key keeps one row
 
 
+def test_one_key_with_different_texts(docs_of):
+    """Groups that share their smallest key keep a row each, from their own rows."""
+    rng = random.Random(4)
+    texts = [" ".join(f"t{k}w{rng.randrange(50)}" for _ in range(30)) for k in range(12)]
+    rows = [(9, t) for t in texts] + [(9, texts[0].upper()), (9, texts[1]), (5, texts[2]), (12, texts[3]), (None, texts[4])]
+    rows += [(None, "x y z"), (None, "x y  z"), (None, "p q r s"), (9, None), (9, "")]
+    roots = components_by_hand([by_hand(t) for _, t in rows], 2)
+    signed = lambda t: 42 if t is None else xxhash.xxh64(t.encode(), seed=42).intdigest()
+    rank = lambda k, t: (k is None, k or 0, (signed(t) + (1 << 63)) % (1 << 64))
+    want = {}
+    for row, root in zip(rows, roots, strict=True):
+        want[root] = min(want.get(root, row), row, key=lambda r: rank(*r))
+    got = simhash.representatives(docs_of(rows), 3, 2).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(want.values()) and len(want) > 12
+
+
 def test_plan_sends_no_fingerprints_to_all(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     plan = simhash.links(simhash.fingerprints(docs, 3, "doc_id", "text").select("fp").distinct(), 2)
