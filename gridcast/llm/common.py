@@ -52,15 +52,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
                     text: str = "text") -> DataFrame:
     """(key, text, label) of about ``rows`` labelled documents: all, or those with the lowest key hashes.
 
-    A key with several labels takes the largest.  The labels kept are at most ``2 * rows`` (checked), so they are sent
-    to the documents, and the texts are not shuffled.  Rows without key or label are left out.
+    A key with several labels takes the largest; of its rows the one with the smallest text hash, a null text last, so a
+    key counts once however many rows it has.  The labels kept are at most ``2 * rows`` (checked), and so are the rows of
+    the result.  Labels are sent to the documents; only sampled texts are shuffled, one of a key from each task.  Rows
+    without key or label are left out.
     """
     one = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias(label))
     steps, total = 1 << 30, one.count()
     kept = one if total <= rows else one.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(steps)) < steps * rows // total)
     if kept.count() > 2 * rows:
         raise ValueError("the sample of labels is over its bound")
-    return docs.select(key, F.col(text).alias("text")).join(F.broadcast(kept), key)
+    known = docs.select(key, F.col(text).alias("text")).join(F.broadcast(kept), key)
+    first = F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text")))
+    return known.groupBy(key, label).agg(first.alias("text")).select(key, "text", label)
 
 
 #: Rows that go to Python at a time.  Documents and their token arrays are long: the default of 10,000 rows can be

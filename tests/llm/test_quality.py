@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from gridcast.llm import quality, queries
+from gridcast.llm.common import labelled_sample
 
 
 def by_hand(text):
@@ -92,3 +93,16 @@ def test_query_against_brute_force(spark):
     judged = [(r.kept, labels[r.doc_id]) for r in got if r.doc_id in labels and not r.base_failed]
     assert sum(k == bool(q) for k, q in judged) > 0.95 * len(judged)
     assert all(k for k, q in judged if q == 1)
+
+
+def test_one_row_of_each_labelled_key(spark, docs_of):
+    """A key that holds most rows is one labelled document: the sample's bound is on rows."""
+    rows = [(1, f"text {i % 50}") for i in range(500)] + [(2, "two"), (2, None), (3, None), (4, "four"), (None, "none")]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1), (5, 1)], "doc_id bigint, quality int")
+    docs = docs_of(rows).repartition(5)
+    got = labelled_sample(docs, labels, "quality", 100)
+    assert got.columns == ["doc_id", "text", "quality"]
+    least = docs.where("doc_id = 1").orderBy(F.xxhash64("text")).first().text
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, least, 1), (2, "two", 0), (3, None, 1)]
+    for bound in (1, 2, 3):
+        assert labelled_sample(docs, labels.where("doc_id < 4"), "quality", bound).count() <= 2 * bound
