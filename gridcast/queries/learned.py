@@ -34,7 +34,8 @@ SELECT h AS hour, 1 AS models, 1 AS shares_add_up, 1 AS loss_falls, 1 AS curve_f
 )
 def gbt_first_rounds(spark, folder):
     """The first rounds of 24 boosted models on every column of the feature
-    table, pooled over the series; facts that hold whatever the trees are."""
+    table, pooled over the series, by the long_term settings without subsampling and without early stopping (M7: its curves
+    only); facts that hold whatever the trees are."""
     wide = hourly_features(load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder))
     features = feature_columns(wide)
     table = stage(wide)
