@@ -99,7 +99,8 @@ SELECT series_id, count(*) AS n, round(sqrt(avg((load - p) ** 2)), 4) AS rmse,
        round(avg(abs(load - p) / nullif(load, 0)), 6) AS mape FROM pred GROUP BY 1""",
 )
 def day_ahead_kpi(spark, folder):
-    """Whole next-day job: grid, load history, weather and calendar, one model per hour for all series, forecast, errors."""
+    """Next-day job on the seven columns of ``PREPARED``: grid, load history, weather and weekend, one model per hour for
+    all series, forecast, errors."""
     train, test = split_day(prepared(spark, folder), CUT)
     model = fit_load(train, ["hour"], PREPARED, shift=1.0)
     forecast = predict_load(test, model, ["hour"], PREPARED, shift=1.0)
