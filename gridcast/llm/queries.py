@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import chat, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
+from gridcast.llm import alignment, chat, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,13 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 def sentencepiece_ids(spark, folder):
     found = pieces.encoded(table(spark, folder, "documents"), pieces.load(PIECE_MODEL))
     return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
+
+
+#: A public byte-level tokenizer; described beside it.
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query("op13_tokenizer_alignment")
+def tokenizer_alignment(spark, folder):
+    found = alignment.linked(table(spark, folder, "documents"), alignment.load(BYTE_LEVEL, PIECE_MODEL))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
