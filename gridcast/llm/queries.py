@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import alignment, chat, clusters, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
+from gridcast.llm import alignment, chat, clusters, fingerprints, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
 from gridcast.llm.common import fold, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,8 @@ CLUSTERS, CLUSTER_ROUNDS, DIMS = 16, 3, 64
 @query("op11_centroid_clusters", clusters.cluster_sql(CLUSTERS, CLUSTER_ROUNDS, DIMS))
 def centroid_clusters(spark, folder):
     return clusters.clustered(table(spark, folder, "embeddings"), count=CLUSTERS, rounds=CLUSTER_ROUNDS, dims=DIMS)
+
+
+@query("op12_document_fingerprints")
+def document_fingerprints(spark, folder):
+    return fingerprints.fingerprinted(table(spark, folder, "documents"))
