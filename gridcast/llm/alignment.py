@@ -42,7 +42,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: A space that starts a token.
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: Characters whose tokens a task holds at a time (but for one longer text), and words that a worker keeps.
-SLICE, KEPT = 1 << 20, 1 << 19
+SLICE, KEPT = 1 << 19, 1 << 18
 
 
 def byte_level_letters() -> dict[str, int]:
