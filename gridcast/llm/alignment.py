@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import shipped
+from gridcast.llm.common import shipped, text_slices
 from gridcast.session import stage
 
 MARK = "▁"
@@ -334,17 +334,6 @@ class Aligner:
             yield "".join(texts[start:end].tolist())[:-1]
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Stretches of neighbouring texts with about ``SLICE`` characters each, one text at least."""
-    ends = np.cumsum(pc.utf8_length(texts).to_numpy())
-    start = 0
-    while start < len(texts):
-        before = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, before + SLICE, "right")))
-        yield start, end
-        start = end
-
-
 def load(byte_level: str, pieces: str) -> Aligner:
     """Read both vocabularies (on the driver; executors get them by broadcast)."""
     with open(byte_level, encoding="utf-8") as file:
@@ -365,9 +354,11 @@ def _mapped(docs: DataFrame, aligner: Aligner, keys: tuple[str, ...], text: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(keys)).fill_null("")
-            for start, end in _slices(texts):
-                columns = results(shared.value, shared.value.aligned(texts.slice(start, end - start)))
-                own = [batch.column(k).slice(start, end - start) for k in range(len(keys))]
+            start = 0
+            for part in text_slices(texts, SLICE):
+                columns = results(shared.value, shared.value.aligned(part))
+                own = [batch.column(k).slice(start, len(part)) for k in range(len(keys))]
+                start += len(part)
                 yield pa.RecordBatch.from_arrays([*own, *columns], names=[f.name for f in schema.fields])
 
     schema = T.StructType([*rows.schema.fields[:-1], *fields])

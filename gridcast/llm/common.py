@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import pickle
 import string
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,24 @@ def space_words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_slices(texts: pa.Array, chars: int = 1 << 20) -> Iterator[pa.Array]:
+    """Stretches of neighbouring texts with about ``chars`` characters each, one text at least."""
+    ends, start = np.cumsum(pc.utf8_length(texts).fill_null(0).to_numpy()), 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + chars, "right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 

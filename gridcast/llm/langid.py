@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import small_batches
+from gridcast.llm.common import small_batches, unused
 
 BLANK, SHIFT, TOP = 32, 21, 0x110000
 #: Parts of a text's code points that are counted at a time, so a very long text needs no more memory.
@@ -178,10 +178,13 @@ def predicted(text: Column, profiles: Profiles) -> Column:
     return predict(text)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text: str = "text", into: str = "__language") -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, text: str = "text", into: str | None = None) -> DataFrame:
     """``docs`` with the struct column ``into`` (lang_pred, score) in front; further columns stay as they are.
 
-    Null texts, empty texts and texts without a letter are ``und`` with score 0.  Repeated rows each get a result; an
-    empty table gives an empty one.  Only the text is an input of the prediction.
+    Without ``into`` its name is ``__language``, or the like where a column has that.  Null texts, empty texts and texts
+    without a letter are ``und`` with score 0.  Repeated rows each get a result; an empty table gives an empty one.  Only
+    the text is an input of the prediction.
     """
-    return small_batches(docs).select(predicted(F.col(text), profiles).alias(into), *[F.col(f"`{c}`") for c in docs.columns])
+    into = unused(docs.columns, "__language") if into is None else into
+    found = predicted(F.col(f"`{text}`"), profiles).alias(into)
+    return small_batches(docs).select(found, *[F.col(f"`{c}`") for c in docs.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import shipped, small_batches
+from gridcast.llm.common import shipped, small_batches, unused
 
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
@@ -352,18 +352,19 @@ def encoded(docs: DataFrame, model: Transducer, keys: tuple[str, ...] = ("doc_id
     Repeated rows each get a result; an empty table gives an empty one; further columns are not read.
     """
     shared = shipped(docs.sparkSession, model)
-    rows = small_batches(docs).select(*keys, F.col(text).alias("__text"))
+    given = unused(keys, "__text")
+    rows = small_batches(docs).select(*keys, F.col(f"`{text}`").alias(given))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         transducer = shared.value
         for batch in batches:
-            texts = [x if x is not None else "" for x in batch.pop("__text")]
+            texts = [x if x is not None else "" for x in batch.pop(given)]
             for start, end in _chunks([len(x) for x in texts]):
                 ids = [transducer.encode(x) for x in texts[start:end]]
                 back = [transducer.decode(k) == x for k, x in zip(ids, texts[start:end], strict=True)]
                 yield batch.iloc[start:end].assign(ids=ids, round_trip=back)
 
-    fields = [f for f in rows.schema.fields if f.name != "__text"]
+    fields = [f for f in rows.schema.fields if f.name != given]
     return rows.mapInPandas(encode, T.StructType([
         *fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]))
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import ASCII_SPACE, small_batches
+from gridcast.llm.common import ASCII_SPACE, small_batches, unused
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -230,15 +230,17 @@ def learned_rules(labelled: DataFrame, label: str = "quality", text: str = "text
     return learn(frame, "label", **how)
 
 
-def judged(docs: DataFrame, rules: DecisionList, text: str = "text", into: str = "__quality") -> DataFrame:
+def judged(docs: DataFrame, rules: DecisionList, text: str = "text", into: str | None = None) -> DataFrame:
     """``docs`` with the struct ``into`` in front: the statistics, base_failed and kept.
 
-    ``kept`` is false where the base rules fail, else the list's verdict (class 1).  A null or empty text has no word
-    and fails the base rules.  Repeated rows each get a result; an empty table gives an empty one; further columns
-    stay as they are.
+    Without ``into`` its name is ``__quality``, or the like where a column has that.  ``kept`` is false where the base rules
+    fail, else the list's verdict (class 1).  A null or empty text has no word and fails the base rules.  Repeated rows each
+    get a result; an empty table gives an empty one; further columns stay as they are, whatever their names.
     """
-    stats = measured(docs, text, "__stats")
+    into = unused(docs.columns, "__quality") if into is None else into
+    name = unused([*docs.columns, into], "__stats")
+    stats = measured(docs, text, name)
     verdict = F.struct(
-        *[F.col(f"__stats.{c}").alias(c) for c in COUNTS], base_failed().alias("base_failed"),
-        (~base_failed() & (rules.column() == 1)).alias("kept"))
+        *[F.col(f"{name}.{c}").alias(c) for c in COUNTS], base_failed(name).alias("base_failed"),
+        (~base_failed(name) & (rules.column(name) == 1)).alias("kept"))
     return stats.select(verdict.alias(into), *[F.col(f"`{c}`") for c in docs.columns])

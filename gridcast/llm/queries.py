@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import alignment, chat, clusters, fingerprints, langid, licenses, packing, pieces, quality, simhash, topk, toxicity, urls
-from gridcast.llm.common import fold, labelled_sample, table
+from gridcast.llm.common import fold, labelled_sample, table, unused
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,8 +33,9 @@ def in_fold(key: str, parts: int, number: int):
 def language_id(spark, folder):
     docs = table(spark, folder, "documents")
     profiles = langid.learn(docs.where(fold("doc_id", 4) != 2))
-    return langid.identify(docs, profiles).select(
-        "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "__language.lang_pred", "__language.score")
+    into = unused(docs.columns, "__language")
+    return langid.identify(docs, profiles, into=into).select(
+        "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), f"{into}.lang_pred", f"{into}.score")
 
 
 #: Labelled documents that a classifier learns from, at most.
@@ -51,10 +52,11 @@ def toxicity_model(docs, labels):
 def toxic_passages(spark, folder):
     docs = table(spark, folder, "documents")
     model = toxicity_model(docs, table(spark, folder, "labels"))
-    found = toxicity.scored(docs, model)
-    score = F.col("__toxicity.score")
+    into = unused(docs.columns, "__toxicity")
+    found = toxicity.scored(docs, model, into=into)
+    score = F.col(f"{into}.score")
     return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), score.alias("score"),
-                        (score >= 0.5).cast("int").alias("predicted"), F.col("__toxicity.passages").alias("passages"))
+                        (score >= 0.5).cast("int").alias("predicted"), F.col(f"{into}.passages").alias("passages"))
 
 
 @query("op4_packing")
@@ -84,9 +86,10 @@ RULE_ROWS = 1 << 15
 def quality_rules(spark, folder):
     docs = table(spark, folder, "documents")
     known = labelled_sample(docs, table(spark, folder, "labels"), "quality", RULE_ROWS)
-    found = quality.judged(docs, quality.learned_rules(known))
+    into = unused(docs.columns, "__quality")
+    found = quality.judged(docs, quality.learned_rules(known), into=into)
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return found.select("doc_id", *[F.col(f"__quality.{c}").alias(c) for c in columns])
+    return found.select("doc_id", *[F.col(f"{into}.{c}").alias(c) for c in columns])
 
 
 URL_RULES = (

@@ -25,11 +25,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import ascii_lower, checkpointed, small_batches, space_words
+from gridcast.llm.common import ascii_lower, checkpointed, small_batches, space_words, unused
 
 BITS = 64
 
@@ -262,12 +262,23 @@ def groups(docs: DataFrame, shingle: int, radius: int, key: str = "doc_id", text
 def representatives(docs: DataFrame, shingle: int, radius: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` from each group, all its columns: a row with the smallest key.
 
-    Of its rows with that key one with the smallest text hash stays.  A group whose keys are all null keeps one row.
-    A key may have several texts: each row is ranked by key and text hash, so it stands for its own group alone.
+    Of its rows with that key one with the smallest text hash stays, of several such rows the one whose other columns, as
+    JSON, have the smallest hash.  A group whose keys are all null keeps one row.  A key may have several texts: each row is
+    ranked by key and text hash, so it stands for its own group alone.  Columns may have any names.
     """
-    rank = F.struct(F.col(key).isNull().alias("nameless"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("text"))
-    ranked = docs.select(rank.alias("rank"), F.col(text).alias("text"))
+    rank = F.struct(F.col(f"`{key}`").isNull().alias("nameless"), F.col(f"`{key}`").alias("key"),
+                    F.xxhash64(F.col(f"`{text}`")).alias("text"))
+    ranked = docs.select(rank.alias("rank"), F.col(f"`{text}`").alias("text"))
     _, named = near_groups(ranked, shingle, radius, "rank", "text")
-    chosen = named.select(F.col("component_id").alias("__rank")).distinct()
-    once = docs.withColumn("__rank", rank).dropDuplicates(["__rank"])
-    return once.join(chosen, "__rank", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = list(docs.columns)
+    names = {}
+    for name in ("rank", "tie", "place"):
+        names[name] = unused(taken, name)
+        taken.append(names[name])
+    chosen = named.select(F.col("component_id").alias(names["rank"])).distinct()
+    others = F.to_json(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in docs.columns if c != text]))
+    rows = docs.withColumns({names["rank"]: rank, names["tie"]: F.xxhash64(others)})
+    # one row of a rank from each task, then one of all
+    first = F.row_number().over(Window.partitionBy(names["rank"]).orderBy(names["tie"]))
+    once = rows.withColumn(names["place"], first).where(F.col(names["place"]) == 1)
+    return once.join(chosen, names["rank"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

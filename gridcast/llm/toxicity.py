@@ -22,21 +22,61 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridcast.llm.common import checkpointed, small_batches
+from gridcast.llm.common import checkpointed, text_slices, unused
 
 #: Runs of ASCII characters that are neither letters nor digits part the tokens.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 HALVES = 2
 
 
+#: Tokens whose buckets a worker remembers.
+KEPT = 1 << 18
+
+
+class Buckets(dict):
+    """The bucket of each token: its XXH64 (seed 42) modulo the number of buckets; -1 for the empty token."""
+
+    def __init__(self, size: int):
+        super().__init__({"": -1})
+        self.size = size
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > KEPT:
+            self.clear()
+            self[""] = -1
+        self[token] = xxhash.xxh64_intdigest(token.encode(), 42) % self.size
+        return self[token]
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of all texts' tokens, in order, and where each text starts; a null text has none."""
+        lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), BREAK)
+        tokens = lists.flatten().dictionary_encode()
+        distinct = tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = np.fromiter(map(self.__getitem__, distinct), np.int32, len(distinct))[tokens.indices.to_numpy()]
+        there = found >= 0
+        first = np.r_[0, np.cumsum(there)][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return found[there], first
+
+
 def token_buckets(text: Column, buckets: int) -> Column:
     """The bucket of each token of the lower-cased text, in order; a null text has none."""
-    tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), BREAK)
-    return F.transform(F.filter(tokens, lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Buckets(buckets)
+        for batch in batches:
+            parts = [known.of(part) for part in text_slices(batch)]
+            lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens)) for tokens, first in parts]
+            yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+
+    return found(text)
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float, caution: float) -> np.ndarray:
@@ -46,27 +86,14 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: float, caution: float)
     return (odds - caution * np.sqrt(1 / t + 1 / c)).astype(np.float32)
 
 
-def weighed(scores: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """The score of each token of a document if a toxic token counted only where it comes first.
-
-    Neither learning nor scoring uses it: passages that repeat earlier words would be lost.
-    """
-    each = scores[tokens].astype(np.float64)
-    toxic = np.flatnonzero(each > 0)
-    again = np.ones(len(toxic), bool)
-    again[np.unique(tokens[toxic], return_index=True)[1]] = False
-    each[toxic[again]] = 0.0
-    return each
-
-
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), end exclusive, in order of position.
 
     Runs of one sign are added up first: a maximal segment starts and ends with whole positive runs.  Then each
-    positive run is joined with segments to its left as long as that raises the score (Ruzzo and Tompa's rule).
+    positive run is joined with segments to its left as long as that raises the score (Ruzzo and Tompa's rule).  The
+    search to the left goes from a segment straight to the nearest one before it with a smaller sum before it, so a run
+    is passed over once at most, and the whole is linear in the number of runs.
     """
-    if not len(scores):
-        return []
     positive = scores > 0
     if not positive.any():
         return []
@@ -74,19 +101,21 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     ends = np.r_[starts[1:], len(scores)]
     sums = np.add.reduceat(scores.astype(np.float64), starts)
     after = np.cumsum(sums)
-    found: list[list] = []  # start, end, sum before the segment, sum at its end
-    for k in np.flatnonzero(positive[starts]).tolist():
-        start, end, left, right = int(starts[k]), int(ends[k]), after[k] - sums[k], after[k]
+    runs = np.flatnonzero(positive[starts])
+    # first token, end, sum before the segment, sum at its end, nearest segment before with a smaller sum before it
+    found: list[tuple[int, int, float, float, int]] = []
+    for start, end, left, right in zip(*(x[runs].tolist() for x in (starts, ends, after - sums, after)), strict=True):
+        at = len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= left:
-                j -= 1
-            if j < 0 or found[j][3] >= right:
+            while at >= 0 and found[at][2] >= left:
+                at = found[at][4]
+            if at < 0 or found[at][3] >= right:
                 break
-            start, left = found[j][0], found[j][2]
-            del found[j:]
-        found.append([start, end, left, right])
-    return [(a, b, float(r - x)) for a, b, x, r in found]
+            start, left, before = found[at][0], found[at][2], found[at][4]
+            del found[at:]
+            at = before
+        found.append((start, end, left, right, at))
+    return [(a, b, r - x) for a, b, x, r, _ in found]
 
 
 @dataclass
@@ -145,7 +174,7 @@ class Model:
 
     def passages(self, tokens: np.ndarray) -> tuple[float, list[tuple[int, int, float]]]:
         """Evidence of a document and its significant passages (first token, end, expected number by chance)."""
-        n, found = len(tokens), segments(self.scores[tokens]) if len(tokens) else []
+        n, found = len(tokens), segments(self.scores[tokens])
         if not found:
             return self.tail.evidence(0.0, n), []
         each = [(a, b, self.tail.evidence(s, n)) for a, b, s in found]
@@ -165,6 +194,9 @@ SCORED = T.StructType([
         T.StructField("expected", T.DoubleType())]))),
 ])
 
+FOUND = pa.struct([("score", pa.float64()), ("n_tokens", pa.int64()), ("passages", pa.list_(pa.struct([
+    ("first", pa.int32()), ("end", pa.int32()), ("expected", pa.float64())])))])
+
 
 def _segment_scores(tables: list[np.ndarray]):
     """UDF: scores of all segments by the table that the half names, and the number of tokens."""
@@ -173,7 +205,7 @@ def _segment_scores(tables: list[np.ndarray]):
     @F.pandas_udf(kind)
     def each(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for tokens, half in batches:
-            out = [([s for _, _, s in segments(tables[h][t])] if len(t) else [], len(t))
+            out = [([s for _, _, s in segments(tables[h][t])], len(t))
                    for t, h in zip(tokens, half, strict=True)]
             yield pd.DataFrame(out, columns=["each", "n"])
 
@@ -208,7 +240,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", half: s
     Without a toxic or a clean row no token scores, and every document gets a score under one half.
     """
     rows = checkpointed(
-        small_batches(labelled).where(F.col(label).isin(0, 1)).select(
+        labelled.where(F.col(label).isin(0, 1)).select(
             F.col(label).alias("toxic"), F.col(half).cast("int").alias("half"),
             token_buckets(F.col(text), buckets).alias("tokens"))
     )
@@ -254,23 +286,26 @@ def _logistic(steps: pd.DataFrame) -> tuple[float, float]:
     return float((low + high) / 8), 0.7
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "__toxicity") -> DataFrame:
+def scored(docs: DataFrame, model: Model, text: str = "text", into: str | None = None) -> DataFrame:
     """``docs`` with the struct ``into`` in front: score, number of tokens, significant passages by token.
 
-    A null or empty text has no token, no passage and a score under one half.  Only the text is an input.  Repeated
-    rows each get a result; an empty table gives an empty one; further columns stay as they are.
+    Without ``into`` its name is ``__toxicity``, or the like where a column has that.  A null or empty text has no token,
+    no passage and a score under one half.  Only the text is an input.  Repeated rows each get a result; an empty table
+    gives an empty one; further columns stay as they are, whatever their names.
     """
+    into = unused(docs.columns, "__toxicity") if into is None else into
 
-    @F.pandas_udf(SCORED)
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORED)
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Buckets(len(model.scores))
         for batch in batches:
             out = []
-            for tokens in batch:
-                evidence, hot = model.passages(tokens)
-                out.append((model.score(evidence) if len(tokens) else 0.0, len(tokens),
-                            [{"first": a, "end": b, "expected": e} for a, b, e in hot]))
-            yield pd.DataFrame(out, columns=["score", "n_tokens", "passages"])
-
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    tokens = small_batches(docs).select(token_buckets(F.col(text), len(model.scores)).alias(f"{into}_tokens"), *own)
-    return tokens.select(judge(f"{into}_tokens").alias(into), *own)
+            for part in text_slices(batch):
+                tokens, first = known.of(part)
+                for start, end in zip(first, first[1:], strict=False):
+                    evidence, hot = model.passages(tokens[start:end])
+                    out.append({"score": model.score(evidence) if end > start else 0.0, "n_tokens": int(end - start),
+                                "passages": [{"first": a, "end": b, "expected": e} for a, b, e in hot]})
+            yield pa.array(out, FOUND)
+
+    return docs.select(judge(F.col(f"`{text}`")).alias(into), *[F.col(f"`{c}`") for c in docs.columns])

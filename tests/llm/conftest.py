@@ -1,5 +1,7 @@
 import pytest
 
+#: Names that operators use inside.
+TAKEN = ["__rank", "rank", "tie", "row", "__stats", "__quality", "__toxicity", "__toxicity_tokens", "__language", "__text", "fingerprint"]
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -13,6 +15,7 @@ def docs_of(spark):
         if not extra:
             return df
         return df.selectExpr("*", "'x' AS source", "cast(length(text) AS bigint) AS n_chars", "1.5D AS score", "'zz' AS lang_pred",
-                             "7 AS key", "'f' AS fp", "true AS kept", "array(1) AS words", "0 AS n", "'h' AS held_out")
+                             "7 AS key", "'f' AS fp", "true AS kept", "array(1) AS words", "0 AS n", "'h' AS held_out",
+                             *[f"'{k}' AS {c}" for k, c in enumerate(TAKEN)])
 
     return make

@@ -65,8 +65,8 @@ def test_odd_rows(docs_of):
     docs = docs_of([(1, "the cat and the hat", "en"), (2, "der hund und die katze", "de"), (3, None), (4, ""), (5, "12"),
                     (None, "the cat"), (1, "the cat and the hat"), (6, "und die " * 400_000, None)])
     found = langid.identify(docs, langid.learn(docs))
-    assert found.columns == ["__language", *docs.columns]
-    got = sorted(((r.doc_id or 0), r["__language"].lang_pred) for r in found.collect())
+    assert found.columns == ["__language_", *docs.columns]
+    got = sorted(((r.doc_id or 0), r[0].lang_pred) for r in found.collect())
     assert got == [(0, "en"), (1, "en"), (1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und"), (6, "de")]
     empty = docs.where("false")
     assert langid.identify(empty, langid.learn(empty)).collect() == []

@@ -73,8 +73,8 @@ def test_odd_rows(docs_of):
     docs = docs_of([(1, None), (2, ""), (3, good), (3, good), (None, good), (4, "a b c " * 100_000), (5, " ".join(f"w{i}" for i in range(49)))])
     rules = quality.DecisionList([quality.Rule([("n_symbols", True, 5.0)], 0, 0)], 0, 1)
     found = quality.judged(docs, rules)
-    assert found.columns == ["__quality", *docs.columns]
-    got = {(r.doc_id, r["__quality"].base_failed, r["__quality"].kept) for r in found.collect()}
+    assert found.columns == ["__quality_", *docs.columns]
+    got = {(r.doc_id, r[0].base_failed, r[0].kept) for r in found.collect()}
     assert got == {(1, True, False), (2, True, False), (3, False, True), (None, False, True), (4, True, False), (5, True, False)}
     assert found.count() == 7
     assert quality.judged(docs.where("false"), rules).collect() == []

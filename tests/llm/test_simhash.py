@@ -143,3 +143,10 @@ def test_plan_sends_no_fingerprints_to_all(spark, small):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Cartesian" not in text and "hint" not in text.lower()
     assert plan.agg(F.count("*")).first()[0] >= 0
+
+
+def test_the_same_row_stays_whatever_the_order(spark):
+    rows = [(1, "a b c d", f"source {k}") for k in range(40)] + [(2, "quite another text here", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rank string")
+    kept = {tuple(sorted(map(tuple, simhash.representatives(docs.repartition(n), 3, 2).collect()))) for n in (1, 3, 7)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2

@@ -1,9 +1,14 @@
 """Segments against brute force, extreme-value statistics, held-out accuracy."""
 
 import random
+import re
+import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gridcast.llm import queries, toxicity
@@ -36,10 +41,45 @@ def test_segments_of_one_sign():
     assert toxicity.segments(np.zeros(4)) == []
 
 
-def test_a_toxic_token_counts_once():
-    scores = np.array([-1.0, 3.0, 2.0], np.float32)
-    assert toxicity.weighed(scores, np.array([1, 0, 1, 2, 2, 0])).tolist() == [3.0, -1.0, 0.0, 2.0, 0.0, -1.0]
-    assert toxicity.weighed(scores, np.array([0])).tolist() == [-1.0]
+def halves(x, at=0):
+    """Segments of a long sequence: the best one by one pass, then the same on both sides of it."""
+    todo, found = [(0, len(x))], []
+    while todo:
+        low, high = todo.pop()
+        best, total, start = (0.0, low, low), 0.0, low
+        for i in range(low, high):
+            if total <= 0:
+                total, start = 0.0, i
+            total += x[i]
+            if total > best[0]:
+                best = (total, start, i + 1)
+        if best[0] > 0:
+            found.append((best[1], best[2]))
+            todo += [(low, best[1]), (best[2], high)]
+    return sorted(found)
+
+
+def test_longer_segments():
+    rng = random.Random(2)
+    for n in (300, 700, 1500):
+        for tilt in (0.0, -0.3, 0.2):
+            x = [rng.gauss(tilt, 1) for _ in range(n)]
+            assert [(a, b) for a, b, _ in toxicity.segments(np.array(x))] == halves(x)
+
+
+def test_segments_take_linear_time():
+    for pair in ([1.0, -2.0], [1.0, -1.0], [2.0, -1.0], [1.0, -1.0 - 1e-9]):
+        x = np.array(pair * 100_000)
+        began = time.perf_counter()
+        toxicity.segments(x)
+        assert time.perf_counter() - began < 2
+
+
+def test_buckets_are_those_of_the_hash():
+    known = toxicity.Buckets(1 << 20)
+    tokens, first = known.of(pa.array(["Ab, c!  ab", None, "", "--", "é9 C"]))
+    by_hand = [xxhash.xxh64(w.encode(), seed=42).intdigest() % (1 << 20) for w in ("ab", "c", "ab", "é9", "c")]
+    assert tokens.tolist() == by_hand and first.tolist() == [0, 3, 3, 3, 3, 5]
 
 
 def test_decay_rate_solves_its_equation():
@@ -93,7 +133,7 @@ def test_repeated_toxic_words_count_each_time(spark, docs_of):
         3: plain(40) + ["nasty"] * 6 + plain(40),
     }
     docs = docs_of([(k, " ".join(words)) for k, words in texts.items()])
-    found = {r.doc_id: r["__toxicity"] for r in toxicity.scored(docs, model).collect()}
+    found = {r.doc_id: r[0] for r in toxicity.scored(docs, model).collect()}
     spans = {k: {(p.first, p.end) for p in found[k].passages} for k in texts}
     assert all(found[k].score >= 0.5 for k in texts)
     assert (12003, 12008) in spans[1]
@@ -109,7 +149,7 @@ def test_calibration_bears_repeats(spark):
     labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int, half int")
     model = toxicity.learn(labelled, buckets=1 << 14)
     clean = toxicity.scored(labelled.where("toxic = 0"), model)
-    assert clean.where("size(__toxicity.passages) > 0").count() <= 0.06 * clean.count()
+    assert clean.where(F.size(f"{clean.columns[0]}.passages") > 0).count() <= 0.06 * clean.count()
 
 
 def test_fitted_rate():
@@ -127,8 +167,8 @@ def test_odd_rows(spark, docs_of):
     docs = docs_of([(1, None), (2, ""), (3, " .,"), (None, "nasty vile awful vile"), (5, "w1"), (5, "w1"),
                     (6, "w1 w2 w3 " * 300_000 + "nasty vile awful nasty vile awful nasty")])
     found = toxicity.scored(docs, model)
-    assert found.columns == ["__toxicity", *docs.columns]
-    got = [(r.doc_id, r["__toxicity"].score >= 0.5, r["__toxicity"].n_tokens) for r in found.collect()]
+    assert found.columns == ["__toxicity_", *docs.columns]
+    got = [(r.doc_id, r[0].score >= 0.5, r[0].n_tokens) for r in found.collect()]
     assert sorted(got, key=str) == sorted(
         [(1, False, 0), (2, False, 0), (3, False, 0), (None, True, 4), (5, False, 1), (5, False, 1), (6, True, 900_007)], key=str)
     assert toxicity.scored(docs.where("false"), model).collect() == []
@@ -138,7 +178,7 @@ def test_odd_rows(spark, docs_of):
 def test_one_class_or_none(spark, docs_of, condition):
     _, labelled = corpus(spark, 40)
     model = toxicity.learn(labelled.where(condition), buckets=1 << 10)
-    scores = [r["__toxicity"].score for r in toxicity.scored(docs_of([(1, "nasty w1"), (2, None)]), model).collect()]
+    scores = [r[0].score for r in toxicity.scored(docs_of([(1, "nasty w1"), (2, None)]), model).collect()]
     assert all(s < 0.5 for s in scores)
 
 
@@ -151,3 +191,34 @@ def test_held_out_accuracy(spark):
     right, n = got.where("held_out").join(labels, "doc_id").agg(
         F.avg((F.col("toxic") == F.col("predicted")).cast("int")), F.count("*")).first()
     assert n > 50 and right > 0.9
+
+
+def test_whole_query_by_hand(spark, small):
+    """Counts, log-odds, segments and scores of every document in plain Python."""
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    model = queries.toxicity_model(docs, labels)
+    tokens = {r.doc_id: [xxhash.xxh64(w.encode(), seed=42).intdigest() % len(model.scores)
+                         for w in re.split("[^0-9a-z\x80-\U0010ffff]+", (r.text or "").lower()) if w] for r in docs.collect()}
+    known = {r.doc_id: r.toxic for r in labels.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").collect()}
+    counts = {0: Counter(), 1: Counter()}
+    for key, toxic in known.items():
+        if key in tokens:
+            counts[toxic].update(set(tokens[key]))
+    size, (n0, n1) = len(model.scores), (sum(c.values()) for c in (counts[0], counts[1]))
+
+    def odds(bucket):
+        t, c = counts[1][bucket] + 0.5, counts[0][bucket] + 0.5
+        whole = np.log(t / (n1 + size / 2 - t)) - np.log(c / (n0 + size / 2 - c))
+        return float(np.float32(whole - np.sqrt(1 / t + 1 / c)))
+
+    scores = {b: odds(b) for b in {b for t in tokens.values() for b in t}}
+    assert all(abs(scores[b] - model.scores[b]) < 1e-4 for b in scores)
+    for r in queries.QUERIES["op3_toxicity"](spark, small).collect():
+        own = [float(model.scores[b]) for b in tokens[r.doc_id]]
+        n, found = len(own), halves(own)
+        each = [(a, b, model.tail.rate * sum(own[a:b]) - np.log(model.tail.k * n)) for a, b in found]
+        hot = [(a, b) for a, b, e in each if e > -np.log(0.05)]
+        evidence = sum(e for a, b, e in each if (a, b) in hot) if hot else max((e for _, _, e in each), default=-np.log(model.tail.k * max(n, 1)))
+        score = 1 / (1 + np.exp(-np.clip(model.slope * (evidence - model.centre), -50, 50))) if n else 0.0
+        assert abs(r.score - score) < 1e-6 and r.predicted == int(score >= 0.5)
+        assert [(p.first, p.end) for p in r.passages] == hot
