@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import langid, packing, simhash, toxicity
-from gridcast.llm.common import fold, table
+from gridcast.llm.common import fold, table, unused
 from gridcast.llm.queries import RADIUS, SHINGLE, toxicity_model
 from gridcast.session import staging_root
 
@@ -28,14 +28,16 @@ ORACLE_SQL = None
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is known; profiles are learned outside fold 2 of 4."""
     profiles = langid.learn(docs.where(fold("doc_id", 4) != 2))
-    kept = (F.col("__language.lang_pred") != "und") & (F.col("__language.score") >= LEAST_SCORE)
-    return langid.identify(docs, profiles).where(kept).drop("__language")
+    into = unused(docs.columns, "__language")
+    kept = (F.col(f"{into}.lang_pred") != "und") & (F.col(f"{into}.score") >= LEAST_SCORE)
+    return langid.identify(docs, profiles, into=into).where(kept).drop(into)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that score under one half."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where(F.col("__toxicity.score") < 0.5).drop("__toxicity")
+    into = unused(docs.columns, "__toxicity")
+    return toxicity.scored(docs, model, into=into).where(F.col(f"{into}.score") < 0.5).drop(into)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
