@@ -118,6 +118,50 @@ def fit_hourly_gbt(
     return _fit_groups(estimator, train, keys, parallel)
 
 
+def fit_issued_gbt(
+    df: DataFrame, features: Sequence[str], y: str, issues: Sequence[str], kind: str = "day_ahead",
+    hours: Iterable[int] = range(24), date: str = "date", parallel: int = 8, **changes,
+) -> dict:
+    """Boosted models that are renewed: one per issue date and hour, ``{(issue, hour): model}``, each fitted on the rows
+    before its issue date.  The features are staged once for all of them."""
+    train = stage(with_log_target(df, features, y).select("hour", F.col(date).alias("day"), "features", "label"), by=("hour",))
+
+    def fit(key):
+        issue, hour = key
+        rows = train.where((F.col("hour") == hour) & (F.col("day") < F.lit(issue).cast("date")))
+        return key, GBTRegressor(**hour_settings(kind, hour, **changes)).fit(rows)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(pool.map(inheritable_thread_target(train.sparkSession)(fit), [(i, h) for i in issues for h in hours]))
+
+
+def fit_until_best(
+    df: DataFrame, features: Sequence[str], y: str, held_out: Column, kind: str = "climate",
+    hours: Iterable[int] = range(24), patience: int = 100, first: int = 128, parallel: int = 8, **changes,
+) -> tuple[dict, DataFrame]:
+    """Models whose training ends by the error in load units on held-out rows, and the rounds worth keeping.
+
+    A model is fitted for ``first`` rounds on the other rows, then for twice as many, and so on, until ``patience`` rounds
+    after its best one have not been better, or up to ``maxIter``.  The first trees of a longer training are those of the
+    shorter one (the seed is the same), so all trainings together cost at most twice the last one.  Returns the models and
+    (hour, round, loss, rounds): the best round, its error on the held-out rows, and how many rounds were trained.
+    """
+    most = changes.pop("maxIter", SETTINGS[kind]["maxIter"])
+    columns = ["hour", *features, y]
+    table = stage(df.select(*columns, held_out.alias("_held_out")), by=("hour",))
+    train, test = (table.where(c).drop("_held_out") for c in ("NOT _held_out", "_held_out"))
+    todo, rounds, models, chosen = list(hours), min(first, most), {}, {}
+    while todo:
+        fitted = fit_hourly_gbt(train, features, y, kind, todo, parallel=parallel, maxIter=rounds, **changes)
+        curves = learning_curves(test, fitted, features, y)
+        for r in best_rounds(curves, patience=patience).collect():  # one row per model
+            models[r.hour], chosen[r.hour] = fitted[r.hour], (r.hour, r.round, r.loss, rounds)
+        todo = [h for h in todo if h in chosen and rounds < most and rounds - chosen[h][1] < patience]
+        rounds = min(2 * rounds, most)
+    table = df.sparkSession.createDataFrame(sorted(chosen.values()), "hour int, round int, loss double, rounds int")
+    return models, table
+
+
 def fit_hourly_linear(
     df: DataFrame, features: Sequence[str], y: str, hours: Iterable[int] = range(24),
     horizons: Iterable[int] | None = None, regularisation: float = 0.0, l1_share: float = 0.0, parallel: int = 8,

@@ -43,7 +43,10 @@ def write_feed(lines: DataFrame, root: str, kind: str) -> None:
             if len(parts) != 1:
                 raise ValueError(f"{len(parts)} files for {year.getPath()}")
             number = year.getPath().getName().partition("=")[2]
-            files.rename(parts[0], paths.Path(home, f"{kind}_{number}.txt"))
+            feed = paths.Path(home, f"{kind}_{number}.txt")
+            files.delete(feed, False)
+            if not files.rename(parts[0], feed):
+                raise OSError(f"{parts[0]} could not become {feed}")
     files.delete(base, True)
 
 
@@ -57,27 +60,29 @@ def read_prepared_csv(spark: SparkSession, path: str, schema: str, separator: st
     return spark.read.csv(path, schema=schema, header=True, sep=separator)
 
 
-def save_models(models: dict, path: str, parallel: int = 8) -> None:
-    """One folder per model key: ``hour=7`` or ``horizon=2/hour=7``."""
+def save_models(models: dict, path: str, parallel: int = 8, by: Sequence[str] | None = None) -> None:
+    """One folder per model key: ``hour=7`` or ``horizon=2/hour=7``, or by the names ``by`` of the key's parts.
+
+    A model that is there already is replaced; the others stay.
+    """
 
     def save(item):
         key, model = item
-        model.write().overwrite().save(f"{path}/{_folder(key)}")
+        model.write().overwrite().save(f"{path}/{_folder(key, by)}")
 
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(save, models.items()))
 
 
-def load_models(reader: type[MLReadable], path: str, keys: Iterable, parallel: int = 8) -> dict:
+def load_models(reader: type[MLReadable], path: str, keys: Iterable, parallel: int = 8, by: Sequence[str] | None = None) -> dict:
     """The models of ``keys``, read back."""
     keys = list(keys)
     with ThreadPoolExecutor(parallel) as pool:
-        loaded = pool.map(lambda key: reader.load(f"{path}/{_folder(key)}"), keys)
+        loaded = pool.map(lambda key: reader.load(f"{path}/{_folder(key, by)}"), keys)
         return dict(zip(keys, loaded, strict=True))
 
 
-def _folder(key) -> str:
-    if isinstance(key, tuple):
-        horizon, hour = key
-        return f"horizon={horizon}/hour={hour}"
-    return f"hour={key}"
+def _folder(key, by: Sequence[str] | None = None) -> str:
+    parts = key if isinstance(key, tuple) else (key,)
+    names = by or ("horizon", "hour")[-len(parts):]
+    return "/".join(f"{name}={part}" for name, part in zip(names, parts, strict=True))
