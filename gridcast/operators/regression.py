@@ -5,8 +5,12 @@ map side, so a hot group is no slower than the others:
 
 * Up to ``NARROW`` regressors, one aggregate gives the moments of every group and one array expression solves the
   normal equations: millions of small models cost no Python.
-* Wider tables would need thousands of aggregates.  There, tasks add up the moment matrices of their own rows with
-  numpy, one row per group and task is shuffled, and each group is solved where its rows meet.
+* Wider tables would need thousands of aggregates, and squaring them costs half the digits.  There, each task brings
+  its own rows of a group to a triangle (QR), one triangle per group and task is shuffled, and triangles are merged by QR
+  again.  Column pivoting finds the rank: of columns that explain each other, those with most variance of their own stay,
+  wherever they stand in the list.
+
+Both ways leave out rows where a column is null or NaN, and a model without keys is one over all rows.
 """
 
 from __future__ import annotations
@@ -24,8 +28,8 @@ from pyspark.sql import types as T
 TOLERANCE = 1e-10
 #: Widest table that is fitted by aggregates.
 NARROW = 6
-#: Numbers that a task holds in moment matrices before it passes them on.
-HELD = 1 << 22
+#: Numbers that a task holds in triangles before it passes them on, and rows that it brings to a triangle at a time.
+HELD, BLOCK = 1 << 22, 4096
 
 
 def _pairs(k: int):
@@ -37,12 +41,15 @@ def _target(y: str, log: bool) -> Column:
     return F.when(value > 0, F.ln(value)) if log else value
 
 
+def _plain(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool) -> DataFrame:
+    """``keys, _x0.., _y`` as numbers."""
+    return df.select(*keys, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(x)], _target(y, log).alias("_y"))
+
+
 def _base(df: DataFrame, keys: Sequence[str], x: Sequence[str], y: str, log: bool) -> DataFrame:
-    """``keys, _x0.., _y``: all null where any is, so that aggregates leave the row out and its group stays."""
-    names = [f"_x{i}" for i in range(len(x))]
-    wide = df.select(*keys, *[F.col(c).cast("double").alias(n) for c, n in zip(x, names, strict=True)],
-                     _target(y, log).alias("_y"))
-    known = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in [*names, "_y"]))
+    """``keys, _x0.., _y``: all null where any is null or NaN, so that aggregates leave the row out and its group stays."""
+    names, wide = [f"_x{i}" for i in range(len(x))], _plain(df, keys, x, y, log)
+    known = F.expr(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in [*names, "_y"]))
     return wide.select(*keys, *[F.when(known, F.col(c)).alias(c) for c in [*names, "_y"]])
 
 
@@ -90,85 +97,101 @@ def _moments(base: DataFrame, keys: Sequence[str], k: int, n: str = "n") -> Data
 # -- wide tables ---------------------------------------------------------------
 
 
-def _added(parts: list[tuple]) -> tuple:
-    """(n, mean, sum of products around the mean) of all parts together."""
-    n, mean, products = parts[0]
-    for m, other, more in parts[1:]:
-        if not m:
-            continue
-        if not n:
-            n, mean, products = m, other, more
-            continue
-        shift = other - mean
-        mean = mean + shift * (m / (n + m))
-        products = products + more + np.outer(shift, shift) * (n * m / (n + m))
-        n += m
-    return n, mean, products
-
-
-def _fitted(n: int, mean: np.ndarray, products: np.ndarray) -> list[float]:
-    """Intercept and coefficients by the elimination steps of ``_solve``."""
-    k = len(mean) - 1
-    rows = products[:k].copy() / max(n, 1)
-    own = rows.diagonal().copy()
-    for p in range(k):
-        pivot = rows[p, p]
-        rows[p] = rows[p] / pivot if pivot > TOLERANCE * own[p] else 0.0
-        others = np.arange(k) != p
-        rows[others] -= np.outer(rows[others, p], rows[p])
-    coefficients = rows[:, k]
+Part = tuple[int, np.ndarray]  # number of rows, and the triangle of [1, x..., y]
+
+
+def _triangle(blocks: Sequence[np.ndarray], width: int) -> np.ndarray:
+    """The triangle of all rows together: its products are theirs."""
+    out = np.zeros((width, width))
+    found = np.linalg.qr(np.concatenate(blocks), mode="r") if any(map(len, blocks)) else out[:0]
+    out[:len(found)] = found
+    return out
+
+
+def _added(parts: list[Part]) -> Part:
+    return sum(n for n, _ in parts), _triangle([r for _, r in parts], len(parts[0][1]))
+
+
+def _pivots(c: np.ndarray, own: np.ndarray, total: np.ndarray) -> list[int]:
+    """Columns that are not a mix of the ones taken before: always the one that has kept the largest share of its own
+    variance comes next, as long as that is over ``TOLERANCE``."""
+    c, chosen = c.copy(), []
+    # a constant column has nothing but rounding left
+    usable = own > 1e-20 * total
+    while len(chosen) < c.shape[1]:
+        share = np.where(usable, (c * c).sum(axis=0) / np.where(usable, own, 1.0), 0.0)
+        share[chosen] = 0.0
+        best = int(np.argmax(share))
+        if share[best] <= TOLERANCE:
+            break
+        chosen.append(best)
+        unit = c[:, best] / np.sqrt((c[:, best] ** 2).sum())
+        c -= np.outer(unit, unit @ c)
+    return chosen
+
+
+def _fitted(n: int, triangle: np.ndarray) -> list[float]:
+    """Intercept and coefficients; 0 for columns that others explain."""
+    k = len(triangle) - 2
+    mean = triangle[0, 1:] / triangle[0, 0]
+    c, right = triangle[1:, 1:k + 1], triangle[1:, k + 1]
+    own = (c * c).sum(axis=0)
+    chosen = _pivots(c, own, own + n * mean[:k] ** 2)
+    coefficients = np.zeros(k)
+    if chosen:
+        scale = np.sqrt(own[chosen])
+        coefficients[chosen] = np.linalg.lstsq(c[:, chosen] / scale, right, rcond=None)[0] / scale
     return [float(mean[k] - coefficients @ mean[:k]), *coefficients.tolist()]
 
 
-def _partial_moments(base: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """``keys, n, mean, products`` of each group and task."""
+def _partial_triangles(base: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """``keys, n, triangle`` of each group and task, from the rows of ``base`` where everything is known."""
     names = [*[f"_x{i}" for i in range(k)], "_y"]
     keys = list(keys)
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list] = {}
+        held: dict[tuple, Part] = {}
 
         def handed() -> pd.DataFrame:
-            rows = [(*key, *_added(parts)) for key, parts in held.items()]
+            rows = [(*key, n, r.ravel()) for key, (n, r) in held.items()]
             held.clear()
-            out = pd.DataFrame(rows, columns=[*keys, "n", "mean", "products"])
-            return out.assign(products=[p.ravel() for p in out["products"]])
+            return pd.DataFrame(rows, columns=[*keys, "n", "triangle"])
 
         for batch in batches:
             values = batch[names].to_numpy(float)
-            for key, at in batch.groupby(keys, sort=False, dropna=False).indices.items():
+            groups = batch.groupby(keys, sort=False, dropna=False).indices if keys else {(): np.arange(len(batch))}
+            for key, at in groups.items():
                 rows = values[at]
                 rows = rows[~np.isnan(rows).any(axis=1)]
-                mean = rows.mean(axis=0) if len(rows) else np.zeros(k + 1)
-                part = len(rows), mean, (rows - mean).T @ (rows - mean)
                 key = key if isinstance(key, tuple) else (key,)
-                held[key] = [_added([*held[key], part])] if key in held else [part]
-            if len(held) * (k + 1) ** 2 > HELD:
+                key = tuple(None if pd.isna(v) else v for v in key)
+                for start in range(0, max(len(rows), 1), BLOCK):
+                    own = rows[start:start + BLOCK]
+                    part = len(own), _triangle([np.c_[np.ones(len(own)), own]], k + 2)
+                    held[key] = _added([held[key], part]) if key in held else part
+            if len(held) * (k + 2) ** 2 > HELD:
                 yield handed()
         if held:
             yield handed()
 
     kinds = [f for f in base.schema.fields if f.name in keys]
     kinds.sort(key=lambda f: keys.index(f.name))
-    numbers = T.ArrayType(T.DoubleType())
-    schema = T.StructType([*kinds, T.StructField("n", T.LongType()), T.StructField("mean", numbers),
-                           T.StructField("products", numbers)])
+    schema = T.StructType([*kinds, T.StructField("n", T.LongType()), T.StructField("triangle", T.ArrayType(T.DoubleType()))])
     return base.mapInPandas(add_up, schema)
 
 
 def _wide_models(partial: DataFrame, keys: Sequence[str], x: Sequence[str], fold: str | None = None) -> DataFrame:
-    """One model per group of ``keys`` from the partial moments, or with ``fold`` one per fold from all earlier folds."""
+    """One model per group of ``keys`` from the triangles, or with ``fold`` one per fold from all earlier folds."""
     k, keys = len(x), list(keys)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        def parts(rows):
-            return [(n, np.array(m), np.array(p).reshape(k + 1, k + 1)) for n, m, p in
-                    zip(rows["n"], rows["mean"], rows["products"], strict=True)]
+        def parts(rows) -> list[Part]:
+            return [(int(n), np.array(r).reshape(k + 2, k + 2)) for n, r in zip(rows["n"], rows["triangle"], strict=True)]
 
-        head = [frame[c].iloc[0] for c in keys]
+        head = [None if pd.isna(frame[c].iloc[0]) else frame[c].iloc[0] for c in keys]
         if fold is None:
             total = _added(parts(frame))
-            rows = [(*head, total[0], *_fitted(*total))]
+            rows = [(*head, total[0], *_fitted(*total))] if total[0] else []
         else:
             rows, before = [], None
             for day, own in frame.sort_values(fold).groupby(fold):
@@ -192,12 +215,14 @@ def fit_grouped_linear(
 ) -> DataFrame:
     """One least-squares model per group, on rows where all columns are known.
 
-    ``log`` fits the logarithm of ``y`` (rows with ``y <= 0`` are left out).  A group without a known row has no model.
+    ``log`` fits the logarithm of ``y`` (rows with ``y <= 0`` are left out).  A group without a known row has no model, a
+    null key is a group like any other, and without keys there is one model.  NaN is not known.  A column that is constant
+    or explained by others has the coefficient 0.
     """
-    base = _base(df, keys, x, y, log).filter(F.col("_y").isNotNull())
     if len(x) > NARROW:
-        return _wide_models(_partial_moments(base, keys, len(x)), keys, x)
-    return _solve(_moments(base, keys, len(x)), keys, x)
+        return _wide_models(_partial_triangles(_plain(df, keys, x, y, log), keys, len(x)), keys, x)
+    base = _base(df, keys, x, y, log).filter(F.col("_y").isNotNull())
+    return _solve(_moments(base, keys, len(x)), keys, x).where("n > 0")
 
 
 def fit_folds(
@@ -213,14 +238,15 @@ def fit_folds(
     before each fold.  Every row is read once, however many folds there are.
     """
     k, keys = len(x), list(keys)
-    base = _base(df.withColumn("fold", F.trunc("date", unit)), [*keys, "fold"], x, y, log)
+    folded = df.withColumn("fold", F.trunc("date", unit))
     if k > NARROW:
-        partial = _partial_moments(base, [*keys, "fold"], k)
+        partial = _partial_triangles(_plain(folded, [*keys, "fold"], x, y, log), [*keys, "fold"], k)
         if folds is not None:
-            none = F.array_repeat(F.lit(0.0), k + 1), F.array_repeat(F.lit(0.0), (k + 1) ** 2)
+            none = F.array_repeat(F.lit(0.0), (k + 2) ** 2)
             partial = partial.unionByName(folds.select(
-                *keys, "fold", F.lit(0).cast("long").alias("n"), none[0].alias("mean"), none[1].alias("products")))
+                *keys, "fold", F.lit(0).cast("long").alias("n"), none.alias("triangle")))
         return _wide_models(partial, keys, x, "fold")
+    base = _base(folded, [*keys, "fold"], x, y, log)
     names = ["_y", *[f"_x{i}" for i in range(k)]]
     pairs = [(f"_x{i}", f"_x{j}", f"_a{i}_{j}") for i, j in _pairs(k)]
     pairs += [(f"_x{i}", "_y", f"_b{i}") for i in range(k)]

@@ -10,13 +10,20 @@ from gridcast.operators.origins import LOAD_LAGS, OFFSET, add_origin_lags, sprea
 from gridcast.operators.profiles import array_stats, explode_hours, hour_lags, lag_days
 from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.smooth import smooth_savgol
-from gridcast.plans.features import DAY_AHEAD_TEMPERATURE_LAGS, MULTI_DAY_TEMPERATURE_LAGS, hourly_features
+from gridcast.plans.features import (
+    DAY_AHEAD_TEMPERATURE_LAGS,
+    MULTI_DAY_TEMPERATURE_LAGS,
+    feature_columns,
+    hourly_features,
+)
+from gridcast.plans.forecasts import fit_load, predict_load
 from gridcast.queries.registry import (
     TEMPERATURE_SQL,
     grid_sql,
     iso,
     load_panel,
     load_profiles,
+    projection_sql,
     query,
     rounded,
     temperature_profiles,
@@ -210,6 +217,41 @@ def day_ahead_features(spark, folder):
     return out.select(*kept, *_FEATURES)
 
 
+#: The regressors of the whole table in SQL: calendar, dummies, weather, load history.
+_WHOLE = {
+    **{f"month_{m}": f"CAST(month(g.d) = {m} AS INTEGER)" for m in range(1, 13)},
+    **{f"weekday_{w}": f"CAST(isodow(g.d) = {w + 1} AS INTEGER)" for w in range(7)},
+    "weekday": "isodow(g.d) - 1", "month": "month(g.d)", "day_of_month": "day(g.d)", "day_of_year": "dayofyear(g.d)",
+    **{c: c for c in _FEATURES},
+}
+
+
+@query(
+    "whole_table_fit",
+    f"""WITH RECURSIVE {grid_sql("user_id")}, {TEMPERATURE_SQL}, {_WIDE_SQL},
+tdaily AS (SELECT d, avg(temperature) AS mean, max(temperature) AS max, min(temperature) AS min FROM temps GROUP BY d),
+tstats AS (SELECT d, {", ".join(f"lag({s}, {k}) OVER (ORDER BY d) AS temperature_{s}_d{k}"
+                               for k in (1, 2) for s in ("mean", "max", "min"))} FROM tdaily),
+tlags AS (SELECT d, h, {_T_LAGS_SQL} FROM temps),
+wide AS (SELECT g.series_id, g.d, g.h, ln(g.load + 1) AS y, {", ".join(f"CAST({x} AS DOUBLE) AS x{i}" for i, x in enumerate(_WHOLE.values()))}
+  FROM grid g JOIN lags l ON l.series_id = g.series_id AND l.d = g.d
+  JOIN stats s ON s.series_id = g.series_id AND s.d = g.d
+  JOIN tstats t ON t.d = g.d JOIN tlags u ON u.d = g.d AND u.h = g.h
+  WHERE lag337 IS NOT NULL AND temperature_lag120 IS NOT NULL AND temperature_mean_d2 IS NOT NULL AND mean_48h IS NOT NULL),
+{projection_sql("wide", "h", "{'series_id': series_id, 'd': d}", len(_WHOLE))}
+SELECT r.series_id AS series_id, CAST(r.d AS VARCHAR) AS date, CAST(g AS INTEGER) AS hour, round(exp(fitted) - 1, 4) AS fitted FROM projected""",
+)
+def whole_table_fit(spark, folder):
+    """One model per hour on every column of the feature table, pooled over the users, and its fitted values.
+    The dummies add up to one, the weather is the same for all users and some columns are constant: the fit finds the rank."""
+    rows = hourly_features(load_profiles(spark, folder, "user_id"), ["series_id"], temperature_profiles(spark, folder))
+    features = feature_columns(rows)
+    if set(features) != set(_WHOLE):
+        raise ValueError(f"other columns: {set(features) ^ set(_WHOLE)}")
+    fitted = predict_load(rows, fit_load(rows, ["hour"], features, shift=1.0), ["hour"], features, shift=1.0)
+    return rounded(fitted.select("series_id", iso("date").alias("date"), "hour", F.col("prediction").alias("fitted")), 4, "fitted")
+
+
 _M_T = [f"temperature_lag{k}" for k in MULTI_DAY_TEMPERATURE_LAGS]
 
 

@@ -155,3 +155,30 @@ def least_squares_sql(source: str, keys: str, k: int) -> str:
     level = "my" + "".join(f" - c{i} * m{i}" for i in range(k))
     out.append(f"solved AS (SELECT *, {level} AS c FROM {last})")
     return ",\n".join(out)
+
+
+def projection_sql(source: str, key: str, row: str, k: int) -> str:
+    """CTEs up to ``projected`` (key, row, fitted): least squares of ``y`` on ``x0..`` per key, fitted values of the same
+    rows.  The matrix of products lies in rows (i, j) and is eliminated column by column, a column without variance of its
+    own left being skipped; column ``k`` is the target."""
+    names = [*[f"x{i}" for i in range(k)], "y"]
+    values = ", ".join(f"{c} - avg({c}) OVER (PARTITION BY {key})" for c in names)
+    return f"""centred AS MATERIALIZED (SELECT {key} AS g, {row} AS r, avg(y) OVER (PARTITION BY {key}) AS level, [{values}] AS v FROM {source}),
+places AS (SELECT unnest(range(0, {k + 1})) AS i),
+products AS MATERIALIZED (SELECT g, a.i AS i, b.i AS j, sum(v[a.i + 1] * v[b.i + 1]) AS p
+  FROM centred, places a, places b GROUP BY ALL),
+own AS (SELECT g, i, p AS own FROM products WHERE i = j),
+steps AS (SELECT -1 AS step, g, i, j, p FROM products
+  UNION ALL
+  SELECT s.step + 1, s.g, s.i, s.j, CASE
+      WHEN q.p <= 1e-9 * o.own OR o.own <= 1e-20 THEN CASE WHEN s.i = s.step + 1 THEN 0 ELSE s.p END
+      WHEN s.i = s.step + 1 THEN s.p / q.p
+      ELSE s.p - c.p * w.p / q.p END
+  FROM steps s
+  JOIN steps q ON q.g = s.g AND q.i = s.step + 1 AND q.j = s.step + 1
+  JOIN steps c ON c.g = s.g AND c.i = s.i AND c.j = s.step + 1
+  JOIN steps w ON w.g = s.g AND w.i = s.step + 1 AND w.j = s.j
+  JOIN own o ON o.g = s.g AND o.i = s.step + 1
+  WHERE s.step < {k - 1} AND s.j > s.step + 1),
+weights AS (SELECT g, list(p ORDER BY i) AS b FROM steps WHERE step = {k - 1} AND j = {k} AND i < {k} GROUP BY g),
+projected AS (SELECT c.g, c.r, c.level + list_dot_product(v[:{k}], b) AS fitted FROM centred c JOIN weights w ON w.g = c.g)"""
