@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcast.operators.ranges import find_ranges
 from gridcast.operators.readings import dedup_first
 
 
@@ -37,22 +38,39 @@ def fill_dates(daily: DataFrame) -> DataFrame:
     return axis.join(daily, "date", "left").select(daily.columns)
 
 
-def row_positions(df: DataFrame, keys: Sequence[str], date: str, order: Sequence[str], out: str = "position") -> DataFrame:
-    """0-based position of each row in its series.
+#: Rows that one task numbers, about; the ranges of an order grow beyond ``ranges.MOST_RANGES`` times as many.
+NUMBERED_ROWS = 1 << 18
 
-    Rows are numbered within a month of a series and shifted by the row counts of
-    the months before (a small table), so no task sorts a whole series.
+
+def row_positions(
+    df: DataFrame, keys: Sequence[str], date: str, order: Sequence[str], out: str = "position", rows: int = NUMBERED_ROWS
+) -> DataFrame:
+    """0-based position of each row in its series, by ``order``.
+
+    The order (keys, ``date``, ``order``) of all rows is cut into ranges of about ``rows`` rows, whatever series or
+    date they belong to.  Rows are numbered within their range and shifted by the row counts of the series' ranges
+    before (a small table), so a series or month with a third of all rows is spread over tasks.  Only rows that are
+    equal in all columns of the order meet in one range; their order is open.  A table of one range (the rows are
+    counted first) needs no cuts, and its series are numbered as they are.
     """
     keys = list(keys)
-    rows = df.withColumn("_month", F.trunc(date, "MM"))
-    counts = rows.groupBy(*keys, "_month").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_month", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    w = Window.partitionBy(*keys, "_month").orderBy(*order)
-    numbered = rows.join(starts, [*keys, "_month"]).withColumn(
-        out, F.col("_start") + F.row_number().over(w) - 1
-    )
-    return numbered.drop("_month", "_start")
+    by = list(dict.fromkeys([date, *order]))
+    total = df.count()
+    if total <= rows:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+        return df.withColumn(out, (place - 1).cast("long"))
+    ranges = find_ranges(df, [*keys, *by], rows, total)
+    numbered = ranges.number(df.withColumn("_key", F.struct(*keys, *by)), "_key", "_range").drop("_key")
+    counts = numbered.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_range").alias("_at"),
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = F.col("_range") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*by))
+    shifted = numbered.withColumn(out, (place - 1).cast("long")).join(starts, same)
+    return shifted.withColumn(out, F.col("_start") + F.col(out)).select(*df.columns, out)
 
 
 def zip_by_position(

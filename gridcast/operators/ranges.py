@@ -42,13 +42,14 @@ class Ranges:
         return F.get(self._starts(), number) == key
 
 
-def find_ranges(keys: DataFrame, order: Sequence[str], rows: int = RANGE_ROWS) -> Ranges | None:
+def find_ranges(keys: DataFrame, order: Sequence[str], rows: int = RANGE_ROWS, total: int | None = None) -> Ranges | None:
     """Ranges of about ``rows`` rows of the rows of ``keys`` by the columns ``order``, ascending; None for no rows.
 
     Only these columns are read (twice: a count and a sample, then the ranges).  Rows with equal keys are in one range.
+    A caller that knows the number of rows gives it as ``total``.
     """
     plain = keys.select(*order)
-    total = plain.count()
+    total = plain.count() if total is None else total
     if not total:
         return None
     parts = min(MOST_RANGES, -(-total // rows))

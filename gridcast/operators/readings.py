@@ -44,44 +44,87 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     return first.select(*keys, "_first.*").select(df.columns)
 
 
+def _days_of_readings(df: DataFrame, keys: Sequence[str], half: Column, load: str) -> DataFrame:
+    """One row per key and date: its half-hour readings and its ten-minute means as (hour, load) in time order."""
+    reading = F.struct(F.col("hour").cast("double").alias("hour"), F.col(load).cast("double").alias("load"))
+    dated = df.filter(F.col("date").isNotNull() & F.col("hour").isNotNull())
+    return dated.groupBy(*keys, "date").agg(
+        F.sort_array(F.collect_list(F.when(half, reading))).alias("_half"),
+        F.sort_array(F.collect_list(F.when(~half, reading))).alias("_ten"),
+    )
+
+
+def _full(reading: Column) -> Column:
+    return reading["hour"] == F.floor(reading["hour"])
+
+
+def _pair_days(days: DataFrame, keys: Sequence[str], closing: Column) -> DataFrame:
+    """``days`` with ``_hours``: the full-hour readings of ``_half``, each the mean of itself and the next reading.
+
+    ``closing`` is (date, load) on the days that have it; the earliest of a series completes its last full hour.
+
+    Pairs are made inside the day's array; only the next day with half hours is looked up, by a window over days.
+    """
+    by_day = Window.partitionBy(*keys).orderBy("date")
+    whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    halves, size = F.col("_half"), F.size("_half")
+    head = F.when(size > 0, F.struct(F.get(halves, F.lit(0))["load"].alias("load")))
+    tail = F.when(size > 0, F.struct("date", F.get(halves, size - 1)["load"].alias("load")))
+    days = days.withColumns({"_head": head, "_opening": closing})
+    days = days.withColumns({
+        "_closing": F.min("_opening").over(whole)["load"],
+        "_follow": F.expr("lead(_head) IGNORE NULLS").over(by_day)["load"],
+        "_tail": F.max(tail).over(whole)["load"],
+        "_last_day": F.max(F.when(F.exists(halves, _full), F.col("date"))).over(whole),
+        "_last_hour": F.array_max(F.transform(F.filter(halves, _full), lambda x: x["hour"])),
+    })
+
+    def paired(x, i):
+        following = F.when(i + 1 < size, F.get(halves, i + 1)["load"]).otherwise(F.col("_follow"))
+        last = (F.col("date") == F.col("_last_day")) & (x["hour"] == F.col("_last_hour"))
+        closed = F.when(last, (F.col("_tail") + F.col("_closing")) / 2)
+        return F.struct(x["hour"].alias("hour"), F.coalesce(closed, (x["load"] + following) / 2, x["load"]).alias("load"))
+
+    return days.withColumn("_hours", F.filter(F.transform(halves, paired), _full))
+
+
 def pair_half_hours(
     df: DataFrame, keys: Sequence[str], load: str = "load", closing: DataFrame | None = None
 ) -> DataFrame:
     """Half-hour readings to hourly loads: mean of a full-hour reading and the next reading.
 
-    ``df`` has ``date`` and a decimal ``hour``.  "Next" is the next row in time,
-    however far away.  ``closing`` (``keys..., closing``: first value of the feed
-    that follows) completes the last full hour, which takes the mean of the last
-    reading and that value.
+    ``df`` has ``date``, a decimal ``hour`` and at most one row for each; the result has ``keys``, ``date``, ``hour``
+    and ``load``.  "Next" is the next row in time, however far away; a reading before an unknown one stays as it is.
+    ``closing`` (``keys..., closing``: first value of the feed that follows) completes the last full hour, which takes
+    the mean of the last reading and that value.  Readings without a date or hour are left out.
 
-    Windows run within one year of a series; what follows the last row of a year
-    comes from a small table with one row per series and year.
+    The readings are read once, as one array per day; windows see one row per calendar day of a series.
     """
     keys = list(keys)
-    stamp = F.struct("date", "hour")
-    rows = df.withColumn("_year", F.year("date"))
-    full = F.col("hour") == F.floor("hour")
-    edges = rows.groupBy(*keys, "_year").agg(
-        F.min_by(load, stamp).alias("_head"), F.max_by(load, stamp).alias("_tail"),
-        F.max(F.when(full, stamp)).alias("_last_full"),
-    )
-    years = Window.partitionBy(*keys).orderBy("_year")
-    edges = edges.withColumn("_follow", F.lead("_head").over(years))
-    edges = edges.withColumn("_final", F.lead("_year").over(years).isNull())
-    if closing is not None:
-        edges = edges.join(closing, keys, "left")
+    days = _days_of_readings(df, keys, F.lit(True), load)
+    if closing is None:
+        days = days.withColumn("closing", F.lit(None))
     else:
-        edges = edges.withColumn("closing", F.lit(None).cast("double"))
-
-    times = Window.partitionBy(*keys, "_year").orderBy("date", "hour")
-    rows = rows.join(edges, [*keys, "_year"])
-    rows = rows.withColumn("_next", F.coalesce(F.lead(load).over(times), "_follow"))
-    # the last full hour of the series lies in its final year
-    rows = rows.filter(full).withColumn("_last", F.col("_final") & (stamp == F.col("_last_full")))
-    paired = F.coalesce((F.col(load) + F.col("_next")) / 2, load)
-    closed = (F.col("_tail") + F.col("closing")) / 2
-    value = F.when(F.col("_last") & F.col("closing").isNotNull(), closed).otherwise(paired)
-    return rows.withColumn(load, value).select(df.columns)
+        days = days.join(closing.select(*keys, "closing"), keys, "left")
+    days = _pair_days(days, keys, F.struct("date", F.col("closing").cast("double").alias("load")))
+    return days.select(*keys, "date", F.inline("_hours")).withColumnRenamed("load", load)
+
+
+def harmonise(df: DataFrame, keys: Sequence[str], half: str, load: str = "load") -> DataFrame:
+    """Half-hour readings (where ``half`` holds) and hourly means of a feed that follows, as one load per hour.
+
+    ``df`` has at most one row per key, date, hour and ``half``; hours of the second kind are full.  Half hours are
+    paired as in ``pair_half_hours``, closed by the first load of the other kind.  Where both kinds have an hour the
+    half-hour feed wins, but an unknown load never does.  Rows without a date or hour are left out.  ``df`` is read once.
+    """
+    keys = list(keys)
+    days = _days_of_readings(df, keys, F.col(half), load)
+    first = F.when(F.size("_ten") > 0, F.struct("date", F.get("_ten", F.lit(0))["load"].alias("load")))
+    days = _pair_days(days, keys, first)
+    hours, tens = F.col("_hours"), F.col("_ten")
+    kept = F.filter(hours, lambda x: x["load"].isNotNull() | ~F.exists(tens, lambda y: y["hour"] == x["hour"]))
+    added = F.filter(tens, lambda y: ~F.exists(hours, lambda x: (x["hour"] == y["hour"]) & x["load"].isNotNull()))
+    return days.select(*keys, "date", F.inline(F.concat(kept, added))).withColumnRenamed("load", load)
 
 
 def union_feeds(half_hour: DataFrame, ten_minute: DataFrame) -> DataFrame:

@@ -14,11 +14,9 @@ from gridcast.operators.readings import (
     dedup_first,
     drop_incomplete,
     drop_outliers,
+    harmonise,
     mean_of_slots,
     on_the_hour,
-    pair_half_hours,
-    split_by_slot,
-    union_feeds,
 )
 from gridcast.plans.features import (
     DAY_AHEAD_TEMPERATURE_LAGS,
@@ -88,16 +86,16 @@ def _first_known(loads: DataFrame, order: list[str]) -> DataFrame:
 def mixed_loads(feed: DataFrame, series: str = "all") -> DataFrame:
     """Half-hour rows of the older years and ten-minute rows of the later ones as hourly loads.
 
-    Where both feeds have an hour, the half-hour feed, which comes first, wins; an unknown load never does.
+    A row is of the half-hour feed where the last slot is empty.  Where both feeds have an hour, the half-hour feed,
+    which comes first, wins; an unknown load never does.  Lines without a date or hour are left out.  One pass.
     """
-    full, short = split_by_slot(_of_series(feed, series), SLOTS[-1])
-    ten = _first_known(_ten_minutes(full), ["_line"]).drop("_line")
-    half = short.select(*KEYS, "date", "hour", F.col(SLOTS[0]).alias("load"), "_line")
-    half = _first_known(half, ["_line"]).drop("_line")
-    closing = ten.groupBy(*KEYS).agg(F.min_by("load", F.struct("date", "hour")).alias("closing"))
-    paired = pair_half_hours(half, KEYS, closing=closing).withColumn("hour", F.col("hour").cast("int"))
-    both = union_feeds(paired.withColumn("_feed", F.lit(0)), ten.select(paired.columns).withColumn("_feed", F.lit(1)))
-    return _first_known(both, ["_feed"]).drop("_feed")
+    rows = _of_series(feed, series).withColumns({"_half": F.col(SLOTS[-1]).isNull(), "_single": F.col(SLOTS[0])})
+    rows = mean_of_slots(rows, SLOTS)
+    rows = rows.withColumn("load", F.when(F.col("_half"), F.col("_single")).otherwise(F.col("load")))
+    rows = rows.filter(F.col("_half") | (F.col("hour") == F.floor("hour")))
+    rows = rows.select(*KEYS, "date", "hour", "_half", "load", "_line")
+    first = dedup_first(rows, [*KEYS, "date", "hour", "_half"], [F.col("load").isNull(), "_line"])
+    return harmonise(first, KEYS, "_half").withColumn("hour", F.col("hour").cast("int"))
 
 
 def _daily(types: DataFrame, sun: DataFrame) -> DataFrame:

@@ -12,9 +12,8 @@ from gridcast.operators.readings import (
     drop_incomplete,
     drop_null_columns,
     drop_outliers,
+    harmonise,
     mean_of_slots,
-    on_the_hour,
-    pair_half_hours,
     split_by_slot,
     union_feeds,
 )
@@ -196,15 +195,14 @@ FROM (SELECT * FROM paired UNION ALL SELECT * FROM ten)""",
 def halfhour_to_hour(spark, folder):
     """Half-hour readings before 16 January, ten-minute slots after."""
     ev = readings(spark, folder)
-    cut = F.lit("2024-01-16").cast("date")
-    half_hour = F.col("hour") + F.when(F.minute("ts") >= 30, 0.5).otherwise(0.0)
-    half = ev.filter(F.col("date") < cut).groupBy("series_id", "date", half_hour.alias("hour")).agg(
-        F.sum("value").alias("load"))
-    ten = mean_of_slots(_slots(spark, folder).filter(F.col("date") >= cut), _SLOT_NAMES)
-    ten = on_the_hour(ten.withColumn("hour", F.col("hour").cast("double")))
-    closing = ten.groupBy("series_id").agg(F.min_by("load", F.struct("date", "hour")).alias("closing"))
-    both = union_feeds(pair_half_hours(half, ["series_id"], closing=closing), ten)
-    out = both.withColumn("hour", F.col("hour").cast("int")).withColumn("date", iso("date"))
+    half = F.col("date") < F.lit("2024-01-16").cast("date")
+    hour = F.col("hour") + F.when(half & (F.minute("ts") >= 30), 0.5).otherwise(0.0)
+    slots = [F.sum(F.when(F.floor(F.minute("ts") / 10) == i, F.col("value"))).alias(f"slot{i}") for i in range(6)]
+    rows = ev.groupBy("series_id", "date", hour.alias("hour")).agg(F.sum("value").alias("total"), *slots)
+    rows = mean_of_slots(rows.withColumn("half", half), _SLOT_NAMES)
+    rows = rows.withColumn("load", F.when(F.col("half"), F.col("total")).otherwise(F.col("load")))
+    out = harmonise(rows, ["series_id"], "half")
+    out = out.withColumn("hour", F.col("hour").cast("int")).withColumn("date", iso("date"))
     return rounded(out, 6, "load")
 
 

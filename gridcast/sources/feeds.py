@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.functions.clock import parse_clock, parse_day, parse_hour
@@ -89,14 +89,32 @@ def read_fields(
     return lines.filter(F.length(F.trim("value")) > 0).select(fields.alias("fields"), "kind", "year", "_line", *site)
 
 
-def rejected_lines(parsed: DataFrame) -> DataFrame:
-    """``lines`` of a parsed feed and how many have no readable date or hour; such lines belong to no day, and every
-    unreadable value is null."""
+def _line_counts(parsed: DataFrame) -> list[Column]:
     unread = F.lit(False)
     for c in ("date", "hour"):
         if c in parsed.columns:
             unread = unread | F.col(c).isNull()
-    return parsed.agg(F.count(F.lit(1)).alias("lines"), F.count(F.when(unread, 1)).alias("rejected"))
+    return [F.count(F.lit(1)).alias("lines"), F.count(F.when(unread, 1)).alias("rejected")]
+
+
+def rejected_lines(parsed: DataFrame) -> DataFrame:
+    """``lines`` of a parsed feed and how many have no readable date or hour; such lines belong to no day, and every
+    unreadable value is null."""
+    return parsed.agg(*_line_counts(parsed))
+
+
+def observe_lines(parsed: DataFrame, name: str = "lines") -> tuple[DataFrame, Observation]:
+    """``parsed`` and the counts of ``rejected_lines``, taken while it is read.
+
+    ``observation.get`` gives ``lines`` and ``rejected`` once the first action on the table, which must read all of it,
+    is over; the feed is not read again for them.
+    """
+    seen = Observation(name)
+    return parsed.observe(seen, *_line_counts(parsed)), seen
+
+
+def _site(fields: DataFrame) -> list[str]:
+    return [c for c in fields.columns if c == "series_id"]
 
 
 def _field(i: int):
@@ -111,7 +129,7 @@ def parse_load(fields: DataFrame, slots: int = 6, hour24: str = "same_day") -> D
     """``date, hour, slot0..`` from ``dd/MM/yyyy HH:mm v v v ...``; missing slots are null."""
     day, text = F.try_to_date(_field(0), "dd/MM/yyyy"), _field(1)
     return fields.select(
-        *[c for c in fields.columns if c == "series_id"],
+        *_site(fields),
         parse_day(day, text, hour24).alias("date"),
         parse_hour(text).alias("hour"),
         *[_number(2 + i).alias(f"slot{i}") for i in range(slots)],
@@ -122,7 +140,7 @@ def parse_load(fields: DataFrame, slots: int = 6, hour24: str = "same_day") -> D
 def parse_sun(fields: DataFrame, decimal: bool = False) -> DataFrame:
     names = {"sun_rise": 1, "sun_down": 2, "sun_last": 3}
     return fields.select(
-        F.try_to_date(_field(0), "yyyy-MM-dd").alias("date"),
+        *_site(fields), F.try_to_date(_field(0), "yyyy-MM-dd").alias("date"),
         *[parse_clock(_field(i), decimal).alias(n) for n, i in names.items()], "_line",
     )
 
@@ -131,9 +149,9 @@ def parse_temperature(fields: DataFrame, hourly: bool = True) -> DataFrame:
     """Hourly: ``date hour temperature`` by position; daily: ``date temperature``."""
     date = F.coalesce(F.try_to_date(_field(0), "dd/MM/yyyy"), F.try_to_date(_field(0), "yyyy-MM-dd"))
     if not hourly:
-        return fields.select(date.alias("date"), _number(1).alias("temperature"), "_line")
+        return fields.select(*_site(fields), date.alias("date"), _number(1).alias("temperature"), "_line")
     return fields.select(
-        date.alias("date"), F.floor(parse_hour(_field(1))).cast("int").alias("hour"),
+        *_site(fields), date.alias("date"), F.floor(parse_hour(_field(1))).cast("int").alias("hour"),
         _number(2).alias("temperature"), "_line",
     )
 
@@ -141,7 +159,7 @@ def parse_temperature(fields: DataFrame, hourly: bool = True) -> DataFrame:
 def parse_daytype(fields: DataFrame) -> DataFrame:
     date = F.coalesce(F.try_to_date(_field(0), "dd/MM/yyyy"), F.try_to_date(_field(0), "yyyy-MM-dd"))
     return fields.select(
-        date.alias("date"), F.floor(parse_hour(_field(1))).cast("int").alias("hour"),
+        *_site(fields), date.alias("date"), F.floor(parse_hour(_field(1))).cast("int").alias("hour"),
         *[_number(2 + i).alias(c) for i, c in enumerate(DAYTYPE_COLUMNS)], "_line",
     )
 

@@ -19,6 +19,15 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "o
     spread(df, tuple(by)).write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def replace_parts(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write the folders that ``df`` has rows for, in place of what they held; all other folders of the table stay.
+
+    So one horizon or hour is prepared anew without the others.  A folder without rows in ``df`` is not emptied.
+    """
+    out = spread(df, tuple(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(*by).parquet(path)
+
+
 def write_feed(lines: DataFrame, root: str, kind: str) -> None:
     """Text feeds ``<root>/<series_id>/<kind>_<year>.txt`` from ``series_id, year, line``, in the order of ``line``.
 

@@ -4,21 +4,25 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridcast.operators.align import fill_dates, join_daily, row_positions, zip_by_position
+from gridcast.operators.ranges import find_ranges
 from gridcast.operators.readings import (
     dedup_first,
     drop_incomplete,
     drop_null_columns,
     drop_outliers,
+    harmonise,
     mean_of_slots,
     on_the_hour,
     pair_half_hours,
     split_by_slot,
     union_feeds,
 )
+from gridcast.plans.prepare import mixed_loads
 from gridcast.sources.feeds import (
     LONG_TERM_SEPARATORS,
     coverage,
     list_feeds,
+    observe_lines,
     parse_daytype,
     parse_load,
     parse_sun,
@@ -26,7 +30,7 @@ from gridcast.sources.feeds import (
     read_sources,
     rejected_lines,
 )
-from gridcast.sources.store import read_prepared_csv, read_table, write_table
+from gridcast.sources.store import read_prepared_csv, read_table, replace_parts, write_table
 
 SLOTS = [f"slot{i}" for i in range(6)]
 
@@ -207,6 +211,72 @@ def test_positions_run_through_months(spark):
     assert [r.position for r in rows] == list(range(len(rows)))
 
 
+def test_positions_of_a_hot_month_are_spread_over_ranges(spark):
+    """One month of one series holds most rows; ranges of 50 rows cut it up, positions stay those of one order."""
+    hot = spark.sql("SELECT 'hot' AS series_id, DATE'2020-01-15' AS date, id AS minute FROM range(1000)")
+    cold = spark.sql("SELECT 'cold' AS series_id, date_add(DATE'2020-01-01', CAST(id AS INT)) AS date, 0L AS minute FROM range(30)")
+    none = spark.sql("SELECT CAST(NULL AS STRING) AS series_id, DATE'2020-01-01' AS date, id AS minute FROM range(3)")
+    rows = hot.union(cold).union(none).repartition(7)
+    numbered = row_positions(rows, ["series_id"], "date", ["date", "minute"], rows=50)
+    assert numbered.columns == ["series_id", "date", "minute", "position"]
+    found = {}
+    for r in numbered.collect():
+        found.setdefault(r.series_id, []).append((r.date, r.minute, r.position))
+    for got in found.values():
+        assert [p for *_, p in sorted(got)] == list(range(len(got)))
+    assert {k: len(v) for k, v in found.items()} == {"hot": 1000, "cold": 30, None: 3}
+    plain = row_positions(rows, ["series_id"], "date", ["date", "minute"])
+    assert sorted(map(str, plain.collect())) == sorted(map(str, numbered.collect()))
+    ranges = find_ranges(rows, ["series_id", "date", "minute"], 50)
+    dealt = ranges.number(rows.withColumn("key", F.struct("series_id", "date", "minute")), "key", "range")
+    sizes = [r["count"] for r in dealt.where("series_id = 'hot'").groupBy("range").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 200
+    assert row_positions(rows.limit(0), ["series_id"], "date", ["date", "minute"], rows=50).count() == 0
+
+
+def test_half_hours_and_ten_minutes_in_one_scan(spark, tmp_path):
+    text = ["31/12/2013 22:00 100", "31/12/2013 22:30 110", "31/12/2013 23:00 120", "31/12/2013 23:30 140", "nonsense",
+            "01/01/2014 00:00 160 170 180 190 200 210", "01/01/2014 01:00 1 1 1 1 1 1", "31/12/2013 23:00 7 7 7 7 7 7"]
+    write(tmp_path, "load_2013.txt", "\n".join(text) + "\n")
+    feed = parse_load(read_fields(spark, str(tmp_path), "load", LONG_TERM_SEPARATORS["load"]))
+    out = mixed_loads(feed)
+    got = {(str(r.date), r.hour): r.load for r in out.collect()}
+    # the last full hour is closed by the earliest load of the other feed, the one of 23:00
+    assert got == {("2013-12-31", 22): 105.0, ("2013-12-31", 23): 73.5, ("2014-01-01", 0): 185.0, ("2014-01-01", 1): 1.0}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan text") == 1
+
+
+def test_an_unknown_half_hour_gives_way(spark):
+    day = dt.date(2014, 1, 1)
+    rows = [("a", day, 0.0, None, True), ("a", day, 0.5, 4.0, True), ("a", day, 1.0, 6.0, True), ("a", day, 1.5, None, True),
+            ("a", day, 0.0, 9.0, False), ("a", day, 1.0, 3.0, False), ("a", None, 1.0, 3.0, False), ("b", day, 5.0, None, False)]
+    df = spark.createDataFrame(rows, "series_id string, date date, hour double, load double, half boolean")
+    got = {(r.series_id, r.hour): r.load for r in harmonise(df, ["series_id"], "half").collect()}
+    assert got == {("a", 0.0): 9.0, ("a", 1.0): 6.0, ("b", 5.0): None}
+    assert harmonise(df.limit(0), ["series_id"], "half").count() == 0
+
+
+def test_rejected_lines_are_counted_while_reading(spark, tmp_path):
+    write(tmp_path, "load_2014.txt", "01/01/2014  00:00  1  x  3\nnonsense\n32/01/2014  00:00  1\n01/01/2014  ab:00  1\n")
+    parsed, seen = observe_lines(parse_load(read_fields(spark, str(tmp_path), "load")))
+    assert parsed._jdf.queryExecution().sparkPlan().toString().count("FileScan text") == 1
+    assert len(parsed.collect()) == 4
+    assert seen.get == {"lines": 4, "rejected": 3}
+
+
+def test_one_horizon_is_replaced_alone(spark, tmp_path):
+    path = str(tmp_path / "horizons")
+    df = half_frame(spark, HALF).withColumn("horizon", F.explode(F.array(F.lit(7), F.lit(13))))
+    write_table(df, path, by=("horizon",))
+    kept = sorted(str(f) for f in (tmp_path / "horizons" / "horizon=13").iterdir())
+    replace_parts(df.filter("horizon = 7 AND hour >= 23").withColumn("load", F.col("load") * 2), path, ("horizon",))
+    back = {r.horizon: (r.n, r.load) for r in read_table(spark, path).groupBy("horizon").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("load").alias("load")).collect()}
+    assert back == {7: (2, 520.0), 13: (4, 470.0)}
+    assert sorted(str(f) for f in (tmp_path / "horizons" / "horizon=13").iterdir()) == kept
+
+
 def test_zip_by_position_ignores_dates(spark):
     left = half_frame(spark, [("2014-01-01", 0.0, 1.0), ("2014-02-01", 0.0, 2.0), ("2014-03-01", 0.0, 3.0)])
     right = half_frame(spark, [("2010-01-01", 0.0, 10.0), ("2010-01-05", 0.0, 20.0)]).withColumnRenamed("load", "t")
