@@ -10,8 +10,9 @@ Each shard is indexed by BK-trees of at most ``tree_size`` nodes (children keyed
 the integer Hamming distance to the parent), each shipped to all of the shard's
 fingerprints; a search follows only the edges within ``radius`` of its distance.
 The trees go by shuffle and not by broadcast: all trees together grow with the
-input, and one tree is needed only by its shard.  A shard of any size is cut into
-several trees, and its fingerprints are dealt over several tasks.
+input, and one tree is needed only by its shard.  A shard of more values than a tree
+holds is cut again by two blocks of its other bits, and what is still larger into
+several trees, whose queries are dealt over several tasks.
 
 A shard gives no pairs, only one edge from each fingerprint to what it links with in
 each tree: a forest with the same components.  Components come from alternating
@@ -21,6 +22,8 @@ large-star and small-star rounds, each a ``min`` aggregate and a join.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -134,20 +137,58 @@ def tree_links(tree: BKTree, queries: list[int], radius: int) -> list[tuple[int,
     return edges
 
 
-def _shard_keys(radius: int) -> list[Column]:
-    """One value for each pair of ``radius + 2`` bit blocks: fingerprints that differ in at most ``radius`` bits
-    agree on two blocks at least."""
-    cuts = [BITS * k // (radius + 2) for k in range(radius + 3)]
-    blocks = [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-    keys = []
-    for (first, wide), (second, also) in combinations(blocks, 2):
-        left = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << wide) - 1))
-        right = F.shiftrightunsigned("fp", second).bitwiseAND(F.lit((1 << also) - 1))
-        keys.append(F.shiftleft(left, also).bitwiseOR(right))
-    return keys
+#: Shards that are over the size of a tree are cut again while more than this many of their bits are free.
+FREE_BITS = 16
+#: Bits of a fingerprint, as (first bit, width).
+Bits = list[tuple[int, int]]
+
+
+@dataclass
+class Band:
+    """Shards by the values of some bits."""
+
+    fixed: Bits
+    free: Bits
+
+    def value(self) -> Column:
+        """The fixed bits of ``fp``, side by side; no bits: 0."""
+        value = F.lit(0).cast("long")
+        for first, width in self.fixed:
+            mask = F.lit((1 << width) - 1 if width < BITS else -1).cast("long")
+            value = F.shiftleft(value, width).bitwiseOR(F.shiftrightunsigned("fp", first).bitwiseAND(mask))
+        return value
+
+    def cut(self, radius: int) -> list[Band]:
+        """Bands that also fix two of ``radius + 2`` blocks of the free bits: fingerprints of one shard that differ in at
+        most ``radius`` bits agree on two blocks at least, so each link lies in a shard of one of these bands."""
+        places = [first + k for first, width in self.free for k in range(width)]
+        cuts = [len(places) * k // (radius + 2) for k in range(radius + 3)]
+        blocks = [places[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        found = []
+        for pair in combinations(range(len(blocks)), 2):
+            own = [x for k in pair for x in blocks[k]]
+            rest = [x for k, block in enumerate(blocks) if k not in pair for x in block]
+            found.append(Band([*self.fixed, *_runs(own)], _runs(rest)))
+        return found
+
+
+def _runs(places: list[int]) -> Bits:
+    """Neighbouring bits as (first, width)."""
+    runs: Bits = []
+    for x in places:
+        if runs and x == sum(runs[-1]):
+            runs[-1] = (runs[-1][0], runs[-1][1] + 1)
+        else:
+            runs.append((x, 1))
+    return runs
+
 
+def _dealt(bands: list[Band], start: int = 0) -> Column:
+    """(band, value) of ``fp`` for each band; bands are numbered from ``start``."""
+    return F.array(*[F.struct(F.lit(k).alias("band"), b.value().alias("value")) for k, b in enumerate(bands, start)])
 
-CELL = ["band", "value", "tree", "queries"]
+
+CELL = ["level", "band", "value", "tree", "queries"]
 
 
 def _search(radius: int):
@@ -183,16 +224,48 @@ def _search(radius: int):
 def links(distinct: DataFrame, radius: int, tree_size: int = 2048) -> DataFrame:
     """Edges (a, b) with the same components as all pairs within ``radius`` bits.
 
-    ``distinct``: distinct values in the bigint column ``fp``.  A shard's values are dealt by hash into parts
-    of about ``tree_size``; each cell (a part as tree, an equal or later part as queries) is a group of its own,
-    so a task holds about two parts at a time, however large the shard.
+    ``distinct``: distinct values in the bigint column ``fp``.
+    """
+    gathered = _cells(distinct, radius, tree_size).repartition(*CELL).sortWithinPartitions(*CELL, F.desc("node"), "fp")
+    return gathered.mapInPandas(_search(radius), "a bigint, b bigint")
+
+
+def _shards(distinct: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """(level, band, value, fp, n): the shards with more than one member.
+
+    A shard over ``tree_size`` is cut again by two blocks of its free bits, while over ``FREE_BITS`` are free.  So a shard
+    that stays over ``tree_size`` has at most 2 ** ``FREE_BITS`` members, whatever the input.
+    """
+    bands = Band([], [(0, BITS)]).cut(radius)
+    dealt = distinct.select("fp", F.inline(_dealt(bands)))
+    found, level = [], 0
+    while True:
+        sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = checkpointed(dealt.join(sizes, ["band", "value"]).select(F.lit(level).alias("level"), "band", "value", "fp", "n"))
+        open_bands = [sum(width for _, width in b.free) > FREE_BITS for b in bands]
+        hot = (F.col("n") > tree_size) & F.element_at(F.array(*[F.lit(x) for x in open_bands]), F.col("band") + 1)
+        if not any(open_bands) or members.where(hot).isEmpty():
+            return reduce(DataFrame.unionByName, [*found, members])
+        found.append(members.where(~hot))
+        cuts = [b.cut(radius) for b in bands]
+        starts = [sum(len(c) for c in cuts[:k]) for k in range(len(cuts))]
+        narrow = F.array().cast("array<struct<band:int,value:bigint>>")
+        for k, parts in enumerate(cuts):
+            narrow = F.when(F.col("band") == k, _dealt(parts, starts[k])).otherwise(narrow)
+        dealt = members.where(hot).select("fp", F.inline(narrow))
+        bands, level = [b for c in cuts for b in c], level + 1
+
+
+def _cells(distinct: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """Rows (cell, fp, node) of the searches.
+
+    A shard's values are dealt by hash into parts of about ``tree_size``; each cell (a part as tree, an equal or later part
+    as queries) is a group of its own, so a task holds about two parts at a time.  A value has two rows in a shard of one
+    part, and in a larger one a row for each part and one more: 33 with trees of 2,048.  A radius of 2 has 6 shards for
+    each value, and 36 where all of them are hot, so rows grow in step with the values.
     """
-    shards = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), key.alias("value"))
-                                 for k, key in enumerate(_shard_keys(radius))]))
-    dealt = distinct.select("fp", shards.alias("s")).select("fp", "s.*")
-    sizes = dealt.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = (
-        dealt.join(sizes, ["band", "value"])
+        _shards(distinct, radius, tree_size)
         .withColumn("parts", F.ceil(F.col("n") / tree_size).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     )
@@ -202,9 +275,8 @@ def links(distinct: DataFrame, radius: int, tree_size: int = 2048) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.col("own")),
                     lambda t: F.struct(t.alias("tree"), F.col("own").alias("queries"), F.lit(False).alias("node"))),
     )
-    rows = members.select("band", "value", "fp", F.explode(cells).alias("c")).select("band", "value", "c.*", "fp")
-    gathered = rows.repartition(*CELL).sortWithinPartitions(*CELL, F.desc("node"), "fp")
-    return gathered.mapInPandas(_search(radius), "a bigint, b bigint")
+    return members.select("level", "band", "value", "fp", F.explode(cells).alias("c")).select(
+        "level", "band", "value", "c.*", "fp")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -150,3 +150,38 @@ def test_the_same_row_stays_whatever_the_order(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, rank string")
     kept = {tuple(sorted(map(tuple, simhash.representatives(docs.repartition(n), 3, 2).collect()))) for n in (1, 3, 7)}
     assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
+def test_bands_hold_every_link(radius):
+    rng = random.Random(radius)
+
+    def value(band, fp):
+        out = 0
+        for first, width in band.fixed:
+            out = out << width | fp >> first & (1 << width) - 1
+        return out
+
+    for band in (simhash.Band([], [(0, 64)]), simhash.Band([], [(0, 64)]).cut(radius)[-1]):
+        parts = band.cut(radius)
+        for part in parts:
+            assert sorted(x for first, width in part.fixed + part.free for x in range(first, first + width)) == list(range(64))
+        free = [x for first, width in band.free for x in range(first, first + width)]
+        for _ in range(200):
+            fp = rng.getrandbits(64)
+            other = fp ^ sum(1 << b for b in rng.sample(free, min(radius, len(free))))
+            assert any(value(p, fp) == value(p, other) for p in parts)
+
+
+def test_a_hot_shard_makes_rows_in_step_with_its_values(spark):
+    """Thousands of values share 32 bits: cut into trees alone they would make one row for each tree."""
+    rng = random.Random(8)
+    values = sorted({rng.getrandbits(32) for _ in range(6000)} | {7 ^ 1 << a ^ 1 << b for a in range(32) for b in range(32)})
+    distinct = spark.createDataFrame([(v,) for v in values], "fp bigint")
+    trees = -(-len(values) // 32)
+    rows = simhash._cells(distinct, 2, 32).count()
+    assert trees > 200 and rows < 40 * len(values)
+    edges = simhash.links(distinct, 2, 32)
+    found = {r.node: r.root for r in simhash.components(edges).collect()}
+    cloud = {found[v] for v in values if (v ^ 7).bit_count() <= 2}
+    assert len(cloud) == 1
