@@ -161,7 +161,9 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
             own = np.argmin(far, axis=1)
             yield batch.assign(pivot=own.astype("int32"), far=far[np.arange(len(batch)), own])
 
-    placed = checkpointed(vectors.mapInPandas(keyed, "vec_id bigint, v array<bigint>, pivot int, far double"))
+    # a number of the row, kept with it: rows of one id and one vector are dealt over chunks like any others
+    placed = checkpointed(vectors.mapInPandas(keyed, "vec_id bigint, v array<bigint>, pivot int, far double")
+                          .withColumn("row", F.monotonically_increasing_id()))
     rings = int(min(RINGS, np.ceil(n / (pivots * block_size))))
     cuts = placed.groupBy("pivot").agg(
         F.percentile_approx("far", [(r + 1) / rings for r in range(rings)]).alias("cuts"))
@@ -172,7 +174,7 @@ def top_k(rows: DataFrame, every: int, k: int = 20, key: str = "vec_id", vector:
     rounds = checkpointed(rounds)
     index = checkpointed(
         ringed.join(rounds.select("pivot", "annulus", "chunks"), ["pivot", "annulus"])
-        .withColumn("chunk", F.pmod(F.xxhash64("vec_id", "far"), F.col("chunks")).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("vec_id", "row"), F.col("chunks")).cast("int"))
         .select("vec_id", "v", *BLOCK))
 
     asked = index.where(F.col("vec_id") % every == 0).select(

@@ -79,3 +79,19 @@ def test_bounds_rule_blocks_out():
     opened = np.abs(reach[:, own] - far[np.arange(len(x)), own]) <= radius[:, None]
     best = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :20]
     assert all(opened[i, best[i]].all() for i in range(50)) and opened.mean() < 0.3
+
+
+def test_rows_of_one_id_are_dealt_over_chunks(spark, monkeypatch):
+    """One id with one vector holds most rows: its rows are spread over the blocks of the index."""
+    sizes = []
+    searched = topk._searched
+
+    def watched(pairs, queries, index, *rest):
+        sizes.append([r["count"] for r in index.groupBy(*topk.BLOCK).count().collect()])
+        return searched(pairs, queries, index, *rest)
+
+    monkeypatch.setattr(topk, "_searched", watched)
+    rows = [(21, [1.0, 1.0])] * 2000 + [(20 * k, [1.0, k / 64]) for k in range(20)]
+    got = topk.top_k(frame(spark, rows).repartition(5), 20, 3, block_size=100, part_size=8).collect()
+    assert max(sizes[0]) < 400
+    assert {tuple(r) for r in got} == by_hand(rows, 20, 3)
