@@ -22,6 +22,10 @@ from gridcast.llm.common import ascii_lower, checkpointed
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br",
                       "com.cn", "com.mx", "com.tr", "com.tw", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk")
 
+# Parts of a host that are no part of its name, addresses, and the suffix that stands for all addresses.
+USER, PORT = r"^([^@]*@)+", r"(:[0-9]*)?\.?\z"
+ADDRESS, ADDRESSES = r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*)\z", "[address]"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -64,16 +68,49 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return none if chain is None else chain.otherwise(none)
 
 
-def suffix_of(host: Column) -> Column:
-    """The public suffix: the last label, or two of a known pair; an empty host has an empty one."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def name_of(host: Column) -> Column:
+    """The host without a user before ``@``, a port and a closing dot: what a reputation belongs to."""
+    return F.regexp_replace(F.regexp_replace(host, USER, ""), PORT, "")
+
+
+def is_address(name: Column) -> Column:
+    """Four numbers, or an address in brackets; such names have no labels."""
+    return name.rlike(ADDRESS)
+
+
+def suffix_of(name: Column) -> Column:
+    """The public suffix: the last label, or two of a known pair; an empty name has an empty one, and all addresses
+    have ``ADDRESSES``."""
+    two = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), ADDRESSES).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(
+        F.substring_index(name, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and one label before it; a host without one is its own domain."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+def domain_of(name: Column) -> Column:
+    """The registered domain: the suffix and one label before it; a name without one, or an address, is its own."""
+    two = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), name).when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
+
+
+def with_suffixes(names: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """``names`` (distinct ``name``) with ``domain`` and ``suffix``.
+
+    ``suffixes``: a table of public suffixes of any number of labels in the column ``suffix``, such as a published list;
+    the longest that ends a name counts, else its last label.  Without a table the fixed pairs count.
+    """
+    if suffixes is None:
+        return names.withColumns({"domain": domain_of(F.col("name")), "suffix": suffix_of(F.col("name"))})
+    labels = F.split("name", r"\.")
+    ends = names.where(~is_address(F.col("name"))).select("name", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("labels"))
+    ends = ends.withColumn("suffix", F.expr("substring_index(name, '.', -labels)"))
+    known = suffixes.select("suffix").where("suffix IS NOT NULL").distinct()
+    longest = ends.join(known, "suffix", "left_semi").groupBy("name").agg(F.max("labels").alias("labels"))
+    found = names.join(longest, "name", "left").withColumn("labels", F.coalesce("labels", F.lit(1)))
+    address = is_address(F.col("name"))
+    return found.withColumns({
+        "domain": F.when(address, F.col("name")).otherwise(F.expr("substring_index(name, '.', -labels - 1)")),
+        "suffix": F.when(address, ADDRESSES).otherwise(F.expr("substring_index(name, '.', -labels)")),
+    }).drop("labels")
 
 
 def _level(rows: DataFrame) -> DataFrame:
@@ -96,10 +133,9 @@ def _level(rows: DataFrame) -> DataFrame:
     return joined.withColumn("a", a).withColumn("b", b).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")))
 
 
-def reputation(hosts: DataFrame) -> DataFrame:
-    """(host, a, b, rate) from (host, n, good): beta posterior of every host, shrunk host to domain to suffix."""
-    rows = checkpointed(hosts.select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "good"))
+def reputation(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """(name, a, b, rate) from (name, n, good): beta posterior of every name, shrunk host to domain to suffix."""
+    rows = checkpointed(with_suffixes(hosts.select("name", "n", "good"), suffixes))
     counts = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     total, good = (x or 0 for x in rows.agg(*counts).first())
 
@@ -109,7 +145,7 @@ def reputation(hosts: DataFrame) -> DataFrame:
     suffixes = _level(rows.groupBy("suffix").agg(*counts).select(
         "*", F.lit(good + 1.0).alias("above_a"), F.lit(total - good + 1.0).alias("above_b")))
     domains = _level(rows.groupBy("domain", "suffix").agg(*counts).join(under(suffixes, "suffix"), "suffix"))
-    return _level(rows.drop("suffix").join(under(domains, "domain"), "domain")).select("host", "a", "b", "rate")
+    return _level(rows.drop("suffix").join(under(domains, "domain"), "domain")).select("name", "a", "b", "rate")
 
 
 def upper_bound(z: float) -> Column:
@@ -119,22 +155,24 @@ def upper_bound(z: float) -> Column:
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], threshold: float = 0.5, z: float = 1.645,
-          key: str = "page_id", url: str = "url") -> DataFrame:
+          key: str = "page_id", url: str = "url", suffixes: DataFrame | None = None) -> DataFrame:
     """(key, host, path, rule, verdict, reputation) of every page.
 
-    ``outcomes``: (host, good) of labelled pages, good 0 or 1; rows of other values are left out.  The verdict is the
-    rule's, else ``block`` where the host's bound is under ``threshold``, else ``allow``.  A null url, or one without
+    ``outcomes``: (host, good) of labelled pages, good 0 or 1; rows of other values are left out.  Hosts that differ in a
+    user, a port or a closing dot have one reputation; addresses have a level of their own; ``suffixes`` see
+    ``with_suffixes``.  The verdict is the rule's, else ``block`` where the host's bound is under ``threshold``, else ``allow``.  A null url, or one without
     ``://``, has an empty host and path, and is judged as the host "".  Without outcomes every rate is 0.5, and nothing
     is blocked by it.  Repeated rows each get a result; further columns are not read.
     """
     split = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    counted = outcomes.where(F.col("good").isin(0, 1)).groupBy("host").agg(
+    counted = outcomes.where(F.col("good").isin(0, 1)).groupBy(name_of(F.col("host")).alias("name")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
-    hosts = split.select("host").distinct().join(counted, "host", "full").select(
-        "host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("good", F.lit(0)).alias("good"))
-    rated = reputation(hosts).select("host", "rate", upper_bound(z).alias("bound"))
+    split = split.withColumn("name", name_of(F.col("host")))
+    hosts = split.select("name").distinct().join(counted, "name", "full").select(
+        "name", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("good", F.lit(0)).alias("good"))
+    rated = reputation(hosts, suffixes).select("name", "rate", upper_bound(z).alias("bound"))
     own = rule_of(F.col("host"), F.col("path"), rules)
-    found = split.select("key", "host", "path", own.alias("own")).join(rated, "host", "left")
+    found = split.select("key", "host", "path", "name", own.alias("own")).join(rated, "name", "left")
     method = F.when(F.col("bound") < threshold, "block").otherwise("allow")
     return found.select(F.col("key").alias(key), "host", "path", F.col("own.rule").alias("rule"),
                         F.coalesce("own.verdict", method).alias("verdict"), F.col("rate").alias("reputation"))
@@ -145,6 +183,7 @@ def judge_sql(rules: tuple[Rule, ...], outcomes: str, threshold: float = 0.5, z:
     pairs = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
     values = ", ".join(f"({k}, '{r.verdict}', '{r.rule}', '{r.host}', '{r.path}')"
                        for k, r in enumerate(sorted(rules, key=lambda r: -len(r.rule))))
+    name = f"regexp_replace(regexp_replace(host, '{USER}', ''), '{PORT}', '')"
     prior = "(a - good) / (a + b - n) AS prior"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -161,20 +200,24 @@ WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url,
 split AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{upper}', '{lower}') AS host,
   regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
 outcomes AS ({outcomes}),
-counted AS (SELECT host, count(*)::DOUBLE AS n, sum(good)::DOUBLE AS good FROM outcomes WHERE good IN (0, 1) GROUP BY host),
-parts AS (SELECT host, coalesce(n, 0) AS n, coalesce(good, 0) AS good, string_split(host, '.') AS ls
-  FROM (SELECT DISTINCT host FROM split) FULL JOIN counted USING (host)),
-named AS (SELECT host, n, good, ls, array_to_string(ls[-2:], '.') IN ({pairs}) AS two FROM parts),
-hosts AS (SELECT host, n, good, array_to_string(CASE WHEN two THEN ls[-2:] ELSE ls[-1:] END, '.') AS suffix,
-  array_to_string(CASE WHEN two THEN ls[-3:] ELSE ls[-2:] END, '.') AS domain FROM named),
+counted AS (SELECT {name} AS name, count(*)::DOUBLE AS n, sum(good)::DOUBLE AS good FROM outcomes WHERE good IN (0, 1)
+  GROUP BY 1),
+parts AS (SELECT name, coalesce(n, 0) AS n, coalesce(good, 0) AS good, string_split(name, '.') AS ls,
+    regexp_matches(name, '{ADDRESS}') AS address
+  FROM (SELECT DISTINCT {name} AS name FROM split) FULL JOIN counted USING (name)),
+named AS (SELECT *, array_to_string(ls[-2:], '.') IN ({pairs}) AS two FROM parts),
+hosts AS (SELECT name, n, good,
+  CASE WHEN address THEN '{ADDRESSES}' ELSE array_to_string(CASE WHEN two THEN ls[-2:] ELSE ls[-1:] END, '.') END AS suffix,
+  CASE WHEN address THEN name ELSE array_to_string(CASE WHEN two THEN ls[-3:] ELSE ls[-2:] END, '.') END AS domain
+  FROM named),
 top AS (SELECT coalesce(sum(good), 0) + 1 AS a, coalesce(sum(n) - sum(good), 0) + 1 AS b FROM hosts),
 {level("s", f"SELECT h.*, {prior} FROM (SELECT suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY suffix) h CROSS JOIN top")},
 {level("d", f"SELECT h.*, {prior} FROM (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL) h JOIN (SELECT suffix, a, b FROM s_fit) USING (suffix)")},
-{level("h", f"SELECT h.*, {prior} FROM (SELECT host, domain, n, good FROM hosts) h JOIN (SELECT domain, a, b FROM d_fit) USING (domain)")},
+{level("h", f"SELECT h.*, {prior} FROM (SELECT name, domain, n, good FROM hosts) h JOIN (SELECT domain, a, b FROM d_fit) USING (domain)")},
 rules(k, verdict, rule, rhost, rpath) AS (VALUES {values}),
 fits AS (SELECT page_id, host, path, arg_min(rule, k) AS rule, arg_min(verdict, k) AS verdict
   FROM split JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
   GROUP BY ALL)
 SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, CASE WHEN a / (a + b)
     + {z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) < {threshold} THEN 'block' ELSE 'allow' END) AS verdict
-FROM split s LEFT JOIN fits f USING (page_id, host, path) LEFT JOIN h_fit h ON h.host = s.host"""
+FROM split s LEFT JOIN fits f USING (page_id, host, path) LEFT JOIN h_fit h ON h.name = {name.replace('host', 's.host')}"""

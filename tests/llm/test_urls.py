@@ -56,6 +56,32 @@ def test_suffixes_and_domains(spark):
     assert got == hosts
 
 
+def test_names_and_addresses(spark):
+    hosts = {"ex.com:8080": ("ex.com", "com", "ex.com"), "u@a.ex.com": ("a.ex.com", "com", "ex.com"), "u:p@x@ex.com.": ("ex.com", "com", "ex.com"),
+             "1.2.3.4": ("1.2.3.4", "[address]", "1.2.3.4"), "1.2.3.4:80": ("1.2.3.4", "[address]", "1.2.3.4"),
+             "[::1]:80": ("[::1]", "[address]", "[::1]"), "b:": ("b", "b", "b"), "": ("", "", ""), "u@": ("", "", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("name", urls.name_of(F.col("host")))
+    got = {r.host: (r.name, r.suffix, r.domain) for r in urls.with_suffixes(df).collect()}
+    assert got == hosts
+
+
+def test_a_table_of_suffixes(spark):
+    table = spark.createDataFrame([("io",), ("github.io",), ("a.b.c",), (None,), ("io",)], "suffix string")
+    names = {"x.github.io": ("github.io", "x.github.io"), "y.x.github.io": ("github.io", "x.github.io"), "github.io": ("github.io", "github.io"),
+             "q.io": ("io", "q.io"), "r.q.a.b.c": ("a.b.c", "q.a.b.c"), "w.unknown": ("unknown", "w.unknown"), "": ("", ""),
+             "1.2.3.4": ("[address]", "1.2.3.4")}
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    assert {r.name: (r.suffix, r.domain) for r in urls.with_suffixes(df, table).collect()} == names
+
+
+def test_ports_and_users_share_a_reputation(spark):
+    labelled = [("spam.bad.org:81", 0)] * 20 + [("u@spam.bad.org", 0)] * 20 + [(f"g{i}.good.net", 1) for i in range(40) for _ in range(5)]
+    pages = spark.createDataFrame([(1, "http://spam.bad.org/"), (2, "http://spam.bad.org:9/x"), (3, "http://g1.good.net/")],
+                                  "page_id bigint, url string")
+    rows = {r.page_id: (r.host, r.verdict) for r in urls.judge(pages, outcomes(spark, labelled), ()).collect()}
+    assert rows == {1: ("spam.bad.org", "block"), 2: ("spam.bad.org:9", "block"), 3: ("g1.good.net", "allow")}
+
+
 def test_bad_hosts_are_blocked_when_enough_is_known(spark):
     labelled = [(f"g{i}.good.org", 1) for i in range(40) for _ in range(10)] + [("spam.bad.org", 0)] * 30
     labelled += [("spam.bad.org", 1)] + [("once.other.org", 0)] + [("x", 7), ("x", None)]
