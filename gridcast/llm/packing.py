@@ -1,11 +1,10 @@
 """Packing into length buckets that waste the least padding, and batches of a token budget inside each bucket.
 
 Every row is padded to its bucket's boundary.  Dynamic programming over the rows of each distinct length chooses the
-boundaries, so no others give less padding.  Its cost for a boundary is a lower envelope of lines, so a bucket takes
-time in proportion to the distinct lengths.  Only a corpus of over ``DISTINCT`` distinct lengths (which has more than
-``DISTINCT ** 2 / 2``, 8.6 billion, words) is put into bins: one per length up to ``2 ** EXACT``, and of under 1 % width
-beyond, each with its exact count, sum and largest length.  Boundaries are then largest lengths of bins, and the
-padding is the least that such boundaries give.
+boundaries, so no others give less padding, whatever the corpus.  Its cost for a boundary is a lower envelope of lines,
+so a bucket takes time in proportion to the distinct lengths.  These are few: ``d`` distinct lengths need a corpus of at
+least ``d * d / 2`` words, so 20 trillion words have 6.3 million at most.  The driver holds two numbers for each, and one
+per bucket while it chooses, in arrays.
 
 Batches are cut from a running number of the rows of a bucket.  The number comes from the row's place within its own
 part of the (checkpointed) lengths plus the counts of the parts before, so no task sees a whole bucket.
@@ -13,7 +12,10 @@ part of the (checkpointed) lengths plus the counts of the parts before, so no ta
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_right
 from collections import deque
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -22,55 +24,40 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import checkpointed, space_words
 
-EXACT = 8
-#: Distinct lengths that come to the driver, one row each.
-DISTINCT = 1 << 17
-
 
 def token_length(text: Column) -> Column:
     """White-space words and one end mark; a null or empty text has length 1."""
     return F.size(space_words(text)).cast("long") + 1
 
 
-def _bin() -> tuple[Column, Column]:
-    """(shift, leading bits) of ``n_tokens``: ``EXACT`` leading bits, so bins are under 1 % wide."""
-    shift = F.greatest(F.length(F.bin("n_tokens")) - EXACT, F.lit(0))
-    return shift.alias("shift"), F.expr(f"n_tokens DIV CAST(power(2, greatest(length(bin(n_tokens)) - {EXACT}, 0)) AS BIGINT)").alias("lead")
-
-
-def histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:
-    """(largest length, rows, sum of lengths) of each bin, by length; 128 bins for each doubling at most."""
-    rows = lengths.groupBy(*_bin()).agg(
-        F.max("n_tokens").alias("largest"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total")).collect()
-    return sorted((r.largest, r.n, r.total) for r in rows)
-
-
-def exact_bins(lengths: DataFrame) -> list[tuple[int, int, int]] | None:
-    """(length, rows, sum of lengths) of each distinct length, by length; None where there are over ``DISTINCT``."""
-    rows = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).take(DISTINCT + 1)
-    return sorted((r.n_tokens, r.n, r.n_tokens * r.n) for r in rows) if len(rows) <= DISTINCT else None
+def histogram(lengths: DataFrame) -> tuple[array, array]:
+    """The distinct lengths, ascending, and the rows of each."""
+    counts = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").toArrow()
+    return tuple(array("q", counts.column(c).to_numpy().tobytes()) for c in ("n_tokens", "n"))
 
 
-def best_boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[list[int], int]:
-    """At most ``buckets`` boundaries, all largest lengths of bins, with the least padding; and that padding.
+def best_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> tuple[list[int], int]:
+    """At most ``buckets`` boundaries, all distinct ``lengths`` (ascending), with the least padding; and that padding.
 
-    cost[k][j]: the least padding of the first j bins in k buckets, the least over i < j of cost[k - 1][i] and the
-    padding of bins i + 1 to j at the largest length of j.  But for terms of j alone, that is a line in this length for
-    each i, whose slope falls with i: the lower envelope of the lines is kept, and read from left to right.  Fewer
-    buckets win a tie.
+    cost[k][j]: the least padding of the first j lengths in k buckets, the least over i < j of cost[k - 1][i] and the
+    padding of lengths i + 1 to j at that of j.  But for terms of j alone, that is a line in this length for each i,
+    whose slope falls with i: the lower envelope of the lines is kept, and read from left to right.  Fewer buckets win a
+    tie.
     """
-    if not bins:
+    size = len(lengths)
+    if not size:
         return [], 0
-    largest, n, total = zip(*bins, strict=True)
-    rows, tokens = [0, *accumulate(n)], [0, *accumulate(total)]
-    size = len(bins)
-    cost: list[int | None] = [0] + [None] * size
+    rows = array("q", accumulate(counts, initial=0))
+    tokens = array("q", accumulate((x * n for x, n in zip(lengths, counts, strict=True)), initial=0))
+    nowhere = -1  # no lengths fill so many buckets
+    cost = array("q", [0]) + array("q", [nowhere]) * size
     choices, best = [], None
     for k in range(1, min(buckets, size) + 1):
-        following, chosen, envelope = [None] * (size + 1), [0] * (size + 1), deque()  # (bins before, value at 0)
+        following, chosen = array("q", [nowhere]) * (size + 1), array("q", [0]) * (size + 1)
+        envelope = deque()  # (lengths before, value at 0)
         for j in range(k, size + 1):
             i, value = j - 1, cost[j - 1]
-            if value is not None:
+            if value != nowhere:
                 value += tokens[i]
                 while len(envelope) > 1:
                     (a, at_a), (b, at_b) = envelope[-2], envelope[-1]
@@ -78,7 +65,7 @@ def best_boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[lis
                         break
                     envelope.pop()
                 envelope.append((i, value))
-            x = largest[j - 1]
+            x = lengths[j - 1]
             while len(envelope) > 1 and envelope[1][1] - rows[envelope[1][0]] * x < envelope[0][1] - rows[envelope[0][0]] * x:
                 envelope.popleft()
             i, value = envelope[0]
@@ -89,7 +76,7 @@ def best_boundaries(bins: list[tuple[int, int, int]], buckets: int) -> tuple[lis
             best = (cost[size], k)
     cuts, j = [], size
     for chosen in reversed(choices[:best[1]]):
-        cuts.append(largest[j - 1])
+        cuts.append(lengths[j - 1])
         j = chosen[j]
     return cuts[::-1], best[0]
 
@@ -102,14 +89,12 @@ class Plan:
     padding: int
 
 
-def plan_buckets(bins: list[tuple[int, int, int]], buckets: int, budget: int) -> Plan:
+def plan_buckets(lengths: Sequence[int], counts: Sequence[int], buckets: int, budget: int) -> Plan:
     """Boundaries, and how many rows of each bucket fill a batch: the budget over the boundary, one at least."""
-    boundaries, padding = best_boundaries(bins, buckets)
+    boundaries, padding = best_boundaries(lengths, counts, buckets)
     capacity = [max(1, budget // b) for b in boundaries]
-    rows, low = [], 0
-    for b in boundaries:
-        rows.append(sum(n for largest, n, _ in bins if low < largest <= b))
-        low = b
+    ends = [bisect_right(lengths, b) for b in boundaries]
+    rows = [sum(counts[i:j]) for i, j in zip([0, *ends], ends)]
     batches = [-(-r // c) for r, c in zip(rows, capacity, strict=True)]
     return Plan(boundaries, capacity, [sum(batches[:k]) for k in range(len(batches))], padding)
 
@@ -126,8 +111,7 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 32768, key: str = "do
     null keys are rows like any other; an empty table gives an empty one.  Further columns are not read.
     """
     lengths = checkpointed(docs.select(F.col(key).alias("key"), token_length(F.col(text)).alias("n_tokens")))
-    bins = exact_bins(lengths)
-    plan = plan_buckets(histogram(lengths) if bins is None else bins, buckets, budget)
+    plan = plan_buckets(*histogram(lengths), buckets, budget)
     if not plan.boundaries:
         plan = Plan([1], [1], [0], 0)
     bucket = sum(((F.col("n_tokens") > b).cast("int") for b in plan.boundaries[:-1]), F.lit(0))
