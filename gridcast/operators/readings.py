@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def mean_of_slots(df: DataFrame, slots: Sequence[str], out: str = "load") -> DataFrame:
@@ -32,16 +34,53 @@ def on_the_hour(df: DataFrame, hour: str = "hour") -> DataFrame:
     return df.filter(F.col(hour) == F.floor(hour))
 
 
+#: Least value and number of values of the types that ``_rank`` packs.
+_INTEGRAL = {"boolean": (0, 2), **{f"{name}int": (-(1 << bits - 1), 1 << bits)
+                                    for name, bits in (("tiny", 8), ("small", 16), ("", 32), ("big", 64))}}
+_LARGEST = 10 ** 38
+
+
+def _rank(df: DataFrame, order: Sequence[Column]) -> Column | None:
+    """One decimal that sorts as the whole numbers of ``order`` do, unknown ones first; None where they need over 38 digits
+    or are no whole numbers."""
+    rank, values = None, 1
+    for column, kind in zip(order, df.select(*order).schema, strict=True):
+        name = kind.dataType.simpleString()
+        if isinstance(kind.dataType, T.DecimalType) and kind.dataType.scale == 0:
+            least, many = 1 - 10 ** kind.dataType.precision, 2 * 10 ** kind.dataType.precision - 1
+        elif name in _INTEGRAL:
+            least, many = _INTEGRAL[name]
+        else:
+            return None
+        many, values = many + 1, values * (many + 1)  # and the unknown
+        if values > _LARGEST or many > _LARGEST // 10:
+            return None
+        number = (column.cast("int") if name == "boolean" else column).cast("decimal(38,0)")
+        place = F.coalesce(number - F.lit(Decimal(least - 1)), F.lit(Decimal(0))).cast("decimal(38,0)")
+        rank = place if rank is None else (rank * F.lit(Decimal(many)) + place).cast("decimal(38,0)")
+    return rank
+
+
+def _fixed_width(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """First row per key by ``order``.
+    """First row per key by ``order``; of rows that are equal in it, any one.
 
-    A ``min_by`` aggregate and not a row number: duplicates collapse on the map
-    side, so a key that holds a third of all rows costs no more than the others.
+    A ``min_by`` aggregate and not a row number: duplicates collapse on the map side, so a key that holds a third of all
+    rows costs no more than the others.  Where the other columns have a fixed width and the order is of whole numbers, as
+    with feeds, it is a hash aggregate; texts make Spark sort the rows of a task first.
     """
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_first"))
-    return first.select(*keys, "_first.*").select(df.columns)
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    rank = _rank(df, order) if all(_fixed_width(df.schema[c].dataType) for c in rest) else None
+    if rank is None:
+        first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+        return first.select(*keys, "_first.*").select(df.columns)
+    # all columns see the same ranks in the same order, so that their values are those of one row
+    ranked = df.withColumn("_rank", rank)
+    return ranked.groupBy(*keys).agg(*[F.min_by(c, "_rank").alias(c) for c in rest]).select(df.columns)
 
 
 def _days_of_readings(df: DataFrame, keys: Sequence[str], half: Column, load: str) -> DataFrame:

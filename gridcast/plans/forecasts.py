@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from gridcast.operators.readings import drop_incomplete
 from gridcast.operators.regression import fit_folds, fit_grouped_linear, score
 from gridcast.operators.splits import split_day, split_horizon, split_long_term, split_window
-from gridcast.operators.climate import NEUTRAL_TEMPERATURE, climate_part, counterfactual
+from gridcast.operators.boosted import fit_hourly_gbt
+from gridcast.operators.climate import NEUTRAL_TEMPERATURE, climate_part, counterfactual, neutral_weather
+from gridcast.operators.trees import read_nodes, score_trees
 from gridcast.operators.trend import add_trend
+from gridcast.session import stage
+from gridcast.sources.store import save_models
 
 
 def _target(y: str, shift: float) -> Column:
@@ -117,6 +121,26 @@ def split_off_weather(
     )
 
 
+def split_off_weather_boosted(
+    features: DataFrame, keys: Sequence[str], start, end, x: Sequence[str], store: str, train_until=None,
+    value: float = NEUTRAL_TEMPERATURE, **how,
+) -> DataFrame:
+    """``split_off_weather`` by one boosted model per hour, pooled over all series, with the climate settings.
+
+    The models are kept in the folder ``store``; ``how`` goes to ``fit_hourly_gbt``.  All rows get their load under neutral
+    weather in one scan.  Where a load is not known there is no part; hours without load teach nothing.
+    """
+    table = stage(features)
+    train, test = split_window(table, start, end, train_until)
+    save_models(fit_hourly_gbt(train, x, "load", **{"kind": "climate", **how}), store, by=("hour",))
+    nodes = read_nodes(features.sparkSession, store, {"hour": "int"})
+    neutral = score_trees(neutral_weather(test, value), nodes, x, ["hour"], out="neutral_load")
+    part = climate_part(F.col("load"), F.col("neutral_load"))
+    return neutral.withColumn("climate_part", part).select(
+        *keys, "date", "hour", "load", "neutral_load", "climate_part"
+    )
+
+
 def attach_actuals(forecast: DataFrame, actuals: DataFrame, on: Sequence[str]) -> DataFrame:
     """Forecast with the actuals known so far; hours without one keep a null."""
     return forecast.join(actuals, list(on), "left")

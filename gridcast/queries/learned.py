@@ -19,9 +19,11 @@ from gridcast.operators.boosted import (
     score_hourly,
 )
 from gridcast.operators.kpi import kpis
-from gridcast.operators.splits import split_day
+from gridcast.operators.climate import neutral_weather
+from gridcast.operators.splits import split_day, split_window
 from gridcast.operators.trees import first_rounds, read_nodes, route_to_issue, score_trees, split_counts
-from gridcast.plans.features import feature_columns, hourly_features
+from gridcast.plans.features import MULTI_DAY_TEMPERATURE_LAGS, feature_columns, hourly_features
+from gridcast.plans.forecasts import split_off_weather_boosted
 from gridcast.queries.registry import grid_sql, iso, load_profiles, query, rounded, temperature_profiles
 from gridcast.queries.scoring import CUT, PREPARED, PREPARED_SQL, prepared
 from gridcast.session import stage, staging_root
@@ -144,6 +146,69 @@ def early_stopping(spark, folder):
         (F.abs(F.col("loss") - F.col("rmse")) <= 1e-9 * (1 + F.col("rmse"))).cast("int").alias("loss_is_kept"))
 
 
+CLIMATE_WINDOW = ("2024-01-16", "2024-01-31")
+
+
+@query(
+    "boosted_climate_part",
+    f"""WITH {grid_sql()}, first AS (SELECT min(t) + INTERVAL {max(MULTI_DAY_TEMPERATURE_LAGS)} HOUR AS hour FROM grid),
+known AS (SELECT grid.* FROM grid, first WHERE t >= hour AND d < DATE '{CLIMATE_WINDOW[1]}')
+SELECT h AS hour, count(*) FILTER (WHERE load > 0) AS samples, round(avg(ln(load)) FILTER (WHERE load > 0), 6) AS level,
+       count(*) FILTER (WHERE d >= DATE '{CLIMATE_WINDOW[0]}') AS n,
+       round(sum(load) FILTER (WHERE d >= DATE '{CLIMATE_WINDOW[0]}'), 3) AS load, 1 AS as_the_models_say, 1 AS weather_counts
+FROM known GROUP BY h""",
+)
+def boosted_climate_part(spark, folder):
+    """The load due to weather by 24 boosted models on the climate job's columns (its settings
+    at stepSize 0.5, four rounds, no subsampling).  SQL has the rows, the training rows and their mean logarithm; every part
+    is also computed again by Spark ML's own models on rows with 16 degrees in all weather columns."""
+    wide = stage(hourly_features(
+        load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder), lags=(), stats=(),
+        temperature_lags=MULTI_DAY_TEMPERATURE_LAGS, temperature_days=(), same_hour_temperature=True))
+    features, store = feature_columns(wide), f"{staging_root(spark)}/models-{uuid.uuid4().hex}"
+    parts = split_off_weather_boosted(wide, ["series_id"], *CLIMATE_WINDOW, features, store, maxIter=4, stepSize=0.5,
+                                      subsamplingRate=1.0)
+    models = load_models(GBTRegressionModel, store, range(24))
+    _, test = split_window(wide, *CLIMATE_WINDOW)
+    again = score_hourly(neutral_weather(test), models, features, "neutral").select("series_id", "date", "hour", "neutral")
+    own = score_trees(test, read_nodes(spark, store, {"hour": "int"}), features, ["hour"], "own")
+    again = again.join(own.select("series_id", "date", "hour", "own"), ["series_id", "date", "hour"])
+    rest = F.greatest(F.col("load") - F.col("neutral"), F.lit(0.0))
+    same = F.abs(F.col("climate_part") - rest) <= 1e-9 * (1 + F.col("load"))
+    facts = parts.join(again, ["series_id", "date", "hour"]).groupBy("hour").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("load"), 3).alias("load"), F.every(same).cast("int").alias("as_the_models_say"),
+        F.some(F.abs(F.col("own") - F.col("neutral")) > 0).cast("int").alias("weather_counts"))
+    roots = read_nodes(spark, store, {"hour": "int"}).where("tree = 0 AND node = 0").select(
+        "hour", "samples", F.round("value", 6).alias("level"))
+    return facts.join(roots, "hour").select("hour", "samples", "level", "n", "load", "as_the_models_say", "weather_counts")
+
+
+@query(
+    "boosted_horizons",
+    f"""WITH {grid_sql()}, first AS (SELECT min(CAST(ts AS DATE)) + {FIRST_DAY} AS day FROM events),
+last AS (SELECT max(d) AS day FROM grid), js AS (SELECT CAST(unnest(generate_series(1, 14)) AS INTEGER) AS j),
+known AS (SELECT grid.*, j FROM grid, js, first WHERE d >= first.day + (j - 1))
+SELECT j AS horizon, h AS hour, count(*) FILTER (WHERE load > 0 AND d < day) AS samples,
+       round(avg(ln(load)) FILTER (WHERE load > 0 AND d < day), 6) AS level, count(*) FILTER (WHERE d = day) AS predicted
+FROM known, last GROUP BY 1, 2""",
+)
+def boosted_horizons(spark, folder):
+    """One boosted model for each of 14 horizons and 24 hours, 336 in all, by the multi_day settings
+    cut to one round and without subsampling, on every column of the noised 14-day feature table; the last day is scored
+    in one scan by all horizons that reach it."""
+    wide = stage(hourly_features(
+        load_profiles(spark, folder), ["series_id"], temperature_profiles(spark, folder), horizons=14, noise_seed=1304,
+        temperature_lags=MULTI_DAY_TEMPERATURE_LAGS))
+    features, by = feature_columns(wide), ["horizon", "hour"]
+    wide = stage(wide)
+    train, test = split_day(wide, wide.agg(F.max("date")).first()[0].isoformat())
+    models = fit_hourly_gbt(train, features, "load", kind="multi_day", horizons=range(1, 15), maxIter=1, subsamplingRate=1.0)
+    nodes = read_nodes(spark, _stored(spark, models, tuple(by)), {"horizon": "int", "hour": "int"})
+    scored = score_trees(test, nodes, features, by).groupBy(*by).agg(F.count("prediction").alias("predicted"))
+    roots = nodes.where("tree = 0 AND node = 0").select(*by, "samples", F.round("value", 6).alias("level"))
+    return roots.join(scored, by, "left").select(*by, "samples", "level", F.coalesce("predicted", F.lit(0)).alias("predicted"))
+
+
 @query(
     "linear_ml",
     f"""WITH {PREPARED_SQL},

@@ -7,6 +7,7 @@ name that Spark attaches to each row, so no file list goes through the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,20 +70,26 @@ def within_coverage(df: DataFrame, years: DataFrame, ahead: bool = False) -> Dat
     return df.filter(F.col("year") >= start if ahead else (F.col("year") >= start) & (F.col("year") <= end))
 
 
+def _place(year: Column, block: Column, row: Column) -> Column:
+    """Year, block start and the row's number within its task, one behind the other: a file block is read by one task."""
+    start = year.cast("decimal(38,0)") * F.lit(Decimal(1 << 48)) + block
+    return (start.cast("decimal(38,0)") * F.lit(Decimal(1 << 33)) + row.bitwiseAND(F.lit((1 << 33) - 1))).cast("decimal(30,0)")
+
+
 def read_fields(
     spark: SparkSession, root: str, kind: str, separator: str | None = None, sites: bool = False
 ) -> DataFrame:
     """Rows of one kind as an array of fields, in ``_line`` order within a file.
 
     ``_line`` orders the rows of a kind as they stand in its files, year by year: block start within the file, then
-    running number within the block.  With ``sites`` the files lie in one folder per site under ``root``, and
+    running number within the block, as one decimal, so that the first of repeated rows is found by a hash aggregate.
+    With ``sites`` the files lie in one folder per site under ``root``, and
     ``series_id`` is the folder's name: one scan for all sites.
     """
     reader = spark.read.option("pathGlobFilter", f"{kind}_[0-9][0-9][0-9][0-9].txt")
     text = reader.option("recursiveFileLookup", str(sites).lower()).text(root)
     lines = _named(text.select("value", "_metadata")).withColumn(
-        "_line", F.struct("year", F.col("_metadata.file_block_start").alias("block"),
-                          F.monotonically_increasing_id().alias("row"))
+        "_line", _place(F.col("year"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     )
     site = [F.element_at(F.split("_metadata.file_path", "/"), -2).alias("series_id")] if sites else []
     fields = F.transform(F.split("value", separator or SEPARATORS.get(kind, " {2}")), lambda f: F.trim(f))

@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from gridcast.operators.readings import (
     split_by_slot,
     union_feeds,
 )
-from gridcast.plans.prepare import mixed_loads
+from gridcast.plans.prepare import hourly_loads, mixed_loads
 from gridcast.sources.feeds import (
     LONG_TERM_SEPARATORS,
     coverage,
@@ -204,6 +206,28 @@ def test_first_duplicate_wins(spark):
     assert {r.k: r.v for r in dedup_first(df, ["k"], ["o"]).collect()} == {1: "a", 2: "z"}
 
 
+def test_first_of_whole_numbers_is_a_hash_aggregate(spark):
+    """Order by a flag, a whole number and a decimal, all with unknown values: the row that Python's order puts first."""
+    draw = random.Random(5)
+    some = lambda values: draw.choice([None, *values])
+    rows = [(draw.randrange(40), some([True, False]), some([-2 ** 31, -1, 0, 2 ** 31 - 1]), some([Decimal(-9), Decimal(10 ** 20)]), float(i))
+            for i in range(3000)]
+    rows = list({r[:4]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "k int, flag boolean, n int, d decimal(21,0), v double").repartition(5)
+    out = dedup_first(df, ["k"], ["flag", "n", "d"])
+    unknown_first = lambda r: [(x is not None, x if x is not None else 0) for x in r[1:4]]
+    best = {k: min((r for r in rows if r[0] == k), key=unknown_first) for k in {r[0] for r in rows}}
+    assert {r.k: tuple(r) for r in out.collect()} == best
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_feeds_are_brought_to_hours_by_hash_aggregates(spark, feeds):
+    rows = read_sources(spark, feeds)["load"]
+    plan = hourly_loads(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_positions_run_through_months(spark):
     days = spark.sql("SELECT 1 AS series_id, explode(sequence(DATE'2019-01-15', DATE'2020-06-03')) AS date")
     days = days.filter("day(date) % 3 <> 0")
