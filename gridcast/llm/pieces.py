@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-A model file is compiled into three parts: the normaliser (white-space marks, the dummy prefix, rewrite rules), the
-pieces (an automaton that emits the id of every piece that ends at a position) and the byte fallback (a character in no
+A model file is compiled into three parts: the normaliser (the rewriting transducer of the model's character map, white-space
+marks, the dummy prefix), the pieces (an automaton that emits the id of every piece that ends at a position) and the byte fallback (a character in no
 piece emits its bytes).  Composed with a text they give a lattice, and the encoding is its shortest path in the tropical semiring.
 
 * A unigram model's arcs weigh the negated piece score, an unknown character the lowest score and a penalty.
@@ -42,6 +42,8 @@ WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 250_000, 500_000, 64
 #: Characters whose ids a task holds at a time, but for a single longer text.
 CHUNK_CHARS = 1 << 20
 INFINITE = float("inf")
+#: Nodes of a character map whose children are looked up at a time.
+TRIE_NODES = 4096
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -101,12 +103,99 @@ def read_spec(data: bytes) -> Spec:
     return spec
 
 
+def read_rules(data: bytes) -> dict[str, str]:
+    """The rewrite rules of a compiled character map: from -> to.
+
+    The map is the size of a trie in bytes, the trie, and all results, each ended by a zero byte.  The trie is an array of
+    32-bit units: a node's children lie at its own place, xor its offset, xor the next byte, and repeat that byte; a node
+    with a value has it in the unit at its offset, as the place of the result.
+    """
+    if len(data) < 8:
+        raise ValueError("not a compiled character map")
+    size = struct.unpack_from("<I", data)[0]
+    if size % 4 or not 0 < size <= len(data) - 4:
+        raise ValueError("not a compiled character map")
+    units, results, rules = np.frombuffer(data, "<u4", size // 4, 4), data[4 + size:], {}
+    letters = np.arange(1, 256, dtype=np.uint32)
+    todo = [(np.zeros(1, np.uint32), [b""])]  # nodes and the bytes that lead to them
+    while todo:
+        nodes, paths = todo.pop()
+        own = units[nodes]
+        base = nodes ^ ((own >> 10) << ((own & 512) >> 6))
+        for at in np.flatnonzero((own & 256) > 0).tolist():
+            start = int(units[base[at]]) & 0x7FFFFFFF
+            if paths[at]:
+                rules[paths[at].decode()] = results[start:results.index(0, start)].decode()
+        children = base[:, None] ^ letters
+        there = units[np.minimum(children, len(units) - 1)] & 0x800000FF == letters
+        rows, columns = np.nonzero(there & (children < len(units)))
+        below = [paths[r] + bytes([c + 1]) for r, c in zip(rows.tolist(), columns.tolist(), strict=True)]
+        found = children[rows, columns]
+        todo += [(found[k:k + TRIE_NODES], below[k:k + TRIE_NODES]) for k in range(0, len(found), TRIE_NODES)]
+    return rules
+
+
+class Rewriter:
+    """A transducer that goes through a text once: where rules start it takes the longest one, else it copies a character.
+
+    ``kept`` texts (user-defined pieces) are copied as they are, before any rule.  States are the beginnings of rules; a
+    pattern finds the places where a state is left at all, so plain stretches are copied at once.
+    """
+
+    def __init__(self, rules: dict[str, str], kept: list[str]):
+        none: dict[str, int] = {}  # of all states at the end of rules
+        self.states: list[dict[str, int]] = [{}]
+        self.results: list[str | None] = [None]
+        for text, result in rules.items():
+            state = 0
+            for char in text:
+                if char not in self.states[state]:
+                    if self.states[state] is none:
+                        self.states[state] = {}
+                    self.states[state][char] = len(self.states)
+                    self.states.append(none)
+                    self.results.append(None)
+                state = self.states[state][char]
+            self.results[state] = result
+        alone = {t for t in rules if len(t) == 1}
+        first, second = {t[0] for t in rules if len(t) > 1}, {t[1] for t in rules if len(t) > 1}
+        ways = [f"({'|'.join(map(re.escape, sorted(kept, key=len, reverse=True))) or '(?!)'})"]
+        ways += [_any_of(alone)] if alone else []
+        ways += [f"{_any_of(first)}(?={_any_of(second)})"] if first else []
+        self.starts = re.compile("|".join(ways), re.DOTALL)
+
+    def __call__(self, text: str) -> str:
+        out, done = [], 0
+        match = self.starts.search(text)
+        while match:
+            at = match.start()
+            out.append(text[done:at])
+            done = at + 1
+            result = text[at]
+            if match.group(1):
+                done, result = match.end(), match.group(1)
+            else:
+                state, end = self.states[0].get(text[at]), at + 1
+                while state is not None:
+                    if self.results[state] is not None:
+                        done, result = end, self.results[state]
+                    state = self.states[state].get(text[end]) if end < len(text) else None
+                    end += 1
+            out.append(result)
+            match = self.starts.search(text, done)
+        return "".join(out) + text[done:]
+
+
+def _any_of(chars: set[str]) -> str:
+    return f"[{''.join(map(re.escape, sorted(chars)))}]"
+
+
 class Transducer:
     """The compiled normaliser, pieces and byte fallback of one model."""
 
     def __init__(self, spec: Spec):
-        if spec.rules:
-            raise ValueError("models with a compiled character map are not supported")
+        users = [p[0] for p in spec.pieces if p[2] == USER]
+        self.rewritten = Rewriter(read_rules(spec.rules), users) if spec.rules else None
         if spec.kind not in (UNIGRAM, BPE) or not spec.mark_spaces:
             raise ValueError("unigram and BPE models with white-space marks are supported")
         self.spec, self.bpe = spec, spec.kind == BPE
@@ -134,11 +223,14 @@ class Transducer:
     # -- normaliser -----------------------------------------------------------
 
     def normalised(self, text: str) -> str:
+        if self.rewritten is not None:
+            text = self.rewritten(text)
         if self.spec.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
         if not text:
             return ""
-        return (MARK if self.spec.dummy_prefix else "") + text.replace(" ", MARK)
+        line = (MARK if self.spec.dummy_prefix else "") + text.replace(" ", MARK)
+        return line.rstrip(MARK) if self.spec.squeeze else line
 
     def plain(self, text: str) -> str:
         """What decoding gives: the normalised text with spaces, without the dummy prefix."""

@@ -1,6 +1,7 @@
 """Ids against the public library, exact round trips, the unigram semiring by brute force."""
 
 import random
+import struct
 
 import pytest
 import sentencepiece
@@ -92,6 +93,86 @@ def test_unknown_characters():
     assert bytewise.decode(bytewise.encode("a é 日").tolist()) == "a é 日"
 
 
+def message(*fields):
+    """A protocol-buffer message of (number, value): whole numbers, floats, bytes."""
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    out = b""
+    for number, value in fields:
+        if isinstance(value, float):
+            out += varint(number << 3 | 5) + struct.pack("<f", value)
+        elif isinstance(value, bytes):
+            out += varint(number << 3 | 2) + varint(len(value)) + value
+        else:
+            out += varint(number << 3) + varint(value)
+    return out
+
+
+def character_map():
+    """The published map of the library's own normaliser."""
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
+    return pieces.read_spec(normaliser.serialized_model_proto()).rules
+
+
+def unigram_file(words, rules, fallback, squeeze=1, users=()):
+    """A unigram model over given words, with weights that floats add up exactly."""
+    rng = random.Random(8)
+    found = sorted({w[:n] for w in words for n in range(1, len(w) + 1)} | {"▁"} | set("abcdefghijklmnopqrstuvwxyz"))
+    own = [(t, -float(rng.randint(64, 900)) / 64, pieces.NORMAL) for t in found]
+    own = [("<unk>", 0.0, pieces.UNKNOWN), ("<s>", 0.0, pieces.CONTROL), ("</s>", 0.0, pieces.CONTROL)] + own
+    own += [(u, 0.0, pieces.USER) for u in users]
+    own += [(f"<0x{b:02X}>", 0.0, pieces.BYTE) for b in range(256)] if fallback else []
+    return message(*[(1, message((1, t.encode()), (2, s), (3, kind))) for t, s, kind in own],
+                   (2, message((3, pieces.UNIGRAM), (35, fallback))), (3, message((2, rules), (3, 1), (4, squeeze), (5, 1))))
+
+
+REWRITTEN = ["ﬁ ①  Ａ\tx", "  e\u0301 a\u0300\u0301 q\u0323\u0307 ", "ｶﾞｷﾞ ｶ ﾞ", "\u00a8x \u2003y\u3000z", "\u200bab\ufeff c\r\nd", "㌔ ㍿ ﷺ",
+             "한 \u1112\u1161\u11ab", "\x00\x07 \x7f", "▁ a ▁", "①" * 300, "\u0301", "a\u0301" * 200, "ΐ \u03b9\u0308\u0301", "…‥ ½ ²", "\u00ad"]
+
+
+def test_character_map_rewrites_as_the_library_does():
+    rules = pieces.read_rules(character_map())
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc", remove_extra_whitespaces=False, add_dummy_prefix=False, escape_whitespaces=False)
+    assert len(rules) > 5000 and rules["ﬁ"] == "fi"
+    rewritten, rng = pieces.Rewriter(rules, []), random.Random(3)
+    some = list(rules)
+    texts = REWRITTEN + some + ["".join(rng.choice(rng.choice([some, "ab é\u0301"])) for _ in range(30)) for _ in range(3000)]
+    for text in texts:
+        assert rewritten(text) == normaliser.Normalize(text), text
+
+
+def test_rewriter_takes_the_longest_rule():
+    rewritten = pieces.Rewriter({"ab": "1", "abcd": "2", "b": "3", "x": ""}, ["abc", "bb"])
+    assert rewritten("abcd ab abd bb x cab") == "abcd 1 1d bb  c1"
+    assert pieces.Rewriter({"ab": "1", "abcd": "2", "b": "3"}, [])("abcd abce ab b a") == "2 1ce 1 3 a"
+
+
+@pytest.mark.parametrize("fallback, squeeze", [(0, 1), (1, 1), (1, 0)])
+def test_unigram_model_with_a_character_map(spark, fallback, squeeze):
+    """Ids of a whole table, and of odd texts, by the tropical path over rewritten text: those of the public library."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    words = sorted({"▁" + w for t in texts[::3] for w in t.split()})[::2]
+    data = unigram_file(words, character_map(), fallback, squeeze)
+    library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    model = pieces.Transducer(pieces.read_spec(data))
+    for text in [*texts, *ODD, *REWRITTEN]:
+        assert model.encode(text).tolist() == library.encode(text), text[:60]
+
+
+def test_unigram_encoded_by_spark(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    words = sorted({"▁" + w for r in docs.collect() for w in r.text.split()})[::3]
+    data = unigram_file(words, character_map(), 1)
+    library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = pieces.encoded(docs, pieces.Transducer(pieces.read_spec(data))).collect()
+    assert len(found) == len(texts) and all(r.ids == library.encode(texts[r.doc_id]) for r in found)
+
+
 def test_unsupported_model():
     with pytest.raises(ValueError):
         pieces.Transducer(pieces.Spec(rules=b"x"))
