@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -84,3 +85,24 @@ def test_held_out_accuracy(spark):
     right, n, low, high = got.where("held_out").agg(
         F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*"), F.min("score"), F.max("score")).first()
     assert n > 200 and right > 0.98 and 0 <= low and high <= 1
+
+
+def test_whole_query_by_hand(spark, small):
+    """Profiles, distances and predictions of every document by counters and lists."""
+    rows = spark.read.parquet(f"{small}/documents.parquet").collect()
+    own = {r.doc_id: by_hand(r.text or "") for r in rows}
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows}
+    order = lambda counts: sorted(counts, key=lambda g: (-counts[g], g))[:400]
+    languages = {}
+    for r in rows:
+        if r.text is not None and r.lang is not None and not held[r.doc_id]:
+            languages.setdefault(r.lang, Counter()).update(own[r.doc_id])
+    places = {x: {g: i for i, g in enumerate(order(c))} for x, c in languages.items()}
+    got = queries.QUERIES["op1_language_id"](spark, small).collect()
+    assert len(got) == len(rows) and len(places) > 1
+    for r in got:
+        grams = order(own[r.doc_id])
+        far = {x: sum(min(400, abs(p[g] - i)) if g in p else 400 for i, g in enumerate(grams)) for x, p in places.items()}
+        best = min(sorted(far), key=far.get)
+        assert r.held_out == held[r.doc_id] and r.lang_pred == (best if grams else "und")
+        assert abs(r.score - (1 - far[best] / (400 * len(grams)) if grams else 0)) < 1e-12

@@ -95,6 +95,42 @@ def test_query_against_brute_force(spark):
     assert all(k for k, q in judged if q == 1)
 
 
+def counted(text):
+    """All counts of a text, by patterns and counters."""
+    words, chars, symbols, again, repeats = by_hand(text)
+    own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return dict(n_words=words, word_chars=chars, n_symbols=symbols, n_dup_lines=again, n_repeat_words=repeats, n_lines=len(lines),
+                n_upper=len(re.findall("[A-Z]", text or "")), n_digits=len(re.findall("[0-9]", text or "")),
+                n_long_words=sum(len(w.encode()) > 20 for w in own), n_distinct_words=len(set(own)))
+
+
+def test_verdicts_are_those_of_the_list(spark):
+    """The learned list, read from its own text, decides every document again on the counts by hand."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.learned_rules(labelled_sample(docs, labels, "quality", queries.RULE_ROWS))
+    assert rules.rules
+    texts = {r.doc_id: r.text for r in docs.collect()}
+
+    def value(counts, name):
+        if name in counts:
+            return float(counts[name])
+        part, whole = quality.SHARES[name]
+        return counts[part] / counts[whole] if counts[whole] else 0.0
+
+    def verdict(counts):
+        for rule in rules.rules:
+            if all((value(counts, n) >= cut) == above for n, above, cut in rule.conditions):
+                return rules.target
+        return rules.default
+
+    for r in queries.QUERIES["op7_quality_rules"](spark, folder).collect():
+        counts = counted(texts[r.doc_id])
+        failed = counts["n_words"] < 50 or 100 * counts["n_repeat_words"] > 50 * counts["n_words"]
+        assert r.kept == (not failed and verdict(counts) == 1), r.doc_id
+
+
 def test_one_row_of_each_labelled_key(spark, docs_of):
     """A key that holds most rows is one labelled document: the sample's bound is on rows."""
     rows = [(1, f"text {i % 50}") for i in range(500)] + [(2, "two"), (2, None), (3, None), (4, "four"), (None, "none")]
