@@ -145,6 +145,14 @@ def hours_before(past: str, n: int | str) -> str:
     return f"try_element_at({past}, -({n} + 24))"
 
 
+def day_before(past: str, hours: int) -> str:
+    """SQL text of the 24 values ``hours`` hours before those of the current day; null where the history does not reach.
+
+    ``past`` is a ``history`` column that ends with the current day.
+    """
+    return f"slice(concat(array_repeat(CAST(NULL AS DOUBLE), 24), {past}), -{hours + 24}, 24)"
+
+
 def hour_lags(profiles: DataFrame, keys: Sequence[str], column: str, lags: Sequence[int]) -> DataFrame:
     """The hourly panel of gap-free profiles with ``<column>_lag<k>``, the value ``k`` hours earlier.
 

@@ -19,6 +19,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,10 @@ from pyspark.sql import types as T
 TOLERANCE = 1e-10
 #: Widest table that is fitted by aggregates.
 NARROW = 6
-#: Numbers that a task holds in triangles before it passes them on, and rows that it brings to a triangle at a time.
+#: Numbers that a task holds in rows and triangles, and rows that it brings to a triangle at a time.
 HELD, BLOCK = 1 << 22, 4096
+#: Keys with a bounded number of values: models by these alone are a small table, however many rows they score.
+POOLED = {"hour", "horizon", "fold"}
 
 
 def _pairs(k: int):
@@ -144,40 +147,71 @@ def _fitted(n: int, triangle: np.ndarray) -> list[float]:
     return [float(mean[k] - coefficients @ mean[:k]), *coefficients.tolist()]
 
 
+def _groups_of(keys: Sequence[pa.Array], rows: int) -> tuple[list[tuple], list[np.ndarray]]:
+    """The distinct keys of a batch, nulls as None, and the places of their rows."""
+    codes, distinct = np.zeros(rows, np.int64), [()] if rows else []
+    for column in keys:
+        found = column.dictionary_encode(null_encoding="encode")
+        values = found.dictionary.to_pylist()
+        both, codes = np.unique(codes * len(values) + found.indices.to_numpy(), return_inverse=True)
+        distinct = [(*distinct[c // len(values)], values[c % len(values)]) for c in both.tolist()]
+    order = np.argsort(codes, kind="stable")
+    return distinct, np.split(order, np.cumsum(np.bincount(codes, minlength=len(distinct)))[:-1])
+
+
 def _partial_triangles(base: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """``keys, n, triangle`` of each group and task, from the rows of ``base`` where everything is known."""
-    names = [*[f"_x{i}" for i in range(k)], "_y"]
-    keys = list(keys)
+    """``keys, n, triangle`` of each group and task, from the rows of ``base`` where everything is known.
+
+    A task gathers rows of all its groups up to ``HELD`` numbers before it brings them to triangles, so the triangle of a
+    group is merged once for many rows, not with every batch.
+    """
+    keys, width = list(keys), k + 2
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Part] = {}
+        waiting: dict[tuple, list[np.ndarray]] = {}
+        kinds: list[pa.DataType] = []
 
-        def handed() -> pd.DataFrame:
-            rows = [(*key, n, r.ravel()) for key, (n, r) in held.items()]
+        def bring() -> None:
+            for key, blocks in waiting.items():
+                rows = np.concatenate(blocks)
+                for start in range(0, max(len(rows), 1), BLOCK):
+                    own = rows[start:start + BLOCK]
+                    n, before = held.get(key, (0, np.zeros((0, width))))
+                    held[key] = n + len(own), _triangle([before, np.c_[np.ones(len(own)), own]], width)
+            waiting.clear()
+
+        def handed() -> pa.RecordBatch:
+            columns = [pa.array([key[i] for key in held], kind) for i, kind in enumerate(kinds)]
+            flat = np.concatenate([r.ravel() for _, r in held.values()])
+            triangles = pa.ListArray.from_arrays(np.arange(len(held) + 1, dtype=np.int32) * width ** 2, flat)
+            columns += [pa.array([n for n, _ in held.values()], pa.int64()), triangles]
             held.clear()
-            return pd.DataFrame(rows, columns=[*keys, "n", "triangle"])
+            return pa.RecordBatch.from_arrays(columns, [*keys, "n", "triangle"])
 
+        numbers = 0
         for batch in batches:
-            values = batch[names].to_numpy(float)
-            groups = batch.groupby(keys, sort=False, dropna=False).indices if keys else {(): np.arange(len(batch))}
-            for key, at in groups.items():
-                rows = values[at]
-                rows = rows[~np.isnan(rows).any(axis=1)]
-                key = key if isinstance(key, tuple) else (key,)
-                key = tuple(None if pd.isna(v) else v for v in key)
-                for start in range(0, max(len(rows), 1), BLOCK):
-                    own = rows[start:start + BLOCK]
-                    part = len(own), _triangle([np.c_[np.ones(len(own)), own]], k + 2)
-                    held[key] = _added([held[key], part]) if key in held else part
-            if len(held) * (k + 2) ** 2 > HELD:
-                yield handed()
+            kinds = [batch.column(i).type for i in range(len(keys))]
+            values = batch.column(len(keys)).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), k + 1)
+            known = ~np.isnan(values).any(axis=1)
+            for key, at in zip(*_groups_of(batch.columns[:len(keys)], len(batch)), strict=True):
+                waiting.setdefault(key, []).append(values[at[known[at]]])
+            numbers += values.size
+            if numbers + len(held.keys() | waiting.keys()) * width ** 2 > HELD:
+                bring()
+                numbers = 0
+                if len(held) * width ** 2 > HELD // 2:
+                    yield handed()
+        bring()
         if held:
             yield handed()
 
-    kinds = [f for f in base.schema.fields if f.name in keys]
-    kinds.sort(key=lambda f: keys.index(f.name))
-    schema = T.StructType([*kinds, T.StructField("n", T.LongType()), T.StructField("triangle", T.ArrayType(T.DoubleType()))])
-    return base.mapInPandas(add_up, schema)
+    names = [*[f"_x{i}" for i in range(k)], "_y"]
+    fields = [f for f in base.schema.fields if f.name in keys]
+    fields.sort(key=lambda f: keys.index(f.name))
+    schema = T.StructType([*fields, T.StructField("n", T.LongType()), T.StructField("triangle", T.ArrayType(T.DoubleType()))])
+    # the numbers of a row go to Python as one array: a column for each would be converted on its own
+    return base.select(*keys, F.array(*names).alias("_row")).mapInArrow(add_up, schema)
 
 
 def _wide_models(partial: DataFrame, keys: Sequence[str], x: Sequence[str], fold: str | None = None) -> DataFrame:
@@ -293,9 +327,12 @@ def score(
 ) -> DataFrame:
     """Route each row to the model of its group; rows without a model get null.
 
-    The model table grows with the number of series, so Spark chooses the join
-    from its size; nothing is forced.
+    Models by calendar keys alone are few: they are sent to the rows, which may be
+    wide and have few keys, and no row is shuffled.  Other model tables grow with the
+    number of series, so Spark chooses the join from their size.
     """
     table = model.select(*keys, "intercept", *[f"coef_{c}" for c in x])
+    if keys and POOLED.issuperset(keys):
+        table = F.broadcast(table)
     joined = df.join(table, list(keys), "left").withColumn(out, linear_value(x, log))
     return joined.select(*df.columns, out)

@@ -19,7 +19,7 @@ from gridcast.operators.align import join_daily
 from gridcast.operators.daytypes import FOUR_YEARS, add_bridge_days, add_calendar, add_dummies, off_work_probability
 from gridcast.operators.lags import HaloWindow
 from gridcast.operators.origins import LOAD_LAGS, OFFSET, STAT_HOURS, add_origin_lags, spread_horizons
-from gridcast.operators.profiles import array_stats, days_needed, explode_hours, history, hours_before
+from gridcast.operators.profiles import array_stats, day_before, days_needed, explode_hours, history
 from gridcast.operators.readings import drop_incomplete
 
 # Temperature lags in hours before the target hour.
@@ -101,12 +101,14 @@ def hourly_features(
         days = days.withColumns(_day_stats("_weather", temperature_days))
     if daily is not None:
         days = join_daily(days, daily, ["date"], "left")
-    rows = explode_hours(add_calendar(days))
+    days, weather = add_calendar(days), {}
     if temperature is not None:
-        weather = {f"temperature_lag{k}": hours_before("_weather", f"{k} - hour") for k in temperature_lags}
+        # cut out once for a day, so that an hour only picks its place
+        weather = {f"temperature_lag{k}": day_before("_weather", k) for k in temperature_lags}
         if same_hour_temperature:
-            weather["temperature"] = hours_before("_weather", "-hour")
-        rows = rows.selectExpr("*", *[f"{v} AS {n}" for n, v in weather.items()]).drop("_weather")
+            weather["temperature"] = day_before("_weather", 0)
+        days = days.selectExpr("*", *[f"{v} AS {n}" for n, v in weather.items()]).drop("_weather")
+    rows = explode_hours(days, ("load", *weather))
     if dummies:
         rows = add_dummies(rows)
     return drop_incomplete(rows, [c for c in rows.columns if not (online and c == "load")])

@@ -1,5 +1,7 @@
 """Narrow and wide fits on the same rows, rank by pivoting, odd rows."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +89,39 @@ def test_folds_agree(spark, monkeypatch):
 
     for a, b in zip(run(8), run(0), strict=True):
         assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], abs=1e-9)
+
+
+@pytest.mark.parametrize("x", [["a", "b"], [f"x{i}" for i in range(9)]])
+def test_rows_are_not_shuffled_to_pooled_models(spark, x):
+    """24 models, narrow or wide, are sent to the rows, before anything is known of the table's size; rows of a null key or
+    without a model stay."""
+    draw = np.random.default_rng(4)
+    rows = [(i % 5 if i % 7 else None, *map(float, draw.normal(size=len(x))), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, f"hour int, {', '.join(f'{c} double' for c in x)}, y double")
+    scored = regression.score(df, regression.fit_grouped_linear(df.where("hour < 4"), ["hour"], x, "y"), ["hour"], x)
+    plan = scored._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = scored.collect()
+    assert len(got) == 200 and all((r.prediction is None) == (r.hour is None or r.hour == 4) for r in got)
+
+
+def test_groups_of_a_task_meet_over_many_batches(spark):
+    """Rows of a group gather over batches; null keys and dates as keys; a group without a known row has no model."""
+    draw = np.random.default_rng(6)
+    x = [f"x{i}" for i in range(8)]
+    days = [None, dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    rows = [(days[i % 3], "s" if i % 2 else None, *map(float, draw.normal(size=8)), float(draw.normal())) for i in range(300)]
+    rows += [(days[1], "none", *[1.0] * 8, None)]
+    df = spark.createDataFrame(rows, f"d date, s string, {', '.join(f'{c} double' for c in x)}, y double").coalesce(1)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size, None)
+    spark.conf.set(size, "7")
+    try:
+        found = {(r.d, r.s): r for r in regression.fit_grouped_linear(df, ["d", "s"], x, "y").collect()}
+    finally:
+        spark.conf.unset(size) if before is None else spark.conf.set(size, before)
+    assert len(found) == 6 and all(r.n == 50 for r in found.values())
+    for key, r in found.items():
+        own = np.array([v[2:] for v in rows[:300] if v[:2] == key])
+        want = np.linalg.lstsq(np.c_[np.ones(50), own[:, :8]], own[:, 8], rcond=None)[0]
+        assert [r.intercept, *[r[f"coef_{c}"] for c in x]] == pytest.approx(want, abs=1e-9)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridcast.functions.clock import hour_number
 from gridcast.operators.lags import add_lags
 from gridcast.operators.origins import LOAD_LAGS, add_origin_lags, spread_horizons
-from gridcast.operators.profiles import day_profiles, explode_hours, fill_days, hourly_grid, lag_days
+from gridcast.operators.profiles import day_before, day_profiles, explode_hours, fill_days, hourly_grid, hours_before, lag_days
 from gridcast.operators.smooth import savgol_weights, smooth_savgol
 from gridcast.plans.features import hourly_features
 
@@ -148,6 +148,15 @@ def test_weather_lags_count_from_the_target_hour(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, own.collect()))
 
 
+def test_days_cut_out_of_a_history_equal_single_hours(spark):
+    """Also where the history is shorter than the lag, and where there is none."""
+    pasts = spark.createDataFrame([([float(i) for i in range(24 * n)],) for n in (1, 2, 6)] + [(None,)], "past array<double>")
+    lags = (0, 3, 21, 24, 25, 120)
+    hours = pasts.selectExpr("past", "explode(sequence(0, 23)) AS hour", *[f"{day_before('past', k)} AS d{k}" for k in lags])
+    same = [f"get(d{k}, hour) <=> {hours_before('past', f'{k} - hour')}" for k in lags]
+    assert hours.selectExpr(" AND ".join(same) + " AS same").where("NOT same").count() == 0
+
+
 def test_future_rows_survive_only_online(spark):
     known = ramp(spark, 10)
     future = fill_days(known, ["series_id"], fill="null", end=F.lit("2024-01-12").cast("date"))
