@@ -17,9 +17,9 @@ are kept for the next time.  The compiled model is sent to the executors once; e
 
 from __future__ import annotations
 
-import itertools
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,7 +38,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 #: Words whose paths a worker keeps (twice as many with those of the generation before), and seams between pieces.
-WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 250_000, 500_000, 64
+WORDS_KEPT, SEAMS_KEPT, LONGEST_KEPT = 750_000, 500_000, 64
 #: Characters whose ids a task holds at a time, but for a single longer text.
 CHUNK_CHARS = 1 << 20
 INFINITE = float("inf")
@@ -204,15 +204,23 @@ class Transducer:
         self.byte_ids = {int(p[0][3:5], 16): k for k, p in enumerate(spec.pieces) if p[2] == BYTE}
         self.byte_of = {k: b for b, k in self.byte_ids.items()}
         self.silent = {k for k, p in enumerate(spec.pieces) if p[2] in (CONTROL, UNKNOWN)}
+        # what an id says by itself: a byte of ASCII is a character whatever its neighbours are, other bytes need them
+        self.spoken = ["" if k in self.silent else chr(b) if (b := self.byte_of.get(k, 128)) < 128 else t for k, t in enumerate(self.texts)]
+        self.partial = np.array([self.byte_of.get(k, 0) > 127 for k in range(len(self.texts))], bool)
         self.scores = {p[0]: p[1] for p in spec.pieces if p[2] in (NORMAL, USER)}
         self.by_words = not any(MARK in text.lstrip(MARK) for text in self.scores)
         self.weights = [-p[1] for p in spec.pieces]
         self.unknown_weight = UNKNOWN_PENALTY - min(self.scores.values(), default=0.0)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}  # ids of words, as 32-bit numbers side by side
+        self.older: dict[str, bytes] = {}
         self.seams: dict[int, dict[int, bool]] = {}  # left piece, right piece
         self.seams_kept = 0
         self.inner = {pair for text in self.scores for pair in zip(text, text[1:], strict=False)}
+        # characters that stand beside no other in any piece, like line ends, are words of their own; without the byte
+        # fallback, neighbouring unknown ones are to be one
+        joined = {char for pair in self.inner for char in pair}
+        alone = {c for c in map(chr, range(128)) if c not in joined} if spec.byte_fallback else set()
+        self.cut = re.compile(f"{MARK}*[^{MARK}{''.join(map(re.escape, sorted(alone)))}]+|{MARK}+" + (f"|{_any_of(alone)}+" if alone else ""))
         whole = {p[0]: k for k, p in enumerate(spec.pieces)
                  if p[2] in (NORMAL, USER) and p[0] and (not self.bpe or len(self._merged(p[0])) == 1)}
         self.arcs = ahocorasick.Automaton()  # emits (piece, length) at the end of every occurrence of every piece
@@ -342,8 +350,10 @@ class Transducer:
             end = before[end]
         return path[::-1]
 
-    def _emitted(self, path: list[int]) -> tuple[int, ...]:
+    def _emitted(self, path: list[int]) -> bytes:
         """Ids of a path: unknown characters go through the byte fallback."""
+        if min(path, default=0) >= 0:
+            return array("i", path).tobytes()
         out: list[int] = []
         for label in path:
             if label >= 0:
@@ -352,7 +362,7 @@ class Transducer:
                 out += [self.byte_ids[b] for b in chr(-1 - label).encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)  # neighbouring unknown characters are one
-        return tuple(out)
+        return array("i", out).tobytes()
 
     # -- texts --------------------------------------------------------------------
 
@@ -360,37 +370,37 @@ class Transducer:
         """Ids of a whole text; none for a null or empty one."""
         line = self.normalised(text or "")
         if not self.by_words:
-            return np.array(self._emitted(self.shortest_path(line)), np.int32)
-        # a word is its marks and what follows up to the next mark
-        words = WORD.findall(line)
+            return np.frombuffer(self._emitted(self.shortest_path(line)), np.int32)
+        # a word is its marks and what follows up to the next mark, or to a character that no piece joins to others
+        words = self.cut.findall(line)
         found = list(map(self.words.get, words))
-        for at, ids in enumerate(found):
-            if ids is None:
-                again = self.words.get(words[at])
-                found[at] = self._kept(words[at]) if again is None else again
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32)
-
-    def _kept(self, word: str) -> tuple[int, ...]:
-        """Ids of a word that was not seen yet.  Between two characters that stand together in no piece there is always
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            found[at] = self._known(words[at])
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def _known(self, word: str) -> bytes:
+        """Ids of a word, or a stretch of one: kept ones, else those found now."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            ids = self._remembered(word, self._composed(word) if ids is None else ids)
+        return ids
+
+    def _composed(self, word: str) -> bytes:
+        """Ids of a word that is not kept.  Between two characters that stand together in no piece there is always
         a seam: the stretches between such seams, like a stem and its punctuation, are composed and kept each."""
-        inner, parts, start = self.inner, [], 0
-        for end, pair in enumerate(zip(word, word[1:], strict=False), 1):
+        inner, seams = self.inner, []
+        for at, pair in enumerate(zip(word, word[1:], strict=False), 1):
             if pair not in inner:
-                parts.append(word[start:end])
-                start = end
-        if not parts:
-            ids = self.older.get(word)
-            return self._remembered(word, self._emitted(self.shortest_path(word)) if ids is None else ids)
-        parts.append(word[start:])
-        found = []
-        for part in parts:
-            ids = self.words.get(part)
-            found.append(self._kept(part) if ids is None else ids)
-        if not self.spec.byte_fallback and any(self.unknown in ids for ids in found):
+                seams.append(at)
+        if not seams:
+            return self._emitted(self.shortest_path(word))
+        found = [self._known(word[a:b]) for a, b in zip([0, *seams], [*seams, len(word)], strict=True)]
+        if not self.spec.byte_fallback and any(self.unknown in array("i", ids) for ids in found):
             return self._emitted(self.shortest_path(word))  # neighbouring unknown characters are one
-        return self._remembered(word, tuple(itertools.chain.from_iterable(found)))
+        return b"".join(found)
 
-    def _remembered(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+    def _remembered(self, word: str, ids: bytes) -> bytes:
         if len(word) <= LONGEST_KEPT:
             if len(self.words) >= WORDS_KEPT:
                 self.words, self.older = {}, self.words
@@ -399,24 +409,19 @@ class Transducer:
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that are not UTF-8 become replacement characters, control ids are silent."""
-        texts, byte_of = self.texts, self.byte_of
-        ids = ids.tolist() if isinstance(ids, np.ndarray) else list(ids)
-        if byte_of.keys().isdisjoint(ids) and self.silent.isdisjoint(ids):
-            return self.plain("".join([texts[k] for k in ids]))
-        out, raw = [], bytearray()
-        for k in ids:
-            if k in byte_of:
-                raw.append(byte_of[k])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
+        spoken, byte_of = self.spoken, self.byte_of
+        ids = np.asarray(ids, np.int32)
+        partial = np.flatnonzero(self.partial[ids]).tolist()
+        ids = ids.tolist()
+        out, raw, done = [], bytearray(), 0
+        for at in partial:
+            if at > done:
+                out += [raw.decode("utf-8", "replace"), *map(spoken.__getitem__, ids[done:at])]
                 raw = bytearray()
-            if k not in self.silent:
-                out.append(texts[k])
-        return self.plain("".join(out) + raw.decode("utf-8", "replace"))
-
-
-WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+            raw.append(byte_of[ids[at]])
+            done = at + 1
+        out += [raw.decode("utf-8", "replace"), *map(spoken.__getitem__, ids[done:])]
+        return self.plain("".join(out))
 
 
 def load(path: str) -> Transducer:

@@ -49,6 +49,44 @@ def test_kept_words_change_nothing(model, library, monkeypatch):
     assert model.encode(text).tolist() == library.encode(text)
 
 
+def test_kept_words_end_at_characters_that_no_piece_joins(library):
+    """Line ends and digits would make every word of a text a new one."""
+    model = pieces.load(MODEL)
+    text = "one two\n\nthree\tone 1999two2000\nthree 7\n"
+    assert model.encode(text).tolist() == library.encode(text) and model.decode(model.encode(text)) == text
+    assert {"three", "▁one", "\n\n", "two"} <= set(model.words)
+    assert not [w for w in model.words if any(c.isalpha() for c in w) and set(w) & set("\n\t0123456789")]
+
+
+def test_forgotten_words_are_not_composed_again(library, monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS_KEPT", 40)
+    model, composed = pieces.load(MODEL), []
+    own = model._composed
+    model._composed = lambda word: composed.append(word) or own(word)
+    words = [f"thtiing{a}." for a in "abcdefghij"]
+    for _ in range(9):
+        text = " ".join(words)
+        assert model.encode(text).tolist() == library.encode(text)
+        model.encode("other " * 3)
+    model.words, model.older = {}, model.words
+    composed.clear()
+    assert model.encode(" ".join(words)).tolist() == library.encode(" ".join(words)) and not composed
+
+
+def test_any_ids_decode(model):
+    """Bytes in any order, silent ids between them: as one id after the other would say."""
+    rng = random.Random(2)
+    some = [*model.byte_ids.values(), 0, 1, 2, *range(259, 400)]
+    for _ in range(500):
+        ids, out, raw = [rng.choice(some) for _ in range(rng.randint(0, 12))], "", b""
+        for k in ids:
+            if k in model.byte_of:
+                raw += bytes([model.byte_of[k]])
+                continue
+            out, raw = out + raw.decode("utf-8", "replace") + ("" if k in model.silent else model.texts[k]), b""
+        assert model.decode(ids) == model.plain(out + raw.decode("utf-8", "replace"))
+
+
 @pytest.mark.parametrize("sizes", [[], [0], [5], [3, 3, 3], [10, 1, 1, 10, 0]])
 def test_chunks_hold_every_row(monkeypatch, sizes):
     monkeypatch.setattr(pieces, "CHUNK_CHARS", 5)
