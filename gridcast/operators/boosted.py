@@ -88,6 +88,11 @@ def _rows_of(df: DataFrame, key) -> DataFrame:
 
 
 def _fit_groups(estimator: Callable[[int], object], train: DataFrame, keys: list, parallel: int) -> dict:
+    """A model for each key that has rows; a key without any has no model."""
+    by = _by(keys)
+    there = {tuple(r) if len(by) > 1 else r[0] for r in train.select(*by).distinct().collect()}  # values of model keys, few
+    keys = [key for key in keys if key in there]
+
     def fit(key):
         return key, estimator(_hour(key)).fit(_rows_of(train, key))
 

@@ -131,3 +131,11 @@ def test_first_rounds_cut_an_ensemble(spark, panel, store):
     cut = trees.first_rounds(nodes_of(spark, path), rounds, ["issued", "hour"])
     assert {r.tree for r in cut.select("tree").distinct().collect()} == {0, 1}
     assert cut.select("issued", "hour").distinct().count() == 1
+
+
+def test_a_group_without_rows_has_no_model(spark):
+    rows = [(j, h, float(i), 2.0 + i) for i in range(6) for j, h in ((1, 0), (1, 1), (2, 1))] + [(2, 0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "horizon int, hour int, a double, load double")
+    models = boosted.fit_hourly_gbt(df, ["a"], "load", hours=(0, 1), horizons=(1, 2, 3), maxIter=1, subsamplingRate=1.0)
+    assert sorted(models) == [(1, 0), (1, 1), (2, 1)]
+    assert sorted(boosted.fit_hourly_linear(df.where("horizon = 2"), ["a"], "load", hours=(0, 1, 2))) == [1]
